@@ -20,7 +20,7 @@ def _case(expr: str, values: list[str]) -> str:
 
 
 def _variant_case(bucket: str) -> str:
-    whens = " ".join(f"WHEN {bucket} / 1000000.0 < {cum!r} THEN '{name}'"
+    whens = " ".join(f"WHEN CAST({bucket} AS DOUBLE) / 1000000.0 < CAST({cum!r} AS DOUBLE) THEN '{name}'"
                      for name, cum in cumulative_allocations(config.ONBOARDING_VARIANTS))
     return f"CASE {whens} ELSE '{config.ONBOARDING_VARIANTS[-1][0]}' END"
 
@@ -34,7 +34,7 @@ def _md5_bucket(text: str) -> str:
 
 
 def _alloc_case(col: str) -> str:
-    return "CASE " + " ".join(f"WHEN {col} = '{n}' THEN {a!r}" for n, a in config.ONBOARDING_VARIANTS) + " END"
+    return "CASE " + " ".join(f"WHEN {col} = '{n}' THEN CAST({a!r} AS DOUBLE)" for n, a in config.ONBOARDING_VARIANTS) + " END"
 
 
 FREEZE = ADAPTER_OBSERVED_UNTIL.strftime("%Y-%m-%d %H:%M:%S.%f")
@@ -133,3 +133,173 @@ def funnel_sql(group: str | None, steps: list[str] | None = None) -> str:
         f"p AS (SELECT {'g, ' if group else ''}{', '.join(passes)} FROM j {gfilter})",
         f"c AS (SELECT {'g, ' if group else ''}{counts} FROM p {gby})",
     ) + union
+
+
+# ---------------------------------------------------------------- retention (RT) --------------
+
+AD = "ad AS (SELECT DISTINCT user_id, CAST(event_timestamp AS DATE) AS d FROM e WHERE event_source = 'user_action')"
+WEEK = ("strftime(date_trunc('week', signup_timestamp)::DATE, '%Y-%m-%d') || '/' || "
+        "strftime(date_trunc('week', signup_timestamp)::DATE + 6, '%Y-%m-%d')")
+
+
+def _flags_cte(days, keep: str = "") -> str:
+    values = ", ".join(f"({int(d)})" for d in days)
+    return (f"rf AS (SELECT uu.user_id{keep}, x.day, (ad.user_id IS NOT NULL) AS retained "
+            f"FROM uu CROSS JOIN (VALUES {values}) x(day) "
+            f"LEFT JOIN ad ON ad.user_id = uu.user_id AND ad.d = CAST(uu.signup_timestamp AS DATE) + x.day)")
+
+
+def day_retention_sql(day: int, group: str | None = None) -> str:
+    if group is None:
+        return with_adapter(AD, "uu AS (SELECT * FROM u)", _flags_cte([day])) + \
+            f"SELECT day, round(avg(CASE WHEN retained THEN 1.0 ELSE 0.0 END), {R}) AS retention_rate FROM rf GROUP BY day"
+    return with_adapter(AD, "uu AS (SELECT * FROM u)", _flags_cte([day], f", uu.{group}")) + \
+        f"SELECT {group}, day, round(avg(CASE WHEN retained THEN 1.0 ELSE 0.0 END), {R}) AS retention_rate " \
+        f"FROM rf WHERE {group} IS NOT NULL GROUP BY {group}, day"
+
+
+def retention_by_variant_sql(day: int) -> str:
+    uu = (f"uu AS (SELECT u.*, s.variant_id FROM u LEFT JOIN (SELECT user_id, variant_id FROM a "
+          f"WHERE experiment_id = '{EXP}') s ON u.user_id = s.user_id)")
+    return with_adapter(AD, uu, _flags_cte([day], ", uu.variant_id")) + \
+        f"SELECT variant_id, day, round(avg(CASE WHEN retained THEN 1.0 ELSE 0.0 END), {R}) AS retention_rate " \
+        f"FROM rf WHERE variant_id IS NOT NULL GROUP BY variant_id, day"
+
+
+def cohort_sql(cohort: str, days=(1, 7, 14)) -> str:
+    uu = f"uu AS (SELECT u.*, {WEEK} AS signup_week FROM u)"
+    return with_adapter(AD, uu, _flags_cte(days, f", uu.{cohort}")) + \
+        f"SELECT {cohort}, day, count(*) AS users, count(*) FILTER (WHERE retained) AS retained, " \
+        f"round(count(*) FILTER (WHERE retained) / count(*), {R}) AS retention_rate " \
+        f"FROM rf WHERE {cohort} IS NOT NULL GROUP BY {cohort}, day"
+
+
+def cohort_pivot_sql(days=(1, 7, 14)) -> str:
+    uu = f"uu AS (SELECT u.*, {WEEK} AS signup_week FROM u)"
+    cols = ", ".join(f"round(count(*) FILTER (WHERE retained AND day = {d}) / "
+                     f"count(*) FILTER (WHERE day = {d}), {R}) AS day_{d}" for d in days)
+    return with_adapter(AD, uu, _flags_cte(days, ", uu.signup_week")) + \
+        f"SELECT signup_week, {cols} FROM rf WHERE signup_week IS NOT NULL GROUP BY signup_week"
+
+
+def _rolling_cte(day: int) -> str:
+    return (f"rr AS (SELECT coalesce(avg(CASE WHEN l.last_ts >= u.signup_timestamp + INTERVAL {day} DAY "
+            f"THEN 1.0 ELSE 0.0 END), 0.0) AS rate FROM u LEFT JOIN (SELECT user_id, max(event_timestamp) AS last_ts "
+            f"FROM e WHERE event_source = 'user_action' GROUP BY user_id) l ON u.user_id = l.user_id)")
+
+
+def rolling_sql(day: int) -> str:
+    return with_adapter(_rolling_cte(day)) + f"SELECT {day} AS day, round(rate, {R}) AS retention_rate FROM rr"
+
+
+def retention_summary_sql(days=(1, 7, 14), rolling_day: int = config.PREDICTION_CUTOFF_DAY) -> str:
+    return with_adapter(AD, "uu AS (SELECT * FROM u)", _flags_cte(days), _rolling_cte(rolling_day)) + \
+        f"SELECT 'D' || day || ' retention' AS metric, round(avg(CASE WHEN retained THEN 1.0 ELSE 0.0 END), {R}) AS rate " \
+        f"FROM rf GROUP BY day UNION ALL SELECT 'D{rolling_day} rolling retention', round(rate, {R}) FROM rr"
+
+
+# ---------------------------------------------------------------- assignment / experiment -----
+
+def variant_assignment_sql() -> str:
+    bucket = _md5_bucket("CAST(user_id AS VARCHAR) || ':' || '" + EXP + "' || ':' || ''")
+    return with_adapter() + f"SELECT user_id, {bucket} AS bucket, variant_id FROM a0"
+
+
+def assignments_sql() -> str:
+    return with_adapter() + "SELECT * FROM a"
+
+
+def srm_sql() -> str:
+    k = len(config.ONBOARDING_VARIANTS)
+    alloc = ", ".join(f"('{n}', CAST({a!r} AS DOUBLE))" for n, a in config.ONBOARDING_VARIANTS)
+    if k - 1 != 2:
+        raise NotImplementedError("oracle closed form written for 2 degrees of freedom")
+    return with_adapter(
+        f"al AS (SELECT * FROM (VALUES {alloc}) t(variant_id, allocation))",
+        f"ob AS (SELECT variant_id, count(*) AS observed FROM a WHERE experiment_id = '{EXP}' GROUP BY variant_id)",
+        "j AS (SELECT al.allocation, coalesce(ob.observed, 0) AS observed, al.variant_id IS NOT NULL AS known "
+        "FROM al FULL OUTER JOIN ob ON al.variant_id = ob.variant_id)",
+        "n AS (SELECT sum(observed) AS n FROM j)",
+        "c AS (SELECT sum(CASE WHEN known THEN (observed - allocation * n) ^ 2 / (allocation * n) END) AS chi2, "
+        "CAST(coalesce(sum(CASE WHEN NOT known THEN observed END), 0) AS BIGINT) AS unknown_variant_rows FROM j, n)",
+    ) + (f"SELECT '{EXP}' AS experiment_id, CAST(n AS BIGINT) AS n, round(chi2, {R}) AS chi2, {k - 1} AS dof, "
+         f"round(exp(-chi2 / 2), {R}) AS p_value, unknown_variant_rows FROM c, n")
+
+
+def normal_cdf_sql(z: str) -> str:
+    """Same series as the Spark expression, written with log-gamma terms (z > 0 branch)."""
+    za = f"least(abs({z}), 8.3)"
+    series = (f"list_sum(list_transform(range(0, 151), lambda i: exp((2 * i + 1) * ln({za}) - "
+              f"(lgamma(2 * i + 2) - i * ln(2) - lgamma(i + 1)))))")
+    upper = (f"CASE WHEN abs({z}) >= 8.3 THEN 1.0 WHEN {z} = 0 THEN 0.5 ELSE "
+             f"0.5 + exp(-({za}) * ({za}) / 2) / sqrt(2 * pi()) * {series} END")
+    return f"(CASE WHEN {z} >= 0 THEN {upper} ELSE 1.0 - {upper} END)"
+
+
+def experiment_sql(metrics: dict[str, str] | None = None) -> str:
+    metrics = metrics or config.DEFAULT_EXPERIMENT_METRICS
+    flags = ", ".join(f"bool_or(event_name = '{e}') AS m{i}" for i, e in enumerate(metrics.values())
+                      if e != "d7_retention")
+    fcols = []
+    for i, e in enumerate(metrics.values()):
+        fcols.append("(ad.user_id IS NOT NULL)" if e == "d7_retention" else f"coalesce(fl.m{i}, FALSE)")
+    fsel = ", ".join(f"{c} AS f{i}" for i, c in enumerate(fcols))
+    counts = ", ".join(f"count(*) FILTER (WHERE f{i}) AS c{i}" for i in range(len(metrics)))
+    long = " UNION ALL ".join(f"SELECT '{m}' AS metric, variant_id, n, c{i} AS conv FROM pv"
+                              for i, m in enumerate(metrics))
+    pa, pb = "(cc / cn)", "(conv / n)"
+    pooled = "((cc + conv) / (cn + n))"
+    se = f"sqrt({pooled} * (1 - {pooled}) * (1.0 / cn + 1.0 / n))"
+    z = f"(CASE WHEN {se} > 0 THEN ({pb} - {pa}) / {se} ELSE 0.0 END)"
+    se_diff = f"sqrt({pa} * (1 - {pa}) / cn + {pb} * (1 - {pb}) / n)"
+    treat = f"variant_id <> '{config.CONTROL_VARIANT}' AND cn > 0 AND n > 0"
+    return with_adapter(
+        AD,
+        f"sub AS (SELECT a.user_id, a.variant_id, u.signup_timestamp FROM a LEFT JOIN u ON a.user_id = u.user_id "
+        f"WHERE a.experiment_id = '{EXP}')",
+        f"fl AS (SELECT user_id, {flags} FROM e WHERE event_source = 'user_action' GROUP BY user_id)",
+        f"uf AS (SELECT sub.variant_id, {fsel} FROM sub LEFT JOIN fl ON sub.user_id = fl.user_id "
+        f"LEFT JOIN ad ON ad.user_id = sub.user_id AND ad.d = CAST(sub.signup_timestamp AS DATE) + 7)",
+        f"pv AS (SELECT variant_id, count(*) AS n, {counts} FROM uf GROUP BY variant_id)",
+        f"lg AS ({long})",
+        f"ct AS (SELECT metric, n AS cn, conv AS cc FROM lg WHERE variant_id = '{config.CONTROL_VARIANT}')",
+        f"x AS (SELECT lg.*, coalesce(ct.cn, 0) AS cn, coalesce(ct.cc, 0) AS cc FROM lg LEFT JOIN ct ON lg.metric = ct.metric)",
+    ) + (f"SELECT metric, variant_id, n AS sample_size, conv AS conversions, round(conv / n, {R}) AS conversion_rate, "
+         f"CASE WHEN variant_id <> '{config.CONTROL_VARIANT}' THEN round({pb} - coalesce(cc / nullif(cn, 0), 0), {R}) END AS absolute_lift, "
+         f"CASE WHEN variant_id <> '{config.CONTROL_VARIANT}' AND coalesce(cc / nullif(cn, 0), 0) > 0 "
+         f"THEN round(({pb} - {pa}) / {pa}, {R}) END AS relative_lift, "
+         f"CASE WHEN {treat} THEN round(2 * (1 - {normal_cdf_sql('abs(' + z + ')')}), {R}) END AS p_value, "
+         f"CASE WHEN {treat} THEN round(({pb} - {pa}) - 1.96 * {se_diff}, {R}) END AS ci_lower, "
+         f"CASE WHEN {treat} THEN round(({pb} - {pa}) + 1.96 * {se_diff}, {R}) END AS ci_upper FROM x")
+
+
+def sample_sizes_sql() -> str:
+    return with_adapter() + f"SELECT variant_id, count(*) AS sample_size FROM a WHERE experiment_id = '{EXP}' GROUP BY variant_id"
+
+
+# ---------------------------------------------------------------- labels / reports ------------
+
+def labels_sql() -> str:
+    return with_adapter() + "SELECT * FROM lb"
+
+
+def churn_by_channel_sql() -> str:
+    return with_adapter() + (f"SELECT u.acquisition_channel, round(avg(CAST(lb.is_churned AS DOUBLE)), {R}) AS churn_rate "
+                             "FROM u JOIN lb ON u.user_id = lb.user_id GROUP BY u.acquisition_channel")
+
+
+def dataset_summary_sql() -> str:
+    return with_adapter() + (
+        "SELECT (SELECT count(*) FROM u) AS users, (SELECT count(*) FROM e) AS events, "
+        f"round((SELECT count(*) FROM e) / (SELECT count(*) FROM u), {R}) AS events_per_user, "
+        "(SELECT count(*) FROM lb) AS labelled_users, "
+        f"round((SELECT avg(CAST(is_churned AS DOUBLE)) FROM lb), {R}) AS churn_rate")
+
+
+def channel_overview_sql() -> str:
+    return with_adapter() + (f"SELECT acquisition_channel, count(*) AS users, round(count(*) / sum(count(*)) OVER (), {R}) "
+                             "AS share FROM u GROUP BY acquisition_channel")
+
+
+def user_sample_sql(n: int = 10, seed: int = config.RANDOM_SEED) -> str:
+    return with_adapter() + (f"SELECT * FROM u ORDER BY md5(CAST(user_id AS VARCHAR) || ':' || '{seed}'), user_id LIMIT {n}")

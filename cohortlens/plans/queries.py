@@ -24,3 +24,137 @@ def q_funnel(spark, t):
 def q_funnel_by_channel(spark, t):
     """FN4: the same funnel per acquisition channel."""
     return funnel.compute_funnel(t.users, t.events, group_by="acquisition_channel", steps=STEPS)
+
+
+# ---------------------------------------------------------------- RT / RP4 ---------------------
+from cohortlens.operators import retention  # noqa: E402
+
+
+def _day_retention(day):
+    def q(spark, t):
+        return retention.compute_day_retention(t.users, t.events, day)
+
+    q.__doc__ = f"RT3: day-{day} retention over all users."
+    return q
+
+
+for _d in (1, 7, 14):
+    register(f"day_retention_{_d}", (lambda d=_d: O.day_retention_sql(d)))(_day_retention(_d))
+
+
+@register("day_retention_by_channel", lambda: O.day_retention_sql(7, "acquisition_channel"))
+def q_day_retention_by_channel(spark, t):
+    """RT3 grouped: day-7 retention per acquisition channel."""
+    return retention.compute_day_retention(t.users, t.events, 7, group_by="acquisition_channel")
+
+
+@register("cohort_retention_week", lambda: O.cohort_sql("signup_week"))
+def q_cohort_week(spark, t):
+    """RT4/RT5: cohort matrix by Monday-Sunday signup week, days 1/7/14."""
+    return retention.compute_cohort_retention(t.users, t.events, (1, 7, 14), "signup_week")
+
+
+@register("cohort_retention_channel", lambda: O.cohort_sql("acquisition_channel"))
+def q_cohort_channel(spark, t):
+    """RT6: cohort matrix by acquisition channel."""
+    return retention.compute_cohort_retention(t.users, t.events, (1, 7, 14), "acquisition_channel")
+
+
+@register("cohort_retention_device", lambda: O.cohort_sql("device_type"))
+def q_cohort_device(spark, t):
+    """RT6: cohort matrix by device type."""
+    return retention.compute_cohort_retention(t.users, t.events, (1, 7, 14), "device_type")
+
+
+@register("cohort_pivot", lambda: O.cohort_pivot_sql())
+def q_cohort_pivot(spark, t):
+    """RT9: signup-week x day wide table."""
+    cohort = retention.compute_cohort_retention(t.users, t.events, (1, 7, 14), "signup_week")
+    return retention.cohort_pivot(cohort, (1, 7, 14))
+
+
+@register("rolling_retention_7", lambda: O.rolling_sql(7))
+def q_rolling(spark, t):
+    """RT7: rolling 7-day retention (last action instant >= signup + 7 x 24 h)."""
+    return retention.compute_rolling_retention(t.users, t.events, 7)
+
+
+@register("retention_by_variant", lambda: O.retention_by_variant_sql(7))
+def q_retention_by_variant(spark, t):
+    """RT8: day-7 retention per onboarding variant."""
+    return retention.compute_retention_by_variant(t.users, t.events, t.assignments, 7)
+
+
+@register("retention_summary", lambda: O.retention_summary_sql())
+def q_retention_summary(spark, t):
+    """RP4: D1/D7/D14 and rolling D7 retention rows."""
+    return retention.retention_summary(t.users, t.events)
+
+
+# ---------------------------------------------------------------- AS / EX ----------------------
+from cohortlens.operators import assignment, experiment  # noqa: E402
+
+
+@register("variant_assignment", lambda: O.variant_assignment_sql())
+def q_variant_assignment(spark, t):
+    """AS1: md5 bucket and variant of every user."""
+    return t.users.select("user_id", assignment.variant_bucket(F.col("user_id")).alias("bucket"),
+                          assignment.assign_variant(F.col("user_id")).alias("variant_id"))
+
+
+@register("assignments_converted", lambda: O.assignments_sql())
+def q_assignments(spark, t):
+    """AS2 + AS3: assignment rows with is_converted from onboarding completion."""
+    return t.assignments
+
+
+@register("variant_sample_sizes", lambda: O.sample_sizes_sql())
+def q_sample_sizes(spark, t):
+    """EX2: assignment rows per variant."""
+    return experiment.sample_sizes(t.assignments, "exp_onboarding_v1")
+
+
+@register("srm_test", lambda: O.srm_sql())
+def q_srm(spark, t):
+    """EX3: sample-ratio-mismatch chi-square test."""
+    return experiment.srm_test(t.assignments)
+
+
+@register("experiment_metrics", lambda: O.experiment_sql())
+def q_experiment(spark, t):
+    """EX1/EX4-EX7: per metric x variant conversion, lift, p-value and CI."""
+    return experiment.analyze_experiment(t.users, t.events, t.assignments)
+
+
+# ---------------------------------------------------------------- LB / RP ----------------------
+from cohortlens.operators import reports  # noqa: E402
+
+
+@register("churn_labels", lambda: O.labels_sql())
+def q_labels(spark, t):
+    """LB1: churn labels of users with a fully observed label window."""
+    return t.labels
+
+
+@register("churn_by_channel", lambda: O.churn_by_channel_sql())
+def q_churn_by_channel(spark, t):
+    """RP3: churn rate per acquisition channel."""
+    return reports.churn_by_group(t.users, t.labels)
+
+
+@register("dataset_summary", lambda: O.dataset_summary_sql())
+def q_dataset_summary(spark, t):
+    """RP1/RP7: users, events, events per user, labelled users, churn rate."""
+    return reports.dataset_summary(t.users, t.events, t.labels)
+
+
+@register("channel_overview", lambda: O.channel_overview_sql())
+def q_channel_overview(spark, t):
+    """RP2: users and share per acquisition channel."""
+    return reports.channel_overview(t.users)
+
+
+@register("user_sample", lambda: O.user_sample_sql())
+def q_user_sample(spark, t):
+    """RP6: deterministic 10-user sample (top-k by md5 key)."""
+    return reports.sample_users(t.users, 10)
