@@ -303,3 +303,104 @@ def channel_overview_sql() -> str:
 
 def user_sample_sql(n: int = 10, seed: int = config.RANDOM_SEED) -> str:
     return with_adapter() + (f"SELECT * FROM u ORDER BY md5(CAST(user_id AS VARCHAR) || ':' || '{seed}'), user_id LIMIT {n}")
+
+
+# ---------------------------------------------------------------- data quality (DQ) -----------
+
+def _in(c: str, domain: list[str]) -> str:
+    return f"({c} IS NULL OR {c} NOT IN ({', '.join(repr(v) for v in domain)}))"
+
+
+def _dq_row(check, severity, violations, detail, passed=None, value="CAST(NULL AS DOUBLE)") -> str:
+    passed = passed or f"({violations}) = 0"
+    return (f"SELECT '{check}' AS \"check\", '{severity}' AS severity, {passed} AS passed, "
+            f"CAST({violations} AS BIGINT) AS violations, round(CAST({value} AS DOUBLE), {R}) AS value, "
+            f"'{detail}' AS detail")
+
+
+def _dq_domain(check, table, c, domain, severity="error") -> str:
+    bad = _in(c, domain)
+    return _dq_row(check, severity, f"(SELECT count(*) FILTER (WHERE {bad}) FROM {table})",
+                   f"rows with {c} outside the domain",
+                   value=f"(SELECT count(DISTINCT CASE WHEN {bad} THEN {c} END) + "
+                         f"CAST(coalesce(bool_or({bad} AND {c} IS NULL), FALSE) AS INTEGER) FROM {table})")
+
+
+def _dq_orphans(check, child, parent) -> str:
+    return _dq_row(check, "error", f"(SELECT count(*) FROM (SELECT DISTINCT user_id FROM {child}) x "
+                                   f"WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.user_id = x.user_id))",
+                   "distinct user_ids")
+
+
+def dq_report_sql(with_session_order: bool = True) -> str:
+    freeze = config.DATA_FREEZE.strftime("%Y-%m-%d %H:%M:%S")
+    users_constraint = " OR ".join(["user_id IS NULL", "signup_timestamp IS NULL",
+                                    _in("acquisition_channel", config.ACQUISITION_CHANNELS),
+                                    _in("device_type", config.DEVICE_TYPES),
+                                    _in("user_intent_level", config.USER_INTENT_LEVELS),
+                                    _in("career_stage", config.CAREER_STAGES), "marketing_consent IS NULL"])
+    dup = "(SELECT count(*) - count(DISTINCT {c}) - CAST(coalesce(bool_or({c} IS NULL), FALSE) AS INTEGER) FROM {t})"
+    props = "(SELECT count(*) FILTER (WHERE event_properties IS NULL) FROM e)"
+    props_share = "(SELECT count(*) FILTER (WHERE event_properties IS NULL) / count(*) FROM e)"
+    camp = "(SELECT count(*) FILTER (WHERE event_source = 'campaign') FROM e)"
+    camp_share = "(SELECT count(*) FILTER (WHERE event_source = 'campaign') / count(*) FROM e)"
+    alloc = ", ".join(f"('{n}', CAST({a!r} AS DOUBLE))" for n, a in config.ONBOARDING_VARIANTS)
+    rows = [
+        _dq_row("users_columns", "error", "0", "all required columns present"),
+        _dq_row("events_columns", "error", "0", "all required columns present"),
+        _dq_domain("acquisition_channel_domain", "u", "acquisition_channel", config.ACQUISITION_CHANNELS),
+        _dq_domain("device_type_domain", "u", "device_type", config.DEVICE_TYPES),
+        _dq_row("unique_user_ids", "error", dup.format(c="user_id", t="u"), "duplicate user_id rows"),
+        _dq_row("user_row_constraints", "error", f"(SELECT count(*) FILTER (WHERE {users_constraint}) FROM u)",
+                "users rows violating declared types/domains"),
+        _dq_row("observation_window", "error",
+                f"(SELECT CAST(coalesce(max(signup_timestamp) + INTERVAL {config.LABEL_WINDOW_END_DAY} DAY "
+                f"> TIMESTAMP '{freeze}', FALSE) AS INTEGER) FROM u)",
+                "latest signup + label window beyond data freeze"),
+        _dq_domain("event_name_domain", "e", "event_name", config.ALL_EVENT_NAMES),
+        _dq_domain("event_source_domain", "e", "event_source", config.EVENT_SOURCES),
+        _dq_domain("platform_domain", "e", "platform", config.PLATFORMS, "warning"),
+        _dq_row("unique_event_ids", "error", dup.format(c="event_id", t="e"), "duplicate event_id rows"),
+        _dq_row("event_properties_missing_rate", "warning", props, "share of null event_properties",
+                passed=f"NOT coalesce({props_share} > {config.EVENT_PROPERTIES_MISSING_MAX}, FALSE)", value=props_share),
+        _dq_row("campaign_event_share", "warning", camp, "share of campaign events",
+                passed=f"NOT coalesce({camp_share} > {config.CAMPAIGN_SHARE_MAX}, FALSE)", value=camp_share),
+        _dq_orphans("event_foreign_keys", "e", "u"),
+        _dq_orphans("experiment_foreign_keys", "a", "u"),
+        _dq_orphans("users_missing_assignment", "u", "a"),
+        _dq_orphans("users_with_events", "u", "e"),
+        _dq_row("event_after_signup", "error",
+                "(SELECT count(*) FROM e JOIN u ON e.user_id = u.user_id WHERE e.event_timestamp < u.signup_timestamp)",
+                "events earlier than their user''s signup"),
+        f"SELECT 'srm_' || experiment_id, 'error', p >= {config.SRM_ALPHA} AND unknown IS NULL, "
+        f"CAST(coalesce(unknown, 0) AS BIGINT), round(p, {R}), "
+        f"'chi-square p-value vs configured allocation; violations = rows of unknown variants' FROM srm",
+        _dq_row("traffic_allocation_range", "warning",
+                "(SELECT count(*) FILTER (WHERE traffic_allocation IS NULL OR traffic_allocation NOT BETWEEN 0 AND 1) FROM a)",
+                "allocation outside [0, 1]"),
+        _dq_row("churn_rate_range", "error",
+                f"(SELECT CAST(NOT coalesce(avg(is_churned) BETWEEN {config.CHURN_RATE_RANGE[0]} AND "
+                f"{config.CHURN_RATE_RANGE[1]}, FALSE) AS INTEGER) FROM lb)", "mean is_churned",
+                passed=f"(SELECT coalesce(avg(is_churned) BETWEEN {config.CHURN_RATE_RANGE[0]} AND "
+                       f"{config.CHURN_RATE_RANGE[1]}, FALSE) FROM lb)",
+                value="(SELECT avg(CAST(is_churned AS DOUBLE)) FROM lb)"),
+        _dq_row("label_user_set", "error",
+                "(SELECT count(*) FROM (SELECT DISTINCT user_id FROM lb) x WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.user_id = x.user_id))"
+                " + (SELECT count(*) FROM (SELECT DISTINCT user_id FROM u) x WHERE NOT EXISTS (SELECT 1 FROM lb WHERE lb.user_id = x.user_id))",
+                "label ids not in users plus users without a label"),
+    ]
+    if with_session_order:
+        rows.append(_dq_row("session_timestamp_order", "warning",
+                            "(SELECT count(DISTINCT session_id) FROM (SELECT session_id, event_timestamp < "
+                            "lag(event_timestamp) OVER (PARTITION BY session_id ORDER BY event_id) AS dec FROM e "
+                            "WHERE session_id IS NOT NULL) WHERE dec)",
+                            "sessions with out-of-order timestamps"))
+    srm = (f"al AS (SELECT * FROM (VALUES {alloc}) t(variant_id, allocation)), "
+           "oc AS (SELECT experiment_id, variant_id, count(*) AS o FROM a GROUP BY experiment_id, variant_id), "
+           "pe AS (SELECT experiment_id, sum(o) AS n, sum(CASE WHEN variant_id NOT IN (SELECT variant_id FROM al) THEN o END) "
+           "AS unknown FROM oc GROUP BY experiment_id), "
+           "chi AS (SELECT pe.experiment_id, pe.unknown, sum((coalesce(oc.o, 0) - al.allocation * pe.n) ^ 2 / (al.allocation * pe.n)) AS chi2 "
+           "FROM pe CROSS JOIN al LEFT JOIN oc ON oc.experiment_id = pe.experiment_id AND oc.variant_id = al.variant_id "
+           "GROUP BY pe.experiment_id, pe.unknown), "
+           "srm AS (SELECT experiment_id, unknown, exp(-chi2 / 2) AS p FROM chi)")
+    return with_adapter(srm) + "\nUNION ALL\n".join(rows)

@@ -158,3 +158,20 @@ def q_channel_overview(spark, t):
 def q_user_sample(spark, t):
     """RP6: deterministic 10-user sample (top-k by md5 key)."""
     return reports.sample_users(t.users, 10)
+
+
+# ---------------------------------------------------------------- DQ ---------------------------
+from cohortlens.operators import quality  # noqa: E402
+
+
+@register("dq_report", lambda: O.dq_report_sql())
+def q_dq_report(spark, t):
+    """DQ1-DQ23: full validation report (one row per check)."""
+    return quality.validate(t.users, t.events, t.assignments, t.labels,
+                            session_order_cols=["ingest_file", "ingest_seq"])
+
+
+@register("dq_passed")
+def q_dq_passed(spark, t):
+    """Overall validation verdict (no failed error-severity check)."""
+    return quality.report_passed(quality.validate(t.users, t.events, t.assignments, t.labels))

@@ -66,6 +66,9 @@ def adapt_events(raw: DataFrame) -> DataFrame:
         source.alias("event_source"),
         F.lit(None).cast("string").alias("experiment_id"),
         F.lit(None).cast("string").alias("variant_id"),
+        # ingest order (file, row) for the in-session ordering check
+        F.col("_metadata.file_path").alias("ingest_file"),
+        F.col("_metadata.row_index").alias("ingest_seq"),
     )
 
 
