@@ -404,3 +404,72 @@ def dq_report_sql(with_session_order: bool = True) -> str:
            "GROUP BY pe.experiment_id, pe.unknown), "
            "srm AS (SELECT experiment_id, unknown, exp(-chi2 / 2) AS p FROM chi)")
     return with_adapter(srm) + "\nUNION ALL\n".join(rows)
+
+
+# ---------------------------------------------------------------- features (FE / LB4) ---------
+
+def _features_ctes(cutoff_day: int = config.PREDICTION_CUTOFF_DAY, sent_source: str = "system") -> list[str]:
+    core = [e for e in config.CORE_EVENTS if e != "signup"]
+    act = "event_source = 'user_action'"
+    flags = ", ".join(f"max(CASE WHEN {act} AND event_name = '{e}' THEN 1 ELSE 0 END) AS {e}" for e in core)
+    sent = {"num_email_sent": "email_sent", "num_push_sent": "push_sent", "num_in_app_sent": "in_app_message_sent"}
+    counted = {"ai_assistant_interaction_count": "ai_assistant_interaction",
+               "job_detail_view_count": "job_detail_view", "return_visit_count": "return_visit"}
+    aggs = [flags,
+            "count(*) FILTER (WHERE event_name = 'session_start') AS num_sessions",
+            f"count(*) FILTER (WHERE {act}) AS num_user_actions",
+            f"count(DISTINCT CASE WHEN {act} THEN CAST(event_timestamp AS DATE) END) AS num_days_active",
+            *[f"count(*) FILTER (WHERE event_source = '{sent_source}' AND event_name = '{e}') AS {k}" for k, e in sent.items()],
+            f"count(*) FILTER (WHERE {act} AND session_id IS NOT NULL) AS total_user_actions_in_sessions",
+            "count(DISTINCT event_name) AS unique_event_type_count",
+            "count(*) FILTER (WHERE event_timestamp < signup_timestamp + INTERVAL 1 DAY) AS first_day_event_count",
+            "count(*) FILTER (WHERE event_timestamp >= cutoff - INTERVAL 2 DAY) AS last_2_days_event_count",
+            f"min(CASE WHEN {act} THEN event_timestamp END) AS first_act",
+            f"max(CASE WHEN {act} THEN event_timestamp END) AS last_act",
+            "max(signup_timestamp) AS s_ts", "max(cutoff) AS c_ts",
+            *[f"count(*) FILTER (WHERE event_name = '{e}') AS {k}" for k, e in counted.items()]]
+    return [
+        f"uc AS (SELECT user_id, signup_timestamp, signup_timestamp + INTERVAL {cutoff_day} DAY AS cutoff FROM u)",
+        "pre AS (SELECT e.user_id, e.session_id, e.event_name, e.event_timestamp, e.event_source, uc.signup_timestamp, "
+        "uc.cutoff FROM e JOIN uc ON e.user_id = uc.user_id WHERE e.event_timestamp < uc.cutoff)",
+        f"pu AS (SELECT user_id, {', '.join(aggs)} FROM pre GROUP BY user_id)",
+        "ss AS (SELECT user_id, avg(n) AS avg_s, max(n) AS max_s FROM (SELECT user_id, session_id, count(*) AS n "
+        "FROM pre WHERE session_id IS NOT NULL GROUP BY user_id, session_id) GROUP BY user_id)",
+        f"va AS (SELECT user_id, variant_id FROM a WHERE experiment_id = '{EXP}')",
+        "fm AS (SELECT u.user_id, u.signup_timestamp, u.acquisition_channel, u.country, u.device_type, "
+        "u.user_intent_level, u.career_stage, coalesce(va.variant_id, 'unknown') AS onboarding_variant, "
+        "u.language, u.timezone, "
+        "CAST(hour(u.signup_timestamp) AS DOUBLE) AS signup_hour, "
+        "CAST(isodow(u.signup_timestamp) - 1 AS DOUBLE) AS signup_day_of_week, "
+        "CAST(coalesce(CAST(u.marketing_consent AS INTEGER), 0) AS DOUBLE) AS marketing_consent, "
+        "CAST(coalesce(pu.onboarding_start, 0) AS DOUBLE) AS onboarding_started, "
+        + ", ".join(f"CAST(coalesce(pu.{e}, 0) AS DOUBLE) AS {e}" for e in core if e != "onboarding_start") + ", "
+        "CAST(coalesce(" + " + ".join(f"pu.{e}" for e in core) + ", 0) AS DOUBLE) AS num_core_actions_completed, "
+        + ", ".join(f"CAST(coalesce(pu.{c}, 0) AS DOUBLE) AS {c}" for c in
+                    ["num_sessions", "num_user_actions", "num_days_active", *sent]) + ", "
+        "CAST(CASE WHEN coalesce(pu.num_sessions, 0) > 0 THEN coalesce(ss.avg_s, 0) ELSE 0 END AS DOUBLE) AS avg_events_per_session, "
+        "CAST(CASE WHEN coalesce(pu.num_sessions, 0) > 0 THEN coalesce(ss.max_s, 0) ELSE 0 END AS DOUBLE) AS max_events_in_session, "
+        + ", ".join(f"CAST(coalesce(pu.{c}, 0) AS DOUBLE) AS {c}" for c in
+                    ["total_user_actions_in_sessions", "unique_event_type_count", "first_day_event_count",
+                     "last_2_days_event_count"]) + ", "
+        "(epoch_us(pu.first_act) - epoch_us(pu.s_ts)) / 3600000000.0 AS hours_to_first_action, "
+        "(epoch_us(pu.c_ts) - epoch_us(pu.last_act)) / 3600000000.0 AS hours_since_last_action_at_cutoff, "
+        + ", ".join(f"CAST(coalesce(pu.{c}, 0) AS DOUBLE) AS {c}" for c in counted) +
+        " FROM u LEFT JOIN pu ON u.user_id = pu.user_id LEFT JOIN ss ON u.user_id = ss.user_id "
+        "LEFT JOIN va ON u.user_id = va.user_id)",
+    ]
+
+
+def features_sql(columns: list[str] | None = None) -> str:
+    cols = ", ".join(["user_id"] + [f"round({c}, {R}) AS {c}" if c in config.NUMERIC_FEATURES else c
+                                    for c in (columns or [])])
+    if columns is None:
+        cols = "user_id, signup_timestamp, " + ", ".join(
+            config.CATEGORICAL_FEATURES + [f"round({c}, {R}) AS {c}" for c in config.NUMERIC_FEATURES])
+    return with_adapter(*_features_ctes()) + f"SELECT {cols} FROM fm"
+
+
+def model_matrix_sql() -> str:
+    cols = "fm.user_id, fm.signup_timestamp, " + ", ".join(
+        [f"fm.{c}" for c in config.CATEGORICAL_FEATURES] + [f"round(fm.{c}, {R}) AS {c}" for c in config.NUMERIC_FEATURES])
+    return with_adapter(*_features_ctes()) + f"SELECT {cols}, lb.is_churned FROM fm JOIN lb ON fm.user_id = lb.user_id"

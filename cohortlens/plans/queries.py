@@ -175,3 +175,37 @@ def q_dq_report(spark, t):
 def q_dq_passed(spark, t):
     """Overall validation verdict (no failed error-severity check)."""
     return quality.report_passed(quality.validate(t.users, t.events, t.assignments, t.labels))
+
+
+# ---------------------------------------------------------------- FE / LB4 ---------------------
+from cohortlens import config  # noqa: E402
+from cohortlens.operators import features, labels  # noqa: E402
+
+_STATIC_COLS = ["acquisition_channel", "country", "device_type", "user_intent_level", "career_stage",
+                "language", "timezone", "onboarding_variant", *features.FEATURE_FAMILIES["static"]]
+
+
+def _feature_query(cols):
+    def q(spark, t):
+        return features.build_model_features(t.users, t.events, t.assignments).select("user_id", *cols)
+
+    return q
+
+
+for _fam, _cols in [("static", _STATIC_COLS), ("counts", features.FEATURE_FAMILIES["counts"]),
+                    ("sessions", features.FEATURE_FAMILIES["sessions"]), ("time", features.FEATURE_FAMILIES["time"])]:
+    _q = _feature_query(_cols)
+    _q.__doc__ = f"FE: {_fam} feature family for every user."
+    register(f"features_{_fam}", (lambda c=_cols: O.features_sql(c)))(_q)
+
+
+@register("feature_matrix", lambda: O.features_sql())
+def q_feature_matrix(spark, t):
+    """FE20: the full 37-feature matrix for every user."""
+    return features.build_model_features(t.users, t.events, t.assignments)
+
+
+@register("model_matrix", lambda: O.model_matrix_sql())
+def q_model_matrix(spark, t):
+    """LB4: feature matrix of labelled users with is_churned attached (leakage-checked)."""
+    return labels.prepare_model_matrix(t.users, t.events, t.labels, t.assignments)
