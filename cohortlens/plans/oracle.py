@@ -25,11 +25,11 @@ def _variant_case(bucket: str) -> str:
     return f"CASE {whens} ELSE '{config.ONBOARDING_VARIANTS[-1][0]}' END"
 
 
-def _md5_bucket(text: str) -> str:
+def _md5_bucket(text: str, modulus: int = 1_000_000) -> str:
     acc = "0"
     for i in range(4):
         chunk = f"('0x' || substr(md5({text}), {8 * i + 1}, 8))::BIGINT"
-        acc = f"(({acc}) * {(1 << 32) % 1_000_000} + {chunk}) % 1000000"
+        acc = f"(({acc}) * {(1 << 32) % modulus} + {chunk}) % {modulus}"
     return acc
 
 
@@ -473,3 +473,83 @@ def model_matrix_sql() -> str:
     cols = "fm.user_id, fm.signup_timestamp, " + ", ".join(
         [f"fm.{c}" for c in config.CATEGORICAL_FEATURES] + [f"round(fm.{c}, {R}) AS {c}" for c in config.NUMERIC_FEATURES])
     return with_adapter(*_features_ctes()) + f"SELECT {cols}, lb.is_churned FROM fm JOIN lb ON fm.user_id = lb.user_id"
+
+
+# ---------------------------------------------------------------- decisions (NB / IV) ---------
+
+def _state_ctes(cutoff_day: int = config.PREDICTION_CUTOFF_DAY) -> list[str]:
+    flags = ", ".join(f"bool_or(e.event_name = '{ev}') AS {f}" for f, ev in config.STATE_EVENTS.items())
+    return [
+        f"uc AS (SELECT user_id, marketing_consent, signup_timestamp + INTERVAL {cutoff_day} DAY AS cutoff FROM u)",
+        f"st0 AS (SELECT e.user_id, {flags}, bool_or(e.event_timestamp >= uc.cutoff - INTERVAL 2 DAY) AS recently_active "
+        "FROM e JOIN uc ON e.user_id = uc.user_id WHERE e.event_source = 'user_action' AND e.event_timestamp <= uc.cutoff "
+        "GROUP BY e.user_id)",
+        "st AS (SELECT uc.user_id, coalesce(uc.marketing_consent, FALSE) AS consent, "
+        + ", ".join(f"coalesce(st0.{f}, FALSE) AS {f}" for f in [*config.STATE_EVENTS, "recently_active"])
+        + " FROM uc LEFT JOIN st0 ON uc.user_id = st0.user_id)",
+    ]
+
+
+def user_state_sql() -> str:
+    return with_adapter(*_state_ctes()) + "SELECT user_id, " + ", ".join([*config.STATE_EVENTS, "recently_active"]) + " FROM st"
+
+
+def _nba_case(field: str, score: str | None = None) -> str:
+    heuristic = "(onboarding_completed AND NOT recently_active)"
+    high = heuristic if score is None else (
+        f"(CASE WHEN {score} IS NULL THEN {heuristic} WHEN isnan({score}) THEN FALSE "
+        f"ELSE {score} >= {config.HIGH_RISK_ACTION_THRESHOLD} END)")
+    done_action, done_reason = config.NBA_DONE
+    vals = {
+        "action_name": (f"'{config.NBA_REENGAGE}'", [f"'{a}'" for _, a, _ in config.NBA_STEP_RULES], f"'{done_action}'"),
+        "channel": ("CASE WHEN consent THEN 'email' ELSE 'in_app' END", ["'in_app'"] * len(config.NBA_STEP_RULES),
+                    "CASE WHEN consent THEN 'email' ELSE 'in_app' END"),
+        "reason": (f"CASE WHEN consent THEN '{config.NBA_REASON_HIGH_RISK_CONSENT}' ELSE "
+                   f"'{config.NBA_REASON_HIGH_RISK_NO_CONSENT}' END", [f"'{r}'" for _, _, r in config.NBA_STEP_RULES],
+                   f"'{done_reason}'"),
+    }[field]
+    whens = [f"WHEN {high} THEN {vals[0]}"]
+    whens += [f"WHEN NOT {flag} THEN {v}" for (flag, _, _), v in zip(config.NBA_STEP_RULES, vals[1])]
+    return "CASE " + " ".join(whens) + f" ELSE {vals[2]} END"
+
+
+def next_best_action_sql() -> str:
+    return with_adapter(*_state_ctes()) + (
+        f"SELECT user_id, {_nba_case('action_name')} AS action_name, {_nba_case('channel')} AS channel, "
+        f"{_nba_case('reason')} AS reason FROM st")
+
+
+def _iv_ctes(cutoff_day: int = config.PREDICTION_CUTOFF_DAY) -> list[str]:
+    return [
+        "fw0 AS (SELECT e.user_id, count(DISTINCT CASE WHEN d BETWEEN 0 AND {c} THEN d END) AS active_days_first_week, "
+        "bool_or(e.event_name = 'onboarding_complete') AS onboarding_done FROM (SELECT e.*, "
+        "floor((epoch_us(e.event_timestamp) - epoch_us(u.signup_timestamp)) / 86400000000.0) AS d "
+        "FROM e JOIN u ON e.user_id = u.user_id WHERE e.event_source = 'user_action') e GROUP BY e.user_id)".format(c=cutoff_day),
+        "fw AS (SELECT u.user_id, u.signup_timestamp, coalesce(u.marketing_consent, FALSE) AS consent, "
+        "CAST(coalesce(fw0.active_days_first_week, 0) AS BIGINT) AS active_days_first_week, "
+        "coalesce(fw0.onboarding_done, FALSE) AS onboarding_done FROM u LEFT JOIN fw0 ON u.user_id = fw0.user_id)",
+    ]
+
+
+def first_week_activity_sql() -> str:
+    return with_adapter(*_iv_ctes()) + "SELECT user_id, active_days_first_week, onboarding_done FROM fw"
+
+
+def intervention_plan_sql(seed: int = config.RANDOM_SEED) -> str:
+    rules = [("NOT onboarding_done", config.IV_ONBOARDING), ("active_days_first_week <= 1", config.IV_REENGAGE),
+             ("coalesce(lb.is_churned, 0) = 1", config.IV_WIN_BACK)]
+
+    def channel(action, options):
+        idx = _md5_bucket(f"CAST(fw.user_id AS VARCHAR) || ':' || '{action}' || ':' || '{seed}'", len(options))
+        arr = "[" + ", ".join(f"'{o}'" for o in options) + "]"
+        return f"CASE WHEN consent THEN {arr}[{idx} + 1] ELSE 'in_app' END"
+
+    act = "CASE " + " ".join(f"WHEN {c} THEN '{a}'" for c, (a, _, _) in rules) + " END"
+    send = "CASE " + " ".join(f"WHEN {c} THEN fw.signup_timestamp + INTERVAL {d} DAY" for c, (_, d, _) in rules) + " END"
+    chan = "CASE " + " ".join(f"WHEN {c} THEN {channel(a, o)}" for c, (a, _, o) in rules) + " END"
+    return with_adapter(*_iv_ctes()) + (
+        f"SELECT md5('intervention-{seed}-' || CAST(user_id AS VARCHAR) || '-' || action_name) AS message_id, user_id, "
+        "action_name, channel, send_time, CAST(NULL AS TIMESTAMP) AS open_time, CAST(NULL AS TIMESTAMP) AS click_time, "
+        "CAST(NULL AS TIMESTAMP) AS conversion_time, CAST(NULL AS VARCHAR) AS experiment_id FROM ("
+        f"SELECT fw.user_id, {act} AS action_name, {chan} AS channel, {send} AS send_time "
+        "FROM fw LEFT JOIN lb ON fw.user_id = lb.user_id) WHERE action_name IS NOT NULL")

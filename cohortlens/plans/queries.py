@@ -209,3 +209,31 @@ def q_feature_matrix(spark, t):
 def q_model_matrix(spark, t):
     """LB4: feature matrix of labelled users with is_churned attached (leakage-checked)."""
     return labels.prepare_model_matrix(t.users, t.events, t.labels, t.assignments)
+
+
+# ---------------------------------------------------------------- NB / IV ----------------------
+from cohortlens.operators import decisions, interventions  # noqa: E402
+
+
+@register("user_state", lambda: O.user_state_sql())
+def q_user_state(spark, t):
+    """NB1: lifecycle flags at signup + 7d for every user."""
+    return decisions.compute_user_state(t.users, t.events)
+
+
+@register("next_best_action", lambda: O.next_best_action_sql())
+def q_next_best_action(spark, t):
+    """NB2: rule-based next best action for every user (activity heuristic, no model score)."""
+    return decisions.recommend_next_action(t.users, t.events)
+
+
+@register("first_week_activity", lambda: O.first_week_activity_sql())
+def q_first_week_activity(spark, t):
+    """IV2: distinct active day indices 0..7 and onboarding completion per user."""
+    return interventions.first_week_activity(t.users, t.events)
+
+
+@register("intervention_plan", lambda: O.intervention_plan_sql())
+def q_intervention_plan(spark, t):
+    """IV1: targeted intervention per user (action, send time, channel)."""
+    return interventions.plan_interventions(t.users, t.events, t.labels)
