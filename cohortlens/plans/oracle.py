@@ -553,3 +553,154 @@ def intervention_plan_sql(seed: int = config.RANDOM_SEED) -> str:
         "CAST(NULL AS TIMESTAMP) AS conversion_time, CAST(NULL AS VARCHAR) AS experiment_id FROM ("
         f"SELECT fw.user_id, {act} AS action_name, {chan} AS channel, {send} AS send_time "
         "FROM fw LEFT JOIN lb ON fw.user_id = lb.user_id) WHERE action_name IS NOT NULL")
+
+
+# ---------------------------------------------------------------- split / evaluation ----------
+
+def _linspace(n: int) -> list[float]:
+    from cohortlens.operators.evaluate import linspace
+
+    return linspace(n)
+
+
+def _split_cte(train_frac: float = 0.6, val_frac: float = 0.2) -> str:
+    return ("sp AS (SELECT user_id, signup_timestamp, CASE "
+            f"WHEN r <= floor(n * CAST({train_frac!r} AS DOUBLE)) THEN 'train' "
+            f"WHEN r <= floor(n * CAST({train_frac!r} AS DOUBLE)) + floor(n * CAST({val_frac!r} AS DOUBLE)) THEN 'validation' "
+            "ELSE 'test' END AS split FROM (SELECT user_id, signup_timestamp, "
+            "row_number() OVER (ORDER BY signup_timestamp, user_id) AS r, count(*) OVER () AS n FROM u))")
+
+
+def split_sql() -> str:
+    return with_adapter(_split_cte()) + "SELECT user_id, signup_timestamp, split FROM sp"
+
+
+def split_report_sql() -> str:
+    return with_adapter(_split_cte(), *_features_ctes()) + (
+        "SELECT sp.split, min(fm.signup_timestamp) AS signup_min, max(fm.signup_timestamp) AS signup_max, "
+        f"count(*) AS rows, round(avg(CAST(lb.is_churned AS DOUBLE)), {R}) AS churn_rate "
+        "FROM fm JOIN lb ON fm.user_id = lb.user_id JOIN sp ON fm.user_id = sp.user_id GROUP BY sp.split")
+
+
+def _scored_ctes() -> list[str]:
+    return [*_features_ctes(),
+            "sc AS (SELECT fm.user_id, lb.is_churned AS label, "
+            "round(coalesce(fm.hours_since_last_action_at_cutoff / 168, 1.0), 6) AS prob, "
+            "fm.acquisition_channel, fm.career_stage, fm.device_type FROM fm JOIN lb ON fm.user_id = lb.user_id)",
+            "tot AS (SELECT CAST(sum(label) AS BIGINT) AS P, CAST(sum(1 - label) AS BIGINT) AS N FROM sc)",
+            "ps AS (SELECT prob, CAST(sum(label) AS BIGINT) AS tp, CAST(sum(1 - label) AS BIGINT) AS fp FROM sc GROUP BY prob)",
+            "cu AS (SELECT ps.*, sum(tp) OVER (ORDER BY prob DESC) AS cum_tp, sum(fp) OVER (ORDER BY prob DESC) AS cum_fp, "
+            "tot.P, tot.N FROM ps, tot)"]
+
+
+def scored_sql() -> str:
+    return with_adapter(*_scored_ctes()) + "SELECT user_id, label, prob FROM sc"
+
+
+def _cm(t: float) -> str:
+    return (f"cm AS (SELECT count(*) FILTER (WHERE prob < {t!r} AND label = 0) AS tn, "
+            f"count(*) FILTER (WHERE prob >= {t!r} AND label = 0) AS fp, "
+            f"count(*) FILTER (WHERE prob < {t!r} AND label = 1) AS fn, "
+            f"count(*) FILTER (WHERE prob >= {t!r} AND label = 1) AS tp FROM sc)")
+
+
+def _div(a: str, b: str) -> str:
+    return f"(CASE WHEN ({b}) = 0 THEN 0.0 ELSE ({a}) / ({b}) END)"
+
+
+def confusion_sql(t: float = 0.5) -> str:
+    return with_adapter(*_scored_ctes(), _cm(t)) + (
+        "SELECT tn AS true_negative, fp AS false_positive, fn AS false_negative, tp AS true_positive FROM cm")
+
+
+def _metric_parts(t: float) -> str:
+    eps = 2.220446049250313e-16
+    p = f"least(greatest(prob, {eps!r}), {1.0 - eps!r})"
+    return (
+        "SELECT (SELECT CASE WHEN max(P) > 0 THEN sum(CAST(tp AS DOUBLE) / P * (CAST(cum_tp AS DOUBLE) / (cum_tp + cum_fp))) END FROM cu) AS pr_auc, "
+        "(SELECT CASE WHEN max(P) > 0 AND max(N) > 0 THEN sum(fp * (cum_tp - tp / 2.0)) / (max(P) * max(N)) END FROM cu) AS roc_auc, "
+        f"(SELECT -avg(CASE WHEN label = 1 THEN ln({p}) ELSE ln(1.0 - {p}) END) FROM sc) AS log_loss, "
+        "(SELECT avg((prob - label) ^ 2) FROM sc) AS brier_score, "
+        f"CAST({t!r} AS DOUBLE) AS threshold, "
+        f"(SELECT {_div('tp', 'tp + fp')} FROM cm) AS precision, (SELECT {_div('tp', 'tp + fn')} FROM cm) AS recall, "
+        f"(SELECT {_div('2.0 * tp', '(tp + fn) + (tp + fp)')} FROM cm) AS f1_score, "
+        f"(SELECT {_div('tp + tn', 'tp + tn + fp + fn')} FROM cm) AS accuracy")
+
+
+def metrics_sql(columns: list[str], t: float = 0.5) -> str:
+    cols = ", ".join(f"round({c}, {R}) AS {c}" for c in columns)
+    return with_adapter(*_scored_ctes(), _cm(t)) + f"SELECT {cols} FROM ({_metric_parts(t)})"
+
+
+def sweep_ctes(n: int = 101) -> list[str]:
+    return [f"gr AS (SELECT CAST(i AS INTEGER) AS k, CASE WHEN i >= {n - 1} THEN 1.0 ELSE CAST(i AS DOUBLE) * "
+            f"CAST({1.0 / (n - 1)!r} AS DOUBLE) END AS t FROM range({n}) r(i))",
+            "sw AS (SELECT gr.k, gr.t, count(*) FILTER (WHERE sc.prob >= gr.t AND sc.label = 1) AS tp, "
+            "count(*) FILTER (WHERE sc.prob >= gr.t AND sc.label = 0) AS fp FROM gr CROSS JOIN sc GROUP BY gr.k, gr.t)",
+            "sw2 AS (SELECT sw.*, tot.P - tp AS fn, tot.N - fp AS tn, "
+            f"{_div('CAST(tp AS DOUBLE)', 'tp + fp')} AS precision, {_div('CAST(tp AS DOUBLE)', 'tot.P')} AS recall, "
+            f"{_div('2.0 * tp', 'tot.P + tp + fp')} AS f1, {_div('5.0 * tp', '4 * tot.P + tp + fp')} AS f2 FROM sw, tot)"]
+
+
+def sweep_sql(n: int = 101) -> str:
+    return with_adapter(*_scored_ctes(), *sweep_ctes(n)) + (
+        f"SELECT k AS threshold_index, round(t, {R}) AS threshold, tp, fp, fn, tn, round(precision, {R}) AS precision, "
+        f"round(recall, {R}) AS recall, round(f1, {R}) AS f1, round(f2, {R}) AS f2 FROM sw2")
+
+
+def select_threshold_sql(criterion: str = "f1", n: int = 101) -> str:
+    return with_adapter(*_scored_ctes(), *sweep_ctes(n)) + (
+        f"SELECT '{criterion}' AS criterion, round(t, {R}) AS threshold, round({criterion}, {R}) AS score "
+        f"FROM sw2 ORDER BY {criterion} DESC, t ASC LIMIT 1")
+
+
+def youden_sql() -> str:
+    return with_adapter(*_scored_ctes()) + (
+        "SELECT 'youden' AS criterion, CASE WHEN j > 0 THEN round(prob, 6) ELSE 'inf'::DOUBLE END AS threshold, "
+        f"round(j, {R}) AS score FROM (SELECT prob, CAST(cum_tp AS DOUBLE) / P - CAST(cum_fp AS DOUBLE) / N AS j FROM cu "
+        "ORDER BY j DESC, prob DESC LIMIT 1)")
+
+
+def calibration_sql(n_bins: int = 10, min_count: int = 5) -> str:
+    qs = "[" + ", ".join(repr(q) for q in _linspace(n_bins + 1)) + "]"
+    return with_adapter(*_scored_ctes(), f"ed AS (SELECT list_sort(list_distinct(quantile_cont(prob, {qs}))) AS edges FROM sc)") + (
+        f"SELECT bin, round(avg(prob), {R}) AS mean_predicted, round(avg(CAST(label AS DOUBLE)), {R}) AS mean_observed, "
+        "count(*) AS count FROM (SELECT sc.prob, sc.label, greatest(1, len(list_filter(ed.edges, lambda e: e < sc.prob))) "
+        f"AS bin FROM sc, ed) GROUP BY bin HAVING count(*) >= {min_count}")
+
+
+def pr_curve_sql() -> str:
+    return with_adapter(*_scored_ctes()) + (
+        f"SELECT round(prob, {R}) AS threshold, round({_div('CAST(cum_tp AS DOUBLE)', 'cum_tp + cum_fp')}, {R}) AS precision, "
+        f"round({_div('CAST(cum_tp AS DOUBLE)', 'P')}, {R}) AS recall FROM cu")
+
+
+def roc_curve_sql() -> str:
+    return with_adapter(*_scored_ctes()) + (
+        f"SELECT round(prob, {R}) AS threshold, round({_div('CAST(cum_fp AS DOUBLE)', 'N')}, {R}) AS fpr, "
+        f"round({_div('CAST(cum_tp AS DOUBLE)', 'P')}, {R}) AS tpr FROM cu")
+
+
+def histogram_sql(bins: int = 30) -> str:
+    return with_adapter(*_scored_ctes(),
+                        "rg AS (SELECT CAST(label AS BIGINT) AS label, CASE WHEN min(prob) = max(prob) THEN min(prob) - 0.5 "
+                        "ELSE min(prob) END AS lo, CASE WHEN min(prob) = max(prob) THEN max(prob) + 0.5 ELSE max(prob) END "
+                        "AS hi FROM sc GROUP BY label)") + (
+        f"SELECT label, bin, count(*) AS count, round(any_value(lo) + (bin - 1) * (any_value(hi) - any_value(lo)) / {bins}, {R}) "
+        f"AS bin_start, round(any_value(lo) + bin * (any_value(hi) - any_value(lo)) / {bins}, {R}) AS bin_end FROM "
+        f"(SELECT rg.label, rg.lo, rg.hi, least({bins}, CAST(floor((sc.prob - rg.lo) / (rg.hi - rg.lo) * {bins}) AS INTEGER) + 1) "
+        "AS bin FROM sc JOIN rg ON sc.label = rg.label) GROUP BY label, bin")
+
+
+def subgroup_sql(t: float = 0.5, groups=("acquisition_channel", "career_stage", "device_type")) -> str:
+    unions = " UNION ALL ".join(f"SELECT '{g}' AS group_column, CAST({g} AS VARCHAR) AS group_value, label, prob FROM sc"
+                                for g in groups)
+    return with_adapter(*_scored_ctes()) + (
+        "SELECT group_column, group_value, count(*) AS sample_size, "
+        f"round(count(*) FILTER (WHERE label = 1) / count(*), {R}) AS churn_rate, "
+        f"round({_div(f'count(*) FILTER (WHERE label = 1 AND prob >= {t!r})', f'count(*) FILTER (WHERE prob >= {t!r})')}, {R}) AS precision, "
+        f"round({_div(f'count(*) FILTER (WHERE label = 1 AND prob >= {t!r})', 'count(*) FILTER (WHERE label = 1)')}, {R}) AS recall, "
+        f"round({_div(f'2.0 * count(*) FILTER (WHERE label = 1 AND prob >= {t!r})', f'count(*) FILTER (WHERE label = 1) + count(*) FILTER (WHERE prob >= {t!r})')}, {R}) AS f1_score, "
+        f"round(count(*) FILTER (WHERE prob >= {t!r}) / count(*), {R}) AS predicted_positive_rate, "
+        f"count(*) < {config.SMALL_SAMPLE_THRESHOLD} AS small_sample "
+        f"FROM ({unions}) WHERE group_value IS NOT NULL GROUP BY group_column, group_value")

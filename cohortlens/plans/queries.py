@@ -237,3 +237,127 @@ def q_first_week_activity(spark, t):
 def q_intervention_plan(spark, t):
     """IV1: targeted intervention per user (action, send time, channel)."""
     return interventions.plan_interventions(t.users, t.events, t.labels)
+
+
+# ---------------------------------------------------------------- SP / EV ----------------------
+from cohortlens.operators import evaluate, split, subgroup  # noqa: E402
+
+
+def recency_scored(t, with_groups: bool = False):
+    """Engine-portable churn score for the evaluation operators: hours since the last action at
+    the cutoff / 168 (1.0 without actions), rounded to 6 places; label = is_churned."""
+    m = labels.prepare_model_matrix(t.users, t.events, t.labels, t.assignments)
+    prob = F.round(F.coalesce(F.col("hours_since_last_action_at_cutoff") / 168.0, F.lit(1.0)), 6)
+    groups = list(subgroup.DEFAULT_GROUPS) if with_groups else []
+    return m.select("user_id", F.col("is_churned").alias("label"), prob.alias("prob"), *groups)
+
+
+@register("chronological_split", lambda: O.split_sql())
+def q_split(spark, t):
+    """SP1/SP2: 60/20/20 chronological split of users by (signup, user_id)."""
+    return split.chronological_split(t.users.select("user_id", "signup_timestamp"))
+
+
+@register("split_report", lambda: O.split_report_sql())
+def q_split_report(spark, t):
+    """SP3/SP4: labelled matrix rows per split with signup range and churn rate."""
+    users_split, _ = split.split_users_and_labels(t.users, t.labels)
+    m = labels.prepare_model_matrix(t.users, t.events, t.labels, t.assignments)
+    return split.split_report(m.join(users_split.select("user_id", "split"), "user_id"))
+
+
+@register("recency_scores", lambda: O.scored_sql())
+def q_scores(spark, t):
+    """Deterministic recency score per labelled user (input of the EV queries)."""
+    return recency_scored(t)
+
+
+@register("metrics_at_threshold", lambda: O.metrics_sql(["threshold", "precision", "recall", "f1_score", "accuracy"]))
+def q_metrics_at_threshold(spark, t):
+    """EV5: precision / recall / F1 / accuracy at 0.5."""
+    return evaluate.threshold_metrics(recency_scored(t), 0.5)
+
+
+@register("pr_auc", lambda: O.metrics_sql(["pr_auc"]))
+def q_pr_auc(spark, t):
+    """EV1: average precision."""
+    return evaluate.average_precision(recency_scored(t))
+
+
+@register("roc_auc", lambda: O.metrics_sql(["roc_auc"]))
+def q_roc_auc(spark, t):
+    """EV2: ROC AUC."""
+    return evaluate.roc_auc(recency_scored(t))
+
+
+@register("logloss_brier", lambda: O.metrics_sql(["log_loss", "brier_score"]))
+def q_logloss_brier(spark, t):
+    """EV3/EV4: log loss and Brier score."""
+    return evaluate.probability_scores(recency_scored(t))
+
+
+@register("metrics_bundle", lambda: O.metrics_sql(["pr_auc", "roc_auc", "log_loss", "brier_score", "threshold",
+                                                   "precision", "recall", "f1_score", "accuracy"]))
+def q_metrics_bundle(spark, t):
+    """EV6: the nine-metric bundle at 0.5."""
+    return evaluate.compute_metrics(recency_scored(t), 0.5)
+
+
+@register("threshold_sweep", lambda: O.sweep_sql())
+def q_threshold_sweep(spark, t):
+    """EV7 input: confusion counts and scores at the 101 grid thresholds."""
+    return evaluate.threshold_sweep(recency_scored(t))
+
+
+@register("select_threshold", lambda: O.select_threshold_sql("f1"))
+def q_select_threshold(spark, t):
+    """EV7: F1-maximising grid threshold (lowest wins ties)."""
+    return evaluate.select_threshold(recency_scored(t), "f1")
+
+
+@register("select_threshold_f2", lambda: O.select_threshold_sql("f2"))
+def q_select_threshold_f2(spark, t):
+    """EV7: F2-maximising grid threshold."""
+    return evaluate.select_threshold(recency_scored(t), "f2")
+
+
+@register("youden_threshold", lambda: O.youden_sql())
+def q_youden(spark, t):
+    """EV8: Youden-J threshold over distinct scores."""
+    return evaluate.youden_threshold(recency_scored(t))
+
+
+@register("confusion_matrix", lambda: O.confusion_sql(0.5))
+def q_confusion(spark, t):
+    """EV9: confusion counts at 0.5."""
+    return evaluate.confusion_counts(recency_scored(t), 0.5)
+
+
+@register("calibration", lambda: O.calibration_sql())
+def q_calibration(spark, t):
+    """EV10: decile (quantile-edge) calibration table."""
+    return evaluate.calibration(recency_scored(t))
+
+
+@register("pr_curve", lambda: O.pr_curve_sql())
+def q_pr_curve(spark, t):
+    """EV11: precision-recall points per distinct score."""
+    return evaluate.pr_curve(recency_scored(t))
+
+
+@register("roc_curve", lambda: O.roc_curve_sql())
+def q_roc_curve(spark, t):
+    """EV11: ROC points per distinct score."""
+    return evaluate.roc_curve(recency_scored(t))
+
+
+@register("risk_histogram", lambda: O.histogram_sql())
+def q_risk_histogram(spark, t):
+    """EV12: 30-bin score histogram per class."""
+    return evaluate.risk_histogram(recency_scored(t))
+
+
+@register("subgroup_metrics", lambda: O.subgroup_sql(0.5))
+def q_subgroup(spark, t):
+    """EV13: metrics per channel / stage / device value at 0.5."""
+    return subgroup.evaluate_subgroups(recency_scored(t, True).withColumnRenamed("label", "is_churned"), 0.5)
