@@ -47,6 +47,23 @@ def cumulative(scored: DataFrame, label: str = "label", prob: str = "prob") -> D
     return _one_row_join(cum, class_totals(scored, label))
 
 
+def average_precision_by(scored: DataFrame, by: list[str], label: str = "label", prob: str = "prob") -> DataFrame:
+    """EV1 per group (e.g. permutation repeats): one global cumulative pass ordered by
+    (group, score desc); each group's running sums restart via per-group offsets."""
+    per_score = scored.groupBy(*by, F.col(prob).alias("prob")).agg(
+        F.sum(_label(label)).alias("tp"), F.sum(1 - _label(label)).alias("fp"))
+    order = [F.col(c).asc_nulls_first() for c in by] + [F.col("prob").desc()]
+    cum = running_totals(per_score, order, {"_ctp": F.col("tp"), "_cfp": F.col("fp")})
+    groups = per_score.groupBy(*by).agg(F.sum("tp").alias("P"), F.sum("fp").alias("N"))
+    gw = Window.orderBy(*[F.col(c).asc_nulls_first() for c in by]).rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select(*by, "P", F.coalesce(F.sum("P").over(gw), F.lit(0)).alias("_otp"),
+                           F.coalesce(F.sum("N").over(gw), F.lit(0)).alias("_ofp"))  # one row per group
+    j = cum.join(groups, by)
+    ctp, cfp = F.col("_ctp") - F.col("_otp"), F.col("_cfp") - F.col("_ofp")
+    term = (F.col("tp") / F.col("P")) * (ctp / (ctp + cfp))
+    return j.groupBy(*by).agg(F.when(F.max("P") > 0, F.sum(term)).alias("pr_auc"))
+
+
 def average_precision(scored: DataFrame, label: str = "label", prob: str = "prob") -> DataFrame:
     """EV1: sum over distinct thresholds of (R_n - R_n-1) * P_n."""
     c = cumulative(scored, label, prob)

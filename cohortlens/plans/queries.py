@@ -361,3 +361,105 @@ def q_risk_histogram(spark, t):
 def q_subgroup(spark, t):
     """EV13: metrics per channel / stage / device value at 0.5."""
     return subgroup.evaluate_subgroups(recency_scored(t, True).withColumnRenamed("label", "is_churned"), 0.5)
+
+
+# ---------------------------------------------------------------- ML / XP / NB3-4 (rows-only) --
+from cohortlens.models import explain as XP  # noqa: E402
+from cohortlens.models import train as ML  # noqa: E402
+from cohortlens.plans import training  # noqa: E402
+
+
+def _ml_query(key):
+    """Wrap an ML query so the shared memoised training is keyed by the data directory."""
+    def deco(fn):
+        def run(spark, sf_dir):
+            from cohortlens.sources import testdata
+
+            t = testdata.load(spark, sf_dir)
+            data, result = training.trained(t, key=sf_dir)
+            from cohortlens.plans.catalog import rounded
+
+            return rounded(fn(spark, t, data, result))
+
+        run.__doc__ = fn.__doc__
+        from cohortlens.plans.catalog import QUERIES
+
+        QUERIES[key] = run
+        return fn
+
+    return deco
+
+
+@_ml_query("model_selection")
+def q_model_selection(spark, t, data, result):
+    """ML6: candidate validation metrics and the selected model's validation / test metrics."""
+    return training.model_selection_report(result, spark)
+
+
+@_ml_query("lr_scores")
+def q_lr_scores(spark, t, data, result):
+    """ML4/ML8: logistic-regression churn probability for every test user."""
+    return ML.score(result.models[ML.LR], data.test, ["user_id", config.TARGET_COLUMN])
+
+
+@_ml_query("gbt_scores")
+def q_gbt_scores(spark, t, data, result):
+    """ML5/ML8: boosted-trees churn probability for every test user."""
+    return ML.score(result.models[ML.GBT], data.test, ["user_id", config.TARGET_COLUMN])
+
+
+@_ml_query("lr_coefficients")
+def q_lr_coefficients(spark, t, data, result):
+    """XP1/XP2: logistic coefficients by one-hot / numeric slot, largest magnitude first."""
+    return XP.extract_logistic_coefficients(result.models[ML.LR], result.specs[ML.LR])
+
+
+@_ml_query("permutation_importance")
+def q_permutation_importance(spark, t, data, result):
+    """XP3: permutation importance of the 37 input features on the validation split (10 repeats)."""
+    return XP.permutation_importance(result.model, data.val, result.feature_columns, n_repeats=10)
+
+
+@_ml_query("user_explanations")
+def q_user_explanations(spark, t, data, result):
+    """XP4: top +/- linear contributions for every test user."""
+    return XP.explain_linear(result.models[ML.LR], result.specs[ML.LR], data.test)
+
+
+@_ml_query("tree_explanations")
+def q_tree_explanations(spark, t, data, result):
+    """XP5: zero-out marginal contributions of the boosted model for every test user."""
+    return XP.explain_tree(result.models[ML.GBT], result.specs[ML.GBT], data.test)
+
+
+@_ml_query("global_explanation")
+def q_global_explanation(spark, t, data, result):
+    """XP6: top-15 coefficients and top-15 permutation importances of the selected model."""
+    imp = XP.permutation_importance(result.model, data.val, result.feature_columns, n_repeats=10)
+    return XP.global_explanation(result.model, result.spec, imp)
+
+
+@_ml_query("user_report")
+def q_user_report(spark, t, data, result):
+    """XP7: explanations of a deterministic 3-user test sample with the actual label."""
+    sample = reports.sample_users(data.test, 3)
+    expl = XP.explain_users(result.model, result.spec, sample)
+    return expl.join(sample.select("user_id", F.col(config.TARGET_COLUMN).alias("actual_label")), "user_id")
+
+
+@_ml_query("nba_scored")
+def q_nba_scored(spark, t, data, result):
+    """NB3: model score, predicted class and score-driven next best action for every user."""
+    return training.score_users(result, t)
+
+
+@_ml_query("nba_examples")
+def q_nba_examples(spark, t, data, result):
+    """NB4: five high-risk and five low-risk test users with their recommended action."""
+    return training.nba_examples(result, t, data.test)
+
+
+@_ml_query("model_roundtrip")
+def q_model_roundtrip(spark, t, data, result):
+    """IO6: save / load the selected pipeline; predictions must not change (mismatches = 0)."""
+    return training.model_roundtrip(result, data)
