@@ -32,16 +32,18 @@ def create_experiment_assignments(users: DataFrame, experiment_id: str = config.
     for name, share in variants:
         alloc = F.when(F.col("variant_id") == name, F.lit(float(share))) if alloc is None else \
             alloc.when(F.col("variant_id") == name, F.lit(float(share)))
-    return (users.select(
+    with_variant = users.select("user_id", "signup_timestamp", variant.alias("variant_id"))
+    return with_variant.select(
         F.lit(experiment_id).alias("experiment_id"),
         F.col("user_id"),
-        variant.alias("variant_id"),
+        F.col("variant_id"),
         F.col("signup_timestamp").alias("assignment_time"),
         F.lit(experiment_name).alias("experiment_name"),
         F.lit(experiment_type).alias("experiment_type"),
-    ).withColumn("traffic_allocation", alloc)
-        .withColumn("is_exposed", F.lit(True))
-        .withColumn("is_converted", F.lit(False)))
+        alloc.alias("traffic_allocation"),
+        F.lit(True).alias("is_exposed"),
+        F.lit(False).alias("is_converted"),
+    )
 
 
 def mark_converted(assignments: DataFrame, events: DataFrame, event_name: str = "onboarding_complete",

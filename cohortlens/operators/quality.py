@@ -215,8 +215,11 @@ def _intervention_constraints(interventions: DataFrame) -> DataFrame:
 
 def validate(users: DataFrame, events: DataFrame, assignments: DataFrame, labels: DataFrame | None = None,
              interventions: DataFrame | None = None, data_freeze: datetime = config.DATA_FREEZE,
-             session_order_cols: list[str] | None = None) -> DataFrame:
-    """DQ1-DQ23: the whole report; ``passed`` overall = :func:`report_passed`."""
+             session_order_cols: list[str] | None = None, ordered_events: DataFrame | None = None) -> DataFrame:
+    """DQ1-DQ23: the whole report; ``passed`` overall = :func:`report_passed`.
+
+    The session-order check (DQ16) runs when ``session_order_cols`` names the ingest-order
+    columns, read from ``ordered_events`` (default: ``events``)."""
     parts = [
         _missing_columns(users, REQUIRED_USER_COLUMNS, "users_columns"),
         _missing_columns(events, REQUIRED_EVENT_COLUMNS, "events_columns"),
@@ -236,7 +239,7 @@ def validate(users: DataFrame, events: DataFrame, assignments: DataFrame, labels
     if labels is not None:
         parts.append(_label_checks(users, labels))
     if session_order_cols:
-        so = session_order_violations(events, session_order_cols)
+        so = session_order_violations(ordered_events if ordered_events is not None else events, session_order_cols)
         parts.append(so.select(_row("session_timestamp_order", WARNING, F.col("sessions"),
                                     "sessions with out-of-order timestamps").alias("r")))
     out = parts[0]

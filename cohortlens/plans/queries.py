@@ -168,7 +168,7 @@ from cohortlens.operators import quality  # noqa: E402
 def q_dq_report(spark, t):
     """DQ1-DQ23: full validation report (one row per check)."""
     return quality.validate(t.users, t.events, t.assignments, t.labels,
-                            session_order_cols=["ingest_file", "ingest_seq"])
+                            session_order_cols=["ingest_file", "ingest_seq"], ordered_events=t.events_in_ingest_order)
 
 
 @register("dq_passed")

@@ -19,8 +19,8 @@ FIXED VALUES (adapter contract shared with the SQL oracle):
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,12 +32,37 @@ ADAPTER_OBSERVED_UNTIL = datetime(2024, 1, 30, 23, 59, 59, 999999)
 ADAPTER_EVENT_SOURCE = {"error": "system", "click": "campaign"}  # everything else: user_action
 
 
-@dataclass
 class LifecycleTables:
-    users: DataFrame
-    events: DataFrame
-    assignments: DataFrame
-    labels: DataFrame
+    """The lifecycle tables over one data directory; every frame is built on first use only
+    (building a plan costs driver time even before anything runs)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return adapt_events(read_driver(self.spark, self.sf_dir, "events"))
+
+    @cached_property
+    def events_in_ingest_order(self) -> DataFrame:
+        return adapt_events(read_driver(self.spark, self.sf_dir, "events"), ingest_order=True)
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return adapt_users(self.events, read_driver(self.spark, self.sf_dir, "customer"),
+                           read_driver(self.spark, self.sf_dir, "nation"))
+
+    @cached_property
+    def assignments(self) -> DataFrame:
+        from cohortlens.operators.assignment import create_experiment_assignments, mark_converted
+
+        return mark_converted(create_experiment_assignments(self.users), self.events)
+
+    @cached_property
+    def labels(self) -> DataFrame:
+        from cohortlens.operators.labels import build_labels
+
+        return build_labels(self.users, self.events, data_freeze=ADAPTER_OBSERVED_UNTIL)
 
 
 def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,8 +74,12 @@ def entity_id(user_id, props) -> F.Column:
     return user_id * F.lit(10) + F.pmod(k, F.lit(10))
 
 
-def adapt_events(raw: DataFrame) -> DataFrame:
+def adapt_events(raw: DataFrame, ingest_order: bool = False) -> DataFrame:
+    """Canonical events; ``ingest_order`` adds (ingest_file, ingest_seq) from the file metadata
+    for the in-session ordering check only (other plans never read the row index)."""
     uid = entity_id(F.col("user_id"), F.col("props"))
+    extra = [F.col("_metadata.file_path").alias("ingest_file"),
+             F.col("_metadata.row_index").alias("ingest_seq")] if ingest_order else []
     source = F.when(F.col("event_type") == "error", "system").when(F.col("event_type") == "click", "campaign") \
         .otherwise("user_action")
     return raw.select(
@@ -66,9 +95,7 @@ def adapt_events(raw: DataFrame) -> DataFrame:
         source.alias("event_source"),
         F.lit(None).cast("string").alias("experiment_id"),
         F.lit(None).cast("string").alias("variant_id"),
-        # ingest order (file, row) for the in-session ordering check
-        F.col("_metadata.file_path").alias("ingest_file"),
-        F.col("_metadata.row_index").alias("ingest_seq"),
+        *extra,
     )
 
 
@@ -100,11 +127,4 @@ def adapt_users(events: DataFrame, customer: DataFrame, nation: DataFrame) -> Da
 
 def load(spark: SparkSession, sf_dir: str) -> LifecycleTables:
     """Lazy lifecycle tables over ``sf_dir``."""
-    from cohortlens.operators.assignment import create_experiment_assignments, mark_converted
-    from cohortlens.operators.labels import build_labels
-
-    events = adapt_events(read_driver(spark, sf_dir, "events"))
-    users = adapt_users(events, read_driver(spark, sf_dir, "customer"), read_driver(spark, sf_dir, "nation"))
-    assignments = mark_converted(create_experiment_assignments(users), events)
-    labels = build_labels(users, events, data_freeze=ADAPTER_OBSERVED_UNTIL)
-    return LifecycleTables(users=users, events=events, assignments=assignments, labels=labels)
+    return LifecycleTables(spark, sf_dir)
