@@ -62,17 +62,20 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
     x[floor(h)+1] with h = (n-1) q. Nulls are ignored. Returns (by..., q, quantile).
     """
     out_by = list(by or [])
+    by = out_by
     v = F.col(value).cast("double")
-    src = df if out_by else df.withColumn("_g", F.lit(0))
-    by = out_by or ["_g"]
-    distinct = src.where(v.isNotNull()).groupBy(*by, v.alias("_x")).agg(F.count(F.lit(1)).alias("_cnt"))
+    distinct = df.where(v.isNotNull()).groupBy(*by, v.alias("_x")).agg(F.count(F.lit(1)).alias("_cnt"))
     key = [F.col(c) for c in by] + [F.col("_x")]
     cum = running_totals(distinct, [k.asc_nulls_first() for k in key], {"_cum": F.col("_cnt")}, num_partitions)
-    # one row per group: offsets of earlier groups in the global order
-    group_tot = distinct.groupBy(*by).agg(F.sum("_cnt").alias("_n"))
-    gw = Window.orderBy(*[F.col(c).asc_nulls_first() for c in by]).rowsBetween(Window.unboundedPreceding, -1)
-    group_tot = group_tot.withColumn("_goff", F.coalesce(F.sum("_n").over(gw), F.lit(0)))
-    cum = cum.join(group_tot, by)
+    if by:
+        # one row per group: offsets of earlier groups in the global order
+        group_tot = distinct.groupBy(*by).agg(F.sum("_cnt").alias("_n"))
+        gw = Window.orderBy(*[F.col(c).asc_nulls_first() for c in by]).rowsBetween(Window.unboundedPreceding, -1)
+        group_tot = group_tot.withColumn("_goff", F.coalesce(F.sum("_n").over(gw), F.lit(0)))
+        cum = cum.join(group_tot, by)
+    else:
+        total = distinct.agg(F.sum("_cnt").alias("_n")).select("_n").scalar()
+        cum = cum.select("*", total.alias("_n"), F.lit(0).cast("bigint").alias("_goff"))
     local = F.col("_cum") - F.col("_goff")  # inclusive count of values <= _x inside the group
     qs = F.explode(F.array(*[F.lit(float(q)) for q in probs])).alias("q")
     expanded = cum.select(*by, "_x", "_n", local.alias("_c"), qs)

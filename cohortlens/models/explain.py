@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from cohortlens import config
 from cohortlens.functions.ordered import global_rank
+from cohortlens.functions.scalars import with_scalars
 from cohortlens.models.preprocess import PreprocessSpec, drop_slots
 from cohortlens.operators import evaluate
 
@@ -148,9 +149,7 @@ def permutation_importance(model: PipelineModel, val: DataFrame, features: list[
     base_scored = drop_slots(model.transform(base.withColumn("label", F.col(label).cast("double")).withColumn("_w", F.lit(1.0))))
     base_ap = evaluate.average_precision(base_scored.select(F.col(label).alias("label"),
                                                             vector_to_array("probability")[1].alias("prob")))
-    # the baseline is a single row: constant-key join onto the (features x repeats) rows
-    drops = ap.withColumn("_k", F.lit(1)).join(
-        F.broadcast(base_ap.withColumnRenamed("pr_auc", "_base").withColumn("_k", F.lit(1))), "_k")
+    drops = with_scalars(ap, base_ap.withColumnRenamed("pr_auc", "_base"))
     name_arr = F.array(*[F.lit(c) for c in features])
     out = drops.groupBy("f").agg(F.avg(F.col("_base") - F.col("pr_auc")).alias("importance_mean"),
                                  F.stddev_pop(F.col("_base") - F.col("pr_auc")).alias("importance_std"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.ordered import exact_quantiles, running_totals
+from cohortlens.functions.scalars import scalar_row, with_scalars
 from cohortlens.functions.stats import safe_div
 
 EPS = 2.220446049250313e-16  # float64 machine epsilon used to clip probabilities
@@ -26,8 +27,8 @@ def linspace(n: int) -> list[float]:
 
 
 def _one_row_join(df: DataFrame, scalars: DataFrame) -> DataFrame:
-    """Attach a one-row frame of scalars to every row (constant-key equi-join on a broadcast side)."""
-    return df.withColumn("_k1", F.lit(1)).join(F.broadcast(scalars.withColumn("_k1", F.lit(1))), "_k1").drop("_k1")
+    """Attach the columns of a one-row frame to every row as scalar subqueries (no join)."""
+    return with_scalars(df, scalars)
 
 
 def _label(c: str = "label") -> Column:
@@ -109,11 +110,13 @@ def threshold_metrics(scored: DataFrame, threshold: float, label: str = "label",
 
 def compute_metrics(scored: DataFrame, threshold: float, label: str = "label", prob: str = "prob") -> DataFrame:
     """EV6: the nine-metric bundle in one row."""
-    parts = [average_precision(scored, label, prob), roc_auc(scored, label, prob),
-             probability_scores(scored, label, prob), threshold_metrics(scored, threshold, label, prob)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = _one_row_join(out, p)
+    c = cumulative(scored, label, prob)  # one cumulative pass serves both curve metrics
+    curves = c.agg(
+        F.when(F.max("P") > 0, F.sum((F.col("tp") / F.col("P")) * (F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp")))))
+        .alias("pr_auc"),
+        F.when((F.max("P") > 0) & (F.max("N") > 0),
+               F.sum(F.col("fp") * (F.col("cum_tp") - F.col("tp") / 2.0)) / (F.max("P") * F.max("N"))).alias("roc_auc"))
+    out = scalar_row(curves, probability_scores(scored, label, prob), threshold_metrics(scored, threshold, label, prob))
     return out.select("pr_auc", "roc_auc", "log_loss", "brier_score", "threshold", "precision", "recall",
                       "f1_score", "accuracy")
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens import config
+from cohortlens.functions.scalars import scalar_row
 from cohortlens.functions.stats import chi2_sf
 from cohortlens.functions.timeutil import plus_days
 
@@ -196,7 +197,7 @@ def _label_checks(users: DataFrame, labels: DataFrame, churn_range=config.CHURN_
     lab_ids, user_ids = labels.select("user_id").distinct(), users.select("user_id").distinct()
     extra = lab_ids.join(user_ids, "user_id", "left_anti").agg(F.count(F.lit(1)).alias("_a"))
     missing = user_ids.join(lab_ids, "user_id", "left_anti").agg(F.count(F.lit(1)).alias("_b"))
-    both = extra.withColumn("_k", F.lit(1)).join(missing.withColumn("_k", F.lit(1)), "_k")  # 1 x 1 rows
+    both = scalar_row(extra, missing)
     setq = both.select(_row("label_user_set", ERROR, F.col("_a") + F.col("_b"),
                             "label ids not in users plus users without a label").alias("r"))
     return churn.unionByName(setq)

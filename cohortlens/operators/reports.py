@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens import config
+from cohortlens.functions.scalars import scalar_row
 from cohortlens.functions.stats import safe_div
 
 
@@ -15,9 +16,7 @@ def dataset_summary(users: DataFrame, events: DataFrame, labels: DataFrame) -> D
     e = events.agg(F.count(F.lit(1)).alias("events"))
     c = labels.agg(F.avg(F.col("is_churned").cast("double")).alias("churn_rate"),
                    F.count(F.lit(1)).alias("labelled_users"))
-    # each side is exactly one row: the joins below pair scalars, nothing grows
-    summary = u.withColumn("_k", F.lit(1)).join(e.withColumn("_k", F.lit(1)), "_k") \
-        .join(c.withColumn("_k", F.lit(1)), "_k")
+    summary = scalar_row(u, e, c)
     return summary.select("users", "events", safe_div("events", "users").alias("events_per_user"),
                           "labelled_users", "churn_rate")
 

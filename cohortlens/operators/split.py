@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortlens import config
 from cohortlens.functions.ordered import global_rank
+from cohortlens.functions.scalars import with_scalars
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 
@@ -28,8 +29,7 @@ def chronological_split(df: DataFrame, train_frac: float = 0.6, val_frac: float
     if validate:
         _check_fractions(train_frac, val_frac)
     ranked = global_rank(df, [F.col(signup_col).asc_nulls_first(), F.col(key).asc_nulls_first()], "_rank")
-    n = df.agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(1))  # one row
-    j = ranked.withColumn("_k", F.lit(1)).join(F.broadcast(n), "_k")
+    j = with_scalars(ranked, df.agg(F.count(F.lit(1)).alias("_n")))
     train_end = F.floor(F.col("_n") * F.lit(float(train_frac)))
     val_end = train_end + F.floor(F.col("_n") * F.lit(float(val_frac)))
     split = F.when(F.col("_rank") <= train_end, TRAIN).when(F.col("_rank") <= val_end, VALIDATION).otherwise(TEST)
