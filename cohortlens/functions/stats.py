@@ -100,3 +100,26 @@ def two_proportion_z_test(conv_a, n_a, conv_b, n_b) -> dict[str, Column]:
         "ci_lower": F.when(valid, diff - F.lit(Z_95) * se_diff),
         "ci_upper": F.when(valid, diff + F.lit(Z_95) * se_diff),
     }
+
+
+def with_two_proportion_z_test(df, conv_a: str, n_a: str, conv_b: str, n_b: str):
+    """EX6 on a DataFrame in staged projections (rates -> standard errors -> z -> p / CI), so the
+    shared sub-expressions are computed once instead of being inlined into every output column.
+    Adds z, p_value, ci_lower, ci_upper (nulls when a group has n = 0)."""
+    from pyspark.sql import functions as F
+
+    from cohortlens.config import Z_95
+
+    a, na, b, nb = (F.col(c).cast("double") for c in (conv_a, n_a, conv_b, n_b))
+    s1 = df.select("*", safe_div(a, na).alias("_pa"), safe_div(b, nb).alias("_pb"),
+                   safe_div(a + b, na + nb).alias("_pool"), ((na > 0) & (nb > 0)).alias("_valid"))
+    pa, pb, pool = F.col("_pa"), F.col("_pb"), F.col("_pool")
+    s2 = s1.select("*", F.sqrt(pool * (F.lit(1.0) - pool) * (F.lit(1.0) / na + F.lit(1.0) / nb)).alias("_se"),
+                   F.sqrt(pa * (F.lit(1.0) - pa) / na + pb * (F.lit(1.0) - pb) / nb).alias("_se_diff"))
+    s3 = s2.select("*", F.when(~F.col("_valid"), None).when(F.col("_se") > 0, (pb - pa) / F.col("_se"))
+                   .otherwise(F.lit(0.0)).alias("z"))
+    diff = pb - pa
+    s4 = s3.select("*", F.when(F.col("_valid"), two_sided_p(F.col("z"))).alias("p_value"),
+                   F.when(F.col("_valid"), diff - F.lit(Z_95) * F.col("_se_diff")).alias("ci_lower"),
+                   F.when(F.col("_valid"), diff + F.lit(Z_95) * F.col("_se_diff")).alias("ci_upper"))
+    return s4.drop("_pa", "_pb", "_pool", "_valid", "_se", "_se_diff")

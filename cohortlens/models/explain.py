@@ -139,7 +139,9 @@ def permutation_importance(model: PipelineModel, val: DataFrame, features: list[
     exploded = ranked.select("*", F.inline(plan_arr))
     exploded = exploded.withColumn("_donor", F.pmod(F.col("a") * F.col("_idx") + F.col("b"), F.lit(max(n, 1))))
     donors = ranked.select(F.col("_idx").alias("_donor"), *[F.col(c).alias(f"_d_{i}") for i, c in enumerate(features)])
-    j = exploded.join(donors, "_donor")
+    # both sides grow with the validation set: shuffle on the donor index (each key is hit once
+    # per feature x repeat); never broadcast, whatever the checkpointed size estimate says
+    j = exploded.join(donors.hint("shuffle_hash"), "_donor")
     cols = [F.when(F.col("f") == i, F.col(f"_d_{i}")).otherwise(F.col(c)).alias(c) for i, c in enumerate(features)]
     permuted = j.select("user_id", label, "f", "r", *cols)
     scored = drop_slots(model.transform(permuted.withColumn("label", F.col(label).cast("double"))

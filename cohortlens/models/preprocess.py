@@ -87,6 +87,12 @@ def fit_spec(train: DataFrame, categorical: list[str] | None = None, numeric: li
     return spec
 
 
+def unscaled(spec: PreprocessSpec) -> PreprocessSpec:
+    """Same categories and medians without standardisation (tree models): no second pass."""
+    return PreprocessSpec(spec.categorical, spec.numeric, dict(spec.categories), dict(spec.has_infrequent),
+                          dict(spec.medians), scaled=False)
+
+
 def _statement(spec: PreprocessSpec) -> str:
     exprs, slot = [], 0
     for c in spec.categorical:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import config
-from cohortlens.models.preprocess import PreprocessSpec, build_preprocessor, drop_slots, fit_spec
+from cohortlens.models.preprocess import PreprocessSpec, build_preprocessor, drop_slots, fit_spec, unscaled
 from cohortlens.operators import evaluate
 
 LR, GBT = "logistic_regression", "hist_gradient_boosting"
@@ -115,7 +115,8 @@ def train_and_select_model(train: DataFrame, val: DataFrame, test: DataFrame, th
     """ML6: fit LR and boosting on train; the best validation AP wins (strict, so LR wins ties);
     the threshold is chosen on the winner's validation scores; test is scored once."""
     keep = ["user_id", config.TARGET_COLUMN]
-    specs = {LR: fit_spec(train, scale=True), GBT: fit_spec(train, scale=False)}
+    lr_spec = fit_spec(train, scale=True)
+    specs = {LR: lr_spec, GBT: unscaled(lr_spec)}
     pipelines = {LR: build_logistic_regression(train, specs[LR]),
                  GBT: build_gradient_boosting(train, specs[GBT], seed, gbt_max_iter)}
     models, cand = {}, {}

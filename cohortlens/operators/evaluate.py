@@ -45,7 +45,9 @@ def cumulative(scored: DataFrame, label: str = "label", prob: str = "prob") -> D
     per_score = scored.groupBy(F.col(prob).alias("prob")).agg(
         F.sum(_label(label)).alias("tp"), F.sum(1 - _label(label)).alias("fp"))
     cum = running_totals(per_score, [F.col("prob").desc()], {"cum_tp": F.col("tp"), "cum_fp": F.col("fp")})
-    return _one_row_join(cum, class_totals(scored, label))
+    # class totals from the checkpointed distinct-score table: the (possibly model-scored) input
+    # is not evaluated a second time
+    return _one_row_join(cum, cum.agg(F.sum("tp").alias("P"), F.sum("fp").alias("N")))
 
 
 def average_precision_by(scored: DataFrame, by: list[str], label: str = "label", prob: str = "prob") -> DataFrame:
@@ -55,7 +57,7 @@ def average_precision_by(scored: DataFrame, by: list[str], label: str = "label",
         F.sum(_label(label)).alias("tp"), F.sum(1 - _label(label)).alias("fp"))
     order = [F.col(c).asc_nulls_first() for c in by] + [F.col("prob").desc()]
     cum = running_totals(per_score, order, {"_ctp": F.col("tp"), "_cfp": F.col("fp")})
-    groups = per_score.groupBy(*by).agg(F.sum("tp").alias("P"), F.sum("fp").alias("N"))
+    groups = cum.groupBy(*by).agg(F.sum("tp").alias("P"), F.sum("fp").alias("N"))  # from the checkpoint
     gw = Window.orderBy(*[F.col(c).asc_nulls_first() for c in by]).rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.select(*by, "P", F.coalesce(F.sum("P").over(gw), F.lit(0)).alias("_otp"),
                            F.coalesce(F.sum("N").over(gw), F.lit(0)).alias("_ofp"))  # one row per group

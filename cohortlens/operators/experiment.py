@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens import config
-from cohortlens.functions.stats import chi2_sf, safe_div, two_proportion_z_test
+from cohortlens.functions.stats import chi2_sf, safe_div, with_two_proportion_z_test
 from cohortlens.operators.activity import active_days, has_event_flags
 
 D7_RETENTION = "d7_retention"
@@ -94,17 +94,18 @@ def analyze_experiment(users: DataFrame, events: DataFrame, assignments: DataFra
     control = long.where(F.col("variant_id") == control_variant).select(
         "metric", F.col("sample_size").alias("_cn"), F.col("conversions").alias("_cc"),
         F.col("conversion_rate").alias("_cr"))
-    j = long.join(control, "metric", "left")
-    test = two_proportion_z_test(F.coalesce("_cc", F.lit(0)), F.coalesce("_cn", F.lit(0)), "conversions", "sample_size")
+    j = long.join(control, "metric", "left").select(
+        "*", F.coalesce("_cc", F.lit(0)).alias("_cc0"), F.coalesce("_cn", F.lit(0)).alias("_cn0"))
+    test = with_two_proportion_z_test(j, "_cc0", "_cn0", "conversions", "sample_size")
     is_treat = F.col("variant_id") != control_variant
     cr = F.coalesce(F.col("_cr"), F.lit(0.0))
-    out = j.select(
+    out = test.select(
         "_metric_order", "metric", "variant_id", "sample_size", "conversions", "conversion_rate",
         F.when(is_treat, F.col("conversion_rate") - cr).alias("absolute_lift"),
         F.when(is_treat & (cr > 0), (F.col("conversion_rate") - cr) / cr).alias("relative_lift"),
-        F.when(is_treat, test["p_value"]).alias("p_value"),
-        F.when(is_treat, test["ci_lower"]).alias("ci_lower"),
-        F.when(is_treat, test["ci_upper"]).alias("ci_upper"),
+        F.when(is_treat, F.col("p_value")).alias("p_value"),
+        F.when(is_treat, F.col("ci_lower")).alias("ci_lower"),
+        F.when(is_treat, F.col("ci_upper")).alias("ci_upper"),
     )
     return out.orderBy("_metric_order", "variant_id").drop("_metric_order")
 

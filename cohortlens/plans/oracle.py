@@ -273,6 +273,11 @@ def experiment_sql(metrics: dict[str, str] | None = None) -> str:
          f"CASE WHEN {treat} THEN round(({pb} - {pa}) + 1.96 * {se_diff}, {R}) END AS ci_upper FROM x")
 
 
+def experiment_summary_sql() -> str:
+    return (f"SELECT metric, variant_id, sample_size AS n, conversion_rate AS rate, relative_lift AS lift, "
+            f"p_value AS p FROM ({experiment_sql()}) x")
+
+
 def sample_sizes_sql() -> str:
     return with_adapter() + f"SELECT variant_id, count(*) AS sample_size FROM a WHERE experiment_id = '{EXP}' GROUP BY variant_id"
 
@@ -332,7 +337,7 @@ def _dq_orphans(check, child, parent) -> str:
                    "distinct user_ids")
 
 
-def dq_report_sql(with_session_order: bool = True) -> str:
+def dq_report_sql(with_session_order: bool = True, with_interventions: bool = True) -> str:
     freeze = config.DATA_FREEZE.strftime("%Y-%m-%d %H:%M:%S")
     users_constraint = " OR ".join(["user_id IS NULL", "signup_timestamp IS NULL",
                                     _in("acquisition_channel", config.ACQUISITION_CHANNELS),
@@ -389,6 +394,9 @@ def dq_report_sql(with_session_order: bool = True) -> str:
                 " + (SELECT count(*) FROM (SELECT DISTINCT user_id FROM u) x WHERE NOT EXISTS (SELECT 1 FROM lb WHERE lb.user_id = x.user_id))",
                 "label ids not in users plus users without a label"),
     ]
+    if with_interventions:
+        rows.append(_dq_orphans("intervention_foreign_keys", "iv", "u"))
+        rows.append(_dq_domain("intervention_channel_domain", "iv", "channel", config.INTERVENTION_CHANNELS, "warning"))
     if with_session_order:
         rows.append(_dq_row("session_timestamp_order", "warning",
                             "(SELECT count(DISTINCT session_id) FROM (SELECT session_id, event_timestamp < "
@@ -403,7 +411,15 @@ def dq_report_sql(with_session_order: bool = True) -> str:
            "FROM pe CROSS JOIN al LEFT JOIN oc ON oc.experiment_id = pe.experiment_id AND oc.variant_id = al.variant_id "
            "GROUP BY pe.experiment_id, pe.unknown), "
            "srm AS (SELECT experiment_id, unknown, exp(-chi2 / 2) AS p FROM chi)")
-    return with_adapter(srm) + "\nUNION ALL\n".join(rows)
+    ctes = [srm] + (_iv_plan_ctes() if with_interventions else [])
+    return with_adapter(*ctes) + "\nUNION ALL\n".join(rows)
+
+
+def dq_passed_sql() -> str:
+    report = dq_report_sql(with_session_order=False)
+    return (f"SELECT coalesce(bool_and(passed) FILTER (WHERE severity = 'error'), TRUE) AS passed, "
+            f"count(*) FILTER (WHERE severity = 'error' AND NOT passed) AS errors, "
+            f"count(*) FILTER (WHERE severity = 'warning' AND NOT passed) AS warnings FROM ({report}) r")
 
 
 # ---------------------------------------------------------------- features (FE / LB4) ---------
@@ -535,7 +551,7 @@ def first_week_activity_sql() -> str:
     return with_adapter(*_iv_ctes()) + "SELECT user_id, active_days_first_week, onboarding_done FROM fw"
 
 
-def intervention_plan_sql(seed: int = config.RANDOM_SEED) -> str:
+def _iv_plan_ctes(seed: int = config.RANDOM_SEED) -> list[str]:
     rules = [("NOT onboarding_done", config.IV_ONBOARDING), ("active_days_first_week <= 1", config.IV_REENGAGE),
              ("coalesce(lb.is_churned, 0) = 1", config.IV_WIN_BACK)]
 
@@ -547,12 +563,16 @@ def intervention_plan_sql(seed: int = config.RANDOM_SEED) -> str:
     act = "CASE " + " ".join(f"WHEN {c} THEN '{a}'" for c, (a, _, _) in rules) + " END"
     send = "CASE " + " ".join(f"WHEN {c} THEN fw.signup_timestamp + INTERVAL {d} DAY" for c, (_, d, _) in rules) + " END"
     chan = "CASE " + " ".join(f"WHEN {c} THEN {channel(a, o)}" for c, (a, _, o) in rules) + " END"
-    return with_adapter(*_iv_ctes()) + (
-        f"SELECT md5('intervention-{seed}-' || CAST(user_id AS VARCHAR) || '-' || action_name) AS message_id, user_id, "
-        "action_name, channel, send_time, CAST(NULL AS TIMESTAMP) AS open_time, CAST(NULL AS TIMESTAMP) AS click_time, "
-        "CAST(NULL AS TIMESTAMP) AS conversion_time, CAST(NULL AS VARCHAR) AS experiment_id FROM ("
+    return [*_iv_ctes(), (
+        f"iv AS (SELECT md5('intervention-{seed}-' || CAST(user_id AS VARCHAR) || '-' || action_name) AS message_id, "
+        "user_id, action_name, channel, send_time, CAST(NULL AS TIMESTAMP) AS open_time, CAST(NULL AS TIMESTAMP) AS "
+        "click_time, CAST(NULL AS TIMESTAMP) AS conversion_time, CAST(NULL AS VARCHAR) AS experiment_id FROM ("
         f"SELECT fw.user_id, {act} AS action_name, {chan} AS channel, {send} AS send_time "
-        "FROM fw LEFT JOIN lb ON fw.user_id = lb.user_id) WHERE action_name IS NOT NULL")
+        "FROM fw LEFT JOIN lb ON fw.user_id = lb.user_id) WHERE action_name IS NOT NULL)")]
+
+
+def intervention_plan_sql(seed: int = config.RANDOM_SEED) -> str:
+    return with_adapter(*_iv_plan_ctes(seed)) + "SELECT * FROM iv"
 
 
 # ---------------------------------------------------------------- split / evaluation ----------

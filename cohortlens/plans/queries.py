@@ -120,6 +120,12 @@ def q_srm(spark, t):
     return experiment.srm_test(t.assignments)
 
 
+@register("experiment_summary", lambda: O.experiment_summary_sql())
+def q_experiment_summary(spark, t):
+    """RP5: variant, n, rate, relative lift and p-value per metric."""
+    return experiment.experiment_summary(experiment.analyze_experiment(t.users, t.events, t.assignments))
+
+
 @register("experiment_metrics", lambda: O.experiment_sql())
 def q_experiment(spark, t):
     """EX1/EX4-EX7: per metric x variant conversion, lift, p-value and CI."""
@@ -167,14 +173,14 @@ from cohortlens.operators import quality  # noqa: E402
 @register("dq_report", lambda: O.dq_report_sql())
 def q_dq_report(spark, t):
     """DQ1-DQ23: full validation report (one row per check)."""
-    return quality.validate(t.users, t.events, t.assignments, t.labels,
+    return quality.validate(t.users, t.events, t.assignments, t.labels, t.interventions,
                             session_order_cols=["ingest_file", "ingest_seq"], ordered_events=t.events_in_ingest_order)
 
 
-@register("dq_passed")
+@register("dq_passed", lambda: O.dq_passed_sql())
 def q_dq_passed(spark, t):
     """Overall validation verdict (no failed error-severity check)."""
-    return quality.report_passed(quality.validate(t.users, t.events, t.assignments, t.labels))
+    return quality.report_passed(quality.validate(t.users, t.events, t.assignments, t.labels, t.interventions))
 
 
 # ---------------------------------------------------------------- FE / LB4 ---------------------

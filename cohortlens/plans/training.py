@@ -45,10 +45,14 @@ def trained(t: LifecycleTables, key: str, seed: int = config.RANDOM_SEED, gbt_ma
     k = (key, seed, gbt_max_iter)
     if k not in _CACHE:
         data = training_data(t)
-        # materialise the three splits once in the shared checkpoint folder: training iterates
+        # materialise the labelled matrix with its split column once in the shared checkpoint
+        # folder (training iterates over it); the three parts are filters of that one copy
         ensure_checkpoint_dir(data.train.sparkSession)
-        data = TrainingData(data.matrix, data.user_splits, data.train.checkpoint(), data.val.checkpoint(),
-                            data.test.checkpoint())
+        tagged = data.matrix.join(data.user_splits.select("user_id", "split"), "user_id").checkpoint()
+        parts = {s: tagged.where(F.col("split") == s).drop("split")
+                 for s in (split.TRAIN, split.VALIDATION, split.TEST)}
+        data = TrainingData(data.matrix, data.user_splits, parts[split.TRAIN], parts[split.VALIDATION],
+                            parts[split.TEST])
         result = T.train_and_select_model(data.train, data.val, data.test, "f1", seed, gbt_max_iter)
         _CACHE[k] = (data, result)
     return _CACHE[k]

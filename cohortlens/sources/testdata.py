@@ -58,6 +58,13 @@ class LifecycleTables:
 
         return mark_converted(create_experiment_assignments(self.users), self.events)
 
+    @cached_property
+    def interventions(self) -> DataFrame:
+        """Intervention log = the targeting rules applied to the tables (outcomes not simulated)."""
+        from cohortlens.operators.interventions import plan_interventions
+
+        return plan_interventions(self.users, self.events, self.labels)
+
     @cached_property
     def labels(self) -> DataFrame:
         from cohortlens.operators.labels import build_labels
