@@ -41,15 +41,43 @@ def has_event_flags(events: DataFrame, names: dict[str, str], source: str = USER
     ])
 
 
-def with_user_columns(events: DataFrame, users: DataFrame, columns: list[str]) -> DataFrame:
+HOT_USER_EVENTS = 1_000_000  # a user with this many events is spread over salt buckets
+SALT_BUCKETS = 64
+
+
+def hot_users(events: DataFrame, threshold: int = HOT_USER_EVENTS) -> DataFrame:
+    """Users with at least ``threshold`` events: a partial-aggregated count per user, filtered.
+
+    Size bound: at most ``events / threshold`` ids, which is what makes broadcasting it safe.
+    """
+    return (events.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") >= threshold).select("user_id", F.lit(True).alias("_hot")))
+
+
+def with_user_columns(events: DataFrame, users: DataFrame, columns: list[str],
+                      hot_threshold: int | None = HOT_USER_EVENTS, buckets: int = SALT_BUCKETS) -> DataFrame:
     """Attach per-user columns (e.g. signup) to each event: inner equi-join on user_id.
 
-    The events side is the large, possibly skewed one; AQE's skew-join split (enabled by the
-    engine session settings) divides a hot user's partition while the one matching users row is
-    replicated. When the users projection is small, Catalyst / AQE pick a broadcast hash join on
-    their own size estimate, so no event is shuffled at all.
+    Skew: a user holding a large share of the log would put all of its events into one join task.
+    Users with >= ``hot_threshold`` events get their events spread over ``buckets`` salt values
+    (hash of the event) and their single users row replicated to every salt, so the join key
+    (user_id, salt) is balanced; every other user keeps salt 0. Exact: each event still meets its
+    one users row. Aggregations after the join are partial per salt bucket before their own
+    shuffle. ``hot_threshold=None`` disables salting (AQE skew-join splitting still applies).
     """
-    return events.join(users.select("user_id", *columns), "user_id", "inner")
+    u = users.select("user_id", *columns)
+    if hot_threshold is None:
+        return events.join(u, "user_id", "inner")
+    hot = F.broadcast(hot_users(events, hot_threshold))  # <= events / threshold rows
+    row_key = F.xxhash64(*[F.col(c) for c in events.columns])
+    ev = (events.join(hot, "user_id", "left")
+          .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_key, F.lit(buckets))).otherwise(F.lit(0)).cast("int"))
+          .drop("_hot"))
+    us = (u.join(hot, "user_id", "left")
+          .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
+                                         .otherwise(F.array(F.lit(0)))))
+          .drop("_hot"))
+    return ev.join(us, ["user_id", "_salt"], "inner").drop("_salt")
 
 
 def bool_int(c: Column) -> Column:

@@ -118,3 +118,27 @@ def test_cohort_variant_requires_column(retention_data):
     users, events = retention_data
     with pytest.raises(ValueError):
         retention.compute_cohort_retention(users, events, (1,), cohort_col="variant_id")
+
+
+def test_salted_user_join_is_exact(spark):
+    """The hot-user salted join gives exactly the plain join's rows."""
+    from pyspark.sql import functions as F
+
+    from cohortlens.operators.activity import with_user_columns
+
+    users = make_users(spark, [{"user_id": f"u{i}", "signup_timestamp": S} for i in range(5)])
+    ev = [{"user_id": "u0", "event_name": "job_save", "event_timestamp": after(S, minutes=m)} for m in range(300)]
+    ev += [{"user_id": f"u{i}", "event_name": "signup", "event_timestamp": S} for i in range(1, 4)]
+    ev += [{"user_id": "ghost", "event_name": "signup", "event_timestamp": S}]
+    events = make_events(spark, ev).select("event_id", "user_id", "event_timestamp")
+    plain = sorted(with_user_columns(events, users, ["signup_timestamp"], hot_threshold=None).collect())
+    salted = with_user_columns(events, users, ["signup_timestamp"], hot_threshold=100, buckets=8)
+    assert sorted(salted.collect()) == plain and len(plain) == 303
+    # the hot user's events really are spread over several salt buckets
+    from cohortlens.operators.activity import hot_users
+
+    assert [r.user_id for r in hot_users(events, 100).collect()] == ["u0"]
+    spread = (events.where("user_id = 'u0'")
+              .select(F.pmod(F.xxhash64(*[F.col(c) for c in events.columns]), F.lit(8)).alias("b"))
+              .distinct().count())
+    assert spread > 1
