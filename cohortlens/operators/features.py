@@ -134,3 +134,12 @@ FEATURE_FAMILIES = {
     "sessions": ["num_sessions", "avg_events_per_session", "max_events_in_session", "total_user_actions_in_sessions"],
     "time": ["hours_to_first_action", "hours_since_last_action_at_cutoff"],
 }
+
+
+def recency_hours(users: DataFrame, events: DataFrame, cutoff_day: int = config.PREDICTION_CUTOFF_DAY,
+                  action_source: str = "user_action") -> DataFrame:
+    """FE18 alone (user_id, hours_since_last_action_at_cutoff) for users with a pre-cutoff action,
+    without building the other features."""
+    pre = pre_cutoff_events(users, events.where(F.col("event_source") == action_source), cutoff_day)
+    last = pre.groupBy("user_id").agg(F.max("event_timestamp").alias("_last"), F.max("_cutoff").alias("_cutoff"))
+    return last.select("user_id", hours_between("_last", "_cutoff").alias("hours_since_last_action_at_cutoff"))

@@ -252,10 +252,13 @@ from cohortlens.operators import evaluate, split, subgroup  # noqa: E402
 def recency_scored(t, with_groups: bool = False):
     """Engine-portable churn score for the evaluation operators: hours since the last action at
     the cutoff / 168 (1.0 without actions), rounded to 6 places; label = is_churned."""
-    m = labels.prepare_model_matrix(t.users, t.events, t.labels, t.assignments)
-    prob = F.round(F.coalesce(F.col("hours_since_last_action_at_cutoff") / 168.0, F.lit(1.0)), 6)
     groups = list(subgroup.DEFAULT_GROUPS) if with_groups else []
-    return m.select("user_id", F.col("is_churned").alias("label"), prob.alias("prob"), *groups)
+    base = t.labels.select("user_id", F.col("is_churned").alias("label"))
+    if groups:
+        base = base.join(t.users.select("user_id", *groups), "user_id")
+    m = base.join(features.recency_hours(t.users, t.events), "user_id", "left")
+    prob = F.round(F.coalesce(F.col("hours_since_last_action_at_cutoff") / 168.0, F.lit(1.0)), 6)
+    return m.select("user_id", "label", prob.alias("prob"), *groups)
 
 
 @register("chronological_split", lambda: O.split_sql())

@@ -49,8 +49,13 @@ class LifecycleTables:
 
     @cached_property
     def users(self) -> DataFrame:
+        """The users dimension is derived from the whole log; it is materialised once (reliable
+        checkpoint in the shared folder) so every plan reads it instead of re-aggregating events."""
+        from cohortlens.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(self.spark)
         return adapt_users(self.events, read_driver(self.spark, self.sf_dir, "customer"),
-                           read_driver(self.spark, self.sf_dir, "nation"))
+                           read_driver(self.spark, self.sf_dir, "nation")).checkpoint()
 
     @cached_property
     def assignments(self) -> DataFrame:
