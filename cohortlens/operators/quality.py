@@ -127,6 +127,18 @@ def _orphans(child: DataFrame, parent: DataFrame, check: str, severity: str = ER
     return orphans.agg(F.count(F.lit(1)).alias("_n")).select(_row(check, severity, F.col("_n"), "distinct user_ids").alias("r"))
 
 
+def _event_user_keys(users: DataFrame, events: DataFrame) -> DataFrame:
+    """DQ10 + DQ22 in one pass over events: the per-user event count (partial aggregation, null
+    ids kept as their own group) full-outer-joined with the distinct user ids."""
+    ev = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("_ne"))
+    us = users.select("user_id").distinct().withColumn("_u", F.lit(True))
+    j = ev.join(us, ev["user_id"].eqNullSafe(us["user_id"]), "full_outer")
+    agg = j.agg(F.count_if(F.col("_u").isNull()).alias("_orphans"), F.count_if(F.col("_ne").isNull()).alias("_silent"))
+    rows = F.array(_row("event_foreign_keys", ERROR, F.col("_orphans"), "distinct user_ids"),
+                   _row("users_with_events", ERROR, F.col("_silent"), "distinct user_ids"))
+    return agg.select(F.explode(rows).alias("r"))
+
+
 def _events_before_signup(users: DataFrame, events: DataFrame) -> DataFrame:
     j = events.select("user_id", "event_timestamp").join(users.select("user_id", "signup_timestamp"), "user_id")
     n = j.agg(F.count_if(F.col("event_timestamp") < F.col("signup_timestamp")).alias("_n"))
@@ -226,10 +238,9 @@ def validate(users: DataFrame, events: DataFrame, assignments: DataFrame, labels
         _missing_columns(events, REQUIRED_EVENT_COLUMNS, "events_columns"),
         _users_checks(users, data_freeze),
         _events_checks(events),
-        _orphans(events, users, "event_foreign_keys"),
+        _event_user_keys(users, events),
         _orphans(assignments, users, "experiment_foreign_keys"),
         _orphans(users, assignments, "users_missing_assignment"),
-        _orphans(users, events, "users_with_events"),
         _events_before_signup(users, events),
         srm_by_experiment(assignments),
         _assignment_constraints(assignments),

@@ -29,7 +29,9 @@ def apply_engine_conf(spark: SparkSession) -> SparkSession:
 def get_spark(master: str | None = None, app_name: str = "cohortlens",
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the engine settings; the Spark UI stays off."""
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               # reliable checkpoints are deleted once their DataFrame is garbage collected
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if master:
         builder = builder.master(master)
     for key, value in ENGINE_CONF.items():
