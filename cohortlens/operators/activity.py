@@ -69,7 +69,9 @@ def with_user_columns(events: DataFrame, users: DataFrame, columns: list[str],
     if hot_threshold is None:
         return events.join(u, "user_id", "inner")
     hot = F.broadcast(hot_users(events, hot_threshold))  # <= events / threshold rows
-    row_key = F.xxhash64(*[F.col(c) for c in events.columns])
+    # row content plus its position in the input split: identical duplicate events spread too,
+    # and a recomputed split reproduces the same salts
+    row_key = F.xxhash64(*[F.col(c) for c in events.columns], F.monotonically_increasing_id())
     ev = (events.join(hot, "user_id", "left")
           .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_key, F.lit(buckets))).otherwise(F.lit(0)).cast("int"))
           .drop("_hot"))

@@ -17,6 +17,7 @@ from cohortlens import config
 from cohortlens.functions.scalars import scalar_row
 from cohortlens.functions.stats import chi2_sf
 from cohortlens.functions.timeutil import plus_days
+from cohortlens.operators.activity import with_user_columns
 
 ERROR, WARNING = "error", "warning"
 
@@ -140,7 +141,7 @@ def _event_user_keys(users: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def _events_before_signup(users: DataFrame, events: DataFrame) -> DataFrame:
-    j = events.select("user_id", "event_timestamp").join(users.select("user_id", "signup_timestamp"), "user_id")
+    j = with_user_columns(events.select("user_id", "event_timestamp"), users, ["signup_timestamp"])
     n = j.agg(F.count_if(F.col("event_timestamp") < F.col("signup_timestamp")).alias("_n"))
     return n.select(_row("event_after_signup", ERROR, F.col("_n"), "events earlier than their user's signup").alias("r"))
 

@@ -138,7 +138,13 @@ def test_salted_user_join_is_exact(spark):
     from cohortlens.operators.activity import hot_users
 
     assert [r.user_id for r in hot_users(events, 100).collect()] == ["u0"]
-    spread = (events.where("user_id = 'u0'")
-              .select(F.pmod(F.xxhash64(*[F.col(c) for c in events.columns]), F.lit(8)).alias("b"))
-              .distinct().count())
+    # identical duplicates of a hot user's event are still spread over several buckets
+    dup = events.where("user_id = 'u0'").limit(1)
+    for _ in range(7):
+        dup = dup.unionByName(dup)
+    assert dup.count() == 128
+    spread = (dup.select(F.pmod(F.xxhash64(*[F.col(c) for c in dup.columns], F.monotonically_increasing_id()),
+                                F.lit(8)).alias("b")).distinct().count())
     assert spread > 1
+    dup_join = with_user_columns(dup, users, ["signup_timestamp"], hot_threshold=100, buckets=8)
+    assert dup_join.count() == 128

@@ -42,3 +42,14 @@ def test_streaming_ingest_partitions_by_date(spark):
     out = spark.read.parquet(sink)
     assert out.count() == 2
     assert sorted(str(r.event_date) for r in out.select("event_date").collect()) == ["2026-03-04", "2026-03-05"]
+
+
+def test_report_and_matrix_sinks(spark):
+    d = tempfile.mkdtemp(prefix="cohortlens-sink-")
+    rep = spark.createDataFrame([("pr_auc", 0.5), ("roc_auc", 0.7)], "metric string, value double")
+    sinks.write_report(rep, os.path.join(d, "metrics"))
+    files = [f for f in os.listdir(os.path.join(d, "metrics")) if f.endswith(".json")]
+    assert len(files) == 1  # a single small file
+    users = make_users(spark, [{"user_id": "u1", "signup_timestamp": ts("2026-03-04 05:00:00")}])
+    sinks.write_feature_matrix(users, os.path.join(d, "matrix"))
+    assert os.path.isdir(os.path.join(d, "matrix", "signup_date=2026-03-04"))

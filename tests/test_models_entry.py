@@ -139,3 +139,23 @@ def test_entry_points(spark):
     for key in ["funnel", "retention_summary", "experiment_metrics", "feature_matrix", "dq_report", "calibration"]:
         ok, msg = compare(qs[key](spark, "/root/testdata/sf0.001"), con, sqls[key])
         assert ok, f"{key}: {msg}"
+
+
+def test_unseen_and_rare_categories(spark, planted):
+    """ML1: unseen values go to the infrequent slot when it exists, else all zeros; nulls give zeros."""
+    from cohortlens.models.preprocess import fit_preprocessor, drop_slots
+
+    spec = fit_spec(planted, CATS, NUMS)
+    pre = fit_preprocessor(planted, spec)
+    names = spec.feature_names()
+    probe = spark.createDataFrame([("a", "brand_new", 1.0, None), ("b", None, 2.0, 3.0), ("c", "referral", 0.0, 1.0)],
+                                  "user_id string, acquisition_channel string, num_sessions double, "
+                                  "hours_to_first_action double")
+    rows = {r.user_id: list(r.features.toArray()) for r in drop_slots(pre.transform(probe)).collect()}
+    slot = {n: i for i, n in enumerate(names)}
+    assert rows["a"][slot["cat__acquisition_channel_infrequent_sklearn"]] == 1.0
+    assert sum(rows["b"][:3]) == 0.0
+    assert rows["c"][slot["cat__acquisition_channel_referral"]] == 1.0
+    # missing numeric -> median, then standardised
+    med = (spec.medians["hours_to_first_action"] - spec.means["hours_to_first_action"]) / spec.scales["hours_to_first_action"]
+    assert rows["a"][slot["num__hours_to_first_action"]] == pytest.approx(med)
