@@ -53,8 +53,10 @@ def cumulative(scored: DataFrame, label: str = "label", prob: str = "prob") -> D
 def average_precision_by(scored: DataFrame, by: list[str], label: str = "label", prob: str = "prob") -> DataFrame:
     """EV1 per group (e.g. permutation repeats): one global cumulative pass ordered by
     (group, score desc); each group's running sums restart via per-group offsets."""
+    # the grouped input is usually model-scored: materialise its distinct-score aggregate once, so
+    # the range-bound sampling and the ordered pass below do not each re-run the scoring
     per_score = scored.groupBy(*by, F.col(prob).alias("prob")).agg(
-        F.sum(_label(label)).alias("tp"), F.sum(1 - _label(label)).alias("fp"))
+        F.sum(_label(label)).alias("tp"), F.sum(1 - _label(label)).alias("fp")).checkpoint()
     order = [F.col(c).asc_nulls_first() for c in by] + [F.col("prob").desc()]
     cum = running_totals(per_score, order, {"_ctp": F.col("tp"), "_cfp": F.col("fp")})
     groups = cum.groupBy(*by).agg(F.sum("tp").alias("P"), F.sum("fp").alias("N"))  # from the checkpoint
