@@ -685,8 +685,8 @@ def calibration_sql(n_bins: int = 10, min_count: int = 5) -> str:
     qs = "[" + ", ".join(repr(q) for q in _linspace(n_bins + 1)) + "]"
     return with_adapter(*_scored_ctes(), f"ed AS (SELECT list_sort(list_distinct(quantile_cont(prob, {qs}))) AS edges FROM sc)") + (
         f"SELECT bin, round(avg(prob), {R}) AS mean_predicted, round(avg(CAST(label AS DOUBLE)), {R}) AS mean_observed, "
-        "count(*) AS count FROM (SELECT sc.prob, sc.label, greatest(1, len(list_filter(ed.edges, lambda e: e < sc.prob))) "
-        f"AS bin FROM sc, ed) GROUP BY bin HAVING count(*) >= {min_count}")
+        "count(*) AS count FROM (SELECT sc.prob, sc.label, CAST(greatest(1, len(list_filter(ed.edges, lambda e: e < sc.prob))) "
+        f"AS INTEGER) AS bin FROM sc, ed) GROUP BY bin HAVING count(*) >= {min_count}")
 
 
 def pr_curve_sql() -> str:
