@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators import funnel
 from cohortlens.plans import oracle as O
-from cohortlens.plans.catalog import register
+from cohortlens.plans.catalog import QUERIES, register, rounded
+from cohortlens.session import apply_engine_conf
+from cohortlens.sources import testdata
 from cohortlens.sources.testdata import ADAPTER_FUNNEL_STEPS
 
 STEPS = ADAPTER_FUNNEL_STEPS
@@ -379,20 +381,17 @@ from cohortlens.plans import training  # noqa: E402
 
 
 def _ml_query(key):
-    """Wrap an ML query so the shared memoised training is keyed by the data directory."""
+    """Register an ML query: the fitted models are shared (memoised per data directory) by every
+    ML key of a run; only rows-only checks apply (no SQL oracle)."""
     def deco(fn):
         def run(spark, sf_dir):
-            from cohortlens.sources import testdata
-
+            apply_engine_conf(spark)
             t = testdata.load(spark, sf_dir)
             data, result = training.trained(t, key=sf_dir)
-            from cohortlens.plans.catalog import rounded
-
             return rounded(fn(spark, t, data, result))
 
+        run.__name__ = f"query_{key}"
         run.__doc__ = fn.__doc__
-        from cohortlens.plans.catalog import QUERIES
-
         QUERIES[key] = run
         return fn
 
