@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import config
@@ -37,9 +37,8 @@ def srm_test(assignments: DataFrame, experiment_id: str = config.ONBOARDING_EXPE
     alloc = F.broadcast(allocation_table(assignments.sparkSession, variants))  # fixed, tiny
     joined = alloc.join(observed, "variant_id", "full_outer")
     known = F.col("allocation").isNotNull()
-    # the joined table has one row per variant: a whole-table window over it is tiny
-    n = F.sum(F.coalesce(F.col("observed"), F.lit(0))).over(Window.partitionBy())
-    per = joined.withColumn("_n", n)
+    total = observed.agg(F.sum("observed").alias("_n")).select("_n").scalar()  # scalar subquery
+    per = joined.withColumn("_n", F.coalesce(total, F.lit(0)))
     expected = F.col("allocation") * F.col("_n")
     obs = F.coalesce(F.col("observed"), F.lit(0)).cast("double")
     agg = per.agg(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import config
@@ -22,9 +22,10 @@ def dataset_summary(users: DataFrame, events: DataFrame, labels: DataFrame) -> D
 
 
 def channel_overview(users: DataFrame, column: str = "acquisition_channel") -> DataFrame:
-    """RP2: users per value and share of the total (window over the few group rows)."""
+    """RP2: users per value and share of the total."""
     counts = users.groupBy(column).agg(F.count(F.lit(1)).alias("users"))
-    return counts.withColumn("share", F.col("users") / F.sum("users").over(Window.partitionBy())).orderBy(column)
+    total = users.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()  # scalar subquery, no window
+    return counts.withColumn("share", F.col("users") / total).orderBy(column)
 
 
 def churn_by_group(users: DataFrame, labels: DataFrame, column: str = "acquisition_channel") -> DataFrame:
