@@ -55,7 +55,8 @@ def hot_users(events: DataFrame, threshold: int = HOT_USER_EVENTS) -> DataFrame:
 
 
 def with_user_columns(events: DataFrame, users: DataFrame, columns: list[str],
-                      hot_threshold: int | None = HOT_USER_EVENTS, buckets: int = SALT_BUCKETS) -> DataFrame:
+                      hot_threshold: int | None = HOT_USER_EVENTS, buckets: int = SALT_BUCKETS,
+                      hot: DataFrame | None = None) -> DataFrame:
     """Attach per-user columns (e.g. signup) to each event: inner equi-join on user_id.
 
     Skew: a user holding a large share of the log would put all of its events into one join task.
@@ -64,11 +65,13 @@ def with_user_columns(events: DataFrame, users: DataFrame, columns: list[str],
     (user_id, salt) is balanced; every other user keeps salt 0. Exact: each event still meets its
     one users row. Aggregations after the join are partial per salt bucket before their own
     shuffle. ``hot_threshold=None`` disables salting (AQE skew-join splitting still applies).
+    ``hot`` (a precomputed :func:`hot_users` list, e.g. shared by every operator of one load)
+    skips the counting pass; any list keeps the join exact since both sides use the same one.
     """
     u = users.select("user_id", *columns)
     if hot_threshold is None:
         return events.join(u, "user_id", "inner")
-    hot = F.broadcast(hot_users(events, hot_threshold))  # <= events / threshold rows
+    hot = F.broadcast(hot if hot is not None else hot_users(events, hot_threshold))  # <= events / threshold rows
     # row content plus its position in the input split: identical duplicate events spread too,
     # and a recomputed split reproduces the same salts
     row_key = F.xxhash64(*[F.col(c) for c in events.columns], F.monotonically_increasing_id())

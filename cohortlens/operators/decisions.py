@@ -13,7 +13,8 @@ STATE_FLAGS = list(config.STATE_EVENTS) + ["recently_active"]
 
 
 def compute_user_state(users: DataFrame, events: DataFrame, cutoff_day: int = config.PREDICTION_CUTOFF_DAY,
-                       cutoff: Column | None = None, recent_days: int = 2, source: str = "user_action") -> DataFrame:
+                       cutoff: Column | None = None, recent_days: int = 2, source: str = "user_action",
+                       hot_users: DataFrame | None = None) -> DataFrame:
     """NB1: lifecycle flags from actions with ts <= cutoff (inclusive); recent = ts >= cutoff - 2d.
 
     ``cutoff`` defaults to signup + ``cutoff_day`` days per user. Users without actions get
@@ -22,7 +23,7 @@ def compute_user_state(users: DataFrame, events: DataFrame, cutoff_day: int = co
     cut = cutoff if cutoff is not None else plus_days("signup_timestamp", cutoff_day)
     u = users.select("user_id", cut.alias("_cutoff"))
     ev = actions(events, source).select("user_id", "event_name", "event_timestamp")
-    j = with_user_columns(ev, u, ["_cutoff"]).where(F.col("event_timestamp") <= F.col("_cutoff"))
+    j = with_user_columns(ev, u, ["_cutoff"], hot=hot_users).where(F.col("event_timestamp") <= F.col("_cutoff"))
     flags = j.groupBy("user_id").agg(
         *[F.max(F.col("event_name") == e).alias(flag) for flag, e in config.STATE_EVENTS.items()],
         F.max(F.col("event_timestamp") >= minus_days("_cutoff", recent_days)).alias("recently_active"))
@@ -62,9 +63,9 @@ def decide(state: dict[str, Column], consent: Column, score: Column | None,
 def recommend_next_action(users: DataFrame, events: DataFrame, scores: DataFrame | None = None,
                           cutoff_day: int = config.PREDICTION_CUTOFF_DAY,
                           threshold: float = config.HIGH_RISK_ACTION_THRESHOLD,
-                          score_col: str = "churn_risk_score") -> DataFrame:
+                          score_col: str = "churn_risk_score", hot_users: DataFrame | None = None) -> DataFrame:
     """NB2 for all users: user_id, action_name, channel, reason (scores: user_id, score_col)."""
-    state = compute_user_state(users, events, cutoff_day)
+    state = compute_user_state(users, events, cutoff_day, hot_users=hot_users)
     base = users.select("user_id", F.coalesce(F.col("marketing_consent"), F.lit(False)).alias("_consent"))
     j = base.join(state, "user_id", "left")
     score = None

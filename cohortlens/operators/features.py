@@ -52,17 +52,20 @@ def variant_features(users: DataFrame, assignments: DataFrame | None,
         "user_id", F.coalesce("onboarding_variant", F.lit("unknown")).alias("onboarding_variant"))
 
 
-def pre_cutoff_events(users: DataFrame, events: DataFrame, cutoff_day: int = config.PREDICTION_CUTOFF_DAY) -> DataFrame:
+def pre_cutoff_events(users: DataFrame, events: DataFrame, cutoff_day: int = config.PREDICTION_CUTOFF_DAY,
+                      hot_users: DataFrame | None = None) -> DataFrame:
     """FE1: every event strictly before signup + cutoff_day (no lower bound), with signup/cutoff."""
     u = users.select("user_id", "signup_timestamp", plus_days("signup_timestamp", cutoff_day).alias("_cutoff"))
     ev = events.select("user_id", "session_id", "event_name", "event_timestamp", "event_source")
-    return with_user_columns(ev, u, ["signup_timestamp", "_cutoff"]).where(F.col("event_timestamp") < F.col("_cutoff"))
+    return (with_user_columns(ev, u, ["signup_timestamp", "_cutoff"], hot=hot_users)
+            .where(F.col("event_timestamp") < F.col("_cutoff")))
 
 
 def behavior_features(users: DataFrame, events: DataFrame, cutoff_day: int = config.PREDICTION_CUTOFF_DAY,
-                      sent_source: str = "system", action_source: str = "user_action") -> DataFrame:
+                      sent_source: str = "system", action_source: str = "user_action",
+                      hot_users: DataFrame | None = None) -> DataFrame:
     """FE6-FE19 for users with at least one pre-cutoff event (others are filled by FE20)."""
-    pre = pre_cutoff_events(users, events, cutoff_day)
+    pre = pre_cutoff_events(users, events, cutoff_day, hot_users)
     name, ts, src = F.col("event_name"), F.col("event_timestamp"), F.col("event_source")
     act = src == action_source
     aggs = [F.max(F.when(act & (name == e), 1).otherwise(0)).alias(e) for e in CORE_FLAG_EVENTS]
@@ -104,14 +107,15 @@ def behavior_features(users: DataFrame, events: DataFrame, cutoff_day: int = con
 
 
 def build_model_features(users: DataFrame, events: DataFrame, assignments: DataFrame | None = None,
-                         cutoff_day: int = config.PREDICTION_CUTOFF_DAY, sent_source: str = "system") -> DataFrame:
+                         cutoff_day: int = config.PREDICTION_CUTOFF_DAY, sent_source: str = "system",
+                         hot_users: DataFrame | None = None) -> DataFrame:
     """FE20: user_id, signup_timestamp, 8 categorical + 29 numeric features in fixed order.
 
     Numeric features are DOUBLE; nulls become 0 except the two ``hours_*`` columns, which stay
     null for users without a pre-cutoff action (imputed later by the model pipeline).
     """
     static = static_features(users)
-    behavior = behavior_features(users, events, cutoff_day, sent_source)
+    behavior = behavior_features(users, events, cutoff_day, sent_source, hot_users=hot_users)
     variant = variant_features(users, assignments)
     j = static.join(behavior, "user_id", "left").join(variant, "user_id", "left")
     numeric = []
@@ -137,9 +141,9 @@ FEATURE_FAMILIES = {
 
 
 def recency_hours(users: DataFrame, events: DataFrame, cutoff_day: int = config.PREDICTION_CUTOFF_DAY,
-                  action_source: str = "user_action") -> DataFrame:
+                  action_source: str = "user_action", hot_users: DataFrame | None = None) -> DataFrame:
     """FE18 alone (user_id, hours_since_last_action_at_cutoff) for users with a pre-cutoff action,
     without building the other features."""
-    pre = pre_cutoff_events(users, events.where(F.col("event_source") == action_source), cutoff_day)
+    pre = pre_cutoff_events(users, events.where(F.col("event_source") == action_source), cutoff_day, hot_users)
     last = pre.groupBy("user_id").agg(F.max("event_timestamp").alias("_last"), F.max("_cutoff").alias("_cutoff"))
     return last.select("user_id", hours_between("_last", "_cutoff").alias("hours_since_last_action_at_cutoff"))

@@ -12,12 +12,12 @@ from cohortlens.operators.activity import actions, with_user_columns
 
 
 def first_week_activity(users: DataFrame, events: DataFrame, cutoff_day: int = config.PREDICTION_CUTOFF_DAY,
-                        source: str = "user_action") -> DataFrame:
+                        source: str = "user_action", hot_users: DataFrame | None = None) -> DataFrame:
     """IV2: per user, distinct whole-day indices floor((ts - signup) / 24 h) in 0..cutoff_day of
     actions, and whether onboarding was ever completed (any time)."""
     u = users.select("user_id", "signup_timestamp")
     ev = actions(events, source).select("user_id", "event_name", "event_timestamp")
-    j = with_user_columns(ev, u, ["signup_timestamp"]).withColumn(
+    j = with_user_columns(ev, u, ["signup_timestamp"], hot=hot_users).withColumn(
         "_day", day_index("signup_timestamp", "event_timestamp"))
     in_week = F.col("_day").between(0, cutoff_day)
     agg = j.groupBy("user_id").agg(
@@ -36,11 +36,11 @@ def _channel(consent, user_id, action: str, options: list[str], seed: int):
 
 
 def plan_interventions(users: DataFrame, events: DataFrame, labels: DataFrame,
-                       seed: int = config.RANDOM_SEED) -> DataFrame:
+                       seed: int = config.RANDOM_SEED, hot_users: DataFrame | None = None) -> DataFrame:
     """IV1: first matching rule per user - (1) never onboarded -> complete_onboarding at +3d;
     (2) <= 1 active day in the first week -> re-engagement at +7d; (3) churned label -> win-back
     at +22d; otherwise no row. Open / click / conversion outcomes are not simulated (null)."""
-    act = first_week_activity(users, events)
+    act = first_week_activity(users, events, hot_users=hot_users)
     lab = labels.select("user_id", F.col(config.TARGET_COLUMN).alias("_churned"))
     j = (users.select("user_id", "signup_timestamp", F.coalesce("marketing_consent", F.lit(False)).alias("_consent"))
          .join(act, "user_id", "left").join(lab, "user_id", "left"))

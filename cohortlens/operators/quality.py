@@ -140,8 +140,8 @@ def _event_user_keys(users: DataFrame, events: DataFrame) -> DataFrame:
     return agg.select(F.explode(rows).alias("r"))
 
 
-def _events_before_signup(users: DataFrame, events: DataFrame) -> DataFrame:
-    j = with_user_columns(events.select("user_id", "event_timestamp"), users, ["signup_timestamp"])
+def _events_before_signup(users: DataFrame, events: DataFrame, hot_users: DataFrame | None = None) -> DataFrame:
+    j = with_user_columns(events.select("user_id", "event_timestamp"), users, ["signup_timestamp"], hot=hot_users)
     n = j.agg(F.count_if(F.col("event_timestamp") < F.col("signup_timestamp")).alias("_n"))
     return n.select(_row("event_after_signup", ERROR, F.col("_n"), "events earlier than their user's signup").alias("r"))
 
@@ -229,7 +229,8 @@ def _intervention_constraints(interventions: DataFrame) -> DataFrame:
 
 def validate(users: DataFrame, events: DataFrame, assignments: DataFrame, labels: DataFrame | None = None,
              interventions: DataFrame | None = None, data_freeze: datetime = config.DATA_FREEZE,
-             session_order_cols: list[str] | None = None, ordered_events: DataFrame | None = None) -> DataFrame:
+             session_order_cols: list[str] | None = None, ordered_events: DataFrame | None = None,
+             hot_users: DataFrame | None = None) -> DataFrame:
     """DQ1-DQ23: the whole report; ``passed`` overall = :func:`report_passed`.
 
     The session-order check (DQ16) runs when ``session_order_cols`` names the ingest-order
@@ -242,7 +243,7 @@ def validate(users: DataFrame, events: DataFrame, assignments: DataFrame, labels
         _event_user_keys(users, events),
         _orphans(assignments, users, "experiment_foreign_keys"),
         _orphans(users, assignments, "users_missing_assignment"),
-        _events_before_signup(users, events),
+        _events_before_signup(users, events, hot_users),
         srm_by_experiment(assignments),
         _assignment_constraints(assignments),
     ]

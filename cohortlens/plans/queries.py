@@ -176,13 +176,14 @@ from cohortlens.operators import quality  # noqa: E402
 def q_dq_report(spark, t):
     """DQ1-DQ23: full validation report (one row per check)."""
     return quality.validate(t.users, t.events, t.assignments, t.labels, t.interventions,
-                            session_order_cols=["ingest_file", "ingest_seq"], ordered_events=t.events_in_ingest_order)
+                            session_order_cols=["ingest_file", "ingest_seq"], ordered_events=t.events_in_ingest_order,
+                            hot_users=t.hot_users)
 
 
 @register("dq_passed", lambda: O.dq_passed_sql())
 def q_dq_passed(spark, t):
     """Overall validation verdict (no failed error-severity check)."""
-    return quality.report_passed(quality.validate(t.users, t.events, t.assignments, t.labels, t.interventions))
+    return quality.report_passed(quality.validate(t.users, t.events, t.assignments, t.labels, t.interventions, hot_users=t.hot_users))
 
 
 # ---------------------------------------------------------------- FE / LB4 ---------------------
@@ -195,7 +196,7 @@ _STATIC_COLS = ["acquisition_channel", "country", "device_type", "user_intent_le
 
 def _feature_query(cols):
     def q(spark, t):
-        return features.build_model_features(t.users, t.events, t.assignments).select("user_id", *cols)
+        return features.build_model_features(t.users, t.events, t.assignments, hot_users=t.hot_users).select("user_id", *cols)
 
     return q
 
@@ -210,13 +211,13 @@ for _fam, _cols in [("static", _STATIC_COLS), ("counts", features.FEATURE_FAMILI
 @register("feature_matrix", lambda: O.features_sql())
 def q_feature_matrix(spark, t):
     """FE20: the full 37-feature matrix for every user."""
-    return features.build_model_features(t.users, t.events, t.assignments)
+    return features.build_model_features(t.users, t.events, t.assignments, hot_users=t.hot_users)
 
 
 @register("model_matrix", lambda: O.model_matrix_sql())
 def q_model_matrix(spark, t):
     """LB4: feature matrix of labelled users with is_churned attached (leakage-checked)."""
-    return labels.prepare_model_matrix(t.users, t.events, t.labels, t.assignments)
+    return labels.prepare_model_matrix(t.users, t.events, t.labels, t.assignments, hot_users=t.hot_users)
 
 
 # ---------------------------------------------------------------- NB / IV ----------------------
@@ -226,25 +227,25 @@ from cohortlens.operators import decisions, interventions  # noqa: E402
 @register("user_state", lambda: O.user_state_sql())
 def q_user_state(spark, t):
     """NB1: lifecycle flags at signup + 7d for every user."""
-    return decisions.compute_user_state(t.users, t.events)
+    return decisions.compute_user_state(t.users, t.events, hot_users=t.hot_users)
 
 
 @register("next_best_action", lambda: O.next_best_action_sql())
 def q_next_best_action(spark, t):
     """NB2: rule-based next best action for every user (activity heuristic, no model score)."""
-    return decisions.recommend_next_action(t.users, t.events)
+    return decisions.recommend_next_action(t.users, t.events, hot_users=t.hot_users)
 
 
 @register("first_week_activity", lambda: O.first_week_activity_sql())
 def q_first_week_activity(spark, t):
     """IV2: distinct active day indices 0..7 and onboarding completion per user."""
-    return interventions.first_week_activity(t.users, t.events)
+    return interventions.first_week_activity(t.users, t.events, hot_users=t.hot_users)
 
 
 @register("intervention_plan", lambda: O.intervention_plan_sql())
 def q_intervention_plan(spark, t):
     """IV1: targeted intervention per user (action, send time, channel)."""
-    return interventions.plan_interventions(t.users, t.events, t.labels)
+    return t.interventions
 
 
 # ---------------------------------------------------------------- SP / EV ----------------------
@@ -258,7 +259,7 @@ def recency_scored(t, with_groups: bool = False):
     base = t.labels.select("user_id", F.col("is_churned").alias("label"))
     if groups:
         base = base.join(t.users.select("user_id", *groups), "user_id")
-    m = base.join(features.recency_hours(t.users, t.events), "user_id", "left")
+    m = base.join(features.recency_hours(t.users, t.events, hot_users=t.hot_users), "user_id", "left")
     prob = F.round(F.coalesce(F.col("hours_since_last_action_at_cutoff") / 168.0, F.lit(1.0)), 6)
     return m.select("user_id", "label", prob.alias("prob"), *groups)
 
@@ -273,7 +274,7 @@ def q_split(spark, t):
 def q_split_report(spark, t):
     """SP3/SP4: labelled matrix rows per split with signup range and churn rate."""
     users_split, _ = split.split_users_and_labels(t.users, t.labels)
-    m = labels.prepare_model_matrix(t.users, t.events, t.labels, t.assignments)
+    m = labels.prepare_model_matrix(t.users, t.events, t.labels, t.assignments, hot_users=t.hot_users)
     return split.split_report(m.join(users_split.select("user_id", "split"), "user_id"))
 
 

@@ -31,7 +31,7 @@ class TrainingData:
 
 def training_data(t: LifecycleTables, train_frac: float = 0.6, val_frac: float = 0.2) -> TrainingData:
     """LB4 matrix, SP2 user split, SP3 membership filters."""
-    matrix = labels.prepare_model_matrix(t.users, t.events, t.labels, t.assignments)
+    matrix = labels.prepare_model_matrix(t.users, t.events, t.labels, t.assignments, hot_users=t.hot_users)
     user_splits, _ = split.split_users_and_labels(t.users, t.labels, train_frac, val_frac)
     parts = {s: split.filter_split(matrix, user_splits, s) for s in (split.TRAIN, split.VALIDATION, split.TEST)}
     return TrainingData(matrix, user_splits, parts[split.TRAIN], parts[split.VALIDATION], parts[split.TEST])
@@ -78,9 +78,9 @@ def score_users(result: T.TrainingResult, t: LifecycleTables, users: DataFrame |
     """
     users = users if users is not None else t.users
     thr = result.threshold if threshold is None else threshold
-    feats = features.build_model_features(users, t.events, t.assignments)
+    feats = features.build_model_features(users, t.events, t.assignments, hot_users=t.hot_users)
     probs = T.score(result.model, feats, ["user_id"]).withColumnRenamed("prob", "predicted_risk")
-    nba = decisions.recommend_next_action(users, t.events, probs, score_col="predicted_risk")
+    nba = decisions.recommend_next_action(users, t.events, probs, score_col="predicted_risk", hot_users=t.hot_users)
     return (probs.join(nba, "user_id")
             .select("user_id", "predicted_risk", (F.col("predicted_risk") >= F.lit(thr)).cast("int").alias("predicted_class"),
                     "action_name", "channel", "reason"))

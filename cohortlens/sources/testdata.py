@@ -57,6 +57,14 @@ class LifecycleTables:
         return adapt_users(self.events, read_driver(self.spark, self.sf_dir, "customer"),
                            read_driver(self.spark, self.sf_dir, "nation")).checkpoint()
 
+    @cached_property
+    def hot_users(self) -> DataFrame:
+        """Users holding >= 1M events, counted once over the whole log and materialised (at most
+        events / 1M rows); every salted join of this load shares it."""
+        from cohortlens.operators.activity import hot_users
+
+        return hot_users(self.events).checkpoint()
+
     @cached_property
     def assignments(self) -> DataFrame:
         from cohortlens.operators.assignment import create_experiment_assignments, mark_converted
@@ -68,13 +76,13 @@ class LifecycleTables:
         """Intervention log = the targeting rules applied to the tables (outcomes not simulated)."""
         from cohortlens.operators.interventions import plan_interventions
 
-        return plan_interventions(self.users, self.events, self.labels)
+        return plan_interventions(self.users, self.events, self.labels, hot_users=self.hot_users)
 
     @cached_property
     def labels(self) -> DataFrame:
         from cohortlens.operators.labels import build_labels
 
-        return build_labels(self.users, self.events, data_freeze=ADAPTER_OBSERVED_UNTIL)
+        return build_labels(self.users, self.events, data_freeze=ADAPTER_OBSERVED_UNTIL, hot_users=self.hot_users)
 
 
 def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -134,6 +134,12 @@ def test_salted_user_join_is_exact(spark):
     plain = sorted(with_user_columns(events, users, ["signup_timestamp"], hot_threshold=None).collect())
     salted = with_user_columns(events, users, ["signup_timestamp"], hot_threshold=100, buckets=8)
     assert sorted(salted.collect()) == plain and len(plain) == 303
+    # a shared, precomputed hot list (here one that also names a cold user) stays exact
+    from cohortlens.operators.activity import hot_users as _hot
+
+    shared = _hot(events, 1).where("user_id IN ('u0', 'u1')")
+    again = with_user_columns(events, users, ["signup_timestamp"], buckets=8, hot=shared)
+    assert sorted(again.collect()) == plain
     # the hot user's events really are spread over several salt buckets
     from cohortlens.operators.activity import hot_users
 
