@@ -59,11 +59,12 @@ class LifecycleTables:
 
     @cached_property
     def hot_users(self) -> DataFrame:
-        """Users holding >= 1M events, counted once over the whole log and materialised (at most
-        events / 1M rows); every salted join of this load shares it."""
+        """Users holding >= 1M events (at most events / 1M rows). One shared plan: inside a query
+        every salted join references the same subtree, so its count pass runs once (exchange
+        reuse) instead of once per join."""
         from cohortlens.operators.activity import hot_users
 
-        return hot_users(self.events).checkpoint()
+        return hot_users(self.events)
 
     @cached_property
     def assignments(self) -> DataFrame:
