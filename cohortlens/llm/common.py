@@ -18,6 +18,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A driver table, read by Spark's own reader (the path may be one that only Spark knows)."""
     apply_engine_conf(spark)
+    # whole texts go to Python workers in batches that stay small when texts are long
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

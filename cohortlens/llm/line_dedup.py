@@ -42,6 +42,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col:
     frequent = (lines.where(F.col("_did").isNotNull()).groupBy("_h")
                 .agg(F.count_distinct("_did").alias("_n"), F.max("_did").alias("_last"))
                 .where(F.col("_n") >= min_docs).select("_h", "_last"))
+    frequent = cut(frequent)  # a plain table, so that the join back can split a hot line
     drops = (lines.join(frequent, "_h").where(~F.col("_did").eqNullSafe(F.col("_last")))
              .groupBy("_did", "_fp").agg(F.array_sort(F.collect_set("_pos")).alias("_drop"))
              .select(F.col("_did").alias("_d"), F.col("_fp").alias("_f"), "_drop"))

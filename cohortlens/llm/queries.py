@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import line_dedup
+from cohortlens.llm import byte_bpe, chat_format, line_dedup, quality_classifier, quality_rules, resharding, simhash
 from cohortlens.llm.common import read
 
 
@@ -16,7 +17,38 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], chats.schema)
+    return chat_format.read_back(chat_format.format_turns(chats.unionByName(extra)))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    tokens = byte_bpe.encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return byte_bpe.decode(tokens, path).select("doc_id", (F.length("tokens") / 4).cast("long").alias("n_tokens"),
+                                                F.sha2("tokens", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resharding.placement(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_line_dedup,)
+    f.__name__: f for f in (op2_line_dedup, op3_chat_format, op4_quality_rules, op5_quality_classifier, op8_byte_bpe, op9_resharding, op10_simhash)
 }
-ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE_SQL, "op3_chat_format": chat_format.ORACLE_SQL}
