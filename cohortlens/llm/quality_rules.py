@@ -4,8 +4,8 @@ Statistics of all whole texts are computed once and written. The forest's trees
 subsamples of the corpus (256 documents a tree, the method's own sample; ``trees`` x 256 rows come
 to the driver, picked by a hash of the id) at random values, and a document's score is 2 to the
 power of minus its mean path length over the usual one. The threshold is calibrated on all labelled
-documents: their scores are counted in ``BINS`` bins by label, and the lowest threshold is taken that
-costs at most ``max_loss`` of the good documents.
+documents: their scores are counted in ``BINS`` bins by label, and the threshold is taken that
+rejects most bad documents while it costs at most ``max_loss`` of the good ones.
 
 Defined cases: a null or empty text has no words and fails the base rules. Repeated rows give
 repeated rows. A document labelled more than once counts as bad if any of its labels says so; null
@@ -44,10 +44,13 @@ def statistics(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def features(s: dict[str, np.ndarray]) -> np.ndarray:
-    """Ratios that do not depend on a text's length."""
+    """How far a text's ratios, which do not depend on its length, go beyond what the rules allow:
+    word length off 5.5 by over 2, symbols over 2 % of characters, repeated lines over 35 %, words
+    in repeated windows over 30 %, capitals over 20 %, digits over 15 %, marks over one in two words."""
     words, chars, lines = (np.maximum(s[k], 1) for k in ("n_words", "word_chars", "n_lines"))
-    return np.column_stack([s["word_chars"] / words, s["n_symbols"] / chars, s["n_dup_lines"] / lines, s["n_repeat_words"] / words,
-                            s["n_capitals"] / chars, s["n_digits"] / chars, s["n_marks"] / words])
+    ratios = np.column_stack([np.abs(s["word_chars"] / words - 5.5), s["n_symbols"] / chars, s["n_dup_lines"] / lines, s["n_repeat_words"] / words,
+                              s["n_capitals"] / chars, s["n_digits"] / chars, s["n_marks"] / words])
+    return np.maximum(ratios - np.array([2.0, 0.02, 0.35, 0.3, 0.2, 0.15, 0.5]), 0)
 
 
 def usual_path(n: np.ndarray) -> np.ndarray:
@@ -97,7 +100,7 @@ def anomaly(rows: np.ndarray, forest: list[tuple[np.ndarray, ...]], sample: int
     return 2.0 ** (-total / len(forest) / max(float(usual_path(sample)), 1e-9))
 
 
-def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", trees: int = 100, max_loss: float = 0.002) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", trees: int = 100, max_loss: float = 0.005) -> DataFrame:
     """The id, the statistics, base_failed, anomaly (null where base_failed) and kept."""
     spark, kind = docs.sparkSession, dict(docs.dtypes)[id_col]
     stats = staged(statistics(docs, id_col)).withColumn(
@@ -123,11 +126,13 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", trees: int
 
 
 def threshold(counts: list[tuple[int, int, int]], max_loss: float) -> float:
-    """The lowest bin edge from which on at most ``max_loss`` of the good rows lie; if no bad row
-    lies there, nothing is rejected. ``counts``: (label, bin, rows)."""
+    """The middle of the bin edges that reject as many bad rows as any edge that costs at most
+    ``max_loss`` of the good ones; 2 (nothing is rejected) where no bad row can be had so.
+    ``counts``: (label, bin, rows)."""
     good, bad = np.zeros(BINS + 2), np.zeros(BINS + 2)
     for label, at, n in counts:
         (good if label else bad)[at] += n
-    lost = np.cumsum(good[::-1])[::-1]
-    at = int(np.flatnonzero(lost <= max_loss * good.sum())[0])
-    return at / BINS if bad[at:].sum() else 2.0
+    lost, caught = (np.cumsum(x[::-1])[::-1] for x in (good, bad))
+    low = int(np.flatnonzero(lost <= max_loss * good.sum())[0])
+    high = int(np.flatnonzero(caught == caught[low])[-1])
+    return (low + high) // 2 / BINS if caught[low] else 2.0
