@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import byte_bpe, chat_format, line_dedup, quality_classifier, quality_rules, resharding, simhash, suffix_dedup
+from cohortlens.llm import byte_bpe, chat_format, decontamination, line_dedup, quality_classifier, quality_rules, resharding, simhash, suffix_dedup
 from cohortlens.llm.common import read
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -54,6 +58,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_line_dedup, op3_chat_format, op4_quality_rules, op5_quality_classifier, op6_suffix_dedup, op8_byte_bpe, op9_resharding, op10_simhash)
+    f.__name__: f for f in (op1_decontamination, op2_line_dedup, op3_chat_format, op4_quality_rules, op5_quality_classifier, op6_suffix_dedup, op8_byte_bpe, op9_resharding, op10_simhash)
 }
 ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE_SQL, "op3_chat_format": chat_format.ORACLE_SQL}
