@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import byte_bpe, chat_format, decontamination, line_dedup, quality_classifier, quality_rules, resharding, simhash, suffix_dedup
+from cohortlens.llm import byte_bpe, chat_format, decontamination, html_extract, line_dedup, quality_classifier, quality_rules, resharding, simhash, suffix_dedup
 from cohortlens.llm.common import read
 
 
@@ -42,6 +42,10 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     tokens = byte_bpe.encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -58,6 +62,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_line_dedup, op3_chat_format, op4_quality_rules, op5_quality_classifier, op6_suffix_dedup, op8_byte_bpe, op9_resharding, op10_simhash)
+    f.__name__: f for f in (op1_decontamination, op2_line_dedup, op3_chat_format, op4_quality_rules, op5_quality_classifier, op6_suffix_dedup, op7_html_extract, op8_byte_bpe, op9_resharding, op10_simhash)
 }
 ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE_SQL, "op3_chat_format": chat_format.ORACLE_SQL}
