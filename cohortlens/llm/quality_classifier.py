@@ -12,7 +12,8 @@ the id are never inputs of a score.
 Defined cases: a null or empty text is scored by its statistics alone. Repeated rows give repeated
 rows. A null id is held out of nothing and never trained on. A document labelled more than once is
 taken by its smallest label; null labels are not used. Without training rows every score is 0.5.
-Extra columns are not read. An empty table gives an empty result.
+Extra columns pass through; one named like
+an output is replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,11 +26,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.llm.common import without
 from cohortlens.llm.text_stats import text_stats
 
 DIMS = 1 << 16
 N_STATS = 9
 RANK = 8
+OUT = ("held_out", "score", "predicted")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -110,8 +113,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, max_train: in
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", max_train: int = 8000) -> DataFrame:
-    """The id, held_out, score (0 to 1) and predicted (1 from 0.5 on) of every whole text."""
-    kind = dict(docs.dtypes)[id_col]
+    """``docs`` with held_out, score (0 to 1) and predicted (1 from 0.5 on) of every whole text."""
     rows, y = training_rows(docs, labels, id_col, max_train)
     machine = Machine()
     if len(rows):
@@ -119,6 +121,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", max_train:
     else:
         machine.v[:] = 0
     model = docs.sparkSession.sparkContext.broadcast((machine.bias, machine.w, machine.v))
+    given = docs.select(*without(docs, OUT))
 
     def shape(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = Machine.__new__(Machine)
@@ -127,8 +130,9 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", max_train:
             scores = []
             for text in part["text"]:
                 columns, values = text_features(text.as_py() or "")
-                scores.append(float(1 / (1 + np.exp(-np.clip(fitted.logits(columns, values, np.array([0]))[0][0], -30, 30)))))
-            yield pa.RecordBatch.from_arrays([part[id_col], pa.array(scores, pa.float64())], names=[id_col, "score"])
+                logit = fitted.logits(columns, values, np.array([0]))[0][0]
+                scores.append(float(1 / (1 + np.exp(-np.clip(logit, -30, 30)))))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], names=[*part.schema.names, "score"])
 
-    return (docs.select(id_col, "text").mapInArrow(shape, f"`{id_col}` {kind}, score double")
-            .select(id_col, held_out(id_col).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in given.dtypes) + ", score double"
+    return given.mapInArrow(shape, schema).select("*", held_out(id_col).alias("held_out"), (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -34,7 +34,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_classifier.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_classifier.score(docs, read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
