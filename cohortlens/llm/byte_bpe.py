@@ -1,13 +1,14 @@
 """Byte-level BPE encoding and decoding by a global shuffle of distinct words.
 
 Texts are split into pre-tokens and gathered into blocks of bounded size. A block keeps its
-distinct pre-tokens once and each document as positions into them. The (block, position, word)
-rows are exploded; each distinct word of the whole corpus is encoded once, its ids are joined back
-to the blocks, and the documents are reassembled by position. A word that every text holds is one
-row per block, not per occurrence, and is pre-aggregated before the distinct shuffle. Decoding joins
-token ids with the token-byte table of the vocabulary.
+distinct pre-tokens once and each document as positions into them (packed). The words are exploded
+by part, the hash of the word; each part encodes each distinct word of the whole corpus once and
+sends the ids back to the blocks, where the documents are reassembled by position. A word that
+every text holds is one entry per block, not per occurrence. Decoding joins token ids with the
+token-byte table of the vocabulary.
 
 The vocabulary (a rank file of at most some 10^5 entries, a parameter) is the only thing broadcast.
+The number of parts grows with the text, so a part holds about as many words as a block.
 
 Defined cases: a null or empty text has no tokens and decodes to nothing. Repeated rows give
 repeated rows. Extra columns are not read; the id column may be null. Empty tables give empty
@@ -17,12 +18,14 @@ results. Special-token strings are ordinary text.
 from __future__ import annotations
 
 import base64
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,26 +41,76 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
-def _blocks(docs: DataFrame, pattern: str, id_col: str, block_chars: int) -> DataFrame:
-    """block, ids, seqs (a document's pre-tokens as little-endian uint32 positions), words."""
+def _pack(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit values by planes of bytes, compressed."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=6).compress(planes.tobytes())
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+def pack_positions(at: np.ndarray, words: int) -> tuple[bytes, bytes, bytes]:
+    """Positions into words numbered by first occurrence, as (codes, rest, ranked): 0 for a word's
+    first occurrence, else one more than its rank by frequency; ranks from 254 on go to ``rest``."""
+    counts = np.bincount(at, minlength=words)
+    ranked = np.argsort(-counts, kind="stable")[:int((counts > 1).sum())]
+    rank = np.zeros(words, dtype=np.int64)
+    rank[ranked] = np.arange(len(ranked))
+    code = rank[at] + 1
+    code[np.unique(at, return_index=True)[1]] = 0
+    codes = zstandard.ZstdCompressor(level=6).compress(np.minimum(code, 255).astype(np.uint8).tobytes())
+    return codes, _pack(code[code >= 255]), _pack(ranked)
+
+
+def unpack_positions(codes: bytes, rest: bytes, ranked: bytes) -> np.ndarray:
+    code = np.frombuffer(zstandard.ZstdDecompressor().decompress(codes), dtype=np.uint8).astype(np.int64)
+    code[code == 255] = _unpack(rest)
+    at = np.empty(len(code), dtype=np.int64)
+    first = code == 0
+    at[first] = np.arange(first.sum())
+    at[~first] = _unpack(ranked)[code[~first] - 1]
+    return at
+
+
+WORDS = pa.list_(pa.struct([("part", pa.int64()), ("flat", pa.binary()), ("sizes", pa.binary())]))
+
+
+def _blocks(docs: DataFrame, pattern: str, id_col: str, block_chars: int, parts: int) -> DataFrame:
+    """block, ids, counts (pre-tokens of each text), their packed positions, each word's part, and
+    words: the distinct pre-tokens by part."""
     kind = dict(docs.dtypes)[id_col]
+    packed = ["counts", "codes", "rest", "ranked", "parts"]
 
-    def shape(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shape(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
         number, id_type = TaskContext.get().partitionId() << 32, None
         ids, seqs, index, held = [], [], {}, 0
 
         def block():
-            return pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), pa.array([ids], pa.list_(id_type)), pa.array([seqs], pa.list_(pa.binary())),
-                 pa.array([[w.encode() for w in index]], pa.list_(pa.binary()))], names=["block", "ids", "seqs", "words"])
-
-        for part in parts:
-            id_type = part.schema.field(id_col).type
-            for key, text in zip(part[id_col].to_pylist(), part["text"]):
+            at = np.concatenate(seqs)
+            words = [w.encode() for w in index]
+            part = np.array([zlib.crc32(w) % parts for w in words], dtype=np.int64)
+            order = np.argsort(part, kind="stable")
+            edges = np.flatnonzero(np.concatenate(([True], np.diff(part[order]) != 0, [True]))) if len(order) else np.array([0])
+            sent = []
+            for x, y in zip(edges.tolist(), edges[1:].tolist()):
+                some = [words[i] for i in order[x:y].tolist()]
+                sent.append({"part": int(part[order[x]]), "flat": zstandard.ZstdCompressor(level=6).compress(b"".join(some)),
+                             "sizes": _pack(np.array(list(map(len, some))))})
+            values = [_pack(np.array(list(map(len, seqs)))), *pack_positions(at, len(words)), _pack(part)]
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([ids], pa.list_(id_type)),
+                                               *(pa.array([v], pa.binary()) for v in values), pa.array([sent], WORDS)],
+                                              names=["block", "ids", *packed, "words"])
+
+        for batch in batches:
+            id_type = batch.schema.field(id_col).type
+            for key, text in zip(batch[id_col].to_pylist(), batch["text"]):
                 text = text.as_py() or ""
                 ids.append(key)
-                seqs.append(np.array([index.setdefault(w, len(index)) for w in find(text)], dtype="<u4").tobytes())
+                seqs.append(np.array([index.setdefault(w, len(index)) for w in find(text)], dtype=np.int64))
                 held += len(text)
                 if held >= block_chars or len(ids) >= 100_000:
                     yield block()
@@ -65,7 +118,9 @@ def _blocks(docs: DataFrame, pattern: str, id_col: str, block_chars: int) -> Dat
         if ids:
             yield block()
 
-    return docs.select(id_col, "text").mapInArrow(shape, f"block long, ids array<{kind}>, seqs array<binary>, words array<binary>")
+    return docs.select(id_col, "text").mapInArrow(
+        shape, f"block long, ids array<{kind}>, " + ", ".join(f"{c} binary" for c in packed)
+        + ", words array<struct<part: long, flat: binary, sizes: binary>>")
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -74,34 +129,51 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(load_ranks(vocabulary))
     kind = dict(docs.dtypes)[id_col]
-    blocks = staged(_blocks(docs, pattern, id_col, block_chars))
+    total = docs.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
+    blocks = staged(_blocks(docs, pattern, id_col, block_chars, -(-total // block_chars) or 1))
 
-    def encode_words(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode_words(table: pa.Table) -> pa.Table:
         piece = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})._encode_single_piece
-        for part in parts:
-            made = [np.array(piece(w), dtype="<u4").tobytes() for w in part["word"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([part["word"], pa.array(made, pa.binary())], names=["word", "tokens"])
-
-    words = blocks.select("block", F.posexplode("words").alias("pos", "word"))
-    encoded = words.select("word").distinct().mapInArrow(encode_words, "word binary, tokens binary")
-    back = words.join(encoded, "word").select(F.col("block").alias("of_block"), "pos", "tokens")
+        known: dict[bytes, list[int]] = {}
+        out = []
+        for flat, sizes in zip(table["flat"], table["sizes"]):
+            flat, at, ids, lengths = zstandard.ZstdDecompressor().decompress(flat.as_py()), 0, [], []
+            for size in _unpack(sizes.as_py()).tolist():
+                word = flat[at:at + size]
+                at += size
+                tokens = known.get(word)
+                if tokens is None:
+                    tokens = known[word] = piece(word)
+                ids += tokens
+                lengths.append(len(tokens))
+            out.append((_pack(np.array(ids)), _pack(np.array(lengths))))
+        return pa.table({"block": table["block"], "part": table["part"], "tokens": pa.array([o[0] for o in out], pa.binary()),
+                         "lengths": pa.array([o[1] for o in out], pa.binary())})
+
+    words = blocks.select("block", F.explode("words").alias("w")).select(F.col("w.part").alias("part"), "block", "w.flat", "w.sizes")
+    back = words.groupBy("part").applyInArrow(encode_words, "block long, part long, tokens binary, lengths binary")
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        table = right["tokens"].take(pa.array(np.argsort(right["pos"].to_numpy()))).combine_chunks() if right.num_rows else pa.array([], pa.binary())
-        flat = np.frombuffer(b"".join(table.to_pylist()), dtype="<u4")
-        sizes = np.array([len(t) // 4 for t in table.to_pylist()], dtype=np.int64)
-        starts = np.cumsum(sizes) - sizes
+        replies = sorted(zip(*(right[c].to_pylist() for c in ("part", "tokens", "lengths"))))
+        none = [np.array([], dtype="<u4")]
+        flat = np.concatenate([_unpack(r[1]) for r in replies] or none)
+        lengths = np.concatenate([_unpack(r[2]) for r in replies] or none).astype(np.int64)
         ids, out = [], []
-        for keys, seqs in zip(left["ids"].to_pylist(), left["seqs"]):
-            ids.extend(keys)
-            for seq in seqs:
-                at = np.frombuffer(seq.as_py(), dtype="<u4")
-                n = sizes[at]
-                shift = np.repeat(starts[at] - (np.cumsum(n) - n), n)
+        for row in left.to_pylist():
+            order = np.argsort(_unpack(row["parts"]), kind="stable")  # words in the order of the replies
+            sizes, starts = np.empty_like(lengths), np.empty_like(lengths)
+            sizes[order], starts[order] = lengths, np.cumsum(lengths) - lengths
+            at = unpack_positions(row["codes"], row["rest"], row["ranked"])
+            ends = np.cumsum(_unpack(row["counts"]).astype(np.int64))
+            for a, b in zip([0, *ends.tolist()], ends.tolist()):
+                n = sizes[at[a:b]]
+                shift = np.repeat(starts[at[a:b]] - (np.cumsum(n) - n), n)
                 out.append(flat[shift + np.arange(len(shift))].tobytes())
+            ids.extend(row["ids"])
         return pa.table({id_col: pa.array(ids, left.schema.field("ids").type.value_type), "tokens": pa.array(out, pa.binary())})
 
-    return (blocks.select("block", "ids", "seqs").groupBy("block").cogroup(back.groupBy("of_block"))
+    return (blocks.drop("words").groupBy("block")
+            .cogroup(back.select(F.col("block").alias("of_block"), "part", "tokens", "lengths").groupBy("of_block"))
             .applyInArrow(assemble, f"`{id_col}` {kind}, tokens binary"))
 
 
