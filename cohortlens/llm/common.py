@@ -23,10 +23,19 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def without(df: DataFrame, names: Iterable[str]) -> list[Column]:
-    """The columns of ``df`` but those that an output column would clash with (any case)."""
-    gone = {n.lower() for n in names}
-    return [df[f"`{c}`"] for c in df.columns if c.lower() not in gone]
+def kept_names(df: DataFrame, outputs: Iterable[str]) -> list[str]:
+    """The columns of ``df`` that no output column replaces (in any case)."""
+    gone = {n.lower() for n in outputs}
+    return [c for c in df.columns if c.lower() not in gone]
+
+
+def folded(df: DataFrame, names: list[str]) -> Column:
+    """The named columns as one struct, so that an operator's own names cannot clash with them."""
+    return F.struct(*[df[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(names)]) if names else F.lit(None)
+
+
+def unfolded(struct: str, names: list[str]) -> list[Column]:
+    return [F.col(struct).getField(f"c{i}").alias(c) for i, c in enumerate(names)]
 
 
 def ascii_lower(text: Column) -> Column:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import cut, without
+from cohortlens.llm.common import cut, folded, kept_names, unfolded
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -215,7 +215,7 @@ def host_of(url: str | None) -> str:
 
 def extract(pages: DataFrame, min_pages: int = 5, min_share: float = 0.3) -> DataFrame:
     """``pages`` without html, plus text and n_chars."""
-    own = [c for c in pages.columns if c.lower() not in ("html", "text", "n_chars", "_url", "_html", "_gone")]
+    own = kept_names(pages, ("html", "text", "n_chars"))
     page = (F.xxhash64(F.coalesce("url", F.lit(""))), F.xxhash64(F.coalesce("html", F.lit(""))))
 
     def hashes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,15 +232,14 @@ def extract(pages: DataFrame, min_pages: int = 5, min_share: float = 0.3) -> Dat
                    .where(F.col("n") >= min_share * F.col("pages")).select("host", "hash"))
     gone = (found.select("_url", "_html", "host", F.explode("hashes").alias("hash")).join(template, ["host", "hash"])
             .groupBy("_url", "_html").agg(F.collect_set("hash").alias("_gone")))
-    rows = pages.select(*without(pages, ["html", "text", "n_chars", "_url", "_html", "_gone"]), "html",
-                        page[0].alias("_url"), page[1].alias("_html")).join(gone, ["_url", "_html"], "left")
+    rows = (pages.select(folded(pages, own).alias("own"), "html", page[0].alias("_url"), page[1].alias("_html"))
+            .join(gone, ["_url", "_html"], "left").select("own", "html", "_gone"))
 
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             texts = [main_text(parse(h or ""), set(g or ())) for h, g in zip(part["html"].to_pylist(), part["_gone"].to_pylist())]
-            yield pa.RecordBatch.from_arrays([*(part[c] for c in own), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
-                                             names=[*own, "text", "n_chars"])
+            yield pa.RecordBatch.from_arrays([part["own"], pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
+                                             names=["own", "text", "n_chars"])
 
-    kinds = dict(pages.dtypes)
-    return rows.select(*[f"`{c}`" for c in own], "html", "_gone").mapInArrow(
-        read, ", ".join(f"`{c}` {kinds[c]}" for c in own) + ", text string, n_chars long")
+    out = rows.mapInArrow(read, f"own {dict(rows.dtypes)['own']}, text string, n_chars long")
+    return out.select(*unfolded("own", own), "text", "n_chars")

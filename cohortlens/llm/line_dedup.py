@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import WHITE, ascii_lower, cut, without
+from cohortlens.llm.common import WHITE, ascii_lower, cut, folded, kept_names, unfolded
 
 OUT = ("text", "n_lines", "n_dropped")
 
@@ -33,8 +33,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col:
     documents stays only in the largest id that holds it.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select(*without(docs, ["text", "n_lines", "n_dropped", "_lines", "_fp", "_drop", "_did"]), F.col(id_col).alias("_did"),
-                       text.alias("text"), F.xxhash64(text).alias("_fp"))
+    own = kept_names(docs, OUT)
+    base = docs.select(folded(docs, own).alias("_own"), F.col(id_col).alias("_did"), text.alias("text"), F.xxhash64(text).alias("_fp"))
     lines = (base.select("_did", "_fp", F.posexplode(F.split("text", "\n", -1)).alias("_pos", "_line"))
              .where(F.char_length(F.trim("_line", F.lit(WHITE))) >= min_chars)
              .select("_did", "_fp", "_pos", F.unhex(F.md5(line_key(F.col("_line")))).alias("_h")))
@@ -55,9 +55,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col:
     runs = F.transform(F.sequence(F.lit(1), F.size("_edges") - 1), lambda j: F.slice(
         F.col("_lines"), F.get("_edges", j - 1) + 2, F.get("_edges", j) - F.get("_edges", j - 1) - 1))
     kept = F.when(F.col("_edges").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(runs), "\n"))
-    own = [c for c in docs.columns if c.lower() not in OUT and c not in ("_lines", "_fp", "_drop", "_did", "_edges")]
-    return edged.select(*[F.col(f"`{c}`") for c in own], kept.alias("text"), n.cast("long").alias("n_lines"),
-                        F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"))
+    made = F.struct(kept.alias("text"), n.cast("long").alias("n_lines"), F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"))
+    return edged.select("_own", made.alias("_made")).select(*unfolded("_own", own), "_made.*")
 
 
 ORACLE_SQL = r"""

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import without
+from cohortlens.llm.common import kept_names
 from cohortlens.llm.text_stats import text_stats
 
 DIMS = 1 << 16
@@ -121,7 +121,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", max_train:
     else:
         machine.v[:] = 0
     model = docs.sparkSession.sparkContext.broadcast((machine.bias, machine.w, machine.v))
-    given = docs.select(*without(docs, OUT))
+    given = docs.select(*[f"`{c}`" for c in kept_names(docs, OUT)])
 
     def shape(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = Machine.__new__(Machine)
