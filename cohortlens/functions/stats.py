@@ -88,9 +88,9 @@ def two_proportion_z_test(conv_a, n_a, conv_b, n_b) -> dict[str, Column]:
     p_b = safe_div(conv_b, n_b)
     pooled = safe_div(conv_a + conv_b, n_a + n_b)
     valid = (n_a > 0) & (n_b > 0)
-    se = F.sqrt(pooled * (F.lit(1.0) - pooled) * (F.lit(1.0) / n_a + F.lit(1.0) / n_b))
-    z = F.when(~valid, None).when(se > 0, (p_b - p_a) / se).otherwise(F.lit(0.0))
-    se_diff = F.sqrt(p_a * (F.lit(1.0) - p_a) / n_a + p_b * (F.lit(1.0) - p_b) / n_b)
+    se = F.sqrt(pooled * (F.lit(1.0) - pooled) * (F.try_divide(F.lit(1.0), n_a) + F.try_divide(F.lit(1.0), n_b)))
+    z = F.when(~valid, None).when(se > 0, F.try_divide(p_b - p_a, se)).otherwise(F.lit(0.0))
+    se_diff = F.sqrt(F.try_divide(p_a * (F.lit(1.0) - p_a), n_a) + F.try_divide(p_b * (F.lit(1.0) - p_b), n_b))
     diff = p_b - p_a
     from cohortlens.config import Z_95
 
@@ -114,9 +114,9 @@ def with_two_proportion_z_test(df, conv_a: str, n_a: str, conv_b: str, n_b: str)
     s1 = df.select("*", safe_div(a, na).alias("_pa"), safe_div(b, nb).alias("_pb"),
                    safe_div(a + b, na + nb).alias("_pool"), ((na > 0) & (nb > 0)).alias("_valid"))
     pa, pb, pool = F.col("_pa"), F.col("_pb"), F.col("_pool")
-    s2 = s1.select("*", F.sqrt(pool * (F.lit(1.0) - pool) * (F.lit(1.0) / na + F.lit(1.0) / nb)).alias("_se"),
-                   F.sqrt(pa * (F.lit(1.0) - pa) / na + pb * (F.lit(1.0) - pb) / nb).alias("_se_diff"))
-    s3 = s2.select("*", F.when(~F.col("_valid"), None).when(F.col("_se") > 0, (pb - pa) / F.col("_se"))
+    s2 = s1.select("*", F.sqrt(pool * (F.lit(1.0) - pool) * (F.try_divide(F.lit(1.0), na) + F.try_divide(F.lit(1.0), nb))).alias("_se"),
+                   F.sqrt(F.try_divide(pa * (F.lit(1.0) - pa), na) + F.try_divide(pb * (F.lit(1.0) - pb), nb)).alias("_se_diff"))
+    s3 = s2.select("*", F.when(~F.col("_valid"), None).when(F.col("_se") > 0, F.try_divide(pb - pa, F.col("_se")))
                    .otherwise(F.lit(0.0)).alias("z"))
     diff = pb - pa
     s4 = s3.select("*", F.when(F.col("_valid"), two_sided_p(F.col("z"))).alias("p_value"),

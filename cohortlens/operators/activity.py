@@ -41,47 +41,44 @@ def has_event_flags(events: DataFrame, names: dict[str, str], source: str = USER
     ])
 
 
-HOT_USER_EVENTS = 1_000_000  # a user with this many events is spread over salt buckets
-SALT_BUCKETS = 64
+HOT_USER_EVENTS = 1_000_000  # a user with this many events is spread over salt buckets of about as many
 
 
 def hot_users(events: DataFrame, threshold: int = HOT_USER_EVENTS) -> DataFrame:
-    """Users with at least ``threshold`` events: a partial-aggregated count per user, filtered.
-
-    Size bound: at most ``events / threshold`` ids, which is what makes broadcasting it safe.
+    """Users with at least ``threshold`` events and the number of salt buckets that leave about
+    ``threshold`` events in each: a partial-aggregated count per user, filtered. At most
+    ``events / threshold`` rows, with at most ``2 * events / threshold`` buckets in all.
     """
     return (events.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") >= threshold).select("user_id", F.lit(True).alias("_hot")))
+            .where(F.col("_n") >= threshold).select("user_id", F.ceil(F.col("_n") / threshold).cast("int").alias("_salts")))
 
 
 def with_user_columns(events: DataFrame, users: DataFrame, columns: list[str],
-                      hot_threshold: int | None = HOT_USER_EVENTS, buckets: int = SALT_BUCKETS,
-                      hot: DataFrame | None = None) -> DataFrame:
+                      hot_threshold: int | None = HOT_USER_EVENTS, hot: DataFrame | None = None) -> DataFrame:
     """Attach per-user columns (e.g. signup) to each event: inner equi-join on user_id.
 
     Skew: a user holding a large share of the log would put all of its events into one join task.
-    Users with >= ``hot_threshold`` events get their events spread over ``buckets`` salt values
-    (hash of the event) and their single users row replicated to every salt, so the join key
-    (user_id, salt) is balanced; every other user keeps salt 0. Exact: each event still meets its
-    one users row. Aggregations after the join are partial per salt bucket before their own
+    A user with >= ``hot_threshold`` events gets them spread over salt buckets (hash of the event)
+    whose number grows with them, and its single users row replicated to each bucket, so the join
+    key (user_id, salt) is balanced; every other user keeps salt 0. Exact: each event still meets
+    its one users row. Aggregations after the join are partial per salt bucket before their own
     shuffle. ``hot_threshold=None`` disables salting (AQE skew-join splitting still applies).
     ``hot`` (a precomputed :func:`hot_users` list, e.g. shared by every operator of one load)
     skips the counting pass; any list keeps the join exact since both sides use the same one.
+    The list is joined as its measured size says (broadcast while it is small).
     """
     u = users.select("user_id", *columns)
     if hot_threshold is None:
         return events.join(u, "user_id", "inner")
-    hot = F.broadcast(hot if hot is not None else hot_users(events, hot_threshold))  # <= events / threshold rows
+    hot = hot if hot is not None else hot_users(events, hot_threshold)
     # row content plus its position in the input split: identical duplicate events spread too,
     # and a recomputed split reproduces the same salts
     row_key = F.xxhash64(*[F.col(c) for c in events.columns], F.monotonically_increasing_id())
-    ev = (events.join(hot, "user_id", "left")
-          .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_key, F.lit(buckets))).otherwise(F.lit(0)).cast("int"))
-          .drop("_hot"))
+    salts = F.coalesce("_salts", F.lit(1))
+    ev = (events.withColumn("_key", row_key).join(hot, "user_id", "left")
+          .withColumn("_salt", F.pmod("_key", salts).cast("int")).drop("_salts", "_key"))
     us = (u.join(hot, "user_id", "left")
-          .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                                         .otherwise(F.array(F.lit(0)))))
-          .drop("_hot"))
+          .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts"))
     return ev.join(us, ["user_id", "_salt"], "inner").drop("_salt")
 
 

@@ -10,12 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.functions.ordered import exact_quantiles, running_totals
-from cohortlens.functions.scalars import scalar_row, with_scalars
+from cohortlens.functions.ordered import running_totals
+from cohortlens.functions.scalars import with_scalars
 from cohortlens.functions.stats import safe_div
 
 EPS = 2.220446049250313e-16  # float64 machine epsilon used to clip probabilities
-CRITERIA = {"f1": 1.0, "f2": 2.0}
 
 
 def linspace(n: int) -> list[float]:
@@ -65,22 +64,32 @@ def average_precision_by(scored: DataFrame, by: list[str], label: str = "label",
                            F.coalesce(F.sum("N").over(gw), F.lit(0)).alias("_ofp"))  # one row per group
     j = cum.join(groups, by)
     ctp, cfp = F.col("_ctp") - F.col("_otp"), F.col("_cfp") - F.col("_ofp")
-    term = (F.col("tp") / F.col("P")) * (ctp / (ctp + cfp))
+    term = F.try_divide("tp", "P") * (ctp / (ctp + cfp))
     return j.groupBy(*by).agg(F.when(F.max("P") > 0, F.sum(term)).alias("pr_auc"))
 
 
+def _average_precision() -> Column:
+    """Over :func:`cumulative` rows; null without positives."""
+    term = F.try_divide("tp", "P") * (F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp")))
+    return F.when(F.max("P") > 0, F.sum(term))
+
+
+def _roc_area() -> Column:
+    """Over :func:`cumulative` rows; null for a single class."""
+    term = F.col("fp") * (F.col("cum_tp") - F.col("tp") / 2.0)
+    return F.try_divide(F.sum(term), F.max("P") * F.max("N"))
+
+
 def average_precision(scored: DataFrame, label: str = "label", prob: str = "prob") -> DataFrame:
     """EV1: sum over distinct thresholds of (R_n - R_n-1) * P_n."""
     c = cumulative(scored, label, prob)
-    term = (F.col("tp") / F.col("P")) * (F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp")))
-    return c.agg(F.when(F.max("P") > 0, F.sum(term)).alias("pr_auc"))
+    return c.agg(_average_precision().alias("pr_auc"))
 
 
 def roc_auc(scored: DataFrame, label: str = "label", prob: str = "prob") -> DataFrame:
     """EV2: trapezoidal ROC area with ties, sum fp_s * (TP_{>s} + tp_s / 2) / (P N)."""
     c = cumulative(scored, label, prob)
-    term = F.col("fp") * (F.col("cum_tp") - F.col("tp") / 2.0)
-    return c.agg(F.when((F.max("P") > 0) & (F.max("N") > 0), F.sum(term) / (F.max("P") * F.max("N"))).alias("roc_auc"))
+    return c.agg(_roc_area().alias("roc_auc"))
 
 
 def probability_scores(scored: DataFrame, label: str = "label", prob: str = "prob") -> DataFrame:
@@ -113,16 +122,23 @@ def threshold_metrics(scored: DataFrame, threshold: float, label: str = "label",
 
 
 def compute_metrics(scored: DataFrame, threshold: float, label: str = "label", prob: str = "prob") -> DataFrame:
-    """EV6: the nine-metric bundle in one row."""
-    c = cumulative(scored, label, prob)  # one cumulative pass serves both curve metrics
-    curves = c.agg(
-        F.when(F.max("P") > 0, F.sum((F.col("tp") / F.col("P")) * (F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp")))))
-        .alias("pr_auc"),
-        F.when((F.max("P") > 0) & (F.max("N") > 0),
-               F.sum(F.col("fp") * (F.col("cum_tp") - F.col("tp") / 2.0)) / (F.max("P") * F.max("N"))).alias("roc_auc"))
-    out = scalar_row(curves, probability_scores(scored, label, prob), threshold_metrics(scored, threshold, label, prob))
-    return out.select("pr_auc", "roc_auc", "log_loss", "brier_score", "threshold", "precision", "recall",
-                      "f1_score", "accuracy")
+    """EV6: the nine-metric bundle in one row, from one pass over the (possibly model-scored) input:
+    all nine follow from the rows per distinct score."""
+    c = cumulative(scored, label, prob)
+    p = F.least(F.greatest(F.col("prob"), F.lit(EPS)), F.lit(1.0 - EPS))
+    n = F.sum(F.col("tp") + F.col("fp"))
+    above = F.col("prob") >= F.lit(float(threshold))
+    one = c.agg(
+        _average_precision().alias("pr_auc"), _roc_area().alias("roc_auc"),
+        F.try_divide(-F.sum(F.col("tp") * F.log(p) + F.col("fp") * F.log(1.0 - p)), n).alias("log_loss"),
+        F.try_divide(F.sum(F.col("tp") * F.pow(F.col("prob") - 1, 2) + F.col("fp") * F.pow("prob", F.lit(2))), n).alias("brier_score"),
+        n.alias("_n"), F.max("P").alias("_p"),
+        F.coalesce(F.sum(F.when(above, F.col("tp"))), F.lit(0)).alias("_tp"), F.coalesce(F.sum(F.when(above, F.col("fp"))), F.lit(0)).alias("_fp"))
+    tp, fp, pos = F.col("_tp"), F.col("_fp"), F.col("_p")
+    right = tp + (F.col("_n") - pos - fp)
+    return one.select("pr_auc", "roc_auc", "log_loss", "brier_score", F.lit(float(threshold)).alias("threshold"),
+                      safe_div(tp, tp + fp).alias("precision"), safe_div(tp, pos).alias("recall"),
+                      _fbeta(tp, pos, tp + fp, 1.0).alias("f1_score"), safe_div(right, F.col("_n")).alias("accuracy"))
 
 
 def _grid_value(i: Column, n: int) -> Column:
@@ -144,11 +160,11 @@ def threshold_sweep(scored: DataFrame, n_thresholds: int = 101, label: str = "la
     spark = scored.sparkSession
     buckets = scored.groupBy(grid_bucket(F.col(prob), n_thresholds).alias("k")).agg(
         F.sum(_label(label)).alias("pos"), F.sum(1 - _label(label)).alias("neg"))
-    dense = spark.range(n_thresholds).select(F.col("id").cast("int").alias("k")).join(buckets, "k", "left").fillna(0)
-    w = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # n rows only
-    below = dense.select("k", F.sum("pos").over(w).alias("_pos_le"), F.sum("neg").over(w).alias("_neg_le"))
-    tot = class_totals(scored, label)
-    j = _one_row_join(below, tot)
+    dense = spark.range(n_thresholds + 1).select(F.col("id").cast("int").alias("k")).join(buckets, "k", "left").fillna(0)
+    upto = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # n + 1 rows only
+    every = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    j = dense.select("k", F.sum("pos").over(upto).alias("_pos_le"), F.sum("neg").over(upto).alias("_neg_le"),
+                     F.sum("pos").over(every).alias("P"), F.sum("neg").over(every).alias("N")).where(F.col("k") < n_thresholds)
     tp = F.col("P") - F.col("_pos_le")
     fp = F.col("N") - F.col("_neg_le")
     return j.select(
@@ -165,7 +181,7 @@ def select_threshold(scored: DataFrame, criterion: str = "f1", n_thresholds: int
     if criterion == "youden":
         return youden_threshold(scored, label, prob)
     if criterion not in ("f1", "f2", "precision", "recall"):
-        raise ValueError(f"Unsupported threshold criterion: {criterion}")
+        raise ValueError(f"no threshold can be selected by {criterion!r}")
     sweep = threshold_sweep(scored, n_thresholds, label, prob)
     best = sweep.agg(F.max_by(F.struct("threshold", F.col(criterion).alias("score")),
                               F.struct(F.col(criterion), -F.col("threshold"))).alias("b"))
@@ -175,7 +191,7 @@ def select_threshold(scored: DataFrame, criterion: str = "f1", n_thresholds: int
 def youden_threshold(scored: DataFrame, label: str = "label", prob: str = "prob") -> DataFrame:
     """EV8: distinct score maximising TPR - FPR (highest score on ties); +inf when no J > 0."""
     c = cumulative(scored, label, prob)
-    j = F.col("cum_tp") / F.col("P") - F.col("cum_fp") / F.col("N")
+    j = F.try_divide("cum_tp", "P") - F.try_divide("cum_fp", "N")  # null for a single class
     best = c.agg(F.max(j).alias("_j"), F.max_by("prob", F.struct(j, F.col("prob"))).alias("_p"))
     thr = F.when(F.col("_j") > 0, F.col("_p")).otherwise(F.lit(float("inf")))
     return best.select(F.lit("youden").alias("criterion"), thr.alias("threshold"), F.col("_j").alias("score"))
@@ -185,29 +201,45 @@ def calibration(scored: DataFrame, n_bins: int = 10, min_count: int = 5, label:
                 prob: str = "prob") -> DataFrame:
     """EV10: quantile bins (lo, hi] with the minimum included, duplicate edges dropped; bins with
     >= min_count rows: bin, mean_predicted, mean_observed, count."""
-    q = exact_quantiles(scored, prob, linspace(n_bins + 1))
-    edges = q.agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("q", "quantile"))),
-                                               lambda s: s["quantile"])).alias("_edges"))  # <= n_bins + 1 values
-    j = _one_row_join(scored, edges)
-    bin_ = F.greatest(F.lit(1), F.size(F.filter("_edges", lambda e: e < F.col(prob))))
-    out = j.groupBy(bin_.alias("bin")).agg(F.avg(prob).alias("mean_predicted"),
-                                            F.avg(_label(label).cast("double")).alias("mean_observed"),
-                                            F.count(F.lit(1)).alias("count"))
+    c = cumulative(scored, label, prob)  # rows per distinct score: the input is read once
+    rows, total = F.col("tp") + F.col("fp"), F.col("P") + F.col("N")
+    upto = total - (F.col("cum_tp") + F.col("cum_fp")) + rows  # rows at or below this score
+    grid = linspace(n_bins + 1)
+    ranks = []
+    for i, q in enumerate(grid):
+        low = F.floor((total - 1).cast("double") * q)
+        ranks += [F.min(F.when(upto >= low + 1, F.col("prob"))).alias(f"_a{i}"),
+                  F.min(F.when(upto >= F.least(low + 2, total), F.col("prob"))).alias(f"_b{i}")]
+    found = c.agg(F.max(total).alias("_n"), *ranks)
+    quantiles = []
+    for i, q in enumerate(grid):
+        h = (F.col("_n") - 1).cast("double") * q
+        t, a, b = h - F.floor(h), F.col(f"_a{i}"), F.col(f"_b{i}")
+        quantiles.append(F.when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t))
+    edges = found.select(F.array_distinct(F.array(*quantiles)).alias("_edges"))  # n_bins + 1 values
+    j = _one_row_join(c, edges)
+    bin_ = F.greatest(F.lit(1), F.size(F.filter("_edges", lambda e: e < F.col("prob"))))
+    out = j.groupBy(bin_.alias("bin")).agg((F.sum(F.col("prob") * rows) / F.sum(rows)).alias("mean_predicted"),
+                                            (F.sum("tp") / F.sum(rows)).alias("mean_observed"), F.sum(rows).alias("count"))
     return out.where(F.col("count") >= min_count).orderBy("bin")
 
 
 def pr_curve(scored: DataFrame, label: str = "label", prob: str = "prob") -> DataFrame:
-    """EV11: one (threshold, precision, recall) point per distinct score."""
+    """EV11: one (threshold, precision, recall) point per distinct score, and the end point of
+    recall 0 and precision 1, which has no threshold."""
     c = cumulative(scored, label, prob)
-    return c.select(F.col("prob").alias("threshold"), safe_div("cum_tp", F.col("cum_tp") + F.col("cum_fp")).alias("precision"),
-                    safe_div("cum_tp", "P").alias("recall")).orderBy(F.desc("threshold"))
+    points = c.select(F.col("prob").alias("threshold"), safe_div("cum_tp", F.col("cum_tp") + F.col("cum_fp")).alias("precision"),
+                      safe_div("cum_tp", "P").alias("recall"))
+    end = scored.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
+    return points.union(end).orderBy(F.desc_nulls_first("threshold"))
 
 
 def roc_curve(scored: DataFrame, label: str = "label", prob: str = "prob") -> DataFrame:
-    """EV11: one (threshold, fpr, tpr) point per distinct score."""
+    """EV11: one (threshold, fpr, tpr) point per distinct score, from (0, 0) at infinity on."""
     c = cumulative(scored, label, prob)
-    return c.select(F.col("prob").alias("threshold"), safe_div("cum_fp", "N").alias("fpr"),
-                    safe_div("cum_tp", "P").alias("tpr")).orderBy(F.desc("threshold"))
+    points = c.select(F.col("prob").alias("threshold"), safe_div("cum_fp", "N").alias("fpr"), safe_div("cum_tp", "P").alias("tpr"))
+    start = scored.sparkSession.range(1).select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return points.union(start).orderBy(F.desc("threshold"))
 
 
 def risk_histogram(scored: DataFrame, bins: int = 30, label: str = "label", prob: str = "prob") -> DataFrame:

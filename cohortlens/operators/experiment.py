@@ -43,7 +43,7 @@ def srm_test(assignments: DataFrame, experiment_id: str = config.ONBOARDING_EXPE
     obs = F.coalesce(F.col("observed"), F.lit(0)).cast("double")
     agg = per.agg(
         F.max("_n").alias("n"),
-        F.sum(F.when(known, (obs - expected) * (obs - expected) / expected)).alias("chi2"),
+        F.sum(F.when(known, F.try_divide((obs - expected) * (obs - expected), expected))).alias("chi2"),
         F.coalesce(F.sum(F.when(~known, F.col("observed"))), F.lit(0)).cast("bigint").alias("unknown_variant_rows"),
     )
     dof = len(variants) - 1

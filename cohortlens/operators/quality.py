@@ -9,6 +9,8 @@ blocks of each session), so a giant session never lands in one window partition
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,13 +20,14 @@ from cohortlens.functions.scalars import scalar_row
 from cohortlens.functions.stats import chi2_sf
 from cohortlens.functions.timeutil import plus_days
 from cohortlens.operators.activity import with_user_columns
+from cohortlens.sources import schemas
 
 ERROR, WARNING = "error", "warning"
 
-REQUIRED_USER_COLUMNS = ["user_id", "signup_timestamp", "acquisition_channel", "country", "device_type", "language",
-                         "timezone", "initial_plan_type", "user_intent_level", "career_stage", "marketing_consent"]
-REQUIRED_EVENT_COLUMNS = ["event_id", "user_id", "session_id", "event_name", "event_timestamp", "event_properties",
-                          "page_name", "platform", "event_source"]
+REQUIRED_USER_COLUMNS = [c for c in schemas.USERS.names if c not in schemas.PRIVATE_USER_COLUMNS]
+REQUIRED_EVENT_COLUMNS = [c for c in schemas.EVENTS.names if c not in ("experiment_id", "variant_id")]
+USER_DOMAINS = {"acquisition_channel": config.ACQUISITION_CHANNELS, "device_type": config.DEVICE_TYPES,
+                "user_intent_level": config.USER_INTENT_LEVELS, "career_stage": config.CAREER_STAGES}
 SESSION_BLOCK = 1 << 20  # rows of ingest order handled by one window partition at most
 
 
@@ -56,7 +59,7 @@ def _domain_row(check: str, c: str, severity: str = ERROR) -> Column:
 
 def _dup_count(c: str) -> Column:
     # rows after the first per key; nulls compare equal to each other
-    return F.count(F.lit(1)) - F.count_distinct(F.col(c)) - F.max(F.col(c).isNull()).cast("bigint")
+    return F.count(F.lit(1)) - F.count_distinct(F.col(c)) - F.coalesce(F.max(F.col(c).isNull()), F.lit(False)).cast("bigint")
 
 
 def _missing_columns(df: DataFrame, required: list[str], check: str) -> DataFrame:
@@ -67,58 +70,63 @@ def _missing_columns(df: DataFrame, required: list[str], check: str) -> DataFram
                                       ).alias("r"))
 
 
-def _users_checks(users: DataFrame, data_freeze: datetime) -> DataFrame:
-    constraint = (F.col("user_id").isNull() | F.col("signup_timestamp").isNull()
-                  | _invalid("acquisition_channel", config.ACQUISITION_CHANNELS)
-                  | _invalid("device_type", config.DEVICE_TYPES)
-                  | _invalid("user_intent_level", config.USER_INTENT_LEVELS)
-                  | _invalid("career_stage", config.CAREER_STAGES)
-                  | F.col("marketing_consent").isNull())
-    agg = users.agg(
-        *_domain_checks("acquisition_channel", config.ACQUISITION_CHANNELS),
-        *_domain_checks("device_type", config.DEVICE_TYPES),
-        _dup_count("user_id").alias("_dup"),
-        F.count_if(constraint).alias("_constraint"),
-        F.max("signup_timestamp").alias("_max_signup"),
-    )
-    freeze = F.lit(data_freeze).cast("timestamp_ntz")
-    window_end = plus_days(F.col("_max_signup"), config.LABEL_WINDOW_END_DAY)
-    late = F.coalesce(window_end > freeze, F.lit(False))
-    rows = F.array(
-        _domain_row("acquisition_channel_domain", "acquisition_channel"),
-        _domain_row("device_type_domain", "device_type"),
-        _row("unique_user_ids", ERROR, F.col("_dup"), "duplicate user_id rows"),
-        _row("user_row_constraints", ERROR, F.col("_constraint"), "users rows violating declared types/domains"),
-        _row("observation_window", ERROR, late.cast("bigint"), "latest signup + label window beyond data freeze"),
-    )
-    return agg.select(F.explode(rows).alias("r"))
-
-
-def _events_checks(events: DataFrame) -> DataFrame:
-    agg = events.agg(
-        *_domain_checks("event_name", config.ALL_EVENT_NAMES),
-        *_domain_checks("event_source", config.EVENT_SOURCES),
-        *_domain_checks("platform", config.PLATFORMS),
-        _dup_count("event_id").alias("_dup"),
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(F.col("event_properties").isNull()).alias("_props_null"),
-        F.count_if(F.col("event_source") == "campaign").alias("_campaign"),
-    )
-    props_share = F.col("_props_null") / F.col("_n")
-    campaign_share = F.col("_campaign") / F.col("_n")
-    props_high = F.coalesce(props_share > config.EVENT_PROPERTIES_MISSING_MAX, F.lit(False))
-    camp_high = F.coalesce(campaign_share > config.CAMPAIGN_SHARE_MAX, F.lit(False))
-    rows = F.array(
-        _domain_row("event_name_domain", "event_name"),
-        _domain_row("event_source_domain", "event_source"),
-        _domain_row("platform_domain", "platform", WARNING),
-        _row("unique_event_ids", ERROR, F.col("_dup"), "duplicate event_id rows"),
-        _row("event_properties_missing_rate", WARNING, F.col("_props_null"), "share of null event_properties",
-             ~props_high, props_share),
-        _row("campaign_event_share", WARNING, F.col("_campaign"), "share of campaign events", ~camp_high,
-             campaign_share),
-    )
-    return agg.select(F.explode(rows).alias("r"))
+def _report(df: DataFrame, aggregates: list[Column], rows: list[Column]) -> DataFrame | None:
+    return df.agg(*aggregates).select(F.explode(F.array(*rows)).alias("r")) if rows else None
+
+
+def _users_checks(users: DataFrame, data_freeze: datetime | Column) -> DataFrame | None:
+    """The checks whose columns exist; a missing column is an error of its own (DQ1)."""
+    has = set(users.columns)
+    domains = {c: d for c, d in USER_DOMAINS.items() if c in has}
+    aggregates, rows = [], []
+    for c in ("acquisition_channel", "device_type"):
+        if c in has:
+            aggregates += _domain_checks(c, domains[c])
+            rows.append(_domain_row(f"{c}_domain", c))
+    if "user_id" in has:
+        aggregates.append(_dup_count("user_id").alias("_dup"))
+        rows.append(_row("unique_user_ids", ERROR, F.col("_dup"), "duplicate user_id rows"))
+    broken = [F.col(c).isNull() for c in ("user_id", "signup_timestamp", "marketing_consent") if c in has]
+    broken += [_invalid(c, d) for c, d in domains.items()]
+    if broken:
+        aggregates.append(F.count_if(reduce(or_, broken)).alias("_constraint"))
+        rows.append(_row("user_row_constraints", ERROR, F.col("_constraint"), "users rows violating declared types/domains"))
+    if "signup_timestamp" in has:
+        freeze = data_freeze if isinstance(data_freeze, Column) else F.lit(data_freeze).cast("timestamp_ntz")
+        aggregates.append(F.max("signup_timestamp").alias("_max_signup"))
+        late = F.coalesce(plus_days(F.col("_max_signup"), config.LABEL_WINDOW_END_DAY) > freeze, F.lit(False))
+        rows.append(_row("observation_window", ERROR, late.cast("bigint"), "latest signup + label window beyond data freeze"))
+    return _report(users, aggregates, rows)
+
+
+def _events_checks(events: DataFrame) -> DataFrame | None:
+    """The checks whose columns exist; a missing column is an error of its own (DQ2)."""
+    has = set(events.columns)
+    aggregates, rows = [F.count(F.lit(1)).alias("_n")], []
+    for c, domain, severity in (("event_name", config.ALL_EVENT_NAMES, ERROR), ("event_source", config.EVENT_SOURCES, ERROR),
+                                ("platform", config.PLATFORMS, WARNING)):
+        if c in has:
+            aggregates += _domain_checks(c, domain)
+            rows.append(_domain_row(f"{c}_domain", c, severity))
+    if "event_id" in has:
+        aggregates.append(_dup_count("event_id").alias("_dup"))
+        rows.append(_row("unique_event_ids", ERROR, F.col("_dup"), "duplicate event_id rows"))
+    for c, wrong, check, limit, detail in (
+            ("event_properties", F.col("event_properties").isNull(), "event_properties_missing_rate", config.EVENT_PROPERTIES_MISSING_MAX,
+             "share of null event_properties"),
+            ("event_source", F.col("event_source") == "campaign", "campaign_event_share", config.CAMPAIGN_SHARE_MAX, "share of campaign events")):
+        if c in has:
+            aggregates.append(F.count_if(wrong).alias(f"_c_{c}"))
+            share = F.try_divide(F.col(f"_c_{c}"), F.col("_n"))
+            rows.append(_row(check, WARNING, F.col(f"_c_{c}"), detail, ~F.coalesce(share > limit, F.lit(False)), share))
+    return _report(events, aggregates, rows)
+
+
+def offending_values(df: DataFrame, column: str, domain: list[str], top: int = 20) -> DataFrame:
+    """DQ3-DQ8 in detail: the most frequent values outside a domain, null among them, with their
+    rows (a top-k report: violations are counted in full by :func:`validate`)."""
+    bad = df.where(_invalid(column, domain)).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+    return bad.select(F.lit(column).alias("column"), "value", "rows").orderBy(F.desc("rows"), F.asc_nulls_first("value")).limit(top)
 
 
 def _orphans(child: DataFrame, parent: DataFrame, check: str, severity: str = ERROR) -> DataFrame:
@@ -175,27 +183,20 @@ def session_order_violations(events: DataFrame, order_cols: list[str], block: in
 def srm_by_experiment(assignments: DataFrame, variants: list[tuple[str, float]] | None = None,
                       alpha: float = config.SRM_ALPHA) -> DataFrame:
     """DQ17: one SRM row per experiment present in the assignments (allocation from config)."""
-    variants = variants or config.ONBOARDING_VARIANTS
-    counts = assignments.groupBy("experiment_id", "variant_id").agg(F.count(F.lit(1)).alias("o"))
-    alloc = {v: a for v, a in variants}
-    alloc_col = None
-    for v, a in alloc.items():
-        alloc_col = F.when(F.col("variant_id") == v, F.lit(a)) if alloc_col is None else alloc_col.when(F.col("variant_id") == v, F.lit(a))
-    per_exp = counts.groupBy("experiment_id").agg(
-        F.sum("o").alias("n"),
-        F.map_from_entries(F.collect_list(F.struct("variant_id", "o"))).alias("obs"),  # <= variants per experiment
-        F.sum(F.when(alloc_col.isNull(), F.col("o"))).alias("unknown"))
-    chi2 = None
-    for v, a in alloc.items():
-        o = F.coalesce(F.element_at("obs", F.lit(v)), F.lit(0)).cast("double")
-        e = F.lit(a) * F.col("n")
-        term = (o - e) * (o - e) / e
-        chi2 = term if chi2 is None else chi2 + term
+    alloc = dict(variants or config.ONBOARDING_VARIANTS)
+    variant = F.col("variant_id")
+    per_exp = assignments.groupBy("experiment_id").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(variant == v).alias(f"o{i}") for i, v in enumerate(alloc)],
+        F.count_if(variant.isNull() | ~variant.isin(list(alloc))).alias("unknown"))
+    chi2 = F.lit(0.0)
+    for i, share in enumerate(alloc.values()):
+        expected = F.lit(share) * F.col("n")
+        chi2 = chi2 + F.try_divide(F.pow(F.col(f"o{i}") - expected, 2), expected)
     p = chi2_sf(chi2, len(alloc) - 1)
     return per_exp.select(F.struct(
-        F.concat(F.lit("srm_"), F.col("experiment_id")).alias("check"), F.lit(ERROR).alias("severity"),
-        ((p >= alpha) & F.col("unknown").isNull()).alias("passed"),
-        F.coalesce(F.col("unknown"), F.lit(0)).cast("bigint").alias("violations"),
+        F.concat(F.lit("srm_"), F.coalesce("experiment_id", F.lit("null"))).alias("check"), F.lit(ERROR).alias("severity"),
+        ((p >= alpha) & (F.col("unknown") == 0)).alias("passed"),
+        F.col("unknown").cast("bigint").alias("violations"),
         p.cast("double").alias("value"),
         F.lit("chi-square p-value vs configured allocation; violations = rows of unknown variants").alias("detail"),
     ).alias("r"))
@@ -228,7 +229,7 @@ def _intervention_constraints(interventions: DataFrame) -> DataFrame:
 
 
 def validate(users: DataFrame, events: DataFrame, assignments: DataFrame, labels: DataFrame | None = None,
-             interventions: DataFrame | None = None, data_freeze: datetime = config.DATA_FREEZE,
+             interventions: DataFrame | None = None, data_freeze: datetime | Column = config.DATA_FREEZE,
              session_order_cols: list[str] | None = None, ordered_events: DataFrame | None = None,
              hot_users: DataFrame | None = None) -> DataFrame:
     """DQ1-DQ23: the whole report; ``passed`` overall = :func:`report_passed`.
@@ -240,26 +241,27 @@ def validate(users: DataFrame, events: DataFrame, assignments: DataFrame, labels
         _missing_columns(events, REQUIRED_EVENT_COLUMNS, "events_columns"),
         _users_checks(users, data_freeze),
         _events_checks(events),
-        _event_user_keys(users, events),
-        _orphans(assignments, users, "experiment_foreign_keys"),
-        _orphans(users, assignments, "users_missing_assignment"),
-        _events_before_signup(users, events, hot_users),
         srm_by_experiment(assignments),
         _assignment_constraints(assignments),
     ]
+    if "user_id" not in users.columns:
+        interventions = labels = None
+    else:
+        parts += [_orphans(assignments, users, "experiment_foreign_keys"), _orphans(users, assignments, "users_missing_assignment")]
+        if "user_id" in events.columns:
+            parts.append(_event_user_keys(users, events))
+            if "event_timestamp" in events.columns and "signup_timestamp" in users.columns:
+                parts.append(_events_before_signup(users, events, hot_users))
     if interventions is not None:
         parts.append(_orphans(interventions, users, "intervention_foreign_keys"))
         parts.append(_intervention_constraints(interventions))
     if labels is not None:
         parts.append(_label_checks(users, labels))
-    if session_order_cols:
+    if session_order_cols and {"session_id", "event_timestamp"} <= set(events.columns):
         so = session_order_violations(ordered_events if ordered_events is not None else events, session_order_cols)
         parts.append(so.select(_row("session_timestamp_order", WARNING, F.col("sessions"),
                                     "sessions with out-of-order timestamps").alias("r")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("r.*")
+    return reduce(DataFrame.unionByName, [p for p in parts if p is not None]).select("r.*")
 
 
 def report_passed(report: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Registry of runnable queries: key -> (spark, sf_dir) -> DataFrame, plus its SQL oracle.
 
 Every query reads the driver tables under ``sf_dir`` through the lazy adapter, runs one
-operator (or a composition) over the whole tables, and rounds doubles to 6 places so the result
-is comparable with the oracle statement of the same key.
+operator (or a composition) over the whole tables. Only here, where a result is compared with its
+oracle statement by value, doubles are rounded (6 places, p-values 12); the operators themselves
+return full doubles.
 """
 
 from __future__ import annotations
@@ -19,10 +20,12 @@ from cohortlens.sources import testdata
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, Callable[[], str]] = {}
 DIGITS = 6
+P_DIGITS = 12  # small p-values must not become 0
+P_COLUMNS = {"p_value", "p"}
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+    return df.select(*[F.round(F.col(f.name), P_DIGITS if f.name in P_COLUMNS else digits).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
                        else F.col(f.name) for f in df.schema.fields])
 
 

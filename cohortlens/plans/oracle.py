@@ -9,9 +9,12 @@ from __future__ import annotations
 
 from cohortlens import config
 from cohortlens.functions.hashing import cumulative_allocations
-from cohortlens.sources.testdata import ADAPTER_FUNNEL_STEPS, ADAPTER_OBSERVED_UNTIL
+from cohortlens.plans import faults
+from cohortlens.sources import testdata as A
+from cohortlens.sources.testdata import ADAPTER_FUNNEL_STEPS
 
 R = 6
+P = 12  # p-values are compared to more places: small ones must not become 0
 
 
 def _case(expr: str, values: list[str]) -> str:
@@ -37,29 +40,49 @@ def _alloc_case(col: str) -> str:
     return "CASE " + " ".join(f"WHEN {col} = '{n}' THEN CAST({a!r} AS DOUBLE)" for n, a in config.ONBOARDING_VARIANTS) + " END"
 
 
-FREEZE = ADAPTER_OBSERVED_UNTIL.strftime("%Y-%m-%d %H:%M:%S.%f")
+FREEZE = "(SELECT date_trunc('day', max(event_timestamp)) + INTERVAL 1 DAY - INTERVAL 1 MICROSECOND FROM e)"
+
+
+def _of(expr: str, values: dict) -> str:
+    return f"CASE {expr} " + " ".join(f"WHEN {k!r} THEN '{v}'" for k, v in values.items()) + " END"
+
+
+_TENS = "((k // 10) % 10)"
+_MILESTONE = ("CASE WHEN (day(ts) - 1) % 7 = 0 THEN CASE WHEN hour(ts) < 12 THEN 'signup' "
+              f"WHEN {_TENS} < 2 THEN 'onboarding_start' ELSE 'onboarding_complete' END "
+              f"ELSE {_of('(day(ts) - 1) % 7', A.MILESTONE_OF_DAY)} END")
+_IS_MILESTONE = (f"(event_type IN ({', '.join(repr(t) for t in A.MILESTONE_TYPES)}) "
+                 f"OR (event_type = 'click' AND {_TENS} < {A.MILESTONE_CLICKS}))")
 EXP = config.ONBOARDING_EXPERIMENT_ID
 
 ADAPTER = f"""
+r AS (
+  SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+         user_id * 10 + CASE WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 >= {A.QUIET_ENTITIES}
+                             THEN CAST(json_extract_string(props, '$.k') AS BIGINT) % 10
+                             WHEN json_extract_string(props, '$.k') IS NOT NULL THEN 0 END AS uid
+  FROM events
+),
 e AS (
-  SELECT event_id,
-         user_id * 10 + CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 AS user_id,
-         CAST(user_id * 10 + CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 AS VARCHAR)
-           || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS session_id,
-         event_type AS event_name,
+  SELECT event_id, uid AS user_id,
+         CAST(uid AS VARCHAR) || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS session_id,
+         CASE WHEN {_IS_MILESTONE} THEN {_MILESTONE} WHEN event_type = 'click' THEN {_of(_TENS, A.CLICK_NAMES)}
+              ELSE {_of(_TENS, A.ERROR_NAMES)} END AS event_name,
          ts AS event_timestamp,
          props AS event_properties,
          CAST(NULL AS VARCHAR) AS page_name,
          {_case('event_id % 3', config.PLATFORMS)} AS platform,
-         CASE event_type WHEN 'error' THEN 'system' WHEN 'click' THEN 'campaign' ELSE 'user_action' END AS event_source
-  FROM events
+         CASE WHEN event_type = 'error' THEN 'system' WHEN event_type = 'click' AND {_TENS} >= {A.CAMPAIGN_CLICKS}
+              THEN 'campaign' ELSE 'user_action' END AS event_source
+  FROM r
 ),
 u AS (
   SELECT f.user_id, f.signup_timestamp,
-         c.c_mktsegment AS acquisition_channel,
+         {_of('c.c_mktsegment', A.CHANNEL_OF_SEGMENT)} AS acquisition_channel,
          n.n_name AS country,
          {_case('f.user_id % 3', config.DEVICE_TYPES)} AS device_type,
-         'en' AS language, 'UTC' AS timezone, 'free' AS initial_plan_type,
+         coalesce({_case('n.n_nationkey % 4', A.LANGUAGES)}, 'unknown') AS language,
+         coalesce({_case('n.n_regionkey % 5', A.TIMEZONES)}, 'unknown') AS timezone, 'free' AS initial_plan_type,
          {_case('(f.user_id // 3) % 3', config.USER_INTENT_LEVELS)} AS user_intent_level,
          {_case('(f.user_id // 9) % 3', config.CAREER_STAGES)} AS career_stage,
          (f.user_id % 2 = 0) AS marketing_consent
@@ -89,7 +112,7 @@ lw AS (
          signup_timestamp + INTERVAL {config.LABEL_WINDOW_START_DAY} DAY AS label_start,
          signup_timestamp + INTERVAL {config.LABEL_WINDOW_END_DAY} DAY AS label_end
   FROM u
-  WHERE signup_timestamp + INTERVAL {config.LABEL_WINDOW_END_DAY} DAY <= TIMESTAMP '{FREEZE}'
+  WHERE signup_timestamp + INTERVAL {config.LABEL_WINDOW_END_DAY} DAY <= {FREEZE}
 ),
 lb AS (
   SELECT lw.*, CAST(CASE WHEN EXISTS (
@@ -223,7 +246,7 @@ def srm_sql() -> str:
         "c AS (SELECT sum(CASE WHEN known THEN (observed - allocation * n) ^ 2 / (allocation * n) END) AS chi2, "
         "CAST(coalesce(sum(CASE WHEN NOT known THEN observed END), 0) AS BIGINT) AS unknown_variant_rows FROM j, n)",
     ) + (f"SELECT '{EXP}' AS experiment_id, CAST(n AS BIGINT) AS n, round(chi2, {R}) AS chi2, {k - 1} AS dof, "
-         f"round(exp(-chi2 / 2), {R}) AS p_value, unknown_variant_rows FROM c, n")
+         f"round(exp(-chi2 / 2), {P}) AS p_value, unknown_variant_rows FROM c, n")
 
 
 def normal_cdf_sql(z: str) -> str:
@@ -268,7 +291,7 @@ def experiment_sql(metrics: dict[str, str] | None = None) -> str:
          f"CASE WHEN variant_id <> '{config.CONTROL_VARIANT}' THEN round({pb} - coalesce(cc / nullif(cn, 0), 0), {R}) END AS absolute_lift, "
          f"CASE WHEN variant_id <> '{config.CONTROL_VARIANT}' AND coalesce(cc / nullif(cn, 0), 0) > 0 "
          f"THEN round(({pb} - {pa}) / {pa}, {R}) END AS relative_lift, "
-         f"CASE WHEN {treat} THEN round(2 * (1 - {normal_cdf_sql('abs(' + z + ')')}), {R}) END AS p_value, "
+         f"CASE WHEN {treat} THEN round(2 * (1 - {normal_cdf_sql('abs(' + z + ')')}), {P}) END AS p_value, "
          f"CASE WHEN {treat} THEN round(({pb} - {pa}) - 1.96 * {se_diff}, {R}) END AS ci_lower, "
          f"CASE WHEN {treat} THEN round(({pb} - {pa}) + 1.96 * {se_diff}, {R}) END AS ci_upper FROM x")
 
@@ -337,8 +360,29 @@ def _dq_orphans(check, child, parent) -> str:
                    "distinct user_ids")
 
 
-def dq_report_sql(with_session_order: bool = True, with_interventions: bool = True) -> str:
-    freeze = config.DATA_FREEZE.strftime("%Y-%m-%d %H:%M:%S")
+def dq_report_sql() -> str:
+    ctes, rows = _dq_parts(f"TIMESTAMP '{config.DATA_FREEZE:%Y-%m-%d %H:%M:%S}'", "event_id")
+    return with_adapter(*ctes, *_iv_plan_ctes()) + rows
+
+
+def dq_faults_sql() -> str:
+    """The same report over tables with faults that follow from the ids (see ``plans/faults.py``)."""
+    ctes, rows = _dq_parts(FREEZE, "ingest_seq")
+    shadowed = ", ".join(f"{t} AS (SELECT * FROM f{t})" for t in ("u", "e", "a", "iv"))
+    return with_adapter(*_iv_plan_ctes(), *faults.SQL_CTES) + f"SELECT * FROM (WITH {shadowed}, {', '.join(ctes)}\n{rows})"
+
+
+def offending_sql() -> str:
+    parts = [f"SELECT * FROM (SELECT '{c}' AS \"column\", {c} AS value, count(*) AS rows FROM f{t} WHERE {_in(c, d)} GROUP BY {c} "
+             f"ORDER BY count(*) DESC, {c} NULLS FIRST LIMIT 20)"
+             for t, c, d in (("u", "acquisition_channel", config.ACQUISITION_CHANNELS), ("u", "device_type", config.DEVICE_TYPES),
+                             ("e", "event_name", config.ALL_EVENT_NAMES), ("e", "event_source", config.EVENT_SOURCES),
+                             ("e", "platform", config.PLATFORMS))]
+    return with_adapter(*_iv_plan_ctes(), *faults.SQL_CTES) + " UNION ALL ".join(parts)
+
+
+def _dq_parts(freeze: str, order: str) -> tuple[list[str], str]:
+    """The extra CTEs and the report rows over u, e, a, lb and iv."""
     users_constraint = " OR ".join(["user_id IS NULL", "signup_timestamp IS NULL",
                                     _in("acquisition_channel", config.ACQUISITION_CHANNELS),
                                     _in("device_type", config.DEVICE_TYPES),
@@ -360,7 +404,7 @@ def dq_report_sql(with_session_order: bool = True, with_interventions: bool = Tr
                 "users rows violating declared types/domains"),
         _dq_row("observation_window", "error",
                 f"(SELECT CAST(coalesce(max(signup_timestamp) + INTERVAL {config.LABEL_WINDOW_END_DAY} DAY "
-                f"> TIMESTAMP '{freeze}', FALSE) AS INTEGER) FROM u)",
+                f"> {freeze}, FALSE) AS INTEGER) FROM u)",
                 "latest signup + label window beyond data freeze"),
         _dq_domain("event_name_domain", "e", "event_name", config.ALL_EVENT_NAMES),
         _dq_domain("event_source_domain", "e", "event_source", config.EVENT_SOURCES),
@@ -377,7 +421,7 @@ def dq_report_sql(with_session_order: bool = True, with_interventions: bool = Tr
         _dq_row("event_after_signup", "error",
                 "(SELECT count(*) FROM e JOIN u ON e.user_id = u.user_id WHERE e.event_timestamp < u.signup_timestamp)",
                 "events earlier than their user''s signup"),
-        f"SELECT 'srm_' || experiment_id, 'error', p >= {config.SRM_ALPHA} AND unknown IS NULL, "
+        f"SELECT 'srm_' || coalesce(experiment_id, 'null'), 'error', p >= {config.SRM_ALPHA} AND unknown IS NULL, "
         f"CAST(coalesce(unknown, 0) AS BIGINT), round(p, {R}), "
         f"'chi-square p-value vs configured allocation; violations = rows of unknown variants' FROM srm",
         _dq_row("traffic_allocation_range", "warning",
@@ -394,29 +438,25 @@ def dq_report_sql(with_session_order: bool = True, with_interventions: bool = Tr
                 " + (SELECT count(*) FROM (SELECT DISTINCT user_id FROM u) x WHERE NOT EXISTS (SELECT 1 FROM lb WHERE lb.user_id = x.user_id))",
                 "label ids not in users plus users without a label"),
     ]
-    if with_interventions:
-        rows.append(_dq_orphans("intervention_foreign_keys", "iv", "u"))
-        rows.append(_dq_domain("intervention_channel_domain", "iv", "channel", config.INTERVENTION_CHANNELS, "warning"))
-    if with_session_order:
-        rows.append(_dq_row("session_timestamp_order", "warning",
-                            "(SELECT count(DISTINCT session_id) FROM (SELECT session_id, event_timestamp < "
-                            "lag(event_timestamp) OVER (PARTITION BY session_id ORDER BY event_id) AS dec FROM e "
-                            "WHERE session_id IS NOT NULL) WHERE dec)",
-                            "sessions with out-of-order timestamps"))
+    rows += [_dq_orphans("intervention_foreign_keys", "iv", "u"),
+             _dq_domain("intervention_channel_domain", "iv", "channel", config.INTERVENTION_CHANNELS, "warning"),
+             _dq_row("session_timestamp_order", "warning",
+                     "(SELECT count(DISTINCT session_id) FROM (SELECT session_id, event_timestamp < "
+                     f"lag(event_timestamp) OVER (PARTITION BY session_id ORDER BY {order}) AS dec FROM e "
+                     "WHERE session_id IS NOT NULL) WHERE dec)", "sessions with out-of-order timestamps")]
     srm = (f"al AS (SELECT * FROM (VALUES {alloc}) t(variant_id, allocation)), "
            "oc AS (SELECT experiment_id, variant_id, count(*) AS o FROM a GROUP BY experiment_id, variant_id), "
-           "pe AS (SELECT experiment_id, sum(o) AS n, sum(CASE WHEN variant_id NOT IN (SELECT variant_id FROM al) THEN o END) "
+           "pe AS (SELECT experiment_id, sum(o) AS n, sum(CASE WHEN variant_id IS NULL OR variant_id NOT IN (SELECT variant_id FROM al) THEN o END) "
            "AS unknown FROM oc GROUP BY experiment_id), "
            "chi AS (SELECT pe.experiment_id, pe.unknown, sum((coalesce(oc.o, 0) - al.allocation * pe.n) ^ 2 / (al.allocation * pe.n)) AS chi2 "
            "FROM pe CROSS JOIN al LEFT JOIN oc ON oc.experiment_id = pe.experiment_id AND oc.variant_id = al.variant_id "
            "GROUP BY pe.experiment_id, pe.unknown), "
            "srm AS (SELECT experiment_id, unknown, exp(-chi2 / 2) AS p FROM chi)")
-    ctes = [srm] + (_iv_plan_ctes() if with_interventions else [])
-    return with_adapter(*ctes) + "\nUNION ALL\n".join(rows)
+    return [srm], "\nUNION ALL\n".join(rows)
 
 
 def dq_passed_sql() -> str:
-    report = dq_report_sql(with_session_order=False)
+    report = dq_report_sql()
     return (f"SELECT coalesce(bool_and(passed) FILTER (WHERE severity = 'error'), TRUE) AS passed, "
             f"count(*) FILTER (WHERE severity = 'error' AND NOT passed) AS errors, "
             f"count(*) FILTER (WHERE severity = 'warning' AND NOT passed) AS warnings FROM ({report}) r")
@@ -605,7 +645,7 @@ def split_report_sql() -> str:
 def _scored_ctes() -> list[str]:
     return [*_features_ctes(),
             "sc AS (SELECT fm.user_id, lb.is_churned AS label, "
-            "round(coalesce(fm.hours_since_last_action_at_cutoff / 168, 1.0), 6) AS prob, "
+            "coalesce(fm.hours_since_last_action_at_cutoff / 168, 1.0) AS prob, "
             "fm.acquisition_channel, fm.career_stage, fm.device_type FROM fm JOIN lb ON fm.user_id = lb.user_id)",
             "tot AS (SELECT CAST(sum(label) AS BIGINT) AS P, CAST(sum(1 - label) AS BIGINT) AS N FROM sc)",
             "ps AS (SELECT prob, CAST(sum(label) AS BIGINT) AS tp, CAST(sum(1 - label) AS BIGINT) AS fp FROM sc GROUP BY prob)",
@@ -614,7 +654,7 @@ def _scored_ctes() -> list[str]:
 
 
 def scored_sql() -> str:
-    return with_adapter(*_scored_ctes()) + "SELECT user_id, label, prob FROM sc"
+    return with_adapter(*_scored_ctes()) + f"SELECT user_id, label, round(prob, {R}) AS prob FROM sc"
 
 
 def _cm(t: float) -> str:
@@ -692,13 +732,13 @@ def calibration_sql(n_bins: int = 10, min_count: int = 5) -> str:
 def pr_curve_sql() -> str:
     return with_adapter(*_scored_ctes()) + (
         f"SELECT round(prob, {R}) AS threshold, round({_div('CAST(cum_tp AS DOUBLE)', 'cum_tp + cum_fp')}, {R}) AS precision, "
-        f"round({_div('CAST(cum_tp AS DOUBLE)', 'P')}, {R}) AS recall FROM cu")
+        f"round({_div('CAST(cum_tp AS DOUBLE)', 'P')}, {R}) AS recall FROM cu UNION ALL SELECT NULL, 1.0, 0.0")
 
 
 def roc_curve_sql() -> str:
     return with_adapter(*_scored_ctes()) + (
         f"SELECT round(prob, {R}) AS threshold, round({_div('CAST(cum_fp AS DOUBLE)', 'N')}, {R}) AS fpr, "
-        f"round({_div('CAST(cum_tp AS DOUBLE)', 'P')}, {R}) AS tpr FROM cu")
+        f"round({_div('CAST(cum_tp AS DOUBLE)', 'P')}, {R}) AS tpr FROM cu UNION ALL SELECT 'Infinity'::DOUBLE, 0.0, 0.0")
 
 
 def histogram_sql(bins: int = 30) -> str:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens import config
 from cohortlens.operators import funnel
+from cohortlens.plans import faults
 from cohortlens.plans import oracle as O
 from cohortlens.plans.catalog import QUERIES, register, rounded
 from cohortlens.session import apply_engine_conf
@@ -18,7 +23,7 @@ STEPS = ADAPTER_FUNNEL_STEPS
 
 @register("funnel", lambda: O.funnel_sql(None))
 def q_funnel(spark, t):
-    """FN3: ordered funnel signup -> view -> purchase over all users."""
+    """FN3: the ordered seven-step funnel over all users."""
     return funnel.compute_funnel(t.users, t.events, steps=STEPS)
 
 
@@ -183,11 +188,28 @@ def q_dq_report(spark, t):
 @register("dq_passed", lambda: O.dq_passed_sql())
 def q_dq_passed(spark, t):
     """Overall validation verdict (no failed error-severity check)."""
-    return quality.report_passed(quality.validate(t.users, t.events, t.assignments, t.labels, t.interventions, hot_users=t.hot_users))
+    return quality.report_passed(q_dq_report(spark, t))
+
+
+@register("dq_report_faults", lambda: O.dq_faults_sql())
+def q_dq_faults(spark, t):
+    """DQ1-DQ23 over the same tables with faults in every checked place."""
+    events = faults.faulty_events(t.events)
+    return quality.validate(faults.faulty_users(t.users), events, faults.faulty_assignments(t.assignments), t.labels,
+                            faults.faulty_interventions(t.interventions), data_freeze=t.observed_until, session_order_cols=["ingest_seq"])
+
+
+@register("dq_offending_values", lambda: O.offending_sql())
+def q_dq_offending(spark, t):
+    """DQ3-DQ8 in detail: the most frequent values outside each domain of the faulty tables."""
+    users, events = faults.faulty_users(t.users), faults.faulty_events(t.events)
+    found = [quality.offending_values(users, c, quality.USER_DOMAINS[c]) for c in ("acquisition_channel", "device_type")]
+    found += [quality.offending_values(events, c, d) for c, d in (("event_name", config.ALL_EVENT_NAMES), ("event_source", config.EVENT_SOURCES),
+                                                                  ("platform", config.PLATFORMS))]
+    return reduce(DataFrame.union, found)
 
 
 # ---------------------------------------------------------------- FE / LB4 ---------------------
-from cohortlens import config  # noqa: E402
 from cohortlens.operators import features, labels  # noqa: E402
 
 _STATIC_COLS = ["acquisition_channel", "country", "device_type", "user_intent_level", "career_stage",
@@ -254,13 +276,13 @@ from cohortlens.operators import evaluate, split, subgroup  # noqa: E402
 
 def recency_scored(t, with_groups: bool = False):
     """Engine-portable churn score for the evaluation operators: hours since the last action at
-    the cutoff / 168 (1.0 without actions), rounded to 6 places; label = is_churned."""
+    the cutoff / 168 (1.0 without actions); label = is_churned."""
     groups = list(subgroup.DEFAULT_GROUPS) if with_groups else []
     base = t.labels.select("user_id", F.col("is_churned").alias("label"))
     if groups:
         base = base.join(t.users.select("user_id", *groups), "user_id")
     m = base.join(features.recency_hours(t.users, t.events, hot_users=t.hot_users), "user_id", "left")
-    prob = F.round(F.coalesce(F.col("hours_since_last_action_at_cutoff") / 168.0, F.lit(1.0)), 6)
+    prob = F.coalesce(F.col("hours_since_last_action_at_cutoff") / 168.0, F.lit(1.0))
     return m.select("user_id", "label", prob.alias("prob"), *groups)
 
 

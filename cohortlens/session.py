@@ -49,8 +49,8 @@ def get_spark(master: str | None = None, app_name: str = "cohortlens",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset (local tests) a
-    scratch folder is created so ``DataFrame.checkpoint`` can cut lineage.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset, a local master gets a
+    scratch folder; on a cluster that raises, as executors do not share the driver's disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="cohortlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -132,13 +132,13 @@ def test_salted_user_join_is_exact(spark):
     ev += [{"user_id": "ghost", "event_name": "signup", "event_timestamp": S}]
     events = make_events(spark, ev).select("event_id", "user_id", "event_timestamp")
     plain = sorted(with_user_columns(events, users, ["signup_timestamp"], hot_threshold=None).collect())
-    salted = with_user_columns(events, users, ["signup_timestamp"], hot_threshold=100, buckets=8)
+    salted = with_user_columns(events, users, ["signup_timestamp"], hot_threshold=100)
     assert sorted(salted.collect()) == plain and len(plain) == 303
     # a shared, precomputed hot list (here one that also names a cold user) stays exact
     from cohortlens.operators.activity import hot_users as _hot
 
     shared = _hot(events, 1).where("user_id IN ('u0', 'u1')")
-    again = with_user_columns(events, users, ["signup_timestamp"], buckets=8, hot=shared)
+    again = with_user_columns(events, users, ["signup_timestamp"], hot=shared)
     assert sorted(again.collect()) == plain
     # the hot user's events really are spread over several salt buckets
     from cohortlens.operators.activity import hot_users
@@ -152,5 +152,5 @@ def test_salted_user_join_is_exact(spark):
     spread = (dup.select(F.pmod(F.xxhash64(*[F.col(c) for c in dup.columns], F.monotonically_increasing_id()),
                                 F.lit(8)).alias("b")).distinct().count())
     assert spread > 1
-    dup_join = with_user_columns(dup, users, ["signup_timestamp"], hot_threshold=100, buckets=8)
+    dup_join = with_user_columns(dup, users, ["signup_timestamp"], hot_threshold=100)
     assert dup_join.count() == 128
