@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.common import staged
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 10_000_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -44,7 +44,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 def _pack(values: np.ndarray) -> bytes:
     """Unsigned 32-bit values by planes of bytes, compressed."""
     planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=6).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=9).compress(planes.tobytes())
 
 
 def _unpack(data: bytes) -> np.ndarray:
@@ -57,18 +57,18 @@ def pack_positions(at: np.ndarray, words: int) -> tuple[bytes, bytes, bytes]:
     first occurrence, else one more than its rank by frequency; ranks from 254 on go to ``rest``."""
     counts = np.bincount(at, minlength=words)
     ranked = np.argsort(-counts, kind="stable")[:int((counts > 1).sum())]
-    rank = np.zeros(words, dtype=np.int64)
-    rank[ranked] = np.arange(len(ranked))
-    code = rank[at] + 1
-    code[np.unique(at, return_index=True)[1]] = 0
-    codes = zstandard.ZstdCompressor(level=6).compress(np.minimum(code, 255).astype(np.uint8).tobytes())
+    rank = np.zeros(words, dtype=np.int32)
+    rank[ranked] = np.arange(1, len(ranked) + 1)
+    code = rank[at]
+    code[np.diff(np.maximum.accumulate(at), prepend=-1) > 0] = 0  # numbered by first occurrence
+    codes = zstandard.ZstdCompressor(level=9).compress(np.minimum(code, 255).astype(np.uint8).tobytes())
     return codes, _pack(code[code >= 255]), _pack(ranked)
 
 
 def unpack_positions(codes: bytes, rest: bytes, ranked: bytes) -> np.ndarray:
-    code = np.frombuffer(zstandard.ZstdDecompressor().decompress(codes), dtype=np.uint8).astype(np.int64)
+    code = np.frombuffer(zstandard.ZstdDecompressor().decompress(codes), dtype=np.uint8).astype(np.int32)
     code[code == 255] = _unpack(rest)
-    at = np.empty(len(code), dtype=np.int64)
+    at = np.empty(len(code), dtype=np.int32)
     first = code == 0
     at[first] = np.arange(first.sum())
     at[~first] = _unpack(ranked)[code[~first] - 1]
@@ -90,17 +90,19 @@ def _blocks(docs: DataFrame, pattern: str, id_col: str, block_chars: int, parts:
         ids, seqs, index, held = [], [], {}, 0
 
         def block():
-            at = np.concatenate(seqs)
+            counts, at = _pack(np.array(list(map(len, seqs)))), np.concatenate(seqs)
+            seqs.clear()
             words = [w.encode() for w in index]
+            index.clear()
             part = np.array([zlib.crc32(w) % parts for w in words], dtype=np.int64)
             order = np.argsort(part, kind="stable")
             edges = np.flatnonzero(np.concatenate(([True], np.diff(part[order]) != 0, [True]))) if len(order) else np.array([0])
             sent = []
             for x, y in zip(edges.tolist(), edges[1:].tolist()):
                 some = [words[i] for i in order[x:y].tolist()]
-                sent.append({"part": int(part[order[x]]), "flat": zstandard.ZstdCompressor(level=6).compress(b"".join(some)),
+                sent.append({"part": int(part[order[x]]), "flat": zstandard.ZstdCompressor(level=9).compress(b"".join(some)),
                              "sizes": _pack(np.array(list(map(len, some))))})
-            values = [_pack(np.array(list(map(len, seqs)))), *pack_positions(at, len(words)), _pack(part)]
+            values = [counts, *pack_positions(at, len(words)), _pack(part)]
             return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([ids], pa.list_(id_type)),
                                                *(pa.array([v], pa.binary()) for v in values), pa.array([sent], WORDS)],
                                               names=["block", "ids", *packed, "words"])
@@ -110,7 +112,7 @@ def _blocks(docs: DataFrame, pattern: str, id_col: str, block_chars: int, parts:
             for key, text in zip(batch[id_col].to_pylist(), batch["text"]):
                 text = text.as_py() or ""
                 ids.append(key)
-                seqs.append(np.array([index.setdefault(w, len(index)) for w in find(text)], dtype=np.int64))
+                seqs.append(np.array([index.setdefault(w, len(index)) for w in find(text)], dtype=np.int32))
                 held += len(text)
                 if held >= block_chars or len(ids) >= 100_000:
                     yield block()
