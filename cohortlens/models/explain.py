@@ -1,7 +1,6 @@
 """Explanations (XP1-XP7): coefficients, permutation importance, per-user contributions.
 
-Per-user work is exploded to (user, slot) rows and ranked with windows partitioned by user (a
-bounded number of slots each). Permutation importance shuffles a feature across the validation
+Per-user contributions are ranked inside the user's own array of slots. Permutation importance shuffles a feature across the validation
 rows with a per-(feature, repeat) affine bijection of a hash-ordered row index, so a shuffle is
 an equi-join to the donor row - no sort of the exploded table, no collect.
 """
@@ -13,7 +12,7 @@ import random
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import config
@@ -58,50 +57,47 @@ def explain_linear(model: PipelineModel, spec: PreprocessSpec, df: DataFrame, to
     most negative first, at most ``top_n`` each).
     """
     coefs = [float(c) for c in _lr_stage(model).coefficients.toArray()]
-    names = spec.feature_names()
-    scored = model.transform(df.withColumn("label", F.lit(0.0)).withColumn("_w", F.lit(1.0)))
+    # the fitted stages name the target; a contribution does not depend on it
+    known = df if config.TARGET_COLUMN in df.columns else df.withColumn(config.TARGET_COLUMN, F.lit(0))
+    scored = model.transform(known.withColumn("label", F.lit(0.0)))
     base = drop_slots(scored).select("user_id", F.round(vector_to_array("probability")[1], 6).alias("predicted_risk"),
                                      vector_to_array("features").alias("_x"))
     coef_arr = F.array(*[F.lit(c) for c in coefs])
+    slots = F.transform("_x", lambda x, i: F.struct((x * F.get(coef_arr, i)).alias("c"), i.alias("pos")))
+    return _top_factors(base.withColumn("_slots", slots), spec.feature_names(), top_n)
+
+
+def _top_factors(base: DataFrame, names: list[str], top_n: int) -> DataFrame:
+    """The strongest contributions among a row's own ``_slots`` (array of struct<c, pos>): no rows
+    are made or moved."""
     name_arr = F.array(*[F.lit(n) for n in names])
-    slots = base.select("user_id", "predicted_risk", F.posexplode("_x").alias("pos", "x"))
-    slots = slots.select("user_id", "predicted_risk", "pos",
-                         (F.col("x") * F.element_at(coef_arr, F.col("pos") + 1)).alias("c"),
-                         F.element_at(name_arr, F.col("pos") + 1).alias("feature"))
-    return _top_factors(slots, top_n)
-
-
-def _top_factors(slots: DataFrame, top_n: int) -> DataFrame:
-    """Rank (user, slot) contributions inside each user (a bounded window) and keep the top ones."""
-    wp = Window.partitionBy("user_id").orderBy(F.desc("c"), F.asc("pos"))
-    wn = Window.partitionBy("user_id").orderBy(F.asc("c"), F.desc("pos"))
-    r = slots.withColumn("_rp", F.row_number().over(wp)).withColumn("_rn", F.row_number().over(wn))
-    item = F.struct(F.col("feature"), F.round("c", 6).alias("contribution"))
-    agg = r.groupBy("user_id", "predicted_risk").agg(
-        F.array_sort(F.collect_list(F.when((F.col("_rp") <= top_n) & (F.col("c") > 0),
-                                           F.struct(F.col("_rp").alias("k"), item.alias("v"))))).alias("_pos"),
-        F.array_sort(F.collect_list(F.when((F.col("_rn") <= top_n) & (F.col("c") < 0),
-                                           F.struct(F.col("_rn").alias("k"), item.alias("v"))))).alias("_neg"))
-    return agg.select("user_id", "predicted_risk", F.transform("_pos", lambda s: s["v"]).alias("positive_factors"),
-                      F.transform("_neg", lambda s: s["v"]).alias("negative_factors"))
+
+    def top(sign: int):
+        kept = F.transform(F.filter("_slots", lambda s: s["c"] * sign > 0),
+                           lambda s: F.struct((s["c"] * -sign).alias("k"), (s["pos"] * sign).alias("tie"), s["pos"].alias("pos"), s["c"].alias("c")))
+        return F.transform(F.slice(F.array_sort(kept), 1, top_n), lambda s: F.struct(
+            F.get(name_arr, s["pos"]).alias("feature"), F.round(s["c"], 6).alias("contribution")))
+
+    return base.select("user_id", "predicted_risk", top(1).alias("positive_factors"), top(-1).alias("negative_factors"))
 
 
 def explain_tree(model: PipelineModel, spec: PreprocessSpec, df: DataFrame, top_n: int = 5) -> DataFrame:
-    """XP5: contribution of slot j = base probability - probability with transformed slot j = 0."""
+    """XP5: contribution of slot j = base probability - probability with transformed slot j = 0.
+    Only non-zero slots are tried: zeroing a zero changes nothing, and no contribution is left out."""
     names = spec.feature_names()
     classifier = model.stages[-1]
     base = transformed(model, df).select("user_id", "features")
     base_p = classifier.transform(base).select("user_id", vector_to_array("probability")[1].alias("_p0"),
                                               vector_to_array("features").alias("_x"))
-    name_arr = F.array(*[F.lit(n) for n in names])
-    per_slot = base_p.select("user_id", "_p0", "_x", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("pos"))
+    filled = F.filter(F.transform("_x", lambda v, i: F.when(v != 0.0, i)), lambda i: i.isNotNull())
+    per_slot = base_p.select("user_id", "_p0", "_x", F.explode_outer(filled).alias("pos"))
     zeroed = per_slot.withColumn(
         "features", array_to_vector(F.transform("_x", lambda v, i: F.when(i == F.col("pos"), F.lit(0.0)).otherwise(v))))
     scored = classifier.transform(zeroed.select("user_id", "_p0", "pos", "features"))
-    slots = scored.select("user_id", F.round("_p0", 6).alias("predicted_risk"), "pos",
-                          (F.col("_p0") - vector_to_array("probability")[1]).alias("c"),
-                          F.element_at(name_arr, F.col("pos") + 1).alias("feature"))
-    return _top_factors(slots, top_n)
+    c = F.col("_p0") - vector_to_array("probability")[1]
+    slots = scored.select("user_id", F.round("_p0", 6).alias("predicted_risk"), F.when(c != 0, F.struct(c.alias("c"), "pos")).alias("s"))
+    base = slots.groupBy("user_id", "predicted_risk").agg(F.collect_list("s").alias("_slots"))  # a user's own slots
+    return _top_factors(base, names, top_n)
 
 
 def explain_users(model: PipelineModel, spec: PreprocessSpec, df: DataFrame, top_n: int = 5) -> DataFrame:
@@ -136,14 +132,15 @@ def permutation_importance(model: PipelineModel, val: DataFrame, features: list[
             for fi in range(len(features)) for r in range(n_repeats)]
     plan_arr = F.array(*[F.struct(F.lit(fi).alias("f"), F.lit(r).alias("r"), F.lit(a).cast("bigint").alias("a"),
                                   F.lit(b).cast("bigint").alias("b")) for fi, r, a, b in plan])
-    exploded = ranked.select("*", F.inline(plan_arr))
-    exploded = exploded.withColumn("_donor", F.pmod(F.col("a") * F.col("_idx") + F.col("b"), F.lit(max(n, 1))))
-    donors = ranked.select(F.col("_idx").alias("_donor"), *[F.col(c).alias(f"_d_{i}") for i, c in enumerate(features)])
-    # both sides grow with the validation set: shuffle on the donor index (each key is hit once
-    # per feature x repeat); never broadcast, whatever the checkpointed size estimate says
-    j = exploded.join(donors.hint("shuffle_hash"), "_donor")
-    cols = [F.when(F.col("f") == i, F.col(f"_d_{i}")).otherwise(F.col(c)).alias(c) for i, c in enumerate(features)]
-    permuted = j.select("user_id", label, "f", "r", *cols)
+    # what is shuffled for every (feature, repeat) is narrow: a row's index and the one donated value
+    asked = ranked.select("_idx", F.inline(plan_arr)).select(
+        "_idx", "f", "r", F.pmod(F.col("a") * F.col("_idx") + F.col("b"), F.lit(max(n, 1))).alias("_donor"))
+    given = ranked.select(F.col("_idx").alias("_donor"), F.inline(F.array(*[
+        F.struct(F.lit(i).alias("f"), F.col(c).cast("string").alias("_value")) for i, c in enumerate(features)])))
+    donated = asked.join(given, ["_donor", "f"]).select("_idx", "f", "r", "_value")
+    kinds = dict(base.dtypes)
+    cols = [F.when(F.col("f") == i, F.col("_value").cast(kinds[c])).otherwise(F.col(c)).alias(c) for i, c in enumerate(features)]
+    permuted = donated.join(ranked, "_idx").select("user_id", label, "f", "r", *cols)  # wide rows move once, not per repeat
     scored = drop_slots(model.transform(permuted.withColumn("label", F.col(label).cast("double"))
                                         .withColumn("_w", F.lit(1.0))))
     scored = scored.select("f", "r", F.col(label).alias("label"), vector_to_array("probability")[1].alias("prob"))

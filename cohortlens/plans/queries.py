@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import config
+from cohortlens.models import preprocess
 from cohortlens.operators import funnel
 from cohortlens.plans import faults
 from cohortlens.plans import oracle as O
-from cohortlens.plans.catalog import QUERIES, register, rounded
+from cohortlens.plans.catalog import ORACLES, QUERIES, register, rounded
 from cohortlens.session import apply_engine_conf
 from cohortlens.sources import testdata
 from cohortlens.sources.testdata import ADAPTER_FUNNEL_STEPS
@@ -258,6 +260,29 @@ def q_next_best_action(spark, t):
     return decisions.recommend_next_action(t.users, t.events, hot_users=t.hot_users)
 
 
+@register("next_best_action_scored", lambda: O.next_best_action_sql(scored=True))
+def q_next_best_action_scored(spark, t):
+    """NB2/NB3: next best action driven by a churn score (the portable recency score of the labelled
+    users; others fall back on the activity heuristic)."""
+    scores = recency_scored(t).select("user_id", F.col("prob").alias("churn_risk_score"))
+    return decisions.recommend_next_action(t.users, t.events, scores, hot_users=t.hot_users)
+
+
+@register("preprocessed_matrix", lambda: O.preprocessed_sql())
+def q_preprocessed(spark, t):
+    """ML1-ML3, ML7: the one-hot, imputed and scaled training matrix in long form (zero one-hot slots
+    left out), with statistics of the train part."""
+    matrix = labels.prepare_model_matrix(t.users, t.events, t.labels, t.assignments, hot_users=t.hot_users)
+    users_split, _ = split.split_users_and_labels(t.users, t.labels)
+    train = split.filter_split(matrix, users_split, split.TRAIN)
+    spec = preprocess.fit_spec(train)
+    ready = preprocess.fit_preprocessor(train, spec).transform(train)
+    names = F.array(*[F.lit(n) for n in spec.feature_names()])
+    slots = ready.select("user_id", F.posexplode(vector_to_array("features")).alias("pos", "value"))
+    named = slots.select("user_id", F.get(names, F.col("pos")).alias("feature"), "value")
+    return named.where(F.col("feature").startswith("num__") | (F.col("value") != 0.0))
+
+
 @register("first_week_activity", lambda: O.first_week_activity_sql())
 def q_first_week_activity(spark, t):
     """IV2: distinct active day indices 0..7 and onboarding completion per user."""
@@ -403,19 +428,24 @@ from cohortlens.models import train as ML  # noqa: E402
 from cohortlens.plans import training  # noqa: E402
 
 
-def _ml_query(key):
-    """Register an ML query: the fitted models are shared (memoised per data directory) by every
-    ML key of a run; only rows-only checks apply (no SQL oracle)."""
+def _all_features(t):
+    return features.build_model_features(t.users, t.events, t.assignments, hot_users=t.hot_users)
+
+
+def _ml_query(key, oracle=None):
+    """Register an ML query; the fitted models are shared by every ML key of a session."""
     def deco(fn):
         def run(spark, sf_dir):
             apply_engine_conf(spark)
             t = testdata.load(spark, sf_dir)
-            data, result = training.trained(t, key=sf_dir)
+            data, result = training.trained(t)
             return rounded(fn(spark, t, data, result))
 
         run.__name__ = f"query_{key}"
         run.__doc__ = fn.__doc__
         QUERIES[key] = run
+        if oracle is not None:
+            ORACLES[key] = oracle
         return fn
 
     return deco
@@ -430,52 +460,63 @@ def q_model_selection(spark, t, data, result):
 @_ml_query("lr_scores")
 def q_lr_scores(spark, t, data, result):
     """ML4/ML8: logistic-regression churn probability for every test user."""
-    return ML.score(result.models[ML.LR], data.test, ["user_id", config.TARGET_COLUMN])
+    return ML.score(result.candidates[ML.LR].pipeline, data.test, ["user_id", config.TARGET_COLUMN])
 
 
 @_ml_query("gbt_scores")
 def q_gbt_scores(spark, t, data, result):
     """ML5/ML8: boosted-trees churn probability for every test user."""
-    return ML.score(result.models[ML.GBT], data.test, ["user_id", config.TARGET_COLUMN])
+    return ML.score(result.candidates[ML.GBT].pipeline, data.test, ["user_id", config.TARGET_COLUMN])
 
 
 @_ml_query("lr_coefficients")
 def q_lr_coefficients(spark, t, data, result):
     """XP1/XP2: logistic coefficients by one-hot / numeric slot, largest magnitude first."""
-    return XP.extract_logistic_coefficients(result.models[ML.LR], result.specs[ML.LR])
+    return XP.extract_logistic_coefficients(result.candidates[ML.LR].pipeline, result.candidates[ML.LR].spec)
 
 
 @_ml_query("permutation_importance")
 def q_permutation_importance(spark, t, data, result):
     """XP3: permutation importance of the 37 input features on the validation split (10 repeats)."""
-    return XP.permutation_importance(result.model, data.val, result.feature_columns, n_repeats=10)
+    return XP.permutation_importance(result.model, data.val, result.inputs, n_repeats=10)
 
 
 @_ml_query("user_explanations")
 def q_user_explanations(spark, t, data, result):
-    """XP4: top +/- linear contributions for every test user."""
-    return XP.explain_linear(result.models[ML.LR], result.specs[ML.LR], data.test)
+    """XP4: top +/- linear contributions for every user."""
+    return XP.explain_linear(result.candidates[ML.LR].pipeline, result.candidates[ML.LR].spec, _all_features(t))
 
 
 @_ml_query("tree_explanations")
 def q_tree_explanations(spark, t, data, result):
-    """XP5: zero-out marginal contributions of the boosted model for every test user."""
-    return XP.explain_tree(result.models[ML.GBT], result.specs[ML.GBT], data.test)
+    """XP5: zero-out marginal contributions of the boosted model for every user."""
+    return XP.explain_tree(result.candidates[ML.GBT].pipeline, result.candidates[ML.GBT].spec, _all_features(t))
 
 
 @_ml_query("global_explanation")
 def q_global_explanation(spark, t, data, result):
     """XP6: top-15 coefficients and top-15 permutation importances of the selected model."""
-    imp = XP.permutation_importance(result.model, data.val, result.feature_columns, n_repeats=10)
+    imp = XP.permutation_importance(result.model, data.val, result.inputs, n_repeats=10)
     return XP.global_explanation(result.model, result.spec, imp)
 
 
 @_ml_query("user_report")
 def q_user_report(spark, t, data, result):
     """XP7: explanations of a deterministic 3-user test sample with the actual label."""
-    sample = reports.sample_users(data.test, 3)
-    expl = XP.explain_users(result.model, result.spec, sample)
-    return expl.join(sample.select("user_id", F.col(config.TARGET_COLUMN).alias("actual_label")), "user_id")
+    return training.user_report(result, reports.sample_users(data.test, 3))
+
+
+@_ml_query("model_subgroups")
+def q_model_subgroups(spark, t, data, result):
+    """EV13 on the selected model's test scores at its threshold."""
+    scored = training.test_scores(result, data, list(subgroup.DEFAULT_GROUPS))
+    return subgroup.evaluate_subgroups(scored.withColumnRenamed("label", config.TARGET_COLUMN), result.threshold)
+
+
+@_ml_query("model_calibration")
+def q_model_calibration(spark, t, data, result):
+    """EV10 on the selected model's test scores."""
+    return evaluate.calibration(training.test_scores(result, data))
 
 
 @_ml_query("nba_scored")
@@ -490,7 +531,7 @@ def q_nba_examples(spark, t, data, result):
     return training.nba_examples(result, t, data.test)
 
 
-@_ml_query("model_roundtrip")
+@_ml_query("model_roundtrip", lambda: O.model_roundtrip_sql())
 def q_model_roundtrip(spark, t, data, result):
     """IO6: save / load the selected pipeline; predictions must not change (mismatches = 0)."""
     return training.model_roundtrip(result, data)

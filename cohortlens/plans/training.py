@@ -1,7 +1,7 @@
 """Churn-model training flow over the lifecycle tables (B: matrix -> split -> train -> report).
 
-Fitted models are memoised per (data directory, seed) inside the Python process so the several
-ML queries of one run share a single training; all data stays in DataFrames.
+Fitted models are shared by the ML queries of one session as long as the input files stay the same;
+all data stays in DataFrames.
 """
 
 from __future__ import annotations
@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import config
+from cohortlens.models import explain as XP
 from cohortlens.models import train as T
-from cohortlens.operators import decisions, features, labels, split
+from cohortlens.operators import decisions, evaluate, features, labels, reports, split, subgroup
 from cohortlens.session import ensure_checkpoint_dir
+from cohortlens.sources import sinks
 from cohortlens.sources.testdata import LifecycleTables
 
 
@@ -40,9 +42,22 @@ def training_data(t: LifecycleTables, train_frac: float = 0.6, val_frac: float =
 _CACHE: dict[tuple, tuple[TrainingData, T.TrainingResult]] = {}
 
 
-def trained(t: LifecycleTables, key: str, seed: int = config.RANDOM_SEED, gbt_max_iter: int = 500):
-    """(TrainingData, TrainingResult) for the tables identified by ``key`` (memoised)."""
-    k = (key, seed, gbt_max_iter)
+def _state_of(t: LifecycleTables) -> tuple:
+    """What a training depends on: the session and the input files (their bytes, count and time)."""
+    spark = t.spark
+    found = []
+    for name in ("events", "customer", "nation"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{t.sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        size = fs.getContentSummary(path)
+        found.append((size.getLength(), size.getFileCount(), fs.getFileStatus(path).getModificationTime()))
+    return spark.sparkContext.applicationId, t.sf_dir, *found
+
+
+def trained(t: LifecycleTables, seed: int = config.RANDOM_SEED, gbt_max_iter: int = 500):
+    """(TrainingData, TrainingResult) of the tables, shared by the queries of one session as long as
+    the input files are the same."""
+    k = (*_state_of(t), seed, gbt_max_iter)
     if k not in _CACHE:
         data = training_data(t)
         # materialise the labelled matrix with its split column once in the shared checkpoint
@@ -51,10 +66,9 @@ def trained(t: LifecycleTables, key: str, seed: int = config.RANDOM_SEED, gbt_ma
         tagged = data.matrix.join(data.user_splits.select("user_id", "split"), "user_id").checkpoint()
         parts = {s: tagged.where(F.col("split") == s).drop("split")
                  for s in (split.TRAIN, split.VALIDATION, split.TEST)}
-        data = TrainingData(data.matrix, data.user_splits, parts[split.TRAIN], parts[split.VALIDATION],
-                            parts[split.TEST])
-        result = T.train_and_select_model(data.train, data.val, data.test, "f1", seed, gbt_max_iter)
-        _CACHE[k] = (data, result)
+        data = TrainingData(tagged.drop("split"), data.user_splits, parts[split.TRAIN], parts[split.VALIDATION], parts[split.TEST])
+        _CACHE.clear()
+        _CACHE[k] = (data, T.train_and_select_model(data.train, data.val, data.test, "f1", seed, gbt_max_iter))
     return _CACHE[k]
 
 
@@ -62,10 +76,9 @@ def model_selection_report(result: T.TrainingResult, spark) -> DataFrame:
     """Candidate validation metrics at 0.5 plus the selected model's validation / test metrics
     at the chosen threshold (one row each)."""
     keys = ["pr_auc", "roc_auc", "log_loss", "brier_score", "threshold", "precision", "recall", "f1_score", "accuracy"]
-    rows = [(name, "validation@0.5", False, *[m.get(k) for k in keys])
-            for name, m in result.candidate_validation_metrics.items()]
-    rows.append((result.model_name, "validation", True, *[result.val_metrics.get(k) for k in keys]))
-    rows.append((result.model_name, "test", True, *[result.test_metrics.get(k) for k in keys]))
+    rows = [(name, "validation@0.5", False, *[c.at_half.get(k) for k in keys]) for name, c in result.candidates.items()]
+    rows.append((result.winner, "validation", True, *[result.on_validation.get(k) for k in keys]))
+    rows.append((result.winner, "test", True, *[result.on_test.get(k) for k in keys]))
     schema = "model string, dataset string, selected boolean, " + ", ".join(f"{k} double" for k in keys)
     return spark.createDataFrame(rows, schema)
 
@@ -111,3 +124,45 @@ def model_roundtrip(result: T.TrainingResult, data: TrainingData) -> DataFrame:
     j = a.join(b, "user_id", "full_outer")
     return j.agg(F.count(F.lit(1)).alias("rows"),
                  F.count_if(~F.col("_a").eqNullSafe(F.col("_b"))).alias("mismatches"))
+
+
+DISCLAIMER = "Contributions describe this model's score; they are associations in past data, not causes."
+
+
+def user_report(result: T.TrainingResult, users: DataFrame) -> DataFrame:
+    """XP7: explanation of each given labelled user with predicted and actual class and a caveat."""
+    explained = XP.explain_users(result.model, result.spec, users)
+    actual = users.select("user_id", F.col(config.TARGET_COLUMN).alias("actual_label"))
+    return explained.join(actual, "user_id").select(
+        "*", (F.col("predicted_risk") >= F.lit(result.threshold)).cast("int").alias("predicted_class"), F.lit(DISCLAIMER).alias("disclaimer"))
+
+
+def test_scores(result: T.TrainingResult, data: TrainingData, groups: list[str] | None = None) -> DataFrame:
+    """The selected model's scores of the test users as (user_id, label, prob, groups)."""
+    return T.score(result.model, data.test, ["user_id", config.TARGET_COLUMN, *(groups or [])]).withColumnRenamed(config.TARGET_COLUMN, "label")
+
+
+def write_report_set(result: T.TrainingResult, t: LifecycleTables, data: TrainingData, path: str) -> None:
+    """IO5: everything a training run reports, one folder each under ``path``: metrics, metadata,
+    split, thresholds, subgroups, calibration and curves of the test scores, coefficients or permutation
+    importances, user explanations (all test users), a user report and next-best-action examples."""
+    spark = t.spark
+    scored = test_scores(result, data, list(subgroup.DEFAULT_GROUPS))
+    importance = XP.permutation_importance(result.model, data.val, result.inputs)
+    meta = [(result.winner, result.threshold, config.RANDOM_SEED, len(result.inputs), ",".join(result.inputs))]
+    small = {
+        "metrics": model_selection_report(result, spark),
+        "model_metadata": spark.createDataFrame(meta, "model string, threshold double, seed int, n_features int, features string"),
+        "split": split.split_report(data.matrix.join(data.user_splits.select("user_id", "split"), "user_id")),
+        "threshold_sweep": evaluate.threshold_sweep(scored),
+        "subgroups": subgroup.evaluate_subgroups(scored.withColumnRenamed("label", config.TARGET_COLUMN), result.threshold),
+        "calibration": evaluate.calibration(scored),
+        "global_explanation": XP.global_explanation(result.model, result.spec, importance),
+        "user_report": user_report(result, reports.sample_users(data.test, 3)),
+        "nba_examples": nba_examples(result, t, data.test),
+    }
+    for name, frame in small.items():
+        sinks.write_report(frame, f"{path}/{name}")
+    for name, frame in (("pr_curve", evaluate.pr_curve(scored)), ("roc_curve", evaluate.roc_curve(scored)),
+                        ("user_explanations", XP.explain_users(result.model, result.spec, data.test))):
+        sinks.write_report(frame, f"{path}/{name}", single_file=False)

@@ -48,9 +48,11 @@ def coerce_timestamps(df: DataFrame, columns: list[str]) -> DataFrame:
         if isinstance(dtype, T.TimestampType):
             out = out.withColumn(c, F.col(c).cast(T.TimestampNTZType()))
             continue
-        # strip a trailing zone designator (Z or +00:00) before the naive parse
-        text = F.regexp_replace(F.col(c).cast("string"), r"(Z|[+-]00:?00)$", "")
-        out = out.withColumn(c, F.to_timestamp_ntz(F.regexp_replace(text, "T", " ")))
+        # a text with a zone names an instant, converted to UTC wall time; one without is wall time
+        text = F.regexp_replace(F.trim(F.col(c).cast("string")), r"([+-]\d{2}):?(\d{2})$", "$1:$2")
+        zoned = text.rlike(r":\d{2}.*(Z|[+-]\d{2}:\d{2})$")
+        instant = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.to_timestamp(F.when(zoned, text)).cast("timestamp_ntz"))
+        out = out.withColumn(c, F.coalesce(instant, F.to_timestamp_ntz(F.when(~zoned, F.regexp_replace(text, "T", " ")))))
     return out
 
 

@@ -21,21 +21,24 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
 
 
 def write_events(events: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Events are laid out by event date so cutoff / label-window filters prune files."""
+    """Events are laid out by event date so cutoff / label-window filters prune files. Rebalancing
+    gives files of about the advisory size: a busy day is split, quiet days share a task."""
     (events.withColumn("event_date", F.to_date("event_timestamp"))
-     .repartition("event_date")
+     .hint("rebalance", "event_date")
      .write.mode(mode).partitionBy("event_date").parquet(path))
 
 
 def write_feature_matrix(features: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """IO4: model matrix partitioned by signup date."""
+    """IO4: model matrix partitioned by signup date, rebalanced as events are."""
     (features.withColumn("signup_date", F.to_date("signup_timestamp"))
+     .hint("rebalance", "signup_date")
      .write.mode(mode).partitionBy("signup_date").parquet(path))
 
 
-def write_report(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite") -> None:
-    """IO5: small result frames (metrics, subgroups, explanations) as a single JSON / CSV file."""
-    writer = df.coalesce(1).write.mode(mode)
+def write_report(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite", single_file: bool = True) -> None:
+    """IO5: a result frame as JSON / CSV. ``single_file`` is for small frames (metrics, subgroups,
+    examples), computed in parallel and gathered last; frames with a row per user set it False."""
+    writer = (df.repartition(1) if single_file else df).write.mode(mode)
     if fmt == "csv":
         writer.option("header", True).csv(path)
     else:

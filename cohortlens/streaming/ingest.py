@@ -2,21 +2,18 @@
 
 The analytics themselves are batch (every operator reads whole tables); this module only keeps
 the date-partitioned events table current as new files land, so batch jobs prune on
-``event_date``. Progress and exactly-once file tracking live in a checkpoint folder under the
-shared ``spark.checkpoint.dir``.
+``event_date``. Progress and exactly-once file tracking live in a checkpoint folder that belongs
+to the sink: a later session goes on where this one stopped.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cohortlens.sources import schemas
 from cohortlens.sources.readers import coerce_timestamps
-from cohortlens.session import ensure_checkpoint_dir
 
 
 def read_event_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet",
@@ -41,8 +38,7 @@ def ingest_events(spark: SparkSession, source_dir: str, sink_dir: str, fmt: str
     ``once=True`` processes everything available and stops (``availableNow`` trigger), which is
     how a scheduled batch refresh runs; otherwise the query keeps running.
     """
-    root = ensure_checkpoint_dir(spark)
-    checkpoint = checkpoint or os.path.join(root, "streams", "events_ingest")
+    checkpoint = checkpoint or f"{sink_dir.rstrip('/')}/_ingest_checkpoint"  # readers skip names that begin with _
     events = read_event_stream(spark, source_dir, fmt).withColumn("event_date", F.to_date("event_timestamp"))
     writer = (events.writeStream.format("parquet").outputMode("append").option("path", sink_dir)
               .option("checkpointLocation", checkpoint).partitionBy("event_date"))

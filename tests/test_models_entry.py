@@ -106,24 +106,26 @@ def test_permutation_importance_shapes(planted):
     assert all(r.importance_std >= 0 for r in imp)
 
 
-def test_adapter_reference_numbers(spark):
-    """FIXTURES section 3 at sf0.01 (numbers obtained independently with DuckDB)."""
-    from cohortlens.operators import experiment, funnel, retention
+def test_adapter_against_the_raw_log(spark):
+    """Users, first actions and labels at sf0.01 against statements on the raw log."""
+    import duckdb
 
+    con = duckdb.connect()
+    con.execute("""CREATE VIEW r AS SELECT *, user_id * 10 + CASE WHEN k % 10 >= 8 THEN k % 10 ELSE 0 END AS entity FROM (
+                   SELECT *, json_extract_string(props, '$.k')::INT AS k FROM '/root/testdata/sf0.01/events.parquet')""")
     t = testdata.load(spark, "/root/testdata/sf0.01")
-    assert t.users.count() == 1499
-    f = [r.users for r in funnel.compute_funnel(t.users, t.events, steps=testdata.ADAPTER_FUNNEL_STEPS).collect()]
-    assert f == [1499, 396, 100]
-    rates = {r.metric: r.rate for r in retention.retention_summary(t.users, t.events).collect()}
-    assert rates["D1 retention"] == pytest.approx(0.1227, abs=5e-5)
-    assert rates["D7 retention"] == pytest.approx(0.1328, abs=5e-5)
-    assert rates["D14 retention"] == pytest.approx(0.1121, abs=5e-5)
-    assert rates["D7 rolling retention"] == pytest.approx(0.8833, abs=5e-5)
-    lab = t.labels.agg(F.count(F.lit(1)).alias("n"), F.avg("is_churned").alias("rate")).first()
-    assert lab.n == 1287 and lab.rate == pytest.approx(0.1717, abs=5e-5)
-    sizes = {r.variant_id: r.sample_size for r in experiment.sample_sizes(t.assignments, config.ONBOARDING_EXPERIMENT_ID).collect()}
-    assert sizes == {"control": 596, "personalized": 449, "simplified": 454}
-    assert experiment.srm_test(t.assignments).first().p_value == pytest.approx(0.9686, abs=5e-5)
+    users = {r.user_id: r.signup_timestamp for r in t.users.select("user_id", "signup_timestamp").collect()}
+    assert users == dict(con.sql("SELECT entity, min(ts) FROM r GROUP BY entity").fetchall())
+    system = con.sql("SELECT count(*) FILTER (event_type = 'error'), count(*) FILTER (event_type = 'click' AND k >= 70) FROM r").fetchone()
+    got = {r.event_source: r.n for r in t.events.groupBy("event_source").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert (got["system"], got["campaign"]) == system
+    freeze = con.sql("SELECT max(ts)::DATE FROM r").fetchone()[0]
+    labelled = con.sql(f"SELECT count(*) FROM (SELECT entity, min(ts) AS s FROM r GROUP BY entity) WHERE s + INTERVAL 21 DAY < DATE '{freeze}' + INTERVAL 1 DAY").fetchone()[0]
+    assert t.labels.count() == labelled
+    # the whole lifecycle occurs: every event name, every rule, all seven funnel steps
+    assert {r[0] for r in t.events.select("event_name").distinct().collect()} == set(config.ALL_EVENT_NAMES)
+    matrix = __import__("__spark_entry__").queries()["feature_matrix"](spark, "/root/testdata/sf0.01").toPandas()
+    assert [c for c in matrix if matrix[c].nunique(dropna=False) < 2] == []
 
 
 def test_entry_points(spark):
@@ -142,7 +144,7 @@ def test_entry_points(spark):
 
 
 def test_unseen_and_rare_categories(spark, planted):
-    """ML1: unseen values go to the infrequent slot when it exists, else all zeros; nulls give zeros."""
+    """ML1: unseen values, a null among them, go to the infrequent slot when it exists, else all zeros."""
     from cohortlens.models.preprocess import fit_preprocessor, drop_slots
 
     spec = fit_spec(planted, CATS, NUMS)
@@ -154,8 +156,14 @@ def test_unseen_and_rare_categories(spark, planted):
     rows = {r.user_id: list(r.features.toArray()) for r in drop_slots(pre.transform(probe)).collect()}
     slot = {n: i for i, n in enumerate(names)}
     assert rows["a"][slot["cat__acquisition_channel_infrequent_sklearn"]] == 1.0
-    assert sum(rows["b"][:3]) == 0.0
+    assert rows["b"][slot["cat__acquisition_channel_infrequent_sklearn"]] == 1.0
     assert rows["c"][slot["cat__acquisition_channel_referral"]] == 1.0
+    # a frequent null is a level of its own
+    nulls = planted.withColumn("acquisition_channel", F.when(F.col("num_sessions") > 1, F.col("acquisition_channel")))
+    with_null = fit_spec(nulls, CATS, NUMS)
+    at = with_null.feature_names().index("cat__acquisition_channel_None")
+    again = {r.user_id: list(r.features.toArray()) for r in drop_slots(fit_preprocessor(nulls, with_null).transform(probe)).collect()}
+    assert again["b"][at] == 1.0 and again["c"][at] == 0.0
     # missing numeric -> median, then standardised
     med = (spec.medians["hours_to_first_action"] - spec.means["hours_to_first_action"]) / spec.scales["hours_to_first_action"]
     assert rows["a"][slot["num__hours_to_first_action"]] == pytest.approx(med)
