@@ -116,11 +116,11 @@ def test_adapter_against_the_raw_log(spark):
     t = testdata.load(spark, "/root/testdata/sf0.01")
     users = {r.user_id: r.signup_timestamp for r in t.users.select("user_id", "signup_timestamp").collect()}
     assert users == dict(con.sql("SELECT entity, min(ts) FROM r GROUP BY entity").fetchall())
-    system = con.sql("SELECT count(*) FILTER (event_type = 'error'), count(*) FILTER (event_type = 'click' AND k >= 70) FROM r").fetchone()
+    system = con.execute("SELECT count(*) FILTER (event_type = 'error'), count(*) FILTER (event_type = 'click' AND k >= 70) FROM r").fetchone()
     got = {r.event_source: r.n for r in t.events.groupBy("event_source").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert (got["system"], got["campaign"]) == system
-    freeze = con.sql("SELECT max(ts)::DATE FROM r").fetchone()[0]
-    labelled = con.sql(f"SELECT count(*) FROM (SELECT entity, min(ts) AS s FROM r GROUP BY entity) WHERE s + INTERVAL 21 DAY < DATE '{freeze}' + INTERVAL 1 DAY").fetchone()[0]
+    freeze = con.execute("SELECT max(ts)::DATE FROM r").fetchone()[0]
+    labelled = con.execute(f"SELECT count(*) FROM (SELECT entity, min(ts) AS s FROM r GROUP BY entity) WHERE s + INTERVAL 21 DAY < DATE '{freeze}' + INTERVAL 1 DAY").fetchone()[0]
     assert t.labels.count() == labelled
     # the whole lifecycle occurs: every event name, every rule, all seven funnel steps
     assert {r[0] for r in t.events.select("event_name").distinct().collect()} == set(config.ALL_EVENT_NAMES)
