@@ -167,3 +167,26 @@ def test_unseen_and_rare_categories(spark, planted):
     # missing numeric -> median, then standardised
     med = (spec.medians["hours_to_first_action"] - spec.means["hours_to_first_action"]) / spec.scales["hours_to_first_action"]
     assert rows["a"][slot["num__hours_to_first_action"]] == pytest.approx(med)
+
+
+def test_report_set_of_a_training_run(spark, tmp_path):
+    """One training writes its whole report set; the winner, its threshold and metrics agree."""
+    import json
+
+    from cohortlens.plans import training
+
+    t = testdata.load(spark, "/root/testdata/sf0.01")
+    data, result = training.trained(t, gbt_max_iter=5)
+    assert training.trained(t, gbt_max_iter=5)[1] is result  # same files, same session: trained once
+    assert result.winner == max(result.candidates, key=lambda n: result.candidates[n].average_precision)
+    training.write_report_set(result, t, data, str(tmp_path))
+
+    def rows(name):
+        return [json.loads(line) for f in sorted((tmp_path / name).glob("part-*.json")) for line in f.read_text().splitlines()]
+
+    assert {r["dataset"] for r in rows("metrics")} == {"validation@0.5", "validation", "test"}
+    assert rows("model_metadata")[0]["model"] == result.winner and rows("model_metadata")[0]["n_features"] == 37
+    assert len(rows("threshold_sweep")) == 101 and len(rows("split")) == 3
+    assert all(r["disclaimer"] == training.DISCLAIMER and r["predicted_class"] in (0, 1) for r in rows("user_report"))
+    assert len(rows("user_explanations")) == data.test.count() and rows("nba_examples") and rows("subgroups") and rows("global_explanation")
+    assert rows("calibration") and rows("pr_curve") and rows("roc_curve")
