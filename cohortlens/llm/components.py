@@ -14,12 +14,12 @@ def _smaller_first(links: DataFrame) -> DataFrame:
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    low = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
     return _smaller_first(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    low = links.groupBy("u").agg(F.min("v").alias("m"))
+    low = cut(links.groupBy("u").agg(F.min("v").alias("m")))
     near = links.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return _smaller_first(near.union(low.select("u", F.col("m").alias("v"))))
 
@@ -29,7 +29,8 @@ def components(links: DataFrame) -> DataFrame:
     row). ``links`` has two comparable columns u and v; direction and repeats do not matter.
 
     Each round works on the links by joins and partial aggregates alone; a node that many links
-    share is pre-aggregated, and the joins back to it are inner joins that Spark can split.
+    share is pre-aggregated, and the minima are a table of their own, so that Spark can split the
+    inner joins back to them.
     """
     now, mark = cut(_smaller_first(links)), None
     while True:

@@ -40,9 +40,11 @@ BLOCKS = CONTAINERS | frozenset("address article blockquote body br caption cent
                                 "option p pre summary tbody td tfoot th thead tr".split())
 #: Words of a class, id or role that mark what is not main text.
 MARKS = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer "
-                  "header masthead menu menubar modal nav navbar navigation newsletter notice notices popup promo promotion related replies respond "
+                  "menu menubar modal nav navbar navigation newsletter notice notices popup promo promotion related replies respond "
                   "share sharing sidebar sidebars skip social sponsor sponsored subscribe toolbar widget widgets complementary contentinfo "
                   "search advertorial adsbygoogle gdpr alert signup login toc pagination pager".split())
+#: Words of a header, which is left out except inside an article (where it holds the title).
+HEADERS = frozenset(("header", "masthead"))
 #: Elements whose own classes do not count (a body with a sidebar is not a sidebar), and class prefixes that do not.
 UNMARKED = frozenset("html body main h1 h2 h3 h4 h5 h6 b i em strong".split())
 NEGATIONS = frozenset("has no not with without".split())
@@ -59,25 +61,27 @@ HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "marked", "parts", "digest")
+    __slots__ = ("tag", "marked", "header", "parts", "digest")
 
-    def __init__(self, tag: str, marked: bool = False):
-        self.tag, self.marked, self.parts, self.digest = tag, marked, [], 0
+    def __init__(self, tag: str, marked: bool = False, header: bool = False):
+        self.tag, self.marked, self.header, self.parts, self.digest = tag, marked, header or tag == "header", [], 0
 
 
-def _is_marked(tag: str, attributes: str) -> bool:
-    """Whether the element's own attributes say that it is not main text."""
+def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether the element's own attributes say that it is not main text, and that it is a header."""
     if not attributes or tag in UNMARKED:
-        return False
+        return False, False
+    header = False
     for name, *values in MARKING.findall(attributes):
         value = (values[0] or values[1] or values[2]).lower()
         if name.lower() == "hidden" or name.lower() == "aria-hidden" and value == "true":
-            return True
+            return True, False
         if name.lower() in ("class", "id", "role"):
             for word in map(SPLIT, value.split()):
                 if word[0] not in NEGATIONS and not MARKS.isdisjoint(word):
-                    return True
-    return False
+                    return True, False
+                header |= not HEADERS.isdisjoint(word) and word[0] not in NEGATIONS
+    return False, header
 
 
 def parse(page: str) -> Node:
@@ -123,7 +127,7 @@ def parse(page: str) -> Node:
         if tag in CLOSES:
             close_to(CLOSES[tag], SCOPES)
         attributes = token[3] or token[6] or ""
-        node = Node(tag, _is_marked(tag, attributes))
+        node = Node(tag, *_marks(tag, attributes))
         stack[-1].parts.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(page, at)
@@ -158,7 +162,7 @@ def hash_subtrees(root: Node) -> None:
 
 
 def _left_out(node: Node, inside: bool) -> bool:
-    return node.tag in DROPPED or node.marked or (node.tag == "header" and not inside)
+    return node.tag in DROPPED or node.marked or (node.header and not inside)
 
 
 def main_roots(root: Node) -> list[Node]:
@@ -230,8 +234,8 @@ def extract(pages: DataFrame, min_pages: int = 5, min_share: float = 0.3) -> Dat
     counted = found.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
     template = cut(counted.where(F.col("n") >= min_pages).join(sizes, "host")
                    .where(F.col("n") >= min_share * F.col("pages")).select("host", "hash"))
-    gone = (found.select("_url", "_html", "host", F.explode("hashes").alias("hash")).join(template, ["host", "hash"])
-            .groupBy("_url", "_html").agg(F.collect_set("hash").alias("_gone")))
+    gone = cut(found.select("_url", "_html", "host", F.explode("hashes").alias("hash")).join(template, ["host", "hash"])
+               .groupBy("_url", "_html").agg(F.collect_set("hash").alias("_gone")))
     rows = (pages.select(folded(pages, own).alias("own"), "html", page[0].alias("_url"), page[1].alias("_html"))
             .join(gone, ["_url", "_html"], "left").select("own", "html", "_gone"))
 

@@ -182,7 +182,7 @@ def near_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: st
     label = components(fingerprint_links(distinct, max_bits).select("u", "v"))
     labelled = distinct.join(label.select(F.col("u").alias("fp"), F.col("v").alias("label")), "fp", "left") \
         .withColumn("label", F.coalesce("label", "fp"))
-    lowest = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
+    lowest = cut(labelled.groupBy("label").agg(F.min("rep").alias("component_id")))  # joins back can then be split
     of_fp = labelled.join(lowest, "label").select("fp", "component_id")
     return held.join(of_fp, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 

@@ -19,7 +19,8 @@ def text_of(page, templates=frozenset()):
     ("<article><p>cut off &am", "cut off &am"), ("<article><p>a < b and <3</p><p>x<!-- c --->y</p><!-- unclosed <p>z", "a < b and <3 xy"),
     ('<article><p title="a>b">q</p><p', "q"), ("", ""), ("<article><ul><li>1<li>2</ul><table><tr><td>a<td>b<tr><td>c</table></article>", "1 2 a b c"),
     ('<div class="with-sidebar"><article class="post">x<article class="comment">c</article></article></div>', "x"),
-    ('<div hidden>a</div><p class="notice">n</p><p>t</p>', "t"), ("<p>only text", "only text"), ("<b>" * 5000 + "deep", "deep"), ("<<<>>>", "<<<>>>"),
+    ('<div class="site-header">s</div><article><div class="article-header"><h1>T</h1></div>x</article>', "T x"),
+    ('<div class="masthead">s</div><p>x</p>', "x"), ('<div hidden>a</div><p class="notice">n</p><p>t</p>', "t"), ("<p>only text", "only text"), ("<b>" * 5000 + "deep", "deep"), ("<<<>>>", "<<<>>>"),
 ])
 def test_pages(page, want):
     assert text_of(page) == want
