@@ -41,6 +41,17 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+_encoders: dict[int, tuple] = {}
+
+
+def _piece_encoder(ranks: dict[bytes, int], pattern: str):
+    """The library's encoder of one pre-token, built once in a worker process."""
+    if id(ranks) not in _encoders:
+        _encoders.clear()
+        _encoders[id(ranks)] = ranks, tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return _encoders[id(ranks)][1]._encode_single_piece
+
+
 def _pack(values: np.ndarray) -> bytes:
     """Unsigned 32-bit values by planes of bytes, compressed."""
     planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
@@ -135,7 +146,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     blocks = staged(_blocks(docs, pattern, id_col, block_chars, -(-total // block_chars) or 1))
 
     def encode_words(table: pa.Table) -> pa.Table:
-        piece = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})._encode_single_piece
+        piece = _piece_encoder(ranks.value, pattern)
         known: dict[bytes, list[int]] = {}
         out = []
         for flat, sizes in zip(table["flat"], table["sizes"]):
