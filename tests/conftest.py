@@ -35,9 +35,9 @@ def after(base: datetime, days: float = 0, hours: float = 0, minutes: float = 0,
 
 def make_users(spark, rows: list[dict]):
     """rows: dicts with at least user_id and signup_timestamp; other columns get defaults."""
-    defaults = {"acquisition_channel": "organic_search", "country": "US", "device_type": "desktop",
-                "language": "en", "timezone": "America/New_York", "initial_plan_type": "free",
-                "user_intent_level": "medium", "career_stage": "student", "marketing_consent": True}
+    defaults = {"acquisition_channel": "referral", "country": "NZ", "device_type": "tablet",
+                "language": "mi", "timezone": "Pacific/Auckland", "initial_plan_type": "trial",
+                "user_intent_level": "high", "career_stage": "early_career", "marketing_consent": True}
     data = [tuple({**defaults, **r}.get(f.name) for f in schemas.USERS.fields) for r in rows]
     return spark.createDataFrame(data, schemas.USERS)
 
