@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BUCKETS = 1_000_000
-_SHIFT32_MOD = (1 << 32) % BUCKETS
 
 
 def md5_bucket(*parts, modulus: int = BUCKETS) -> Column:
@@ -41,8 +40,3 @@ def pick_variant(bucket: Column, variants: list[tuple[str, float]], modulus: int
         cond = normalized < F.lit(cum)
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     return expr.otherwise(F.lit(variants[-1][0]))
-
-
-def hash_choice(options: Column, *keys) -> Column:
-    """Deterministic pick from an array column, keyed by ``xxhash64(keys)``."""
-    return F.element_at(options, (F.pmod(F.xxhash64(*keys), F.size(options)) + 1).cast("int"))

@@ -34,10 +34,6 @@ def _label(c: str = "label") -> Column:
     return F.col(c).cast("bigint")
 
 
-def class_totals(scored: DataFrame, label: str = "label") -> DataFrame:
-    return scored.agg(F.sum(_label(label)).alias("P"), F.sum(1 - _label(label)).alias("N"))
-
-
 def cumulative(scored: DataFrame, label: str = "label", prob: str = "prob") -> DataFrame:
     """One row per distinct score (descending): tp, fp at that score and cumulative counts of
     rows scoring >= it (cum_tp, cum_fp), plus class totals P and N."""
