@@ -55,7 +55,8 @@ SCOPES = frozenset("ul ol dl table body html article main section div aside sele
 CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main "
                      "menu nav ol p pre section table ul".split())
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)""", re.S)
-MARKING = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: One attribute: its whole name and its value, so that nothing inside a value or another name counts.
+ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?""")
 SPLIT = re.compile(r"[^a-z0-9]+").split
 HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", re.I)
 
@@ -72,11 +73,11 @@ def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
     if not attributes or tag in UNMARKED:
         return False, False
     header = False
-    for name, *values in MARKING.findall(attributes):
-        value = (values[0] or values[1] or values[2]).lower()
-        if name.lower() == "hidden" or name.lower() == "aria-hidden" and value == "true":
+    for name, *values in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), (values[0] or values[1] or values[2]).lower()
+        if name == "hidden" or name == "aria-hidden" and value == "true":
             return True, False
-        if name.lower() in ("class", "id", "role"):
+        if name in ("class", "id", "role"):
             for word in map(SPLIT, value.split()):
                 if word[0] not in NEGATIONS and not MARKS.isdisjoint(word):
                     return True, False

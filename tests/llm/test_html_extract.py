@@ -26,6 +26,16 @@ def test_pages(page, want):
     assert text_of(page) == want
 
 
+@pytest.mark.parametrize(("attributes", "kept"), [
+    ('href="/hidden-gems"', True), ('style="overflow:hidden"', True), ('data-hidden="false"', True), ('href="?id=search"', True), ("href=?class=ad", True),
+    ('title="the hidden class=ad"', True), ("data-id='search' data-class='ad'", True), ('aria-hidden="false"', True), ('title="an open hidden', True),
+    ("hidden", False), ("HIDDEN=''", False), ('title="x"hidden', False), ("aria-hidden = 'TRUE'", False), ('href="/a" class="x ad"', False), ("id=search", False),
+    ("data-x role='search'", False),
+])
+def test_only_real_attributes_mark_an_element(attributes, kept):
+    assert text_of(f"<article><p>x</p><div {attributes}>inner</div></article>") == ("x inner" if kept else "x")
+
+
 def test_driver_pages_against_their_article_markup():
     import duckdb
 
