@@ -1,15 +1,18 @@
 """Main text of web pages, with site templates removed.
 
 Pages are parsed into element trees. Every block subtree (its tags and its text) is hashed; the
-distinct hashes of a page are counted per host in Spark, and a subtree that recurs on at least
-``min_pages`` pages and ``min_share`` of the pages of its host is a template: it is deleted before
-the text is read. Where a page marks its article (article, main), only containers inside it can be
+distinct hashes of a page are counted per host in Spark, and a subtree that recurs on many pages of
+its host is a template: it is deleted before the text is read. Many are ``min_pages``, or the square
+root of the host's pages where that is more, so variants that rotate on a large host are templates
+too. A piece of a list or table or a heading (``PIECES``), which pages can share by chance, needs
+``min_share`` of the pages, or the host's pages to the power of 3/4 where that is less. Equal pages
+of a host count once, so a page that is stored many times is no template of itself. Where a page marks its article (article, main), only containers inside it can be
 templates, as a paragraph that many articles quote is still text; elsewhere any block can be.
 Besides, menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
 comments are left out by element and by class, id or role words.
 
 Counts are pre-aggregated per (host, hash), so a host with a third of all pages is spread; a page
-gets back only its own hashes. Page texts are shuffled once.
+gets back only its own hashes. Page texts are shuffled once, page hashes once more.
 
 Defined cases: null or empty html has empty text; a null or odd url is a host of its own name
 (empty). Repeated rows are pages of their own. Broken, unclosed or cut-off markup is closed at the
@@ -38,6 +41,8 @@ DROPPED = frozenset("head nav footer aside form script style noscript template i
 CONTAINERS = frozenset("div section aside ul ol dl table nav header footer form figure details".split())
 BLOCKS = CONTAINERS | frozenset("address article blockquote body br caption center dd dt fieldset figcaption h1 h2 h3 h4 h5 h6 hr html legend li main "
                                 "option p pre summary tbody td tfoot th thead tr".split())
+#: Blocks that pages of a host can share by chance (a cell that says yes, a usual heading).
+PIECES = frozenset("caption dd dt figcaption h1 h2 h3 h4 h5 h6 legend li option summary tbody td tfoot th thead tr".split())
 #: Words of a class, id or role that mark what is not main text.
 MARKS = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer "
                   "menu menubar modal nav navbar navigation newsletter notice notices popup promo promotion related replies respond "
@@ -159,7 +164,7 @@ def hash_subtrees(root: Node) -> None:
                 h.update(b"\x01" + part.digest.to_bytes(8, "little", signed=True))
             else:
                 h.update(b"\x02" + " ".join(part.split()).encode("utf-8", "replace"))
-        node.digest = int.from_bytes(h.digest(), "little", signed=True)
+        node.digest = int.from_bytes(h.digest(), "little", signed=True) & ~1 | (node.tag in PIECES)  # odd: a piece
 
 
 def _left_out(node: Node, inside: bool) -> bool:
@@ -231,10 +236,11 @@ def extract(pages: DataFrame, min_pages: int = 5, min_share: float = 0.3) -> Dat
 
     found = cut(pages.select("url", "html", page[0].alias("_url"), page[1].alias("_html"))
                 .mapInArrow(hashes, "_url long, _html long, host string, hashes array<long>"))
-    sizes = found.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counted = found.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    template = cut(counted.where(F.col("n") >= min_pages).join(sizes, "host")
-                   .where(F.col("n") >= min_share * F.col("pages")).select("host", "hash"))
+    sizes = found.groupBy("host", "_html").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("one").alias("pages"))
+    counted = (found.groupBy("host", "_html").agg(F.first("hashes").alias("hashes")).select("host", F.explode("hashes").alias("hash"))
+               .groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")))
+    many = F.when(F.col("hash").bitwiseAND(1) == 0, F.sqrt("pages")).otherwise(F.least(min_share * F.col("pages"), F.pow("pages", F.lit(0.75))))
+    template = cut(counted.where(F.col("n") >= min_pages).join(sizes, "host").where(F.col("n") >= many).select("host", "hash"))
     gone = cut(found.select("_url", "_html", "host", F.explode("hashes").alias("hash")).join(template, ["host", "hash"])
                .groupBy("_url", "_html").agg(F.collect_set("hash").alias("_gone")))
     rows = (pages.select(folded(pages, own).alias("own"), "html", page[0].alias("_url"), page[1].alias("_html"))

@@ -60,6 +60,16 @@ def test_templates_are_counted_per_host(spark):
     assert out[2] == "own 2 A quoted line."  # a line that many articles quote stays, a container goes
 
 
+def test_templates_that_rotate_on_a_large_host(spark):
+    schema = "page_id long, url string, html string"
+    rows = [(i, f"https://h.example.com/{i}", f"<body><p>own text {i}</p><p>Notice {i % 4} of our site.</p><ul><li>Menu {i % 8}<li>Home</ul>"
+             f"<table><tr><td>size {i}<td>{'yes' if i % 9 == 0 else i}</table></body>") for i in range(144)]
+    rows += [(1000 + i, f"https://h.example.com/again/{i}", "<body><p>A page that is stored many times.</p></body>") for i in range(40)]
+    out = {r["page_id"]: r["text"] for r in H.extract(spark.createDataFrame(rows, schema)).collect()}
+    assert out[3] == "own text 3 size 3 3" and out[9] == "own text 9 size 9 yes"
+    assert out[1000] == out[1039] == "A page that is stored many times."
+
+
 def test_nulls_repeats_clashes_and_empty_table(spark):
     schema = "page_id long, url string, html string"
     rows = [(1, None, "<p>a</p>"), (1, None, "<p>a</p>"), (None, "odd url", None), (2, "http://x", ""), (3, "http://x", "y" * 300_000)]
