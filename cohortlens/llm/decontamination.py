@@ -10,8 +10,11 @@ characters and ``max_edit`` of K = floor(max_edit * L) edits:
 * CGK embedding. Window and item walk over their characters under shared random bits (a character
   is written out at every step, and the bit of step and character says whether to go on), which
   maps their edit distance to a Hamming distance. Bit-sampling LSH compares ``SAMPLE`` random steps
-  of a walk; a pair that agrees on all of them in any repetition goes on. The number of repetitions
-  is calibrated on edited copies of the items themselves, at K edits, to reach ``recall``.
+  of a walk; a pair that agrees on all of them in any repetition goes on. The share of agreeing
+  steps falls with length, so items form classes of near edit budgets, and each class has the number
+  of repetitions that reaches ``recall`` on edited copies of all its items, at K edits, inside other
+  text and in the windows that the scan finds for them. Where ``LIMIT`` repetitions do not reach it,
+  all windows of the class go on.
 * Verification. The exact edit distance of the item to its best match around the window (a
   bit-parallel scan) must be at most K.
 
@@ -37,6 +40,10 @@ SAMPLE = 4
 WALKS = 4
 SEED_CHARS = 8
 SLICE = 1_000_000
+#: Most repetitions of a class, copies that a class is calibrated on at least, and cells of one embedding.
+LIMIT = 4096
+COPIES = 256
+CELLS = 1 << 24
 
 
 def normal(text: str) -> str:
@@ -113,9 +120,6 @@ class Items:
         self.sizes = np.array([len(c) for c in self.codes], dtype=np.int64)
         self.edits = np.floor(max_edit * self.sizes).astype(np.int64)
         self.width = int(self.sizes.max(initial=1))
-        self.steps = 2 * self.width
-        rows = padded(self.codes, self.width)
-        self.walks = [embed(rows, self.sizes, self.steps, w) for w in range(WALKS)]
         self._seeds()
         self._calibrate(recall)
 
@@ -137,32 +141,83 @@ class Items:
             self.seeds[length] = (hashes, *(np.array([s[k] for s in seeds], dtype=np.int64) for k in (1, 2, 3)), sieve)
 
     def _calibrate(self, recall: float) -> None:
-        """The repetitions, walk by walk, that reach the recall on items edited to their limit."""
-        rng = np.random.default_rng(3)
-        some = rng.permutation(len(self.codes))[:64].repeat(4)
-        copies = [edited(self.codes[i], int(self.edits[i]), rng) for i in some]
-        rows, sizes = padded(copies, self.width + int(self.edits.max(initial=0))), np.array([len(c) for c in copies])
-        agree = [embed(rows, sizes, self.steps, w) == self.walks[w][some] for w in range(WALKS)]
-        self.samples, found = [], np.zeros(len(some), dtype=bool)
-        draw = np.random.default_rng(17)
-        while found.mean() < recall and len(self.samples) < 4096:
-            share = draw.random(SAMPLE)
-            self.samples.append(share)
-            steps = (share[None, :] * 2 * self.sizes[some, None]).astype(np.int64)
-            found |= agree[(len(self.samples) - 1) % WALKS][np.arange(len(some))[:, None], steps].all(axis=1)
+        """Classes of edit budgets (four for each power of two) with their items' walks and the
+        repetitions that reach the recall; LIMIT + 1 where none do. Half of the loss is left to what
+        the copies do not show."""
+        self.kind = np.array([e >> max(0, e.bit_length() - 3) | e.bit_length() << 3 for e in self.edits.tolist()], dtype=np.int64)
+        self.place, self.walks, self.repetitions = np.zeros(len(self.codes), dtype=np.int64), {}, {}
+        self.shares = np.random.default_rng(17).random((LIMIT, SAMPLE))
+        rng, letters = np.random.default_rng(3), np.concatenate([np.zeros(0, dtype=np.uint32), *self.codes])
+        for kind in np.unique(self.kind).tolist():
+            own = np.flatnonzero(self.kind == kind)
+            self.place[own] = np.arange(len(own))
+            width = int(self.sizes[own].max())
+            rows = padded([self.codes[i] for i in own], width)
+            self.walks[kind] = [embed(rows, self.sizes[own], 2 * width, w) for w in range(WALKS)]
+            of = own.repeat(-(-COPIES // len(own)))
+            around = int(self.edits[own].max()) + 8
+            parts = [np.concatenate((rng.choice(letters, around), edited(self.codes[i], int(self.edits[i]), rng), rng.choice(letters, around))) for i in of]
+            first, step = np.full(len(of), LIMIT), max(1, CELLS // (16 * width))
+            for at in range(0, len(of), step):
+                first[at:at + step] = self._first_of_copies(parts[at:at + step], of[at:at + step])
+            missed = int((1 - recall) / 2 * len(of))
+            self.repetitions[kind] = int(np.sort(first)[len(of) - 1 - missed]) + 1
+            if self.repetitions[kind] > LIMIT:
+                self.walks[kind] = []
+
+    def _first_of_copies(self, parts: list[np.ndarray], of: np.ndarray) -> np.ndarray:
+        """The first repetition in which a window of each text's own item agrees; LIMIT if none."""
+        chars = np.concatenate([np.append(p, np.uint32(0)) for p in parts])
+        lengths = np.array([len(p) for p in parts], dtype=np.int64)
+        ends = np.cumsum(lengths + 1) - 1
+        doc, item, start = windows_of(chars, ends, self)
+        mine = item == of[doc]
+        doc, item, start = doc[mine], item[mine], start[mine]
+        rows, sizes = cut_windows(chars, ends, lengths, doc, start, self.sizes[item])
+        return self._first(rows, sizes, item, doc, len(parts), LIMIT)
+
+    def _first(self, windows: np.ndarray, sizes: np.ndarray, item: np.ndarray, group: np.ndarray, groups: int, limit: int) -> np.ndarray:
+        """For each group of windows of one class's items, the first repetition in which one of them
+        agrees with its item on all samples; ``limit`` if none."""
+        first = np.full(groups, limit)
+        if not len(windows):
+            return first
+        own = self.walks[int(self.kind[item[0]])]
+        steps = own[0].shape[1]
+        batch = max(1, CELLS // steps)
+        for at in range(0, len(windows), batch):
+            part = slice(at, at + batch)
+            some, to, size = self.place[item[part]], group[part], 2 * self.sizes[item[part], None]
+            agree = [embed(windows[part, :steps // 2], sizes[part], steps, w) == own[w][some] for w in range(min(WALKS, limit))]
+            left = np.arange(len(some))
+            for r in range(limit):
+                if r % 16 == 0:
+                    left = left[first[to[left]] > r]
+                    if not len(left):
+                        break
+                at_steps = (self.shares[r][None, :] * size[left]).astype(np.int64)
+                hit = to[left[agree[r % WALKS][left[:, None], at_steps].all(axis=1)]]
+                first[hit] = np.minimum(first[hit], r)
+        return first
 
     def alike(self, windows: np.ndarray, sizes: np.ndarray, item: np.ndarray) -> np.ndarray:
-        """Which windows agree with their item on all samples of some repetition."""
-        found = np.zeros(len(windows), dtype=bool)
-        for walk in range(min(WALKS, len(self.samples))):
-            written = embed(windows, sizes, self.steps, walk)
-            agree = written == self.walks[walk][item]
-            for share in self.samples[walk::WALKS]:
-                steps = (share[None, :] * 2 * self.sizes[item, None]).astype(np.int64)
-                found |= agree[np.arange(len(item))[:, None], steps].all(axis=1)
+        """Which windows agree with their item on all samples of some repetition of its class."""
+        found = np.ones(len(windows), dtype=bool)
+        for kind in np.unique(self.kind[item]).tolist():
+            some, n = np.flatnonzero(self.kind[item] == kind), self.repetitions[kind]
+            if n <= LIMIT:
+                found[some] = self._first(windows[some], sizes[some], item[some], np.arange(len(some)), len(some), n) < n
         return found
 
 
+def cut_windows(chars: np.ndarray, ends: np.ndarray, lengths: np.ndarray, doc: np.ndarray, start: np.ndarray,
+                sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The windows' characters, padded, and their sizes inside their documents."""
+    low, high = (np.clip(x, (ends - lengths)[doc], ends[doc]) for x in (start, start + sizes))
+    reach = low[:, None] + np.arange(int(sizes.max(initial=1)))[None, :]
+    return np.where(reach < high[:, None], chars[np.minimum(reach, len(chars) - 1)], 0).astype(np.uint32), high - low
+
+
 def rolling(text: np.ndarray, length: int) -> np.ndarray:
     """A hash of the ``length`` characters from each position on."""
     h = (text.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
@@ -225,11 +280,7 @@ def matches(texts: list[str], items: Items) -> list[tuple[int, int, int, int]]:
     best: dict[tuple[int, int], tuple[int, int]] = {}
     for at in range(0, len(item), 4096):
         which, begin, of = item[at:at + 4096], start[at:at + 4096], doc[at:at + 4096]
-        low = np.clip(begin, (ends - lengths)[of], ends[of])
-        high = np.clip(begin + items.sizes[which], (ends - lengths)[of], ends[of])
-        reach = low[:, None] + np.arange(items.width)[None, :]
-        rows = np.where(reach < high[:, None], chars[np.minimum(reach, len(chars) - 1)], 0).astype(np.uint32)
-        ok = items.alike(rows, high - low, which)
+        ok = items.alike(*cut_windows(chars, ends, lengths, of, begin, items.sizes[which]), which)
         for d, i, s in zip(of[ok].tolist(), which[ok].tolist(), (begin - (ends - lengths)[of])[ok].tolist()):
             edits, size = int(items.edits[i]), int(items.sizes[i])
             if best.get((d, i), (1, 0))[0] == 0:

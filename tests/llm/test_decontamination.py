@@ -57,6 +57,31 @@ def test_recall_of_edited_passages(items):
     assert np.mean([(d, i) in found for d, i in enumerate(want)]) >= 0.97
 
 
+def recall_of(sizes, longest, copies, seed):
+    """Of copies of the longest items, edited to the limit, the share found beside many shorter items."""
+    rng = np.random.default_rng(seed)
+    draw = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+    known = [(i, draw(n)) for i, n in enumerate(sizes)]
+    fitted = D.Items(known, 0.1, 0.99)
+    at = [i for i, n in enumerate(sizes) if n == longest]
+    found = []
+    for k in range(copies):
+        i = at[k % len(at)]
+        changed = "".join(map(chr, D.edited(fitted.codes[i], int(fitted.edits[i]), rng)))
+        found.append((0, i) in {m[:2] for m in D.matches([draw(90) + changed + draw(90)], fitted)})
+    return np.mean(found), fitted
+
+
+def test_recall_of_long_items_among_short_ones():
+    assert recall_of([80] * 60 + [1000] * 2, 1000, 100, 5)[0] >= 0.97
+
+
+def test_a_class_that_does_not_reach_the_recall_is_checked_exactly(monkeypatch):
+    monkeypatch.setattr(D, "LIMIT", 1)
+    share, fitted = recall_of([80] * 20 + [400] * 2, 400, 60, 6)
+    assert share == 1 and set(fitted.repetitions.values()) == {2}
+
+
 def test_case_white_space_and_distance(spark, docs_of):
     item = "The quick brown fox jumps over the lazy dog near the old river bank today."
     bench = spark.createDataFrame([(7, item), (8, item), (9, None), (10, "  "), (11, "")], "item_id long, text string")
