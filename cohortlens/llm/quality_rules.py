@@ -3,9 +3,15 @@
 Statistics of all whole texts are computed once and written. The forest's trees split random
 subsamples of the corpus (256 documents a tree, the method's own sample; ``trees`` x 256 rows come
 to the driver, picked by a hash of the id) at random values, and a document's score is 2 to the
-power of minus its mean path length over the usual one. The threshold is calibrated on all labelled
-documents: their scores are counted in ``BINS`` bins by label, and the threshold is taken that
-rejects most bad documents while it costs at most ``max_loss`` of the good ones.
+power of minus its mean path length over the usual one. The rows are the texts' ratios as they are
+(a cut at random between a column's ends does not depend on its scale). One forest splits on all
+ratios and gives the anomaly; one on each ratio gives that ratio's score, since the mean over all
+ratios hides a document that is odd in one.
+
+Thresholds are calibrated on all labelled documents, whose scores are counted in ``BINS`` bins by
+label: the score and threshold are taken that reject most bad documents while they cost few good
+ones (``max_loss`` of them in all), then the next among the documents left, until no bad one can be
+had. A document is rejected that reaches the threshold of any score. No limit of a ratio is fixed.
 
 Defined cases: a null or empty text has no words and fails the base rules. Repeated rows give
 repeated rows. A document labelled more than once counts as bad if any of its labels says so; null
@@ -16,6 +22,7 @@ base rules is kept. Extra columns are not read. An empty table gives an empty re
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,13 +51,11 @@ def statistics(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def features(s: dict[str, np.ndarray]) -> np.ndarray:
-    """How far a text's ratios, which do not depend on its length, go beyond what the rules allow:
-    word length off 5.5 by over 2, symbols over 2 % of characters, repeated lines over 35 %, words
-    in repeated windows over 30 %, capitals over 20 %, digits over 15 %, marks over one in two words."""
+    """A text's ratios, which do not depend on its length: word length, symbols, repeated lines,
+    words in repeated windows, capitals, digits, marks."""
     words, chars, lines = (np.maximum(s[k], 1) for k in ("n_words", "word_chars", "n_lines"))
-    ratios = np.column_stack([np.abs(s["word_chars"] / words - 5.5), s["n_symbols"] / chars, s["n_dup_lines"] / lines, s["n_repeat_words"] / words,
-                              s["n_capitals"] / chars, s["n_digits"] / chars, s["n_marks"] / words])
-    return np.maximum(ratios - np.array([2.0, 0.02, 0.35, 0.3, 0.2, 0.15, 0.5]), 0)
+    return np.column_stack([s["word_chars"] / words, s["n_symbols"] / chars, s["n_dup_lines"] / lines, s["n_repeat_words"] / words,
+                            s["n_capitals"] / chars, s["n_digits"] / chars, s["n_marks"] / words])
 
 
 def usual_path(n: np.ndarray) -> np.ndarray:
@@ -100,6 +105,43 @@ def anomaly(rows: np.ndarray, forest: list[tuple[np.ndarray, ...]], sample: int
     return 2.0 ** (-total / len(forest) / max(float(usual_path(sample)), 1e-9))
 
 
+def fit_forests(rows: np.ndarray, trees: int) -> list[tuple[np.ndarray, list]]:
+    """(columns, forest): ``trees`` trees on all columns, then as many in all on single columns."""
+    columns = [np.arange(rows.shape[1]), *np.arange(rows.shape[1])[:, None]]
+    return [(c, fit_forest(rows[:, c], trees if len(c) > 1 else -(-trees // rows.shape[1]), 7 + i)) for i, c in enumerate(columns)]
+
+
+def scores_of(rows: np.ndarray, forests: list[tuple[np.ndarray, list]], sample: int) -> np.ndarray:
+    """One score a forest."""
+    return np.column_stack([anomaly(rows[:, c], forest, sample) for c, forest in forests])
+
+
+def calibrate(labelled: DataFrame, n_scores: int, max_loss: float) -> list[float]:
+    """The threshold of each score; 2 for one that rejects nothing. ``labelled``: _quality, scores.
+    Each round is one aggregate of at most 2 x scores x bins rows."""
+    limits, good = [2.0] * n_scores, None
+    for _ in range(n_scores):
+        left = labelled.where(reduce(lambda x, y: x & y, [F.col("scores")[i] < limit for i, limit in enumerate(limits)]))
+        counts = (left.select("_quality", F.posexplode("scores").alias("score", "value"))
+                  .groupBy("score", "_quality", F.floor(F.col("value") * BINS).cast("int").alias("bin")).count().collect())
+        best = (0, 0.0)
+        for i in range(n_scores):
+            own = [(r["_quality"], r["bin"], r["count"]) for r in counts if r["score"] == i]
+            rest = sum(n for label, _, n in own if label)
+            good = rest if good is None else good
+            limit = threshold(own, max(0.0, max_loss * good - (good - rest)) / max(rest, 1))
+            edge = round(limit * BINS)
+            caught = sum(n for label, at, n in own if not label and at >= edge)
+            cost = sum(n for label, at, n in own if label and at >= edge)
+            gap = edge - max((at for label, at, _ in own if label and at < edge), default=-1)
+            if limits[i] > 1 and caught:
+                best = max(best, (caught, -cost, gap, -i, limit))
+        if not best[0]:
+            break
+        limits[-best[3]] = best[4]
+    return limits
+
+
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", trees: int = 100, max_loss: float = 0.005) -> DataFrame:
     """The id, the statistics, base_failed, anomaly (null where base_failed) and kept."""
     spark, kind = docs.sparkSession, dict(docs.dtypes)[id_col]
@@ -109,20 +151,24 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", trees: int
     share = min(1.0, trees * SAMPLE / max(1, passed.count()))
     sample = passed.where(F.pmod(F.xxhash64(id_col, *Stats._fields), F.lit(1 << 20)) < int(share * (1 << 20))).select(*Stats._fields).toPandas()
     rows = features({k: sample[k].to_numpy() for k in Stats._fields})
-    forest = fit_forest(rows[np.lexsort(rows.T)], trees)
+    forests = fit_forests(rows[np.lexsort(rows.T)], trees)
     size = min(SAMPLE, len(rows))
 
     def shape(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            found = anomaly(features({k: part[k].to_numpy() for k in Stats._fields}), forest, size)
-            scores = pa.array(found, pa.float64(), mask=part["base_failed"].to_numpy(zero_copy_only=False))
-            yield pa.RecordBatch.from_arrays([*part.columns, scores], names=[*part.schema.names, "anomaly"])
-
-    scored = stats.mapInArrow(shape, f"`{id_col}` {kind}, " + ", ".join(f"{f} long" for f in Stats._fields) + ", base_failed boolean, anomaly double")
+            found = scores_of(features({k: part[k].to_numpy() for k in Stats._fields}), forests, size)
+            failed = part["base_failed"].to_numpy(zero_copy_only=False)
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel(), pa.float64()), len(forests)).cast(pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found[:, 0], pa.float64(), mask=failed), lists],
+                                             names=[*part.schema.names, "anomaly", "scores"])
+
+    scored = stats.mapInArrow(shape, f"`{id_col}` {kind}, " + ", ".join(f"{f} long" for f in Stats._fields)
+                              + ", base_failed boolean, anomaly double, scores array<double>")
     marks = labels.where("quality is not null").groupBy(F.col(id_col).alias("_id")).agg(F.min("quality").alias("_quality"))
-    counts = (scored.where("anomaly is not null").join(marks, F.col(id_col) == F.col("_id"))
-              .groupBy("_quality", F.floor(F.col("anomaly") * BINS).cast("int").alias("bin")).count().collect())
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.coalesce("anomaly", F.lit(0.0)) < threshold(counts, max_loss)))
+    labelled = staged(scored.where("anomaly is not null").join(marks, F.col(id_col) == F.col("_id")).select("_quality", "scores"))
+    limits = calibrate(labelled, len(forests), max_loss)
+    below = reduce(lambda x, y: x & y, [F.col("scores")[i] < limit for i, limit in enumerate(limits)])
+    return scored.withColumn("kept", ~F.col("base_failed") & below).drop("scores")
 
 
 def threshold(counts: list[tuple[int, int, int]], max_loss: float) -> float:

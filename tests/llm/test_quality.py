@@ -72,6 +72,22 @@ def test_isolated_points_score_higher():
     assert scores[-1] > scores[:-1].max()
 
 
+def test_labels_decide_below_any_fixed_limit(spark, docs_of):
+    """Bad texts of 5 % digits, or of few symbols, differ from clean ones and the labels say so."""
+    rng, rows, marks = random.Random(9), [], []
+    for i in range(400):
+        words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(100)]
+        if i % 10 == 0:
+            words[::4] = [w + "1" for w in words[::4]]
+        elif i % 10 == 1:
+            words[::25] = [w + "#" for w in words[::25]]
+        rows.append((i, " ".join(words)))
+        if i % 3:
+            marks.append((i, int(i % 10 > 1)))
+    out = Q.judge(docs_of(rows), spark.createDataFrame(marks, "doc_id long, quality int"), trees=70).collect()
+    assert all(r["kept"] == (r["doc_id"] % 10 > 1) for r in out) and len({r["anomaly"] for r in out}) > 100
+
+
 def test_threshold():
     assert Q.threshold([(1, 100, 990), (1, 1500, 2), (0, 1400, 50), (0, 100, 5)], 0.005) == pytest.approx((101 + 1400) // 2 / Q.BINS)
     assert Q.threshold([(1, 100, 10)], 0.005) == 2.0
