@@ -44,6 +44,12 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def sampled(share: float, *columns: str) -> Column:
+    """Whether a row is in the share (below 1) of all rows, by 63 bits of its hash, so that no table
+    is too long for a share over 0."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 1) < F.lit(int(share * (1 << 63)))
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written as a table beside the session's checkpoints and read back: cuts the lineage,
     outlives executors and is compressed (a checkpoint is not)."""

@@ -4,7 +4,7 @@ A text's features are its distinct words hashed to ``DIMS`` columns, its structu
 its length. Each feature i has a weight w_i and a latent vector v_i; the score's logit is
 ``w_0 + sum w_i x_i + 1/2 sum_f ((sum v_if x_i)^2 - sum (v_if x_i)^2)``, the pairwise interactions
 in time linear in the features. It is fitted by mini-batch Adagrad on at most about ``max_train``
-labelled rows (picked by a hash of the id, a documented bound); every whole text is scored.
+labelled documents (picked by a hash of the id, a documented bound; one row each); every whole text is scored.
 
 Labels are learned only from rows whose crc32(id as text) mod 3 is not 1; labels, lang, source and
 the id are never inputs of a score.
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import kept_names
+from cohortlens.llm.common import kept_names, sampled
 from cohortlens.llm.text_stats import text_stats
 
 DIMS = 1 << 16
@@ -97,7 +97,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, max_train: in
     marks = (labels.where(F.col("quality").isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
              .groupBy(F.col(id_col).alias("_id")).agg(F.min("quality").alias("_quality")))
     share = min(1.0, max_train / max(1, marks.count()))
-    marks = marks.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    if share < 1:
+        marks = marks.where(sampled(share, "_id"))
 
     def shape(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -106,7 +107,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, max_train: in
                 [part["_id"].cast(pa.string()), part["_quality"].cast(pa.int32()), pa.array([c.astype("<i4").tobytes() for c, _ in made], pa.binary()),
                  pa.array([v.tobytes() for _, v in made], pa.binary())], names=["id", "quality", "c", "v"])
 
-    chosen = docs.select(id_col, "text").join(F.broadcast(marks), F.col(id_col) == F.col("_id")).select("_id", "_quality", "text")
+    chosen = docs.select(id_col, "text").join(F.broadcast(marks), F.col(id_col) == F.col("_id")).groupBy("_id", "_quality").agg(F.min("text").alias("text"))
     rows = sorted(chosen.mapInArrow(shape, "id string, quality int, c binary, v binary").collect(), key=lambda r: (r["id"], r["c"]))
     return ([(np.frombuffer(r["c"], "<i4").astype(np.int64), np.frombuffer(r["v"], "<f4")) for r in rows],
             np.array([r["quality"] for r in rows], dtype=np.float32))

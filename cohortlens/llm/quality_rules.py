@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import staged
+from cohortlens.llm.common import sampled, staged
 from cohortlens.llm.text_stats import Stats, text_stats
 
 SAMPLE = 256
@@ -149,7 +149,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", trees: int
         "base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     passed = stats.where(~F.col("base_failed"))
     share = min(1.0, trees * SAMPLE / max(1, passed.count()))
-    sample = passed.where(F.pmod(F.xxhash64(id_col, *Stats._fields), F.lit(1 << 20)) < int(share * (1 << 20))).select(*Stats._fields).toPandas()
+    sample = (passed.where(sampled(share, id_col, *Stats._fields)) if share < 1 else passed).select(*Stats._fields).toPandas()
     rows = features({k: sample[k].to_numpy() for k in Stats._fields})
     forests = fit_forests(rows[np.lexsort(rows.T)], trees)
     size = min(SAMPLE, len(rows))

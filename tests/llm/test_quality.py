@@ -123,6 +123,19 @@ def test_labels_of_the_held_out_part_do_not_matter(spark, docs_of):
     assert scores[0] == scores[1]
 
 
+def test_samples_of_tiny_shares_and_one_row_a_document(spark, docs_of):
+    from cohortlens.llm.common import sampled
+
+    n = spark.range(4_000_000).where(sampled(5e-7 * 10, "id")).count()
+    assert 5 <= n <= 50
+    assert spark.range(1).select(sampled(1e-12, "id").alias("s")).schema["s"].dataType.typeName() == "boolean"
+    assert spark.range(40_000_000).where(sampled(5e-7, "id")).count() > 0  # 2^20 steps have no such share
+    docs = docs_of([(7, "a b c")] * 50 + [(8, "d e f")])
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, quality int")
+    rows, y = C.training_rows(docs, labels, "doc_id", 100)
+    assert len(rows) == len(y) == 2
+
+
 def test_no_training_rows_clashes_and_empty_table(spark, docs_of):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     df = docs_of([(1, "a b c", "en", 5.0)], "doc_id long, text string, lang string, score double")
