@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import byte_bpe, chat_format, decontamination, html_extract, line_dedup, quality_classifier, quality_rules, resharding, simhash, suffix_dedup
+from cohortlens.llm import byte_bpe, chat_format, decontamination, html_extract, line_dedup, periodic_runs, quality_classifier, quality_rules, resharding, simhash, suffix_dedup
 from cohortlens.llm.common import read
 
 
@@ -62,7 +63,30 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents"))
 
 
+def planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of every tenth document (by the hash of its id) with a stretch to the end repeated."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    a = h // 10 % n
+    p = 1 + (n - a) // (3 + h // 10 % 8)
+    return words[:a] + (words[a:a + p] * -(-(n - a) // p))[:n - a]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.collapse_runs(read(spark, sf_dir, "documents"), rewrite=planted)
+    # a quotient of two longs below 2^26 is unlike any other such quotient in doubles, too
+    best = F.array_max(F.transform("runs", lambda r: F.struct((r["length"] / r["period"]).alias("power"), (-r["start"]).alias("start"),
+                                                              (-r["period"]).alias("period"), r["length"].alias("length"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("(1000 * best.length) div -best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_line_dedup, op3_chat_format, op4_quality_rules, op5_quality_classifier, op6_suffix_dedup, op7_html_extract, op8_byte_bpe, op9_resharding, op10_simhash)
+    f.__name__: f for f in (op1_decontamination, op2_line_dedup, op3_chat_format, op4_quality_rules, op5_quality_classifier, op6_suffix_dedup, op7_html_extract, op8_byte_bpe, op9_resharding, op10_simhash,
+                            op11_periodic_runs)
 }
 ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE_SQL, "op3_chat_format": chat_format.ORACLE_SQL}
