@@ -194,7 +194,7 @@ WITH usable AS (
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0
   GROUP BY vec_id
 ), pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+  SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_sum([(q.v[i] - c.v[i]) * (q.v[i] - c.v[i]) FOR i IN range(1, len(q.v) + 1)])) AS score
   FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
   WHERE q.vec_id % 100 = 0
 )
