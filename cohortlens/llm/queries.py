@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import byte_bpe, chat_format, decontamination, html_extract, line_dedup, nearest_vectors, periodic_runs, quality_classifier, quality_rules, resharding, simhash, suffix_dedup
+from cohortlens.llm import byte_bpe, chat_format, decontamination, html_extract, line_dedup, nearest_vectors, periodic_runs, quality_classifier, quality_rules, resharding, simhash, suffix_dedup, tokenizer_alignment
 from cohortlens.llm.common import read
 
 
@@ -85,6 +85,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    out = tokenizer_alignment.link_statistics(read(spark, sf_dir, "documents"), a, b)
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("digest").alias("groups_sha256"))
+
+
 def op13_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nearest_vectors.nearest(vectors, vectors.where("vec_id % 100 = 0"))
@@ -92,7 +98,7 @@ def op13_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontamination, op2_line_dedup, op3_chat_format, op4_quality_rules, op5_quality_classifier, op6_suffix_dedup, op7_html_extract, op8_byte_bpe, op9_resharding, op10_simhash,
-                            op11_periodic_runs, op13_nearest_vectors)
+                            op11_periodic_runs, op12_tokenizer_alignment, op13_nearest_vectors)
 }
 ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE_SQL, "op3_chat_format": chat_format.ORACLE_SQL,
                            "op13_nearest_vectors": nearest_vectors.ORACLE_SQL}
