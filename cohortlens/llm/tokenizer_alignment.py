@@ -10,8 +10,9 @@ into the block's distinct pairs; only these, with the number of the block's docu
 are shuffled. Spark sums them over all blocks, finds the highest count of each A id, joins the counts
 back and reassembles the blocks. A pair that every text holds is one row a block.
 
-A text is cut for A before single spaces between two other characters, where pre-tokens always end, so
-that each distinct piece is encoded once. Both files (some megabytes, parameters) are broadcast.
+A text of characters whose class never changed between versions of Unicode is encoded for A by the
+faster of two libraries (the vocabulary is the same, held against the other in the tests), others by the
+one that A's file is for. Both files (some megabytes, parameters) are broadcast.
 
 Defined cases: a text that is null or empty, or whose tokens of A or B do not spell a space and the
 text (as one holding U+2581), has no tokens, all its numbers are zero and its digest is empty. Strings
@@ -23,9 +24,9 @@ names. Empty tables give empty results.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
-import re
-from collections import Counter
+import unicodedata
 from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
@@ -33,6 +34,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 import tokenizers
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
@@ -43,8 +45,10 @@ from cohortlens.llm.common import staged
 
 BLOCK_CHARS = 10_000_000
 PART_CHARS = 2_000_000  # texts tokenised at a time in a task
-REMEMBERED = 200_000  # pieces, and windows, that a worker remembers at most
-CUT = re.compile(r"(?<=[^\s\u180e]) (?=[^\s\u180e])")
+REMEMBERED = 200_000  # windows that a worker remembers
+FEW_LINKS = 256  # groups with more links are paired by their different ids
+#: FIXED VALUES: how byte-level vocabularies cut texts.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_symbols() -> dict[str, int]:
@@ -69,7 +73,7 @@ class Aligned(NamedTuple):
 
 
 class Pair:
-    """Both tokenizers, and what a worker remembers of pieces and windows."""
+    """Both tokenizers, and what a worker remembers of windows."""
 
     def __init__(self, a: str, b: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -83,53 +87,53 @@ class Pair:
                         for i, p in enumerate(self.b.id_to_piece(list(range(self.b.get_piece_size()))))]
         self.a_size, self.b_size = (np.array(list(map(len, t)), dtype=np.int64) for t in (self.a_bytes, self.b_bytes))
         self.a_space, self.b_space = (np.array([t.startswith(b" ") for t in table]) for table in (self.a_bytes, self.b_bytes))
-        self.pieces: dict[str, int] = {}
+        # an id as text with what follows it: inside a group's side, and at its end
+        self.text = [b"%d%s" % (i, after) for i in range(len(self.a_bytes)) for after in (b",", b"|")]
+        self.text += [b"%d%s" % (i, after) for i in range(len(self.b_bytes)) for after in (b",", b";")]
+        self.fast, self.stable = _by_ranks(json.loads(a), symbol), {}
         self.forget()
 
     def forget(self) -> None:
-        """Start anew with windows and pairs."""
+        """Start anew with windows."""
         self.windows: dict[tuple[bytes, bytes], int] = {}
-        self.shown: list[bytes] = []  # groups of a window, as text
-        self.pairs: dict[int, int] = {}  # A id << 32 | B id, numbered
-        self.sizes: list[tuple[int, int, int]] = []  # groups, links and different pairs
-        self.links: list[tuple[int, int]] = []  # (pair number, times) window by window
+        self.shown: list[bytes] = []  # the groups of a window as text, a semicolon after each
         self.n_groups = self.n_links = self.n_pairs = self.pair = self.times = np.array([], dtype=np.int64)
 
-    def _a_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
-        """A's ids of a space and each text, their numbers, and whether they spell it."""
-        cut = [CUT.split(t) if t else [] for t in texts]
-        if len(self.pieces) > REMEMBERED:
-            self.pieces = {}
-        if not self.pieces:
-            self.ids, self.first, self.good = np.array([], dtype=np.int64), np.array([0]), np.array([], dtype=bool)
-        missing = [p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in self.pieces]
-        if missing:
-            new = [e.ids for e in self.a.encode_batch([" " + p for p in missing], add_special_tokens=False)]
-            good = [b"".join(map(self.a_bytes.__getitem__, ids)) == b" " + p.encode() for ids, p in zip(new, missing)]
-            self.pieces.update(zip(missing, range(len(self.pieces), len(self.pieces) + len(missing))))
-            self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(new), dtype=np.int64)))
-            self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(list(map(len, new)))))
-            self.good = np.concatenate((self.good, good))
-        number = np.fromiter(map(self.pieces.__getitem__, chain.from_iterable(cut)), dtype=np.int64)
-        size = self.first[number + 1] - self.first[number]
-        ids = self.ids[np.repeat(self.first[number], size) + _ranges(size)]
-        last = np.cumsum(list(map(len, cut)))
-        before = np.concatenate(([0], np.cumsum(size)))
-        bad = np.concatenate(([0], np.cumsum(~self.good[number])))
-        first = np.concatenate(([0], last[:-1])) if len(last) else last
-        return ids, before[last] - before[first], ((bad[last] == bad[first]) & (last > first)).tolist()
+    def _is_stable(self, text: str, data: bytes) -> bool:
+        """Whether every Unicode version gives all characters of the text the same class."""
+        if np.frombuffer(data, dtype=np.uint8).max(initial=0) < 0xC9:  # below U+0240
+            return True
+        stable = self.stable
+        for c in set(text):
+            if c not in stable:
+                old = unicodedata.ucd_3_2_0.category(c)
+                stable[c] = old != "Cn" and old == unicodedata.category(c)
+            if not stable[c]:
+                return False
+        return True
+
+    def _a_ids(self, texts: list[str], data: list[bytes]) -> list[list[int]]:
+        """A's ids of a space and each text."""
+        out: list = [[]] * len(texts)
+        slow = []
+        for i, (text, coded) in enumerate(zip(texts, data)):
+            if self.fast and self._is_stable(text, coded):
+                out[i] = self.fast.encode_ordinary(" " + text)
+            else:
+                slow.append(i)
+        for i, e in zip(slow, self.a.encode_batch([" " + texts[i] for i in slow], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
 
     def align(self, texts: list[str]) -> Aligned:
         if len(self.windows) > REMEMBERED:
             self.forget()
-        a, n_a, good = self._a_ids(texts)
-        b = self.b.encode(texts, num_threads=1)
-        spelt = self.b_bytes.__getitem__
-        good = np.array([g and b"".join(map(spelt, ids)) == b" " + t.encode() for g, ids, t in zip(good, b, texts)], dtype=bool)
-        a = a[np.repeat(good, n_a)]
-        b = [ids if g else [] for g, ids in zip(good.tolist(), b)]
-        n_a, n_b = np.where(good, n_a, 0), np.fromiter(map(len, b), dtype=np.int64, count=len(b))
-        b = np.fromiter(chain.from_iterable(b), dtype=np.int64, count=int(n_b.sum()))
+        data = [t.encode() for t in texts]
+        ids = [self._a_ids(texts, data), self.b.encode(texts, num_threads=1)]
+        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        good = [t != b"" and b"".join(map(a_bytes, a)) == b" " + t and b"".join(map(b_bytes, b)) == b" " + t for t, a, b in zip(data, *ids)]
+        (n_a, a), (n_b, b) = (_joined([i if g else [] for i, g in zip(side, good)]) for side in ids)
+        good = np.array(good, dtype=bool)
         # bytes of all texts in a row: a text's last end is shared
         a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
         other = np.searchsorted(b_end, a_end)
@@ -137,64 +141,85 @@ class Pair:
         other = other[one]
         last = np.zeros(len(a), dtype=bool)
         last[np.cumsum(n_a)[good] - 1] = True
-        anchor = last[one] | (np.append(self.a_space[a], False)[one + 1] & np.append(self.b_space[b], False)[other + 1])
-        ends = one[anchor] + 1, other[anchor] + 1
+        anchor = np.flatnonzero(last[one] | (np.append(self.a_space[a], False)[one + 1] & np.append(self.b_space[b], False)[other + 1]))
+        one, other = np.append(0, one + 1), np.append(0, other + 1)  # group g: from [g] to [g + 1]
+        first = np.append(0, anchor + 1)  # the same of windows, in groups
         keys = []
-        for ids, end in zip((a, b), ends):
-            flat, at = ids.astype("<u4").tobytes(), (4 * end).tolist()
-            keys.append([flat[x:y] for x, y in zip([0, *at], at)])
-        windows, numbers = self.windows, []
-        for key in zip(*keys):
+        for side, end in ((a, one), (b, other)):
+            flat, at = side.astype("<u4").tobytes(), (4 * end[first]).tolist()
+            keys.append([flat[x:y] for x, y in zip(at, at[1:])])
+        windows, numbers, new = self.windows, [], []
+        for place, key in enumerate(zip(*keys)):
             number = windows.get(key)
             if number is None:
                 number = windows[key] = len(windows)
-                self._remember(*key)
+                new.append(place)
             numbers.append(number)
-        self._grow()
-        doc = np.searchsorted(np.cumsum(n_a), ends[0], "left")
+        if new:
+            new = np.array(new)
+            size = first[new + 1] - first[new]
+            group = np.repeat(first[new], size) + _ranges(size)
+            self._remember(size, a, one[group], one[group + 1], b, other[group], other[group + 1])
+        doc = np.searchsorted(np.cumsum(n_a), one[first[1:]], "left")
         return Aligned(n_a, n_b, np.bincount(doc, minlength=len(texts)), np.array(numbers, dtype=np.int64))
 
-    def groups(self, a: list[int], b: list[int]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids between the shared ends of two token lists that spell the same bytes."""
-        i = j = x = y = first_a = first_b = 0
-        while i < len(a):
-            if x <= y:
-                x += len(self.a_bytes[a[i]])
-                i += 1
-            else:
-                y += len(self.b_bytes[b[j]])
-                j += 1
-            while y < x:
-                y += len(self.b_bytes[b[j]])
-                j += 1
-            if x == y:
-                yield a[first_a:i], b[first_b:j]
-                first_a, first_b = i, j
-
-    def _remember(self, a: bytes, b: bytes) -> None:
-        shown, times, n_links = [], Counter(), 0
-        for one, other in self.groups(np.frombuffer(a, "<u4").tolist(), np.frombuffer(b, "<u4").tolist()):
-            shown.append(f"{','.join(map(str, one))}|{','.join(map(str, other))}")
-            n_links += len(one) * len(other)
-            if len(one) == len(other) == 1:
-                times[one[0] << 32 | other[0]] += 1
-                continue
-            right = Counter(other).items()
-            for p, m in Counter(one).items():
-                for q, n in right:
-                    times[p << 32 | q] += m * n
-        self.shown.append(";".join(shown).encode())
-        self.sizes.append((len(shown), n_links, len(times)))
-        self.links.extend((self.pairs.setdefault(p, len(self.pairs)), n) for p, n in times.items())
-
-    def _grow(self) -> None:
-        """Move what was remembered since the last call to arrays."""
-        if self.sizes:
-            new = np.array(self.sizes, dtype=np.int64).T
-            self.n_groups, self.n_links, self.n_pairs = (np.concatenate(p) for p in zip((self.n_groups, self.n_links, self.n_pairs), new))
-            new = np.array(self.links, dtype=np.int64).reshape(-1, 2).T
-            self.pair, self.times = (np.concatenate(p) for p in zip((self.pair, self.times), new))
-            self.sizes, self.links = [], []
+    def _remember(self, size: np.ndarray, a: np.ndarray, a_from: np.ndarray, a_to: np.ndarray, b: np.ndarray, b_from: np.ndarray, b_to: np.ndarray) -> None:
+        """Add windows of ``size`` groups each: the numbers, links and text that follow from their ids."""
+        n_a, n_b, window = a_to - a_from, b_to - b_from, np.repeat(np.arange(len(size)), size)
+        links, lead = n_a * n_b, np.cumsum(size) - size
+        few = np.flatnonzero(links <= FEW_LINKS)
+        which = np.repeat(few, links[few])
+        k, wide = _ranges(links[few]), n_b[which]
+        found = [(window[which], a[a_from[which] + k // wide] * len(self.b_bytes) + b[b_from[which] + k % wide], np.ones(len(k), dtype=np.int64))]
+        for g in np.flatnonzero(links > FEW_LINKS).tolist():  # by different ids, never by occurrence
+            (x, m), (y, n) = (np.unique(ids, return_counts=True) for ids in (a[a_from[g]:a_to[g]], b[b_from[g]:b_to[g]]))
+            found.append((np.full(len(x) * len(y), window[g]), (x[:, None] * len(self.b_bytes) + y).ravel(), (m[:, None] * n).ravel()))
+        owner, pair, times = _summed(*(np.concatenate(c) for c in zip(*found)), len(self.a_bytes) * len(self.b_bytes))
+        self.n_groups = np.concatenate((self.n_groups, size))
+        self.n_links = np.concatenate((self.n_links, np.add.reduceat(links, lead)))
+        self.n_pairs = np.concatenate((self.n_pairs, np.bincount(owner, minlength=len(size))))
+        self.pair, self.times = np.concatenate((self.pair, pair)), np.concatenate((self.times, times))
+        both = n_a + n_b
+        end = np.cumsum(both)
+        code = np.empty(int(both.sum()), dtype=np.int64)
+        for side, start, n, shift, base in ((a, a_from, n_a, end - both, 0), (b, b_from, n_b, end - n_b, 2 * len(self.a_bytes))):
+            k = _ranges(n)
+            code[np.repeat(shift, n) + k] = base + 2 * side[np.repeat(start, n) + k] + (k + 1 == np.repeat(n, n))
+        spelt = list(map(self.text.__getitem__, code.tolist()))
+        cuts = end[lead + size - 1].tolist()
+        self.shown += [b"".join(spelt[x:y]) for x, y in zip([0, *cuts], cuts)]
+
+    def groups_shown(self, windows: list[int]) -> bytes:
+        """The groups of windows in a row, as text."""
+        return b"".join(map(self.shown.__getitem__, windows))[:-1]
+
+
+def _by_ranks(model: dict, symbol: dict[str, int]) -> tiktoken.Encoding | None:
+    """The same vocabulary for the faster library, if ids follow the order of the merges and the texts
+    are cut by the usual pattern of byte-level vocabularies."""
+    vocab, merges = model["model"]["vocab"], model["model"]["merges"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+    cut = model["pre_tokenizer"] or {}
+    if [vocab.get(x + y) for x, y in pairs] != list(range(256, 256 + len(pairs))) or model["normalizer"] or             (cut.get("type"), cut.get("use_regex"), cut.get("add_prefix_space")) != ("ByteLevel", True, False):
+        return None
+    ranks = {bytes(symbol[c] for c in t): i for t, i in vocab.items() if i < 256 + len(pairs)}
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def _joined(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The lists' lengths, and their items in a row."""
+    size = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+    return size, np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(size.sum()))
+
+
+def _summed(owner: np.ndarray, pair: np.ndarray, times: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows sorted by owner and pair (below ``wide``), the times of equal ones added."""
+    key = owner * wide + pair
+    order = np.argsort(key)
+    key = key[order]
+    lead = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.array([], dtype=np.int64)
+    times = np.add.reduceat(times[order], lead) if len(key) else lead
+    return key[lead] // wide, key[lead] % wide, times
 
 
 _loaded: dict[int, Pair] = {}
@@ -241,11 +266,10 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id"
                 found, out, at = both.align(texts), [], 0
                 for n in found.n_windows.tolist():
                     groups, end = [], 0
-                    for window in found.window[at:at + n].tolist():
-                        for group in both.shown[window].split(b";"):
-                            one, other = ([int(x) for x in side.split(b",")] for side in group.split(b"|"))
-                            end += sum(len(both.a_bytes[x]) for x in one)
-                            groups.append({"a": one, "b": other, "end": end})
+                    for group in both.groups_shown(found.window[at:at + n].tolist()).split(b";") if n else ():
+                        one, other = ([int(x) for x in side.split(b",")] for side in group.split(b"|"))
+                        end += sum(len(both.a_bytes[x]) for x in one)
+                        groups.append({"a": one, "b": other, "end": end})
                     out.append(groups)
                     at += n
                 yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(id_col).type), pa.array(out, pa.list_(item))], names=[id_col, "groups"])
@@ -284,21 +308,15 @@ def _blocks(docs: DataFrame, files: Broadcast, id_col: str, block_chars: int) ->
                 w = found.window
                 sums = [np.concatenate(([0], np.cumsum(c[w]))) for c in (both.n_groups, both.n_links)]
                 numbers.append(np.column_stack((found.n_a, found.n_b, *(s[at[1:]] - s[at[:-1]] for s in sums))))
-                shown = both.shown
+                shown = w.tolist()
                 for x, y in zip(at.tolist(), at[1:].tolist()):
-                    digests.append(hashlib.sha256(b";".join([shown[i] for i in w[x:y].tolist()])).hexdigest() if y > x else "")
+                    digests.append(hashlib.sha256(both.groups_shown(shown[x:y])).hexdigest() if y > x else "")
                 # each document's different pairs and how often it links them
                 first, size = np.concatenate(([0], np.cumsum(both.n_pairs)))[w], both.n_pairs[w]
                 entry = np.repeat(first, size) + _ranges(size)
                 doc = np.repeat(np.repeat(np.arange(len(texts)), found.n_windows), size)
-                key = doc * len(both.pairs) + both.pair[entry]
-                order = np.argsort(key, kind="stable")
-                key = key[order]
-                lead = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.array([], dtype=np.int64)
-                times = np.add.reduceat(both.times[entry][order], lead) if len(key) else lead
-                doc, pair = key[lead] // max(1, len(both.pairs)), key[lead] % max(1, len(both.pairs))
-                known = np.fromiter(both.pairs, dtype=np.int64, count=len(both.pairs))
-                held.append((np.bincount(doc, minlength=len(texts)), known[pair], times))
+                doc, pair, times = _summed(doc, both.pair[entry], both.times[entry], len(both.a_bytes) * len(both.b_bytes))
+                held.append((np.bincount(doc, minlength=len(texts)), pair // len(both.b_bytes) << 32 | pair % len(both.b_bytes), times))
                 ids.extend(keys)
                 chars += sum(map(len, texts))
                 if chars >= block_chars or len(ids) >= 100_000:

@@ -73,9 +73,9 @@ def test_registered_queries_and_their_oracles(spark):
     from oracle_compare import compare, duck
 
     names = [q for q in entry.queries() if q.startswith("op") or q == "pipeline"]
-    assert sorted(int(q[2:].split("_")[0]) for q in names if q != "pipeline") == list(range(1, 11)) and "pipeline" in names
+    assert sorted(int(q[2:].split("_")[0]) for q in names if q != "pipeline") == list(range(1, 14)) and "pipeline" in names
     con = duck(SF)
-    for key in ("op2_line_dedup", "op3_chat_format"):
+    for key in ("op2_line_dedup", "op3_chat_format", "op13_nearest_vectors"):
         ok, message = compare(entry.queries()[key](spark, SF), con, entry.oracle_sql()[key])
         assert ok, message
 
