@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import after, make_events, make_users, ts
+from builders import after, make_events, make_users, ts
 from pyspark.sql import functions as F
 
 from cohortlens.operators import decisions, interventions, quality

@@ -7,7 +7,7 @@ from datetime import timedelta
 
 import numpy as np
 import pytest
-from conftest import ts
+from builders import ts
 from pyspark.sql import functions as F
 
 from cohortlens.functions.ordered import exact_quantiles, global_rank, running_totals

@@ -6,7 +6,7 @@ import os
 import tempfile
 
 import pytest
-from conftest import make_events, make_users, ts
+from builders import make_events, make_users, ts
 from pyspark.sql import functions as F
 
 from cohortlens import config, session

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import after, make_events, make_users, rows_by, ts
+from builders import after, make_events, make_users, rows_by, ts
 
 from cohortlens.functions.timeutil import week_label
 from cohortlens.operators import funnel, retention

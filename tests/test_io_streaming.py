@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from conftest import make_events, make_users, ts
+from builders import make_events, make_users, ts
 
 from cohortlens.sources import readers, sinks
 from cohortlens.streaming import ingest

@@ -6,7 +6,7 @@ import hashlib
 import math
 
 import pytest
-from conftest import after, make_events, make_users, ts
+from builders import after, make_events, make_users, ts
 from pyspark.sql import functions as F
 
 from cohortlens.functions import stats
