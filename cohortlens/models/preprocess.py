@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import config
-from cohortlens.functions.ordered import exact_quantiles
+from cohortlens.functions.selection import quantiles
 
 INFREQUENT = "infrequent_sklearn"
 
@@ -62,22 +62,20 @@ def fit_spec(train: DataFrame, categorical: list[str] | None = None, numeric: li
     categorical = list(categorical or config.CATEGORICAL_FEATURES)
     numeric = list(numeric or config.NUMERIC_FEATURES)
     spec = PreprocessSpec(categorical, numeric, scaled=scale)
+    med = quantiles(train, numeric)
     n = train.count()
-    min_count = rare_fraction * n
     pairs = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val")) for c in categorical])
     counts = train.select(F.inline(pairs)).groupBy("col", "val").count()
-    # only the frequent categories (<= 1 / rare_fraction per column) and one flag row per column come back
-    frequent = counts.where(F.col("count") >= F.lit(min_count)).select("col", "val").collect()
-    rare = counts.where(F.col("count") < F.lit(min_count)).groupBy("col").count().collect()
-    rare_cols = {r["col"] for r in rare}
+    often = F.col("count") >= F.lit(rare_fraction * n)
+    # one row a column: its frequent categories (at most 1 / rare_fraction) and whether it has others
+    levels = {r["col"]: r for r in counts.groupBy("col").agg(
+        F.collect_list(F.when(often, F.col("val"))).alias("known"), F.bool_or(often & F.col("val").isNull()).alias("null"),
+        F.bool_or(~often).alias("rare")).collect()}
     for c in categorical:
-        spec.categories[c] = sorted(r["val"] for r in frequent if r["col"] == c and r["val"] is not None)
-        spec.has_null[c] = any(r["col"] == c and r["val"] is None for r in frequent)
-        spec.has_infrequent[c] = c in rare_cols
-    long = train.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v"))
-                                          for c in numeric])))
-    med = {r["feature"]: r["quantile"] for r in exact_quantiles(long, "v", [0.5], by=["feature"]).collect()}
-    spec.medians = {c: float(med[c]) if med.get(c) is not None else 0.0 for c in numeric}
+        spec.categories[c] = sorted(levels[c]["known"]) if c in levels else []
+        spec.has_null[c] = c in levels and levels[c]["null"]
+        spec.has_infrequent[c] = c in levels and levels[c]["rare"]
+    spec.medians = {c: med[c] if med[c] is not None else 0.0 for c in numeric}
     if scale:
         imputed = [F.coalesce(F.col(c).cast("double"), F.lit(spec.medians[c])) for c in numeric]
         stats = train.agg(*[F.avg(e).alias(f"m_{i}") for i, e in enumerate(imputed)],

@@ -1,18 +1,18 @@
 """Chronological train / validation / test split (SP1-SP4).
 
-The exact global rank by (signup, user_id) comes from :func:`global_rank` (range partitioning +
-per-partition offsets), never from a window without PARTITION BY, so even a signup instant shared
-by a third of all users is ranked across many tasks.
+The (signup, user_id) keys at the ends of train and validation are selected by refining counts
+(:func:`keys_at_ranks`); every row is then compared with them. Rows are neither sorted nor shuffled,
+nothing runs while the query is built, and a signup instant that a third of all users share is no
+group of one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import config
-from cohortlens.functions.ordered import global_rank
-from cohortlens.functions.scalars import with_scalars
+from cohortlens.functions.selection import keys_at_ranks
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 
@@ -31,12 +31,16 @@ def chronological_split(df: DataFrame, train_frac: float = 0.6, val_frac: float
     int(n*val_frac) validation, the rest test. Ties in signup break by ``key``."""
     if validate:
         _check_fractions(train_frac, val_frac)
-    ranked = global_rank(df, [F.col(signup_col).asc_nulls_first(), F.col(key).asc_nulls_first()], "_rank")
-    j = with_scalars(ranked, df.agg(F.count(F.lit(1)).alias("_n")))
-    train_end = F.floor(F.col("_n") * F.lit(float(train_frac)))
-    val_end = train_end + F.floor(F.col("_n") * F.lit(float(val_frac)))
-    split = F.when(F.col("_rank") <= train_end, TRAIN).when(F.col("_rank") <= val_end, VALIDATION).otherwise(TEST)
-    return j.select(*df.columns, split.alias("split"))
+
+    def ends(n: Column) -> list[Column]:
+        train_end = F.floor(n * F.lit(float(train_frac)))
+        return [train_end, train_end + F.floor(n * F.lit(float(val_frac)))]
+
+    last = keys_at_ranks(df, signup_col, key, ends).select(F.struct("k0", "k1").alias("_ends")).scalar()
+    own = F.struct(F.col(signup_col).alias("at"), F.col(key).alias("key"))
+    # a part without rows has no last key; a rank past the table cannot be (the shares' sum is at most 1)
+    split = F.when(own <= last["k0"], TRAIN).when(own <= F.coalesce(last["k1"], last["k0"]), VALIDATION).otherwise(TEST)
+    return df.select("*", split.alias("split"))
 
 
 def split_users_and_labels(users: DataFrame, labels: DataFrame, train_frac: float = 0.6,

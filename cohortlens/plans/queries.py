@@ -14,7 +14,7 @@ from cohortlens.operators import funnel
 from cohortlens.plans import faults
 from cohortlens.plans import oracle as O
 from cohortlens.plans.catalog import ORACLES, QUERIES, register, rounded
-from cohortlens.session import apply_engine_conf
+from cohortlens.session import apply_engine_conf, ensure_checkpoint_dir
 from cohortlens.sources import testdata
 from cohortlens.sources.testdata import ADAPTER_FUNNEL_STEPS
 
@@ -273,8 +273,9 @@ def q_preprocessed(spark, t):
     """ML1-ML3, ML7: the one-hot, imputed and scaled training matrix in long form (zero one-hot slots
     left out), with statistics of the train part."""
     matrix = labels.prepare_model_matrix(t.users, t.events, t.labels, t.assignments, hot_users=t.hot_users)
-    users_split, _ = split.split_users_and_labels(t.users, t.labels)
-    train = split.filter_split(matrix, users_split, split.TRAIN)
+    users_split, _ = split.split_users_and_labels(t.signups, t.labels)
+    ensure_checkpoint_dir(spark)
+    train = split.filter_split(matrix, users_split, split.TRAIN).checkpoint()  # fitting passes over it several times
     spec = preprocess.fit_spec(train)
     ready = preprocess.fit_preprocessor(train, spec).transform(train)
     names = F.array(*[F.lit(n) for n in spec.feature_names()])
@@ -314,13 +315,13 @@ def recency_scored(t, with_groups: bool = False):
 @register("chronological_split", lambda: O.split_sql())
 def q_split(spark, t):
     """SP1/SP2: 60/20/20 chronological split of users by (signup, user_id)."""
-    return split.chronological_split(t.users.select("user_id", "signup_timestamp"))
+    return split.chronological_split(t.signups)
 
 
 @register("split_report", lambda: O.split_report_sql())
 def q_split_report(spark, t):
     """SP3/SP4: labelled matrix rows per split with signup range and churn rate."""
-    users_split, _ = split.split_users_and_labels(t.users, t.labels)
+    users_split, _ = split.split_users_and_labels(t.signups, t.labels)
     m = labels.prepare_model_matrix(t.users, t.events, t.labels, t.assignments, hot_users=t.hot_users)
     return split.split_report(m.join(users_split.select("user_id", "split"), "user_id"))
 

@@ -34,7 +34,7 @@ class TrainingData:
 def training_data(t: LifecycleTables, train_frac: float = 0.6, val_frac: float = 0.2) -> TrainingData:
     """LB4 matrix, SP2 user split, SP3 membership filters."""
     matrix = labels.prepare_model_matrix(t.users, t.events, t.labels, t.assignments, hot_users=t.hot_users)
-    user_splits, _ = split.split_users_and_labels(t.users, t.labels, train_frac, val_frac)
+    user_splits, _ = split.split_users_and_labels(t.signups, t.labels, train_frac, val_frac)
     parts = {s: split.filter_split(matrix, user_splits, s) for s in (split.TRAIN, split.VALIDATION, split.TEST)}
     return TrainingData(matrix, user_splits, parts[split.TRAIN], parts[split.VALIDATION], parts[split.TEST])
 

@@ -66,6 +66,11 @@ class LifecycleTables:
         return adapt_users(self.events, read_driver(self.spark, self.sf_dir, "customer"),
                            read_driver(self.spark, self.sf_dir, "nation"))
 
+    @cached_property
+    def signups(self) -> DataFrame:
+        """(user_id, signup_timestamp) of every user, without the other dimensions."""
+        return first_events(self.events)
+
     @cached_property
     def observed_until(self) -> Column:
         """The last microsecond of the log's last day, as a scalar subquery."""
@@ -165,9 +170,13 @@ def _pick(values: list[str], idx) -> F.Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
 
 
+def first_events(events: DataFrame) -> DataFrame:
+    return events.groupBy("user_id").agg(F.min("event_timestamp").alias("signup_timestamp"))
+
+
 def adapt_users(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     """One row per entity; the first event (any source) is the signup instant."""
-    first = events.groupBy("user_id").agg(F.min("event_timestamp").alias("signup_timestamp"))
+    first = first_events(events)
     dims = customer.select("c_custkey", "c_mktsegment", "c_nationkey").join(
         nation.select("n_nationkey", "n_name", "n_regionkey"), customer.c_nationkey == nation.n_nationkey, "left")
     uid = F.col("user_id")
