@@ -26,9 +26,10 @@ def _lr_stage(model: PipelineModel):
     return model.stages[-1]
 
 
-def extract_logistic_coefficients(model: PipelineModel, spec: PreprocessSpec) -> DataFrame:
-    """XP2: feature, coefficient, abs_coefficient sorted by |coefficient| descending."""
-    coefs = [float(c) for c in _lr_stage(model).coefficients.toArray()]
+def extract_logistic_coefficients(model: PipelineModel, spec: PreprocessSpec, weights: list[float] | None = None) -> DataFrame:
+    """XP2: feature, coefficient, abs_coefficient sorted by |coefficient| descending (of ``weights``
+    where given)."""
+    coefs = weights or [float(c) for c in _lr_stage(model).coefficients.toArray()]
     spark = _spark()
     rows = list(zip(spec.feature_names(), coefs, [abs(c) for c in coefs]))
     df = spark.createDataFrame(rows, "feature string, coefficient double, abs_coefficient double")
@@ -49,14 +50,14 @@ def transformed(model: PipelineModel, df: DataFrame) -> DataFrame:
     return drop_slots(out)
 
 
-def explain_linear(model: PipelineModel, spec: PreprocessSpec, df: DataFrame, top_n: int = 5) -> DataFrame:
+def explain_linear(model: PipelineModel, spec: PreprocessSpec, df: DataFrame, top_n: int = 5, weights: list[float] | None = None) -> DataFrame:
     """XP4 for every row of ``df``: contribution = transformed value x coefficient.
 
     Output: user_id, predicted_risk, positive_factors, negative_factors (arrays of
     struct<feature, contribution>, rounded to 6 places; positives > 0 largest first, negatives < 0
-    most negative first, at most ``top_n`` each).
+    most negative first, at most ``top_n`` each). ``weights`` (refined ones) replace the model's own.
     """
-    coefs = [float(c) for c in _lr_stage(model).coefficients.toArray()]
+    coefs = weights or [float(c) for c in _lr_stage(model).coefficients.toArray()]
     # the fitted stages name the target; a contribution does not depend on it
     known = df if config.TARGET_COLUMN in df.columns else df.withColumn(config.TARGET_COLUMN, F.lit(0))
     scored = model.transform(known.withColumn("label", F.lit(0.0)))
@@ -68,13 +69,13 @@ def explain_linear(model: PipelineModel, spec: PreprocessSpec, df: DataFrame, to
 
 
 def _top_factors(base: DataFrame, names: list[str], top_n: int) -> DataFrame:
-    """The strongest contributions among a row's own ``_slots`` (array of struct<c, pos>): no rows
-    are made or moved."""
+    """The strongest contributions among a row's own ``_slots`` (array of struct<c, pos>), equal ones (to
+    nine places) in the order of the slots: no rows are made or moved."""
     name_arr = F.array(*[F.lit(n) for n in names])
 
     def top(sign: int):
         kept = F.transform(F.filter("_slots", lambda s: s["c"] * sign > 0),
-                           lambda s: F.struct((s["c"] * -sign).alias("k"), (s["pos"] * sign).alias("tie"), s["pos"].alias("pos"), s["c"].alias("c")))
+                           lambda s: F.struct(F.round(s["c"] * -sign, 9).alias("k"), (s["pos"] * sign).alias("tie"), s["pos"].alias("pos"), s["c"].alias("c")))
         return F.transform(F.slice(F.array_sort(kept), 1, top_n), lambda s: F.struct(
             F.get(name_arr, s["pos"]).alias("feature"), F.round(s["c"], 6).alias("contribution")))
 

@@ -50,7 +50,7 @@ def build_logistic_regression(train: DataFrame, spec: PreprocessSpec | None = No
     weights = SQLTransformer(statement=f"SELECT *, CASE WHEN `{config.TARGET_COLUMN}` = 1 THEN {w_pos!r} "
                                        f"ELSE {w_neg!r} END AS _w FROM __THIS__")
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="_w", regParam=1.0 / max(n, 1),
-                            elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-9, family="binomial")
+                            elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-13, family="binomial")
     pre = build_preprocessor(spec)
     return Pipeline(stages=[*pre.getStages(), weights, lr])
 

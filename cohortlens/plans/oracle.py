@@ -122,9 +122,9 @@ lb AS (
 )"""
 
 
-def with_adapter(*ctes: str) -> str:
+def with_adapter(*ctes: str, recursive: bool = False) -> str:
     extra = "".join(f",\n{c}" for c in ctes)
-    return f"WITH {ADAPTER}{extra}\n"
+    return f"WITH {'RECURSIVE ' if recursive else ''}{ADAPTER}{extra}\n"
 
 
 # ---------------------------------------------------------------- funnel (FN) -----------------
@@ -598,6 +598,118 @@ def preprocessed_sql() -> str:
         f"SELECT user_id, feature, round(value, {R}) AS value FROM ({cats} UNION ALL {nums})")
 
 
+def _descent(name: str, start: str, bounded: bool, steps: int) -> list[str]:
+    """Steps against the gradient by the inverse curvature at ``start`` (or by a quarter of the weighted
+    moments, which no curvature exceeds, as the sigmoid's slope is at most 1/4); the last one is
+    ``<name>_w``. The penalty is 1 on every slot but the constant."""
+    slope = "25e-2" if bounded else "p[i] * (1 - p[i])"
+    margin = "1 / (1 + exp(-list_dot_product({x}, {w})))"
+    return [
+        f"{name}_s AS MATERIALIZED (SELECT {start} AS w)",
+        f"{name}_p AS MATERIALIZED (SELECT d.*, [{margin.format(x='r', w='s.w')} FOR r IN d.xs] AS p FROM dac d, {name}_s s)",
+        f"{name}_b AS (SELECT k, [[list_dot_product([c[i] * {slope} * cols[a][i] FOR i IN range(1, len(c) + 1)], cols[b]) + CASE WHEN a = b AND a < k THEN 1e0 ELSE 0e0 END "
+        f"FOR b IN range(1, k + 1)] || [CASE WHEN a = b THEN 1e0 ELSE 0e0 END FOR b IN range(1, k + 1)] FOR a IN range(1, k + 1)] AS m FROM {name}_p)",
+        f"{name}_g AS (SELECT 1 AS t, k, m FROM {name}_b UNION ALL SELECT t + 1, k, [CASE WHEN i = t THEN [v / m[t][t] FOR v IN m[t]] "
+        f"ELSE [m[i][j] - m[i][t] / m[t][t] * m[t][j] FOR j IN range(1, 2 * k + 1)] END FOR i IN range(1, k + 1)] FROM {name}_g WHERE t <= k)",
+        f"{name}_i AS MATERIALIZED (SELECT [r[k + 1:2 * k] FOR r IN m] AS b FROM {name}_g WHERE t = k + 1)",
+        f"{name}_t AS (SELECT 0 AS t, w FROM {name}_s UNION ALL SELECT t + 1, [w[a] + list_dot_product(b[a], g) FOR a IN range(1, k + 1)] FROM ("
+        "SELECT t, w, k, b, [list_dot_product(cols[a], r) - CASE WHEN a < k THEN w[a] ELSE 0e0 END FOR a IN range(1, k + 1)] AS g FROM ("
+        f"SELECT z.t, z.w, d.k, d.cols, v.b, [d.c[i] * (d.y[i] - {margin.format(x='d.xs[i]', w='z.w')}) FOR i IN range(1, len(d.c) + 1)] AS r "
+        f"FROM {name}_t z, dac d, {name}_i v WHERE z.t < {steps})))",
+        f"{name}_w AS MATERIALIZED (SELECT w FROM {name}_t WHERE t = {steps})",
+    ]
+
+
+def _linear_ctes() -> list[str]:
+    """The logistic model fitted in SQL, as a check of the engine's own fit: ``xs`` (user_id, x: the
+    slots in the order of ``slots`` and a 1) and ``model`` (w). The objective is strictly convex, so both
+    fits have one limit. Steps with a bound of the curvature come near it, steps with the curvature
+    there reach it."""
+    weighted = [f"SELECT 'cat__{c}_' AS prefix, '{c}' AS col, CAST({c} AS VARCHAR) AS val, user_id FROM fm" for c in config.CATEGORICAL_FEATURES]
+    numbers = ", ".join(f"('{c}', CAST({c} AS DOUBLE))" for c in config.NUMERIC_FEATURES)
+    return [
+        *_features_ctes(), _split_cte(),
+        "tru AS (SELECT lb.user_id, CAST(lb.is_churned AS DOUBLE) AS y FROM lb JOIN fm ON fm.user_id = lb.user_id JOIN sp ON sp.user_id = lb.user_id WHERE sp.split = 'train')",
+        f"cv AS ({' UNION ALL '.join(weighted)})",
+        f"lev AS (SELECT col, val, count(*) >= {config.RARE_CATEGORY_FRACTION} * (SELECT count(*) FROM tru) AS often FROM cv SEMI JOIN tru ON cv.user_id = tru.user_id GROUP BY col, val)",
+        "rare AS (SELECT DISTINCT col FROM lev WHERE NOT often)",
+        "cl AS (SELECT cv.user_id, cv.prefix || CASE WHEN lev.often THEN coalesce(cv.val, 'None') ELSE 'infrequent_sklearn' END AS feature, 1e0 AS value FROM cv "
+        "LEFT JOIN lev ON lev.col = cv.col AND lev.val IS NOT DISTINCT FROM cv.val LEFT JOIN rare ON rare.col = cv.col "
+        "WHERE coalesce(lev.often, false) OR rare.col IS NOT NULL)",
+        f"nv AS (SELECT user_id, n.col, n.v FROM fm CROSS JOIN LATERAL (VALUES {numbers}) n(col, v))",
+        "nm AS (SELECT col, coalesce(quantile_cont(v, 0.5), 0e0) AS med FROM nv SEMI JOIN tru ON nv.user_id = tru.user_id GROUP BY col)",
+        "ns AS (SELECT col, any_value(med) AS med, avg(coalesce(v, med)) AS mean, CASE WHEN stddev_pop(coalesce(v, med)) > 0 THEN stddev_pop(coalesce(v, med)) ELSE 1e0 END AS scale "
+        "FROM nv JOIN nm USING (col) SEMI JOIN tru ON nv.user_id = tru.user_id GROUP BY col)",
+        "sl AS (SELECT user_id, feature, value FROM cl UNION ALL SELECT user_id, 'num__' || col, (coalesce(v, med) - mean) / scale FROM nv JOIN ns USING (col))",
+        "slots AS MATERIALIZED (SELECT feature, row_number() OVER (ORDER BY feature) AS i FROM (SELECT DISTINCT feature FROM sl SEMI JOIN tru ON sl.user_id = tru.user_id))",
+        "xs AS MATERIALIZED (SELECT f.user_id, list_append(list(coalesce(sl.value, 0e0) ORDER BY s.i), 1e0) AS x FROM (SELECT user_id FROM fm) f CROSS JOIN slots s "
+        "LEFT JOIN sl ON sl.user_id = f.user_id AND sl.feature = s.feature GROUP BY f.user_id)",
+        "cw AS (SELECT y, (SELECT count(*) FROM tru) / (2e0 * count(*)) AS c FROM tru GROUP BY y)",
+        "dat AS MATERIALIZED (SELECT list(x ORDER BY user_id) AS xs, list(y ORDER BY user_id) AS y, list(c ORDER BY user_id) AS c, len(any_value(x)) AS k FROM xs JOIN tru USING (user_id) JOIN cw USING (y))",
+        "dac AS MATERIALIZED (SELECT *, [[r[j] FOR r IN xs] FOR j IN range(1, k + 1)] AS cols FROM dat)",
+        *_descent("m", f"[0e0 FOR j IN range(1, (SELECT k FROM dac) + 1)]", bounded=True, steps=400),
+        *_descent("n", "(SELECT w FROM m_w)", bounded=False, steps=30),
+        "model AS MATERIALIZED (SELECT w FROM n_w)",
+    ]
+
+
+SIGMOID = "1 / (1 + exp(-list_dot_product(x, w)))"
+
+
+def _linear(select: str, *ctes: str) -> str:
+    return with_adapter(*_linear_ctes(), *ctes, recursive=True) + select
+
+
+def lr_scores_sql() -> str:
+    return _linear(f"SELECT user_id, lb.is_churned, round({SIGMOID}, {R}) AS prob FROM xs CROSS JOIN model JOIN lb USING (user_id) JOIN sp USING (user_id) WHERE sp.split = 'test'")
+
+
+def lr_coefficients_sql() -> str:
+    return _linear(f"SELECT feature, round(w[i], {R}) AS coefficient, round(abs(w[i]), {R}) AS abs_coefficient FROM slots CROSS JOIN model")
+
+
+def linear_model_sql() -> str:
+    return _linear(f"SELECT feature, round(med, {R}) AS fill, round(coalesce(mean, 0e0), {R}) AS mean, round(coalesce(scale, 1e0), {R}) AS scale, round(w[i], {R}) AS weight "
+                   "FROM slots CROSS JOIN model LEFT JOIN ns ON feature = 'num__' || col UNION ALL "
+                   f"SELECT 'constant', NULL, 0e0, 1e0, round(w[len(w)], {R}) FROM model")
+
+
+def linear_contributions_sql() -> str:
+    return _linear(f"SELECT user_id, feature, round(value * w[i], {R}) AS contribution FROM sl JOIN slots USING (feature) CROSS JOIN model")
+
+
+def user_factors_sql(top_n: int = 5) -> str:
+    numbers = ", ".join(f"'num__{c}'" for c in config.NUMERIC_FEATURES)
+    # equal contributions (of equal columns) follow the order of the slots, the negative ones backwards
+    return _linear(
+        f"SELECT user_id, direction, CAST(r AS INTEGER) AS rank, feature, round(c, {R}) AS contribution FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY user_id, direction ORDER BY round(abs(c), 9) DESC, CASE WHEN c > 0 THEN p ELSE -p END) AS r "
+        f"FROM (SELECT user_id, feature, value * w[i] AS c, CASE WHEN value * w[i] > 0 THEN 'positive' ELSE 'negative' END AS direction, "
+        f"coalesce(1000 + list_position([{numbers}], feature), i) AS p FROM sl JOIN slots USING (feature) CROSS JOIN model) WHERE c <> 0) WHERE r <= {top_n}")
+
+
+def _linear_decisions(select: str) -> str:
+    cases = ", ".join(f"{_nba_case(c, 'score')} AS {c}" for c in ("action_name", "channel", "reason"))
+    return _linear(
+        select,
+        f"pr AS (SELECT user_id, {SIGMOID} AS prob FROM xs CROSS JOIN model)",
+        "sc AS (SELECT pr.user_id, pr.prob, lb.is_churned AS label FROM pr JOIN lb USING (user_id) JOIN sp USING (user_id) WHERE sp.split = 'validation')",
+        "tot AS (SELECT CAST(sum(label) AS BIGINT) AS P, CAST(sum(1 - label) AS BIGINT) AS N FROM sc)",
+        *sweep_ctes(), "th AS (SELECT t AS threshold FROM sw2 ORDER BY f1 DESC, t LIMIT 1)", *_state_ctes(),
+        f"nb AS (SELECT user_id, score, {cases} FROM (SELECT st.*, pr.prob AS score FROM st JOIN pr ON st.user_id = pr.user_id) x)",
+        f"de AS (SELECT user_id, round(score, {R}) AS predicted_risk, CAST(score >= threshold AS INTEGER) AS predicted_class, action_name, channel, reason FROM nb CROSS JOIN th)")
+
+
+def linear_decisions_sql() -> str:
+    return _linear_decisions("SELECT * FROM de")
+
+
+def linear_examples_sql(n: int = 10) -> str:
+    return _linear_decisions(
+        "SELECT * EXCLUDE (r) FROM (SELECT de.*, row_number() OVER (PARTITION BY predicted_class ORDER BY sp.signup_timestamp, user_id) AS r FROM de JOIN sp USING (user_id) "
+        f"SEMI JOIN lb USING (user_id) WHERE sp.split = 'test') WHERE r <= {n // 2}")
+
+
 def _iv_ctes(cutoff_day: int = config.PREDICTION_CUTOFF_DAY) -> list[str]:
     return [
         "fw0 AS (SELECT e.user_id, count(DISTINCT CASE WHEN d BETWEEN 0 AND {c} THEN d END) AS active_days_first_week, "

@@ -425,6 +425,7 @@ def q_subgroup(spark, t):
 
 # ---------------------------------------------------------------- ML / XP / NB3-4 (rows-only) --
 from cohortlens.models import explain as XP  # noqa: E402
+from cohortlens.models import linear_table  # noqa: E402
 from cohortlens.models import train as ML  # noqa: E402
 from cohortlens.plans import training  # noqa: E402
 
@@ -458,10 +459,43 @@ def q_model_selection(spark, t, data, result):
     return training.model_selection_report(result, spark)
 
 
-@_ml_query("lr_scores")
+@_ml_query("lr_scores", lambda: O.lr_scores_sql())
 def q_lr_scores(spark, t, data, result):
-    """ML4/ML8: logistic-regression churn probability for every test user."""
-    return ML.score(result.candidates[ML.LR].pipeline, data.test, ["user_id", config.TARGET_COLUMN])
+    """ML4/ML8: logistic-regression churn probability for every test user, from the model's table."""
+    return linear_table.score_by_table(data.test, training.linear_view(result, data).table, ["user_id", config.TARGET_COLUMN])
+
+
+@_ml_query("linear_model", lambda: O.linear_model_sql())
+def q_linear_model(spark, t, data, result):
+    """ML1-ML4, XP1: the fitted linear model as a table, one row a slot and one for the constant."""
+    return training.linear_view(result, data).table.select("feature", "fill", "mean", "scale", "weight")
+
+
+@_ml_query("linear_contributions", lambda: O.linear_contributions_sql())
+def q_linear_contributions(spark, t, data, result):
+    """XP4: what every slot adds to every user's margin."""
+    return linear_table.contributions(_all_features(t), training.linear_view(result, data).table).where("feature <> 'constant'").drop("slot")
+
+
+@_ml_query("user_factors", lambda: O.user_factors_sql())
+def q_user_factors(spark, t, data, result):
+    """XP4: every user's five strongest contributions in each direction, a row each."""
+    candidate, view = result.candidates[ML.LR], training.linear_view(result, data)
+    top = XP.explain_linear(candidate.pipeline, candidate.spec, _all_features(t), weights=view.weights)
+    sides = [top.select("user_id", F.lit(side).alias("direction"), F.posexplode(f"{side}_factors").alias("rank", "f")) for side in ("positive", "negative")]
+    return sides[0].union(sides[1]).select("user_id", "direction", (F.col("rank") + 1).alias("rank"), "f.feature", "f.contribution")
+
+
+@_ml_query("linear_decisions", lambda: O.linear_decisions_sql())
+def q_linear_decisions(spark, t, data, result):
+    """NB3: score, predicted class and next best action of every user by the linear model."""
+    return training.score_users(result, t, linear=training.linear_view(result, data))
+
+
+@_ml_query("linear_examples", lambda: O.linear_examples_sql())
+def q_linear_examples(spark, t, data, result):
+    """NB4: five high-risk and five low-risk test users by the linear model."""
+    return training.nba_examples(result, t, data.test, linear=training.linear_view(result, data))
 
 
 @_ml_query("gbt_scores")
@@ -470,10 +504,11 @@ def q_gbt_scores(spark, t, data, result):
     return ML.score(result.candidates[ML.GBT].pipeline, data.test, ["user_id", config.TARGET_COLUMN])
 
 
-@_ml_query("lr_coefficients")
+@_ml_query("lr_coefficients", lambda: O.lr_coefficients_sql())
 def q_lr_coefficients(spark, t, data, result):
     """XP1/XP2: logistic coefficients by one-hot / numeric slot, largest magnitude first."""
-    return XP.extract_logistic_coefficients(result.candidates[ML.LR].pipeline, result.candidates[ML.LR].spec)
+    view = training.linear_view(result, data)
+    return XP.extract_logistic_coefficients(result.candidates[ML.LR].pipeline, result.candidates[ML.LR].spec, view.weights)
 
 
 @_ml_query("permutation_importance")

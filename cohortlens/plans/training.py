@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cohortlens import config
 from cohortlens.models import explain as XP
+from cohortlens.models import linear_table
 from cohortlens.models import train as T
 from cohortlens.operators import decisions, evaluate, features, labels, reports, split, subgroup
 from cohortlens.session import ensure_checkpoint_dir
@@ -72,6 +73,26 @@ def trained(t: LifecycleTables, seed: int = config.RANDOM_SEED, gbt_max_iter: in
     return _CACHE[k]
 
 
+@dataclass
+class LinearView:
+    """The linear candidate as a table, with refined weights and the threshold of its validation scores."""
+
+    weights: list[float]
+    table: DataFrame
+    threshold: float
+
+
+def linear_view(result: T.TrainingResult, data: TrainingData) -> LinearView:
+    """Computed once a training."""
+    if "linear_view" not in vars(result):
+        candidate = result.candidates[T.LR]
+        weights, constant = linear_table.refined(candidate.pipeline, data.train)
+        table = linear_table.model_table(data.train.sparkSession, candidate.spec, weights, constant)
+        scored = linear_table.score_by_table(data.val, table, ["user_id", config.TARGET_COLUMN]).withColumnRenamed(config.TARGET_COLUMN, "label")
+        result.linear_view = LinearView(weights, table, float(evaluate.select_threshold(scored, "f1").first()["threshold"]))
+    return result.linear_view
+
+
 def model_selection_report(result: T.TrainingResult, spark) -> DataFrame:
     """Candidate validation metrics at 0.5 plus the selected model's validation / test metrics
     at the chosen threshold (one row each)."""
@@ -84,28 +105,32 @@ def model_selection_report(result: T.TrainingResult, spark) -> DataFrame:
 
 
 def score_users(result: T.TrainingResult, t: LifecycleTables, users: DataFrame | None = None,
-                threshold: float | None = None) -> DataFrame:
-    """NB3: rebuild features from raw tables, score, and pick the next best action with the score.
+                threshold: float | None = None, linear: LinearView | None = None) -> DataFrame:
+    """NB3: rebuild features from raw tables, score (with the selected model, or with ``linear``), and
+    pick the next best action with the score.
 
     The label never enters: features come from pre-cutoff events only.
     """
+    if linear is not None:
+        threshold = linear.threshold if threshold is None else threshold
     users = users if users is not None else t.users
     thr = result.threshold if threshold is None else threshold
     feats = features.build_model_features(users, t.events, t.assignments, hot_users=t.hot_users)
-    probs = T.score(result.model, feats, ["user_id"]).withColumnRenamed("prob", "predicted_risk")
+    probs = linear_table.score_by_table(feats, linear.table) if linear is not None else T.score(result.model, feats, ["user_id"])
+    probs = probs.withColumnRenamed("prob", "predicted_risk")
     nba = decisions.recommend_next_action(users, t.events, probs, score_col="predicted_risk", hot_users=t.hot_users)
     return (probs.join(nba, "user_id")
             .select("user_id", "predicted_risk", (F.col("predicted_risk") >= F.lit(thr)).cast("int").alias("predicted_class"),
                     "action_name", "channel", "reason"))
 
 
-def nba_examples(result: T.TrainingResult, t: LifecycleTables, test_users: DataFrame, n_examples: int = 10) -> DataFrame:
+def nba_examples(result: T.TrainingResult, t: LifecycleTables, test_users: DataFrame, n_examples: int = 10, linear: LinearView | None = None) -> DataFrame:
     """NB4: test users only; the first n // 2 of each predicted class in (signup, user_id) order.
 
     Each class is a distributed top-k (ordered limit), never a window over a whole class.
     """
     users = t.users.join(test_users.select("user_id"), "user_id", "left_semi")
-    scored = score_users(result, t, users).join(users.select("user_id", "signup_timestamp"), "user_id")
+    scored = score_users(result, t, users, linear=linear).join(users.select("user_id", "signup_timestamp"), "user_id")
     half = n_examples // 2
     high = scored.where(F.col("predicted_class") == 1).orderBy("signup_timestamp", "user_id").limit(half)
     low = scored.where(F.col("predicted_class") == 0).orderBy("signup_timestamp", "user_id").limit(half)
