@@ -18,9 +18,32 @@ def actions(events: DataFrame, source: str = USER_ACTION) -> DataFrame:
     return events.where(F.col("event_source") == source)
 
 
-def active_days(events: DataFrame, source: str = USER_ACTION) -> DataFrame:
-    """RT2: distinct (user_id, event_date) of actions; at most one row per user per day."""
-    return actions(events, source).select("user_id", F.to_date("event_timestamp").alias("event_date")).distinct()
+DAYS_A_MASK = 64
+
+
+def activity_bitmap(events: DataFrame, source: str = USER_ACTION, names: dict[str, str] | None = None) -> DataFrame:
+    """RT2 packed: user_id, _days (map from 64-day stretches since 1970 to a mask of the active days),
+    _last (the last action) and a flag for each of ``names`` (flag: event name) that the user ever did. All
+    are combined where the rows lie; per user only its stretches are gathered."""
+    at, names = F.col("event_timestamp"), names or {}
+    day = F.unix_date(F.to_date(at))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(day, F.lit(DAYS_A_MASK)))
+    part = (actions(events, source).groupBy("user_id", F.floor(day / DAYS_A_MASK).cast("long").alias("_part"))
+            .agg(F.bit_or(bit).alias("_mask"), F.max(at).alias("_last"), *[F.max(F.col("event_name") == e).alias(flag) for flag, e in names.items()]))
+    days = F.collect_list(F.when(F.col("_part").isNotNull(), F.struct("_part", "_mask")))
+    return part.groupBy("user_id").agg(F.map_from_entries(days).alias("_days"), F.max("_last").alias("_last"), *[F.max(flag).alias(flag) for flag in names])
+
+
+def with_activity(users: DataFrame, events: DataFrame, source: str = USER_ACTION, names: dict[str, str] | None = None) -> DataFrame:
+    """``users`` with their activity bitmap and flags (null for users without actions)."""
+    return users.join(activity_bitmap(events, source, names), "user_id", "left")
+
+
+def active_on(day: int, since: str = "signup_timestamp") -> Column:
+    """Whether a row of :func:`with_activity` is active on calendar day ``since`` + day."""
+    target = F.unix_date(F.to_date(since)) + F.lit(int(day))
+    mask = F.try_element_at("_days", F.floor(target / DAYS_A_MASK).cast("long"))
+    return F.coalesce(F.getbit(mask, F.pmod(target, F.lit(DAYS_A_MASK))) == 1, F.lit(False))
 
 
 def first_occurrence(events: DataFrame, names: list[str], source: str = USER_ACTION,
@@ -33,14 +56,6 @@ def first_occurrence(events: DataFrame, names: list[str], source: str = USER_ACT
     ])
 
 
-def has_event_flags(events: DataFrame, names: dict[str, str], source: str = USER_ACTION) -> DataFrame:
-    """Per user: flag_name -> whether the user ever performed the event (any time)."""
-    ev = actions(events, source).where(F.col("event_name").isin(list(set(names.values()))))
-    return ev.groupBy("user_id").agg(*[
-        F.max(F.col("event_name") == e).alias(flag) for flag, e in names.items()
-    ])
-
-
 HOT_USER_EVENTS = 1_000_000  # a user with this many events is spread over salt buckets of about as many
 
 

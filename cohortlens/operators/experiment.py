@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens import config
 from cohortlens.functions.stats import chi2_sf, safe_div, with_two_proportion_z_test
-from cohortlens.operators.activity import active_days, has_event_flags
+from cohortlens.operators.activity import active_on, with_activity
 
 D7_RETENTION = "d7_retention"
 
@@ -57,18 +57,9 @@ def user_metric_flags(users: DataFrame, events: DataFrame, assignments: DataFram
     """One row per assignment row of the experiment with a boolean per metric (EX4, EX5)."""
     subset = (assignments.where(F.col("experiment_id") == experiment_id).select("user_id", "variant_id")
               .join(users.select("user_id", "signup_timestamp"), "user_id", "left"))
-    event_metrics = {m: e for m, e in metrics.items() if e != D7_RETENTION}
-    out = subset
-    if event_metrics:
-        flags = has_event_flags(events, {f"_m_{m}": e for m, e in event_metrics.items()})
-        out = out.join(flags, "user_id", "left")
-    if any(e == D7_RETENTION for e in metrics.values()):
-        probe = active_days(events).select("user_id", F.col("event_date").alias("_d7"), F.lit(True).alias("_d7hit"))
-        out = out.withColumn("_d7", F.date_add(F.to_date("signup_timestamp"), 7)).join(probe, ["user_id", "_d7"], "left")
-    cols = []
-    for m, e in metrics.items():
-        flag = F.col("_d7hit").isNotNull() if e == D7_RETENTION else F.coalesce(F.col(f"_m_{m}"), F.lit(False))
-        cols.append(flag.alias(f"_f_{m}"))
+    named = {f"_m_{m}": e for m, e in metrics.items() if e != D7_RETENTION}
+    out = with_activity(subset, events, names=named)  # the events are read once for all metrics
+    cols = [(active_on(7) if e == D7_RETENTION else F.coalesce(F.col(f"_m_{m}"), F.lit(False))).alias(f"_f_{m}") for m, e in metrics.items()]
     return out.select("user_id", "variant_id", *cols)
 
 
@@ -78,8 +69,8 @@ def analyze_experiment(users: DataFrame, events: DataFrame, assignments: DataFra
     """EX1: metric, variant_id, sample_size, conversions, conversion_rate, absolute_lift,
     relative_lift, p_value, ci_lower, ci_upper. Control rows carry nulls in the comparison columns.
 
-    User flags -> one aggregate per variant (a handful of rows) -> per-metric control row joined
-    back (bounded by the metric count) -> z-test as Column arithmetic.
+    User flags -> one aggregate per variant (a handful of rows) -> each metric's control row by a window
+    over its variants -> z-test as Column arithmetic.
     """
     metrics = dict(metrics or config.DEFAULT_EXPERIMENT_METRICS)
     flags = user_metric_flags(users, events, assignments, experiment_id, metrics)
@@ -90,11 +81,13 @@ def analyze_experiment(users: DataFrame, events: DataFrame, assignments: DataFra
                               F.col(f"_c_{m}").alias("conversions")) for i, m in enumerate(metrics)])
     long = per_variant.select("variant_id", "sample_size", F.inline(rows))
     long = long.withColumn("conversion_rate", safe_div("conversions", "sample_size"))
-    control = long.where(F.col("variant_id") == control_variant).select(
-        "metric", F.col("sample_size").alias("_cn"), F.col("conversions").alias("_cc"),
-        F.col("conversion_rate").alias("_cr"))
-    j = long.join(control, "metric", "left").select(
-        "*", F.coalesce("_cc", F.lit(0)).alias("_cc0"), F.coalesce("_cn", F.lit(0)).alias("_cn0"))
+    of_metric = Window.partitionBy("metric")  # a row a variant
+
+    def control(column: str) -> Column:
+        return F.max(F.when(F.col("variant_id") == control_variant, F.col(column))).over(of_metric)
+
+    j = long.select("*", F.coalesce(control("conversions"), F.lit(0)).alias("_cc0"), F.coalesce(control("sample_size"), F.lit(0)).alias("_cn0"),
+                    control("conversion_rate").alias("_cr"))
     test = with_two_proportion_z_test(j, "_cc0", "_cn0", "conversions", "sample_size")
     is_treat = F.col("variant_id") != control_variant
     cr = F.coalesce(F.col("_cr"), F.lit(0.0))

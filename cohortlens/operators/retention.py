@@ -2,36 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import config
 from cohortlens.functions.stats import safe_div
 from cohortlens.functions.timeutil import plus_days, week_label
-from cohortlens.operators.activity import actions, active_days
+from cohortlens.operators.activity import active_on, with_activity
 
 SIGNUP_WEEK = "signup_week"
 
 
-def _probe(events: DataFrame, source: str) -> DataFrame:
-    """(user_id, target_date, _hit) set probe built once from the distinct active days."""
-    return active_days(events, source).select(
-        "user_id", F.col("event_date").alias("_target_date"), F.lit(True).alias("_hit"))
+def _rolled(day: int) -> Column:
+    """Whether a user row of :func:`with_activity` acts at or after signup + day x 24 h."""
+    return F.coalesce(F.col("_last") >= plus_days("signup_timestamp", day), F.lit(False))
+
+
+def _rate(flag: Column) -> Column:
+    return F.avg(flag.cast("double"))
 
 
 def retained_flags(users: DataFrame, events: DataFrame, days: list[int], keep: list[str] | None = None,
                    source: str = "user_action") -> DataFrame:
     """One row per (user, day): retained iff an action falls on calendar day signup_date + day.
 
-    Users are expanded by the (small, fixed) day list with ``explode`` and probed with one
-    equi-join on (user_id, target_date) against the distinct active-day set.
+    Each user meets its bitmap of active days once; all days of the (small, fixed) list are bits of it.
     """
     keep = list(keep or [])
-    base = users.select("user_id", *keep, F.to_date("signup_timestamp").alias("_signup_date"))
-    base = base.withColumn("day", F.explode(F.array(*[F.lit(int(d)) for d in days])))
-    base = base.withColumn("_target_date", F.date_add("_signup_date", F.col("day")))
-    out = base.join(_probe(events, source), ["user_id", "_target_date"], "left")
-    return out.select("user_id", *keep, "day", F.col("_hit").isNotNull().alias("retained"))
+    base = with_activity(users.select("user_id", *keep, "signup_timestamp"), events, source)
+    flags = F.array(*[F.struct(F.lit(int(d)).alias("day"), active_on(d).alias("retained")) for d in days])
+    return base.select("user_id", *keep, F.inline(flags))
 
 
 def compute_day_retention(users: DataFrame, events: DataFrame, day: int, group_by: str | None = None,
@@ -74,10 +74,8 @@ def cohort_pivot(cohort: DataFrame, days=(1, 7, 14), cohort_col: str = SIGNUP_WE
 def compute_rolling_retention(users: DataFrame, events: DataFrame, day: int,
                               source: str = "user_action") -> DataFrame:
     """RT7: share of users whose last action instant is >= signup + day x 24 h (0.0 if no users)."""
-    last = actions(events, source).groupBy("user_id").agg(F.max("event_timestamp").alias("_last"))
-    j = users.select("user_id", "signup_timestamp").join(last, "user_id", "left")
-    hit = F.coalesce(F.col("_last") >= plus_days("signup_timestamp", day), F.lit(False))
-    return j.agg(F.coalesce(F.avg(hit.cast("double")), F.lit(0.0)).alias("retention_rate")) \
+    j = with_activity(users.select("user_id", "signup_timestamp"), events, source)
+    return j.agg(F.coalesce(_rate(_rolled(day)), F.lit(0.0)).alias("retention_rate")) \
         .select(F.lit(int(day)).alias("day"), "retention_rate")
 
 
@@ -96,16 +94,14 @@ def compute_retention_by_variant(users: DataFrame, events: DataFrame, assignment
 
 def retention_summary(users: DataFrame, events: DataFrame, days=(1, 7, 14),
                       rolling_day: int = config.PREDICTION_CUTOFF_DAY) -> DataFrame:
-    """RP4: metric, rate rows for D1/D7/D14 plus rolling retention - one pass over the users.
-
-    All day-N flags come from a single expanded probe join; the rolling flag from one more
-    user-level aggregate, so the whole summary is a single job.
+    """RP4: metric, rate rows for D1/D7/D14 plus rolling retention: the events are read once, every rate
+    is an average over the users' bitmaps and last actions in one pass.
     """
-    flags = retained_flags(users, events, list(days))
-    day_rates = flags.groupBy("day").agg(F.avg(F.col("retained").cast("double")).alias("rate"))
-    day_rows = day_rates.select(F.concat(F.lit("D"), F.col("day").cast("string"), F.lit(" retention")).alias("metric"),
-                                "rate", F.col("day").alias("_o"))
-    rolling = compute_rolling_retention(users, events, rolling_day).select(
-        F.lit(f"D{rolling_day} rolling retention").alias("metric"), F.col("retention_rate").alias("rate"),
-        F.lit(10_000).alias("_o"))
-    return day_rows.unionByName(rolling).orderBy("_o").select("metric", "rate")
+    j = with_activity(users.select("user_id", "signup_timestamp"), events)
+    one = j.agg(F.count(F.lit(1)).alias("n"), *[_rate(active_on(d)).alias(f"d{d}") for d in days],
+                F.coalesce(_rate(_rolled(rolling_day)), F.lit(0.0)).alias("rolling"))
+    rows = [F.struct(F.lit(f"D{d} retention").alias("metric"), F.col(f"d{d}").alias("rate"), F.lit(d).alias("_o")) for d in days]
+    rows.append(F.struct(F.lit(f"D{rolling_day} rolling retention").alias("metric"), F.col("rolling").alias("rate"), F.lit(10_000).alias("_o")))
+    # without users there are no day rates, and a rolling one of 0
+    out = one.select("n", F.inline(F.array(*rows))).where((F.col("n") > 0) | (F.col("_o") == 10_000))
+    return out.orderBy("_o").select("metric", "rate")
