@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from cohortlens import config
 from cohortlens.models.preprocess import PreprocessSpec, build_preprocessor, drop_slots, fit_spec, unscaled
 from cohortlens.operators import evaluate
+from cohortlens.session import ensure_checkpoint_dir
 
 LR, GBT = "logistic_regression", "hist_gradient_boosting"
 
@@ -55,19 +56,50 @@ def build_logistic_regression(train: DataFrame, spec: PreprocessSpec | None = No
     return Pipeline(stages=[*pre.getStages(), weights, lr])
 
 
-def build_gradient_boosting(train: DataFrame, spec: PreprocessSpec | None = None, seed: int = config.RANDOM_SEED,
-                            max_iter: int = 500, validation_fraction: float = 0.1) -> Pipeline:
-    """ML5: boosted trees with early stopping on a deterministic ~10% hash holdout of users."""
-    spec = spec or fit_spec(train, scale=False)
-    from pyspark.ml.feature import SQLTransformer
+def stopping_round(losses: list[float], patience: int, tolerance: float = 1e-7) -> int | None:
+    """The first round (counted from 1) after which none of the last ``patience`` losses is better, by more
+    than the tolerance, than the one before them; None if there is none yet."""
+    for end in range(patience + 1, len(losses) + 1):
+        before = losses[end - patience - 1]
+        if not any(loss < before - tolerance for loss in losses[end - patience:end]):
+            return end
+    return None
+
+
+def fit_gradient_boosting(train: DataFrame, spec: PreprocessSpec | None = None, seed: int = config.RANDOM_SEED, max_iter: int = 500,
+                          validation_fraction: float = 0.1, patience: int = 10, first_rounds: int = 24) -> PipelineModel:
+    """ML5: boosted trees with early stopping on a deterministic ~10% hash holdout of users.
 
+    A fit of some rounds gives the holdout's loss after each; while ``patience`` rounds without progress
+    are not among them, twice as many are fitted, up to ``max_iter``. The ensemble that is kept ends at the
+    best round before the stop. Without a holdout (few users) all ``max_iter`` rounds stay.
+    """
+    spec = spec or fit_spec(train, scale=False)
+    pre = build_preprocessor(spec).fit(train)
+    ensure_checkpoint_dir(train.sparkSession)
     buckets = int(round(1.0 / validation_fraction))
-    holdout = SQLTransformer(statement=f"SELECT *, pmod(xxhash64(CAST(user_id AS STRING), {seed}), {buckets}) = 0 "
-                                       "AS _is_val FROM __THIS__")
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=max_iter, stepSize=0.1, maxDepth=5,
-                        validationIndicatorCol="_is_val", seed=seed)
-    pre = build_preprocessor(spec)
-    return Pipeline(stages=[*pre.getStages(), holdout, gbt])
+    held_out = F.pmod(F.xxhash64(F.col("user_id").cast("string"), F.lit(seed)), F.lit(buckets)) == 0
+    ready = drop_slots(pre.transform(_labelled(train))).select("features", "label", held_out.alias("held_out")).checkpoint()  # read by every round
+    fitting, holdout = ready.where("NOT held_out"), ready.where("held_out")
+
+    def boosted(rounds: int) -> GBTClassificationModel:
+        return GBTClassifier(featuresCol="features", labelCol="label", maxIter=rounds, stepSize=0.1, maxDepth=5, seed=seed).fit(fitting)
+
+    rounds = max_iter if holdout.isEmpty() else min(first_rounds, max_iter)
+    model = boosted(rounds)
+    if not holdout.isEmpty():
+        while True:
+            losses = [float(x) for x in model.evaluateEachIteration(holdout)]
+            stop = stopping_round(losses, patience)
+            if stop is not None or rounds >= max_iter:
+                break
+            rounds = min(2 * rounds, max_iter)
+            model = boosted(rounds)
+        kept = losses[:stop]
+        best = kept.index(min(kept)) + 1
+        if best < rounds:
+            model = boosted(best)  # the same trees: nothing in a fit is drawn by chance
+    return PipelineModel([*pre.stages, model])
 
 
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
@@ -138,8 +170,7 @@ def train_and_select_model(train: DataFrame, val: DataFrame, test: DataFrame, th
     keep = ["user_id", config.TARGET_COLUMN]
     linear = fit_spec(train, scale=True)
     specs = {LR: linear, GBT: unscaled(linear)}
-    unfitted = {LR: build_logistic_regression(train, specs[LR]), GBT: build_gradient_boosting(train, specs[GBT], seed, gbt_max_iter)}
-    fitted = {name: fit(pipeline, train) for name, pipeline in unfitted.items()}
+    fitted = {LR: fit(build_logistic_regression(train, specs[LR]), train), GBT: fit_gradient_boosting(train, specs[GBT], seed, gbt_max_iter)}
     scores = {name: score(model, val, keep) for name, model in fitted.items()}
     candidates = {name: Candidate(model, specs[name], _metrics_dict(scores[name], 0.5)) for name, model in fitted.items()}
     winner = max(candidates, key=lambda name: candidates[name].average_precision)  # the first of equals

@@ -74,10 +74,10 @@ def test_logistic_regression_matches_reference_objective(planted):
 
 def test_gbt_contract_and_roundtrip(spark, planted):
     spec = fit_spec(planted, CATS, NUMS, scale=False)
-    model = ML.fit(ML.build_gradient_boosting(planted, spec, max_iter=20), planted)
+    model = ML.fit_gradient_boosting(planted, spec, max_iter=20)
     a = {r.user_id: r.prob for r in ML.score(model, planted).collect()}
     assert all(0.0 <= p <= 1.0 for p in a.values())
-    model2 = ML.fit(ML.build_gradient_boosting(planted, spec, max_iter=20), planted)
+    model2 = ML.fit_gradient_boosting(planted, spec, max_iter=20)
     assert a == {r.user_id: r.prob for r in ML.score(model2, planted).collect()}  # deterministic for a seed
     path = os.path.join(tempfile.mkdtemp(prefix="cohortlens-model-"), "gbt")
     ML.save_model(model, path)
