@@ -39,7 +39,11 @@ def compute_funnel(users: DataFrame, events: DataFrame, group_by: str | None = N
     of structs (no window, no second pass). Grouped output drops null groups.
     """
     steps = list(steps or config.FUNNEL_STEPS)
-    flags = user_step_flags(users, events, steps, group_by, source)
+    return funnel_table(user_step_flags(users, events, steps, group_by, source), steps, group_by)
+
+
+def funnel_table(flags: DataFrame, steps: list[str], group_by: str | None = None) -> DataFrame:
+    """FN3/FN4 from the users' step flags."""
     keys = [group_by] if group_by else []
     if group_by:
         flags = flags.where(F.col(group_by).isNotNull())

@@ -15,7 +15,7 @@ from cohortlens.plans import faults
 from cohortlens.plans import oracle as O
 from cohortlens.plans.catalog import ORACLES, QUERIES, register, rounded
 from cohortlens.session import apply_engine_conf, ensure_checkpoint_dir
-from cohortlens.sources import testdata
+from cohortlens.sources import layout, testdata
 from cohortlens.sources.testdata import ADAPTER_FUNNEL_STEPS
 
 STEPS = ADAPTER_FUNNEL_STEPS
@@ -35,6 +35,13 @@ def q_funnel_by_channel(spark, t):
     return funnel.compute_funnel(t.users, t.events, group_by="acquisition_channel", steps=STEPS)
 
 
+@register("funnel_by_layout", lambda: O.funnel_sql(None))
+def q_funnel_by_layout(spark, t):
+    """IO3 + FN3: the funnel from the log laid out by user, whose events no step moves."""
+    laid = layout.staged_layout(t.users.select("user_id"), t.events.select("user_id", "event_name", "event_timestamp", "event_source"))
+    return funnel.funnel_table(laid.per_user(lambda users, events: funnel.user_step_flags(users, events, STEPS)), STEPS)
+
+
 # ---------------------------------------------------------------- RT / RP4 ---------------------
 from cohortlens.operators import retention  # noqa: E402
 
