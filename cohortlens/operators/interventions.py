@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortlens import config
 from cohortlens.functions.hashing import md5_bucket
 from cohortlens.functions.timeutil import day_index, plus_days
-from cohortlens.operators.activity import actions, with_user_columns
+from cohortlens.operators.activity import DAYS_A_MASK, actions, with_user_columns
 
 
 def first_week_activity(users: DataFrame, events: DataFrame, cutoff_day: int = config.PREDICTION_CUTOFF_DAY,
@@ -19,9 +19,13 @@ def first_week_activity(users: DataFrame, events: DataFrame, cutoff_day: int = c
     ev = actions(events, source).select("user_id", "event_name", "event_timestamp")
     j = with_user_columns(ev, u, ["signup_timestamp"], hot=hot_users).withColumn(
         "_day", day_index("signup_timestamp", "event_timestamp"))
-    in_week = F.col("_day").between(0, cutoff_day)
+    day, in_week = F.col("_day").cast("int"), F.col("_day").between(0, cutoff_day)
+    if cutoff_day < DAYS_A_MASK:  # days as bits of one mask, or-ed where the rows lie
+        days = F.bit_count(F.bit_or(F.when(in_week, F.call_function("shiftleft", F.lit(1).cast("long"), day))))
+    else:
+        days = F.count_distinct(F.when(in_week, day))
     agg = j.groupBy("user_id").agg(
-        F.count_distinct(F.when(in_week, F.col("_day"))).alias("active_days_first_week"),
+        days.alias("active_days_first_week"),
         F.max(F.col("event_name") == "onboarding_complete").alias("onboarding_done"))
     out = u.join(agg, "user_id", "left")
     return out.select("user_id", F.coalesce("active_days_first_week", F.lit(0)).cast("bigint").alias("active_days_first_week"),

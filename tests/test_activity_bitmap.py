@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from builders import make_events, make_users, ts
 from cohortlens.operators import retention
 from cohortlens.operators.activity import DAYS_A_MASK, active_on, activity_bitmap, with_activity
+from cohortlens.operators.interventions import first_week_activity
 
 
 def _events(spark, seed=4):
@@ -56,3 +57,13 @@ def test_summary_without_users(spark):
     _, events = _events(spark)
     rows = retention.retention_summary(make_users(spark, []), events).collect()
     assert [(r["metric"], r["rate"]) for r in rows] == [("D7 rolling retention", 0.0)]
+
+
+def test_first_week_days_as_bits_and_as_distinct_values(spark):
+    rows, events = _events(spark, 12)
+    users = make_users(spark, [{"user_id": f"u{i}", "signup_timestamp": ts("1969-12-20T13:00:00") + timedelta(days=9 * i)} for i in range(14)])
+    signup = {r["user_id"]: r["signup_timestamp"] for r in users.collect()}
+    for cutoff in (7, 63, 64, 300):
+        want = {u: len({(r["event_timestamp"] - at).days for r in rows if r["user_id"] == u and r.get("event_source", "user_action") == "user_action"
+                        and 0 <= (r["event_timestamp"] - at).days <= cutoff}) for u, at in signup.items()}
+        assert {r["user_id"]: r["active_days_first_week"] for r in first_week_activity(users, events, cutoff).collect()} == want
