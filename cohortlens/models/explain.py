@@ -11,13 +11,14 @@ import math
 import random
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import config
 from cohortlens.functions.ordered import global_rank
 from cohortlens.functions.scalars import with_scalars
+from cohortlens.models import tree_table
 from cohortlens.models.preprocess import PreprocessSpec, drop_slots
 from cohortlens.operators import evaluate
 
@@ -83,22 +84,11 @@ def _top_factors(base: DataFrame, names: list[str], top_n: int) -> DataFrame:
 
 
 def explain_tree(model: PipelineModel, spec: PreprocessSpec, df: DataFrame, top_n: int = 5) -> DataFrame:
-    """XP5: contribution of slot j = base probability - probability with transformed slot j = 0.
-    Only non-zero slots are tried: zeroing a zero changes nothing, and no contribution is left out."""
-    names = spec.feature_names()
-    classifier = model.stages[-1]
-    base = transformed(model, df).select("user_id", "features")
-    base_p = classifier.transform(base).select("user_id", vector_to_array("probability")[1].alias("_p0"),
-                                              vector_to_array("features").alias("_x"))
-    filled = F.filter(F.transform("_x", lambda v, i: F.when(v != 0.0, i)), lambda i: i.isNotNull())
-    per_slot = base_p.select("user_id", "_p0", "_x", F.explode_outer(filled).alias("pos"))
-    zeroed = per_slot.withColumn(
-        "features", array_to_vector(F.transform("_x", lambda v, i: F.when(i == F.col("pos"), F.lit(0.0)).otherwise(v))))
-    scored = classifier.transform(zeroed.select("user_id", "_p0", "pos", "features"))
-    c = F.col("_p0") - vector_to_array("probability")[1]
-    slots = scored.select("user_id", F.round("_p0", 6).alias("predicted_risk"), F.when(c != 0, F.struct(c.alias("c"), "pos")).alias("s"))
-    base = slots.groupBy("user_id", "predicted_risk").agg(F.collect_list("s").alias("_slots"))  # a user's own slots
-    return _top_factors(base, names, top_n)
+    """XP5: contribution of slot j = base probability - probability with transformed slot j = 0, from
+    the ensemble's node table inside each user's own row. No contribution is left out."""
+    base = transformed(model, df).select("user_id", vector_to_array("features").alias("_x"))
+    found = tree_table.explained(base, tree_table.model_table(model.stages[-1]), "_x")
+    return _top_factors(found.select("user_id", F.round("prob", 6).alias("predicted_risk"), F.col("slots").alias("_slots")), spec.feature_names(), top_n)
 
 
 def explain_users(model: PipelineModel, spec: PreprocessSpec, df: DataFrame, top_n: int = 5) -> DataFrame:

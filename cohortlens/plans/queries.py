@@ -432,7 +432,7 @@ def q_subgroup(spark, t):
 
 # ---------------------------------------------------------------- ML / XP / NB3-4 (rows-only) --
 from cohortlens.models import explain as XP  # noqa: E402
-from cohortlens.models import linear_table  # noqa: E402
+from cohortlens.models import linear_table, tree_table  # noqa: E402
 from cohortlens.models import train as ML  # noqa: E402
 from cohortlens.plans import training  # noqa: E402
 
@@ -536,6 +536,12 @@ def q_tree_explanations(spark, t, data, result):
     return XP.explain_tree(result.candidates[ML.GBT].pipeline, result.candidates[ML.GBT].spec, _all_features(t))
 
 
+@_ml_query("tree_model")
+def q_tree_model(spark, t, data, result):
+    """ML5: the boosted ensemble as a table, one row a node (what ``tree_explanations`` walks)."""
+    return tree_table.model_table(result.candidates[ML.GBT].pipeline.stages[-1])
+
+
 @_ml_query("global_explanation")
 def q_global_explanation(spark, t, data, result):
     """XP6: top-15 coefficients and top-15 permutation importances of the selected model."""
