@@ -3,7 +3,8 @@
 :func:`keys_at_ranks` finds the rows at given ranks of an (instant, key) order inside one lazy plan: rows
 are counted by day, which gives the day that holds each rank (a window over as many rows as the calendar
 has days) and, in the same pass, pivots drawn by hash from each day's rows; rows of that day are counted
-between its pivots, and only what lies between two of them is ordered. :func:`quantiles` narrows intervals
+between its pivots, and only what lies between two of them is ordered. :func:`totals_up_to` gives every row its
+running total in the same way. :func:`quantiles` narrows intervals
 around many columns' order statistics at once, in a few aggregates over the rows as they are.
 """
 
@@ -16,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.functions.scalars import with_scalars
+
 PIVOTS = 1024
 BEFORE_ALL = -(1 << 62)  # the second of a null instant
 DAY = 86_400
@@ -61,6 +64,35 @@ def keys_at_ranks(df: DataFrame, instant: str, key: str, ranks: Callable[[Column
     return found.agg(*[F.max(F.when(F.col("_j") == j, F.col("_k"))).alias(f"k{j}") for j in range(len(ranks(F.lit(0))))])
 
 
+def totals_up_to(df: DataFrame, key: Column, sums: dict[str, str], by: list[str] | None = None) -> DataFrame:
+    """``df`` with, for each entry of ``sums`` (name: column of counts), the total over the rows of the same
+    group up to this one in ascending order of ``key`` (unique in a group, nulls first) and, as
+    ``all_<name>``, over the whole group.
+
+    One lazy plan without a sort of the table: pivots drawn by hash cut each group into ``PIVOTS`` + 1 parts,
+    whose totals are counted; only the rows of one part are ordered together. The three readings of ``df`` ask
+    for the same columns, so that Spark computes an aggregated ``df`` once and reuses its exchange."""
+    by = list(by or [])
+    rows = df.withColumn("_k", key)
+    chance = F.xxhash64("_k")
+    totals = [F.sum(c).alias(f"_t_{k}") for k, c in sums.items()]
+    drawn = rows.groupBy(*by, F.pmod(chance, F.lit(PIVOTS)).alias("_draw")).agg(F.min_by("_k", chance).alias("_p"), *totals)
+    # a group's pivots: PIVOTS at most
+    groups = drawn.groupBy(*by).agg(F.array_sort(F.collect_list("_p")).alias("_pivots"), *[F.sum(f"_t_{k}").alias(f"all_{k}") for k in sums])
+    if by:
+        rows = rows.join(groups, by)
+    else:
+        rows = with_scalars(rows, groups)
+    whole = [f"all_{k}" for k in sums]
+    parted = rows.select(*df.columns, "_k", *whole, _below(F.col("_pivots"), F.col("_k")).alias("_part"))
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a part
+    parts = parted.groupBy(*by, "_part").agg(*totals)
+    offsets = parts.select(*by, "_part", *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in sums])
+    within = _up_to("_k", *by, "_part")
+    here = parted.join(offsets if by else F.broadcast(offsets), [*by, "_part"])
+    return here.select(*df.columns, *[(F.col(f"_o_{k}") + F.sum(c).over(within)).alias(k) for k, c in sums.items()], *whole)
+
+
 def _around(value: Column, share: float, accuracy: int) -> Column:
     """Three of a column's values, in order, near the share of its rows."""
     off = 2.0 / accuracy

@@ -1,7 +1,7 @@
 """Classifier evaluation (EV1-EV12) over a keyed ``DataFrame(label, prob)``.
 
 Everything is exact and distributed: curve metrics collapse rows to distinct scores (partial
-aggregation), then take cumulative sums in score order with :func:`running_totals`; threshold
+aggregation), then take cumulative sums in score order with :func:`totals_up_to`; threshold
 sweeps collapse rows to at most ``n_thresholds + 1`` grid buckets computed arithmetically.
 """
 
@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.functions.ordered import running_totals
 from cohortlens.functions.scalars import with_scalars
+from cohortlens.functions.selection import totals_up_to
 from cohortlens.functions.stats import safe_div
 
 EPS = 2.220446049250313e-16  # float64 machine epsilon used to clip probabilities
@@ -39,29 +39,19 @@ def cumulative(scored: DataFrame, label: str = "label", prob: str = "prob") -> D
     rows scoring >= it (cum_tp, cum_fp), plus class totals P and N."""
     per_score = scored.groupBy(F.col(prob).alias("prob")).agg(
         F.sum(_label(label)).alias("tp"), F.sum(1 - _label(label)).alias("fp"))
-    cum = running_totals(per_score, [F.col("prob").desc()], {"cum_tp": F.col("tp"), "cum_fp": F.col("fp")})
-    # class totals from the checkpointed distinct-score table: the (possibly model-scored) input
-    # is not evaluated a second time
-    return _one_row_join(cum, cum.agg(F.sum("tp").alias("P"), F.sum("fp").alias("N")))
+    cum = totals_up_to(per_score, F.col("prob"), {"upto_tp": "tp", "upto_fp": "fp"})
+    return cum.select("prob", "tp", "fp", (F.col("all_upto_tp") - F.col("upto_tp") + F.col("tp")).alias("cum_tp"),
+                      (F.col("all_upto_fp") - F.col("upto_fp") + F.col("fp")).alias("cum_fp"), F.col("all_upto_tp").alias("P"), F.col("all_upto_fp").alias("N"))
 
 
 def average_precision_by(scored: DataFrame, by: list[str], label: str = "label", prob: str = "prob") -> DataFrame:
-    """EV1 per group (e.g. permutation repeats): one global cumulative pass ordered by
-    (group, score desc); each group's running sums restart via per-group offsets."""
-    # the grouped input is usually model-scored: materialise its distinct-score aggregate once, so
-    # the range-bound sampling and the ordered pass below do not each re-run the scoring
+    """EV1 per group (e.g. permutation repeats), null for a group without positives."""
     per_score = scored.groupBy(*by, F.col(prob).alias("prob")).agg(
-        F.sum(_label(label)).alias("tp"), F.sum(1 - _label(label)).alias("fp")).checkpoint()
-    order = [F.col(c).asc_nulls_first() for c in by] + [F.col("prob").desc()]
-    cum = running_totals(per_score, order, {"_ctp": F.col("tp"), "_cfp": F.col("fp")})
-    groups = cum.groupBy(*by).agg(F.sum("tp").alias("P"), F.sum("fp").alias("N"))  # from the checkpoint
-    gw = Window.orderBy(*[F.col(c).asc_nulls_first() for c in by]).rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.select(*by, "P", F.coalesce(F.sum("P").over(gw), F.lit(0)).alias("_otp"),
-                           F.coalesce(F.sum("N").over(gw), F.lit(0)).alias("_ofp"))  # one row per group
-    j = cum.join(groups, by)
-    ctp, cfp = F.col("_ctp") - F.col("_otp"), F.col("_cfp") - F.col("_ofp")
-    term = F.try_divide("tp", "P") * (ctp / (ctp + cfp))
-    return j.groupBy(*by).agg(F.when(F.max("P") > 0, F.sum(term)).alias("pr_auc"))
+        F.sum(_label(label)).alias("tp"), F.sum(1 - _label(label)).alias("fp"))
+    cum = totals_up_to(per_score, F.col("prob"), {"upto_tp": "tp", "upto_fp": "fp"}, by)
+    cum_tp, cum_fp = (F.col(f"all_upto_{c}") - F.col(f"upto_{c}") + F.col(c) for c in ("tp", "fp"))
+    term = F.try_divide("tp", "all_upto_tp") * (cum_tp / (cum_tp + cum_fp))
+    return cum.groupBy(*by).agg(F.when(F.max("all_upto_tp") > 0, F.sum(term)).alias("pr_auc"))
 
 
 def _average_precision() -> Column:

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from builders import ts
 from cohortlens.functions import selection
-from cohortlens.functions.selection import keys_at_ranks, quantiles
-from cohortlens.operators import split
+from cohortlens.functions.selection import keys_at_ranks, quantiles, totals_up_to
+from cohortlens.operators import evaluate, split
 
 
 def _sorted_keys(rows):
@@ -97,3 +97,50 @@ def test_quantiles_as_numpy(spark, rows, prob, accuracy):
             assert got[c] is None
         else:
             assert got[c] == pytest.approx(float(np.quantile(values, prob)), rel=1e-12, abs=1e-300)
+
+
+def _totals(rows, grouped):
+    """(group, key, up to, all) told by sorting."""
+    out = set()
+    for g in {r[0] for r in rows} if grouped else {None}:
+        mine = sorted((r for r in rows if r[0] == g or not grouped), key=lambda r: (r[1] is not None, r[1] or 0.0))
+        run = 0
+        for r in mine:
+            run += r[2]
+            out.add((r[0], r[1], run, sum(x[2] for x in mine)))
+    return out
+
+
+@pytest.mark.parametrize("grouped", [False, True])
+def test_totals_up_to_as_sorting(spark, pivots, grouped):
+    rng = random.Random(4)
+    keys = [None, -1.5, 0.0, float("inf"), *[rng.gauss(0, 1) for _ in range(60)]]
+    groups = [1, 2, 3] if grouped else [1]
+    rows = [(g, k, rng.randrange(0, 5)) for g in groups for k in keys if rng.random() < 0.9] + [(9, 1e9, 3)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g int, k double, n long").repartition(5)
+    out = totals_up_to(df, F.col("k"), {"upto": "n"}, ["g"] if grouped else None)
+    assert out.columns == ["g", "k", "n", "upto", "all_upto"]
+    assert {(r.g, r.k, r.upto, r.all_upto) for r in out.collect()} == _totals(rows, grouped)
+    assert totals_up_to(df.limit(0), F.col("k"), {"upto": "n"}, ["g"] if grouped else None).collect() == []
+
+
+def test_building_an_evaluation_starts_no_job(spark):
+    scored = spark.range(50).select((F.col("id") % 2).alias("label"), (F.col("id") / 50).alias("prob"), (F.col("id") % 3).alias("g"))
+    spark.sparkContext.setJobGroup("evaluation", "built only")
+    try:
+        built = [evaluate.average_precision(scored), evaluate.roc_auc(scored), evaluate.pr_curve(scored), evaluate.roc_curve(scored),
+                 evaluate.calibration(scored), evaluate.average_precision_by(scored, ["g"]), evaluate.compute_metrics(scored, 0.5)]
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("evaluation")) == [] and len(built) == 7
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_average_precision_of_groups_is_that_of_each(spark, pivots):
+    rng = random.Random(12)
+    rows = [(g, int(rng.random() < 0.4), rng.choice([0.1, 0.5, rng.random()])) for g in range(4) for _ in range(60)] + [(7, 0, 0.3), (8, 1, 0.3)]
+    df = spark.createDataFrame(rows, "g int, label int, prob double")
+    got = {r.g: r.pr_auc for r in evaluate.average_precision_by(df, ["g"]).collect()}
+    assert got.keys() == {0, 1, 2, 3, 7, 8} and got[7] is None and got[8] == 1.0
+    for g in range(4):
+        assert got[g] == pytest.approx(evaluate.average_precision(df.where(F.col("g") == g)).first()[0], abs=1e-14)
