@@ -1,8 +1,8 @@
 """Explanations (XP1-XP7): coefficients, permutation importance, per-user contributions.
 
-Per-user contributions are ranked inside the user's own array of slots. Permutation importance shuffles a feature across the validation
-rows with a per-(feature, repeat) affine bijection of a hash-ordered row index, so a shuffle is
-an equi-join to the donor row - no sort of the exploded table, no collect.
+Per-user contributions are ranked inside the user's own array of slots. Permutation importance shuffles a
+feature across the validation rows with a per-(feature, repeat) affine bijection of a hash-ordered row index,
+so a shuffle is one equi-join to the donor row's part - no sort of the exploded table, no collect.
 """
 
 from __future__ import annotations
@@ -11,16 +11,17 @@ import math
 import random
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import config
-from cohortlens.functions.ordered import global_rank
 from cohortlens.functions.scalars import with_scalars
+from cohortlens.functions.selection import totals_up_to
 from cohortlens.models import tree_table
 from cohortlens.models.preprocess import PreprocessSpec, drop_slots
 from cohortlens.operators import evaluate
+from cohortlens.session import ensure_checkpoint_dir
 
 
 def _lr_stage(model: PipelineModel):
@@ -105,41 +106,37 @@ def _coprime_multiplier(rng: random.Random, n: int) -> int:
             return a
 
 
-def permutation_importance(model: PipelineModel, val: DataFrame, features: list[str], n_repeats: int = 10,
+def permutation_importance(model: PipelineModel, spec: PreprocessSpec, val: DataFrame, features: list[str], n_repeats: int = 10,
                            seed: int = config.RANDOM_SEED) -> DataFrame:
     """XP3: mean / population-std drop in average precision when one input feature is shuffled.
 
     Rows are indexed 0..n-1 in xxhash64(user_id, seed) order (exact distributed rank); the
     shuffle for (feature f, repeat r) sends row i the value of row (a_fr * i + b_fr) mod n with
     gcd(a_fr, n) = 1 - a bijection, so every value is used exactly once.
+
+    Rows are preprocessed once. What a feature gives to a row is the slots it fills, so only those travel
+    from the donor; of a linear model only their sum with the weights does, and the row itself is its label and
+    the rest of its margin.
     """
     label = config.TARGET_COLUMN
-    base = val.select("user_id", label, *features)
-    n = base.count()
-    ranked = global_rank(base, [F.xxhash64(F.col("user_id").cast("string"), F.lit(seed)).asc(), F.col("user_id").asc()],
-                         "_idx").withColumn("_idx", F.col("_idx") - 1)
+    ready = transformed(model, val.withColumn("label", F.col(label).cast("double")).withColumn("_w", F.lit(1.0)))
+    base = ready.select("user_id", F.col(label).alias("label"), vector_to_array("features").alias("_x"))
+    ensure_checkpoint_dir(val.sparkSession)
+    order = F.struct(F.xxhash64(F.col("user_id").cast("string"), F.lit(seed)), F.col("user_id"))
+    ranked = totals_up_to(base.withColumn("_one", F.lit(1).cast("long")), order, {"_idx": "_one"}).select(
+        (F.col("_idx") - 1).alias("_idx"), "label", "_x").checkpoint()  # read as askers, as donors and as they are
+    n = ranked.count()
     rng = random.Random(seed)
     plan = [(fi, r, _coprime_multiplier(rng, n), rng.randrange(0, max(n, 1)))
             for fi in range(len(features)) for r in range(n_repeats)]
     plan_arr = F.array(*[F.struct(F.lit(fi).alias("f"), F.lit(r).alias("r"), F.lit(a).cast("bigint").alias("a"),
                                   F.lit(b).cast("bigint").alias("b")) for fi, r, a, b in plan])
-    # what is shuffled for every (feature, repeat) is narrow: a row's index and the one donated value
-    asked = ranked.select("_idx", F.inline(plan_arr)).select(
-        "_idx", "f", "r", F.pmod(F.col("a") * F.col("_idx") + F.col("b"), F.lit(max(n, 1))).alias("_donor"))
-    given = ranked.select(F.col("_idx").alias("_donor"), F.inline(F.array(*[
-        F.struct(F.lit(i).alias("f"), F.col(c).cast("string").alias("_value")) for i, c in enumerate(features)])))
-    donated = asked.join(given, ["_donor", "f"]).select("_idx", "f", "r", "_value")
-    kinds = dict(base.dtypes)
-    cols = [F.when(F.col("f") == i, F.col("_value").cast(kinds[c])).otherwise(F.col(c)).alias(c) for i, c in enumerate(features)]
-    permuted = donated.join(ranked, "_idx").select("user_id", label, "f", "r", *cols)  # wide rows move once, not per repeat
-    scored = drop_slots(model.transform(permuted.withColumn("label", F.col(label).cast("double"))
-                                        .withColumn("_w", F.lit(1.0))))
-    scored = scored.select("f", "r", F.col(label).alias("label"), vector_to_array("probability")[1].alias("prob"))
-    ap = evaluate.average_precision_by(scored, ["f", "r"])
-    base_scored = drop_slots(model.transform(base.withColumn("label", F.col(label).cast("double")).withColumn("_w", F.lit(1.0))))
-    base_ap = evaluate.average_precision(base_scored.select(F.col(label).alias("label"),
-                                                            vector_to_array("probability")[1].alias("prob")))
-    drops = with_scalars(ap, base_ap.withColumnRenamed("pr_auc", "_base"))
+    spans = spec.slots_of()
+    donor = F.pmod(F.col("a") * F.col("_idx") + F.col("b"), F.lit(max(n, 1))).alias("_donor")
+    scored = (_scored_linear if hasattr(_lr_stage(model), "coefficients") else _scored_slots)(
+        model, ranked, plan_arr, donor, [spans[c] for c in features])
+    ap = evaluate.average_precision_by(scored[1], ["f", "r"])
+    drops = with_scalars(ap, evaluate.average_precision(scored[0]).withColumnRenamed("pr_auc", "_base"))
     name_arr = F.array(*[F.lit(c) for c in features])
     out = drops.groupBy("f").agg(F.avg(F.col("_base") - F.col("pr_auc")).alias("importance_mean"),
                                  F.stddev_pop(F.col("_base") - F.col("pr_auc")).alias("importance_std"))
@@ -147,6 +144,38 @@ def permutation_importance(model: PipelineModel, val: DataFrame, features: list[
                       "importance_std").orderBy(F.desc("importance_mean"), "feature")
 
 
+def _scored_linear(model, ranked, plan, donor, spans):
+    """The rows' own scores and those of every (f, r), from margins: what the donor's feature adds replaces what
+    the row's own does. To twelve places, so that rows that are equal stay so however they are added up."""
+    weights = [float(c) for c in _lr_stage(model).coefficients.toArray()]
+    adds = [sum((F.get("_x", at) * F.lit(weights[at]) for at in range(first, first + size)), F.lit(0.0)) for first, size in spans]
+    margin = F.aggregate(F.zip_with("_x", F.array(*[F.lit(w) for w in weights]), lambda v, w: v * w), F.lit(float(_lr_stage(model).intercept)), lambda s, v: s + v)
+    narrow = ranked.select("_idx", "label", margin.alias("_m"), F.array(*adds).alias("_adds"))
+    asked = narrow.select("_idx", "label", "_m", "_adds", F.inline(plan)).select(
+        "f", "r", "label", (F.col("_m") - F.get("_adds", F.col("f"))).alias("_rest"), donor)
+    given = narrow.select(F.col("_idx").alias("_donor"), F.posexplode("_adds").alias("f", "_add"))
+    probability = F.round(1 / (1 + F.exp(-F.col("_margin"))), 12).alias("prob")
+    permuted = asked.join(given, ["_donor", "f"]).select("f", "r", "label", (F.col("_rest") + F.col("_add")).alias("_margin"))
+    return narrow.select("label", F.col("_m").alias("_margin")).select("label", probability), permuted.select("f", "r", "label", probability)
+
+
+def _scored_slots(model, ranked, plan, donor, spans):
+    """The same for any classifier over the slots: the donor's part replaces the row's own, then the row is scored."""
+    classifier = _lr_stage(model)
+    parts = [F.slice("_x", first + 1, size) for first, size in spans]
+    asked = ranked.select("_idx", "label", "_x", F.inline(plan)).select("f", "r", "label", "_x", donor)
+    given = ranked.select(F.col("_idx").alias("_donor"), F.posexplode(F.array(*parts)).alias("f", "_part"))
+    first = F.get(F.array(*[F.lit(at) for at, _ in spans]), F.col("f"))
+    size = F.size("_part")
+    mixed = F.concat(F.slice("_x", F.lit(1), first), F.col("_part"), F.slice("_x", first + size + 1, F.size("_x")))
+
+    def scored(rows, *keys):
+        return classifier.transform(rows).select(*keys, "label", vector_to_array("probability")[1].alias("prob"))
+
+    permuted = asked.join(given, ["_donor", "f"]).select("f", "r", "label", array_to_vector(mixed).alias("features"))
+    return scored(ranked.select("label", array_to_vector("_x").alias("features"))), scored(permuted, "f", "r")
+
+
 def global_explanation(model: PipelineModel, spec: PreprocessSpec, importance: DataFrame, top_n: int = 15) -> DataFrame:
     """XP6: top LR coefficients (none for trees) and top permutation importances, long form."""
     perm = importance.limit(top_n).select(F.lit("permutation_importance").alias("kind"), "feature",

@@ -48,6 +48,14 @@ class PreprocessSpec:
                 names.append(f"cat__{c}_{INFREQUENT}")
         return names + [f"num__{c}" for c in self.numeric]
 
+    def slots_of(self) -> dict[str, tuple[int, int]]:
+        """Each column's first slot and how many it fills."""
+        out, at = {}, 0
+        for c in self.categorical:
+            n = len(self.categories[c]) + self.has_null.get(c, False) + self.has_infrequent[c]
+            out[c], at = (at, n), at + n
+        return out | {c: (at + i, 1) for i, c in enumerate(self.numeric)}
+
     def slot_columns(self) -> list[str]:
         return [f"_s{i}" for i in range(len(self.feature_names()))]
 

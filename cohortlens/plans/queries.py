@@ -521,7 +521,7 @@ def q_lr_coefficients(spark, t, data, result):
 @_ml_query("permutation_importance")
 def q_permutation_importance(spark, t, data, result):
     """XP3: permutation importance of the 37 input features on the validation split (10 repeats)."""
-    return XP.permutation_importance(result.model, data.val, result.inputs, n_repeats=10)
+    return XP.permutation_importance(result.model, result.spec, data.val, result.inputs, n_repeats=10)
 
 
 @_ml_query("user_explanations")
@@ -545,7 +545,7 @@ def q_tree_model(spark, t, data, result):
 @_ml_query("global_explanation")
 def q_global_explanation(spark, t, data, result):
     """XP6: top-15 coefficients and top-15 permutation importances of the selected model."""
-    imp = XP.permutation_importance(result.model, data.val, result.inputs, n_repeats=10)
+    imp = XP.permutation_importance(result.model, result.spec, data.val, result.inputs, n_repeats=10)
     return XP.global_explanation(result.model, result.spec, imp)
 
 

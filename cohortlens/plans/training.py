@@ -173,7 +173,7 @@ def write_report_set(result: T.TrainingResult, t: LifecycleTables, data: Trainin
     importances, user explanations (all test users), a user report and next-best-action examples."""
     spark = t.spark
     scored = test_scores(result, data, list(subgroup.DEFAULT_GROUPS))
-    importance = XP.permutation_importance(result.model, data.val, result.inputs)
+    importance = XP.permutation_importance(result.model, result.spec, data.val, result.inputs)
     meta = [(result.winner, result.threshold, config.RANDOM_SEED, len(result.inputs), ",".join(result.inputs))]
     small = {
         "metrics": model_selection_report(result, spark),

@@ -100,7 +100,7 @@ def test_linear_explanations(planted):
 def test_permutation_importance_shapes(planted):
     spec = fit_spec(planted, CATS, NUMS)
     model = ML.fit(ML.build_logistic_regression(planted, spec), planted)
-    imp = XP.permutation_importance(model, planted, CATS + NUMS, n_repeats=3).collect()
+    imp = XP.permutation_importance(model, spec, planted, CATS + NUMS, n_repeats=3).collect()
     assert sorted(r.feature for r in imp) == sorted(CATS + NUMS)
     assert imp[0].feature == "num_sessions"  # the planted driver matters most
     assert all(r.importance_std >= 0 for r in imp)
