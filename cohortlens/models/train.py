@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens import config
@@ -29,6 +29,17 @@ def feature_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in config.ID_COLUMNS and c != config.TARGET_COLUMN]
 
 
+ROWS_A_TASK = 200_000  # rows of slots that one task of an iteration reads at most, where the cores are too few
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions as the cluster has cores, or more where a partition would get over
+    ``ROWS_A_TASK`` rows; never in more than it has. An iterative fit runs one task a partition and a level or
+    step, so a shuffle's many small partitions cost more than the rows in them."""
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_A_TASK))
+    return df.coalesce(parts)
+
+
 def _labelled(df: DataFrame) -> DataFrame:
     return df.withColumn("label", F.col(config.TARGET_COLUMN).cast("double"))
 
@@ -66,20 +77,41 @@ def stopping_round(losses: list[float], patience: int, tolerance: float = 1e-7)
     return None
 
 
+def next_rounds(rounds: int, most: int) -> int:
+    """How many rounds to fit after a fit without a stop. Every fit begins anew, so all fits together have at
+    most a third more rounds than ``most`` and those of the first."""
+    return 4 * rounds if 16 * rounds <= most else most
+
+
+def first_trees(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The ensemble of the first rounds of a fit: what a fit of so many rounds gives, as nothing in a fit is
+    drawn by chance."""
+    fitted = model._java_obj
+    jvm = SparkSession.getActiveSession()._jvm
+    gateway = SparkSession.getActiveSession().sparkContext._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(jvm.double, rounds)
+    for i, (tree, weight) in enumerate(zip(fitted.trees()[:rounds], fitted.treeWeights()[:rounds])):
+        trees[i], weights[i] = tree, weight
+    cut = GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(fitted.uid(), trees, weights))
+    return model._copyValues(cut, {cut.getParam("maxIter"): rounds})
+
+
 def fit_gradient_boosting(train: DataFrame, spec: PreprocessSpec | None = None, seed: int = config.RANDOM_SEED, max_iter: int = 500,
                           validation_fraction: float = 0.1, patience: int = 10, first_rounds: int = 24) -> PipelineModel:
     """ML5: boosted trees with early stopping on a deterministic ~10% hash holdout of users.
 
     A fit of some rounds gives the holdout's loss after each; while ``patience`` rounds without progress
-    are not among them, twice as many are fitted, up to ``max_iter``. The ensemble that is kept ends at the
-    best round before the stop. Without a holdout (few users) all ``max_iter`` rounds stay.
+    are not among them, four times as many are fitted, but all ``max_iter`` where those are not many more. The
+    ensemble that is kept ends at the best round before the stop and is cut out of that fit. Without a holdout
+    (few users) all ``max_iter`` rounds stay.
     """
     spec = spec or fit_spec(train, scale=False)
     pre = build_preprocessor(spec).fit(train)
     ensure_checkpoint_dir(train.sparkSession)
     buckets = int(round(1.0 / validation_fraction))
     held_out = F.pmod(F.xxhash64(F.col("user_id").cast("string"), F.lit(seed)), F.lit(buckets)) == 0
-    ready = drop_slots(pre.transform(_labelled(train))).select("features", "label", held_out.alias("held_out")).checkpoint()  # read by every round
+    ready = drop_slots(pre.transform(_labelled(packed(train)))).select("features", "label", held_out.alias("held_out")).checkpoint()  # read by every round
     fitting, holdout = ready.where("NOT held_out"), ready.where("held_out")
 
     def boosted(rounds: int) -> GBTClassificationModel:
@@ -93,17 +125,17 @@ def fit_gradient_boosting(train: DataFrame, spec: PreprocessSpec | None = None,
             stop = stopping_round(losses, patience)
             if stop is not None or rounds >= max_iter:
                 break
-            rounds = min(2 * rounds, max_iter)
+            rounds = next_rounds(rounds, max_iter)
             model = boosted(rounds)
         kept = losses[:stop]
         best = kept.index(min(kept)) + 1
         if best < rounds:
-            model = boosted(best)  # the same trees: nothing in a fit is drawn by chance
+            model = first_trees(model, best)
     return PipelineModel([*pre.stages, model])
 
 
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    return pipeline.fit(_labelled(train))
+    return pipeline.fit(_labelled(packed(train)))
 
 
 def score(model: PipelineModel, df: DataFrame, keep: list[str] | None = None) -> DataFrame:

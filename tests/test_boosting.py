@@ -84,3 +84,39 @@ def test_limit_and_no_holdout(users):
     few = users.where(F.pmod(F.xxhash64(F.col("user_id"), F.lit(config.RANDOM_SEED)), F.lit(10)) != 0)
     _, model = _fit(few, "planted", max_iter=2)
     assert model.stages[-1].getNumTrees == 2
+
+
+def test_fits_are_few_and_the_best_is_cut_out(users, monkeypatch):
+    """The kept ensemble comes out of a fit that was there already: the same trees, no fit of its own."""
+    fits, fit = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, df: fits.append(self.getMaxIter()) or fit(self, df))
+    train, model = _fit(users, "planted", max_iter=64, patience=4, first_rounds=4)
+    last = model.stages[-1]
+    assert last.getNumTrees < fits[-1] and fits == [4, 16, 64][:len(fits)]
+    monkeypatch.undo()
+    ready = model.stages[1].transform(model.stages[0].transform(train)).withColumn("label", F.col(config.TARGET_COLUMN).cast("double"))
+    held = F.pmod(F.xxhash64(F.col("user_id"), F.lit(config.RANDOM_SEED)), F.lit(10)) == 0
+    plain = GBTClassifier(maxIter=last.getNumTrees, stepSize=0.1, maxDepth=5, seed=config.RANDOM_SEED).fit(ready.where(~held).select("features", "label"))
+    assert last.toDebugString.split("\n", 1)[1] == plain.toDebugString.split("\n", 1)[1] and last.treeWeights == plain.treeWeights
+
+
+def test_rounds_of_all_fits():
+    for first in (1, 4, 24, 31, 100):
+        rounds = [first]
+        while rounds[-1] < 500:
+            rounds.append(T.next_rounds(rounds[-1], 500))
+        assert rounds[-1] == 500 and sum(rounds) <= 500 * 4 / 3 + first
+
+
+def test_iterative_fits_read_few_partitions(users, monkeypatch):
+    cores = users.sparkSession.sparkContext.defaultParallelism
+    many = users.repartition(10 * cores)
+    assert T.packed(many).rdd.getNumPartitions() == cores and T.packed(many).count() == users.count()
+    assert T.packed(users.coalesce(1).checkpoint()).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(T, "ROWS_A_TASK", 50)
+    assert T.packed(many).rdd.getNumPartitions() == max(cores, 14)
+    seen, fit = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    monkeypatch.setattr(T, "ROWS_A_TASK", 1000)
+    _fit(many, "planted", max_iter=2)
+    assert seen == [cores]
