@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from cohortlens.functions.scalars import with_scalars
 
 PIVOTS = 1024
 BEFORE_ALL = -(1 << 62)  # the second of a null instant
+BEFORE_COUNTS = -(1 << 63)  # no count is below the smallest long
 DAY = 86_400
 
 
@@ -73,7 +75,8 @@ def totals_up_to(df: DataFrame, key: Column, sums: dict[str, str], by: list[str]
     whose totals are counted; only the rows of one part are ordered together. The three readings of ``df`` ask
     for the same columns, so that Spark computes an aggregated ``df`` once and reuses its exchange."""
     by = list(by or [])
-    rows = df.withColumn("_k", key)
+    # a null group is left out by the joins below; said here, all readings of ``df`` are the same plan
+    rows = reduce(lambda d, c: d.where(F.col(c).isNotNull()), by, df).withColumn("_k", key)
     chance = F.xxhash64("_k")
     totals = [F.sum(c).alias(f"_t_{k}") for k, c in sums.items()]
     drawn = rows.groupBy(*by, F.pmod(chance, F.lit(PIVOTS)).alias("_draw")).agg(F.min_by("_k", chance).alias("_p"), *totals)
@@ -84,6 +87,8 @@ def totals_up_to(df: DataFrame, key: Column, sums: dict[str, str], by: list[str]
     else:
         rows = with_scalars(rows, groups)
     whole = [f"all_{k}" for k in sums]
+    for c in whole if by else []:  # true of every row; without it the reading for the offsets, which needs no whole total, were another plan
+        rows = rows.where(F.col(c).isNull() | (F.col(c) >= F.lit(BEFORE_COUNTS)))
     parted = rows.select(*df.columns, "_k", *whole, _below(F.col("_pivots"), F.col("_k")).alias("_part"))
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a part
     parts = parted.groupBy(*by, "_part").agg(*totals)

@@ -2,7 +2,8 @@
 
 Per-user contributions are ranked inside the user's own array of slots. Permutation importance shuffles a
 feature across the validation rows with a per-(feature, repeat) affine bijection of a hash-ordered row index,
-so a shuffle is one equi-join to the donor row's part - no sort of the exploded table, no collect.
+so a shuffle is one equi-join of narrow rows: the donors' parts travel, whole rows are not repeated for it - no
+sort of the exploded table, no collect.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ from cohortlens.operators import evaluate
 from cohortlens.session import ensure_checkpoint_dir
 
 
+ROWS_A_TASK = 1_000_000  # shuffled rows that one task makes
+
+
 def _lr_stage(model: PipelineModel):
     return model.stages[-1]
 
@@ -106,6 +110,11 @@ def _coprime_multiplier(rng: random.Random, n: int) -> int:
             return a
 
 
+def _inverse(a: int, n: int) -> int:
+    """The multiplier that undoes ``a`` modulo n."""
+    return pow(a, -1, n) if n > 1 else 0
+
+
 def permutation_importance(model: PipelineModel, spec: PreprocessSpec, val: DataFrame, features: list[str], n_repeats: int = 10,
                            seed: int = config.RANDOM_SEED) -> DataFrame:
     """XP3: mean / population-std drop in average precision when one input feature is shuffled.
@@ -130,11 +139,14 @@ def permutation_importance(model: PipelineModel, spec: PreprocessSpec, val: Data
     plan = [(fi, r, _coprime_multiplier(rng, n), rng.randrange(0, max(n, 1)))
             for fi in range(len(features)) for r in range(n_repeats)]
     plan_arr = F.array(*[F.struct(F.lit(fi).alias("f"), F.lit(r).alias("r"), F.lit(a).cast("bigint").alias("a"),
-                                  F.lit(b).cast("bigint").alias("b")) for fi, r, a, b in plan])
+                                  F.lit(b).cast("bigint").alias("b"), F.lit(_inverse(a, n)).cast("bigint").alias("back")) for fi, r, a, b in plan])
     spans = spec.slots_of()
     donor = F.pmod(F.col("a") * F.col("_idx") + F.col("b"), F.lit(max(n, 1))).alias("_donor")
-    scored = (_scored_linear if hasattr(_lr_stage(model), "coefficients") else _scored_slots)(
-        model, ranked, plan_arr, donor, [spans[c] for c in features])
+    asker = F.pmod(F.col("back") * (F.col("_idx") - F.col("b")), F.lit(max(n, 1))).alias("_asker")  # whose donor a row is
+    linear = hasattr(_lr_stage(model), "coefficients")
+    # a task makes as many rows as its own times the plan's: spread by what is made, not by what is read
+    spread = ranked.repartition(max(val.sparkSession.sparkContext.defaultParallelism, -(-n * len(plan) // ROWS_A_TASK)))
+    scored = (_scored_linear if linear else _scored_slots)(model, ranked, spread, plan_arr, donor if linear else asker, [spans[c] for c in features])
     ap = evaluate.average_precision_by(scored[1], ["f", "r"])
     drops = with_scalars(ap, evaluate.average_precision(scored[0]).withColumnRenamed("pr_auc", "_base"))
     name_arr = F.array(*[F.lit(c) for c in features])
@@ -144,27 +156,28 @@ def permutation_importance(model: PipelineModel, spec: PreprocessSpec, val: Data
                       "importance_std").orderBy(F.desc("importance_mean"), "feature")
 
 
-def _scored_linear(model, ranked, plan, donor, spans):
+def _scored_linear(model, ranked, spread, plan, donor, spans):
     """The rows' own scores and those of every (f, r), from margins: what the donor's feature adds replaces what
     the row's own does. To twelve places, so that rows that are equal stay so however they are added up."""
     weights = [float(c) for c in _lr_stage(model).coefficients.toArray()]
     adds = [sum((F.get("_x", at) * F.lit(weights[at]) for at in range(first, first + size)), F.lit(0.0)) for first, size in spans]
     margin = F.aggregate(F.zip_with("_x", F.array(*[F.lit(w) for w in weights]), lambda v, w: v * w), F.lit(float(_lr_stage(model).intercept)), lambda s, v: s + v)
-    narrow = ranked.select("_idx", "label", margin.alias("_m"), F.array(*adds).alias("_adds"))
-    asked = narrow.select("_idx", "label", "_m", "_adds", F.inline(plan)).select(
+    narrow, wide = (rows.select("_idx", "label", margin.alias("_m"), F.array(*adds).alias("_adds")) for rows in (ranked, spread))
+    asked = wide.select("_idx", "label", "_m", "_adds", F.inline(plan)).select(
         "f", "r", "label", (F.col("_m") - F.get("_adds", F.col("f"))).alias("_rest"), donor)
     given = narrow.select(F.col("_idx").alias("_donor"), F.posexplode("_adds").alias("f", "_add"))
     probability = F.round(1 / (1 + F.exp(-F.col("_margin"))), 12).alias("prob")
-    permuted = asked.join(given, ["_donor", "f"]).select("f", "r", "label", (F.col("_rest") + F.col("_add")).alias("_margin"))
+    # the rows of both sides are made here, so their size is not what the plan estimates: never a broadcast
+    permuted = asked.join(given.hint("shuffle_hash"), ["_donor", "f"]).select("f", "r", "label", (F.col("_rest") + F.col("_add")).alias("_margin"))
     return narrow.select("label", F.col("_m").alias("_margin")).select("label", probability), permuted.select("f", "r", "label", probability)
 
 
-def _scored_slots(model, ranked, plan, donor, spans):
-    """The same for any classifier over the slots: the donor's part replaces the row's own, then the row is scored."""
+def _scored_slots(model, ranked, spread, plan, asker, spans):
+    """The same for any classifier over the slots: the donor's part replaces the row's own, then the row is scored.
+    Each part is sent to the row that asks for it, so that a row's slots move once and not for every (f, r)."""
     classifier = _lr_stage(model)
     parts = [F.slice("_x", first + 1, size) for first, size in spans]
-    asked = ranked.select("_idx", "label", "_x", F.inline(plan)).select("f", "r", "label", "_x", donor)
-    given = ranked.select(F.col("_idx").alias("_donor"), F.posexplode(F.array(*parts)).alias("f", "_part"))
+    sent = spread.select("_idx", F.array(*parts).alias("_parts"), F.inline(plan)).select("f", "r", F.get("_parts", F.col("f")).alias("_part"), asker)
     first = F.get(F.array(*[F.lit(at) for at, _ in spans]), F.col("f"))
     size = F.size("_part")
     mixed = F.concat(F.slice("_x", F.lit(1), first), F.col("_part"), F.slice("_x", first + size + 1, F.size("_x")))
@@ -172,7 +185,8 @@ def _scored_slots(model, ranked, plan, donor, spans):
     def scored(rows, *keys):
         return classifier.transform(rows).select(*keys, "label", vector_to_array("probability")[1].alias("prob"))
 
-    permuted = asked.join(given, ["_donor", "f"]).select("f", "r", "label", array_to_vector(mixed).alias("features"))
+    asking = ranked.select(F.col("_idx").alias("_asker"), "label", "_x")
+    permuted = sent.join(asking.hint("shuffle_hash"), "_asker").select("f", "r", "label", array_to_vector(mixed).alias("features"))
     return scored(ranked.select("label", array_to_vector("_x").alias("features"))), scored(permuted, "f", "r")
 
 

@@ -106,6 +106,45 @@ def test_permutation_importance_shapes(planted):
     assert all(r.importance_std >= 0 for r in imp)
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 400])
+def test_permutation_by_parts_sent_to_their_askers(spark, planted, n):
+    """Boosted model: every row gets its donor's part, as told by shuffling the input column row by row."""
+    spec = fit_spec(planted, CATS, NUMS, scale=False)
+    model = ML.fit_gradient_boosting(planted, spec, max_iter=3)
+    val = planted.orderBy("user_id").limit(n)
+    got = XP.permutation_importance(model, spec, val, CATS + NUMS, n_repeats=2)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=shuffle_hash" in plan
+    got = {r.feature: (r.importance_mean, r.importance_std) for r in got.collect()}
+    order = F.struct(F.xxhash64("user_id", F.lit(config.RANDOM_SEED)), F.col("user_id"))
+    rows = [r.asDict() for r in val.orderBy(order).collect()]
+    rng = random.Random(config.RANDOM_SEED)
+
+    def precision(table):
+        scored = ML.score(model, spark.createDataFrame(table, planted.schema), ["is_churned"]).collect()
+        total, area = sum(r.is_churned for r in scored), 0.0
+        if not total:
+            return None
+        for p in sorted({r.prob for r in scored}):
+            above = [r.is_churned for r in scored if r.prob >= p]
+            area += sum(r.is_churned for r in scored if r.prob == p) / total * (sum(above) / len(above))
+        return area
+
+    base = precision([tuple(r.values()) for r in rows])
+    for f in CATS + NUMS:
+        drops = []
+        for _ in range(2):
+            a, b = XP._coprime_multiplier(rng, n), rng.randrange(0, n)
+            assert a * XP._inverse(a, n) % n == 1 % n
+            drops.append([tuple({**r, f: rows[(a * i + b) % n][f]}.values()) for i, r in enumerate(rows)])
+        found = [precision(d) for d in drops]
+        if base is None:
+            assert got[f] == (None, None)
+        else:
+            assert got[f][0] == pytest.approx(float(np.mean([base - p for p in found])), abs=1e-9)
+            assert got[f][1] == pytest.approx(float(np.std([base - p for p in found])), abs=1e-9)
+
+
 def test_adapter_against_the_raw_log(spark):
     """Users, first actions and labels at sf0.01 against statements on the raw log."""
     import duckdb

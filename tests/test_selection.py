@@ -144,3 +144,13 @@ def test_average_precision_of_groups_is_that_of_each(spark, pivots):
     assert got.keys() == {0, 1, 2, 3, 7, 8} and got[7] is None and got[8] == 1.0
     for g in range(4):
         assert got[g] == pytest.approx(evaluate.average_precision(df.where(F.col("g") == g)).first()[0], abs=1e-14)
+
+
+def test_grouped_totals_read_an_aggregate_once(spark):
+    """All readings of the aggregated rows are one exchange, so that what lies below (a scoring) runs once."""
+    rows = spark.range(400).select(F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("g"), (F.pmod(F.xxhash64("id"), F.lit(50)) / 50).alias("k"))
+    grouped = rows.groupBy("g", "k").agg(F.count(F.lit(1)).alias("n"))
+    out = totals_up_to(grouped, F.col("k"), {"upto": "n"}, ["g"])
+    assert {r.g for r in out.collect()} == {1, 2, 3, 4}  # no null group
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Range (0, 400") == 1 and "ReusedExchange" in plan
