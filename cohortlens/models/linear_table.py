@@ -10,35 +10,66 @@ normal equations from sums that are added up where the rows lie.
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens import config
 from cohortlens.models.preprocess import INFREQUENT, PreprocessSpec, drop_slots
+from cohortlens.session import ensure_checkpoint_dir
 
 LEVEL, OTHER, NUMBER, CONSTANT = "level", "other level", "number", "constant"
 SCHEMA = "slot int, feature string, kind string, column string, level string, fill double, mean double, scale double, weight double"
 
 
-def refined(model: PipelineModel, train: DataFrame, most: int = 5, tolerance: float = 1e-12) -> tuple[list[float], float]:
-    """The weights and the constant of a fitted logistic regression at the optimum of its objective
-    (summed weighted losses + half the squared weights), by reweighted least squares from the fitted
-    ones. Stops when no weight changes by more than the tolerance, or after ``most`` steps."""
-    fitted = model.stages[-1]
-    weights, constant = [float(w) for w in fitted.coefficients], float(fitted.intercept)
-    rows = drop_slots(model.transform(train.withColumn("label", F.col(config.TARGET_COLUMN).cast("double"))))
-    rows = rows.select("label", "features", F.col("_w").cast("double").alias("_c"))
+def weighted_rows(pre: PipelineModel, train: DataFrame) -> DataFrame:
+    """(label, features, _c): the labelled rows as the linear model reads them, with their weights of class,
+    written once as every step reads them."""
+    rows = drop_slots(pre.transform(train.withColumn("label", F.col(config.TARGET_COLUMN).cast("double"))))
+    ensure_checkpoint_dir(train.sparkSession)
+    return rows.select("label", "features", F.col("_w").cast("double").alias("_c")).checkpoint()
+
+
+def with_weights(like, weights: list[float], constant: float) -> LogisticRegressionModel:
+    """The model of ``like`` (a logistic regression or a model of one) with weights that are known already."""
+    spark = SparkSession.getActiveSession()
+    values = spark.sparkContext._gateway.new_array(spark._jvm.double, len(weights))
+    for i, w in enumerate(weights):
+        values[i] = float(w)
+    ml = spark._jvm.org.apache.spark.ml
+    return like._copyValues(LogisticRegressionModel(ml.classification.LogisticRegressionModel(like.uid, ml.linalg.DenseVector(values), float(constant))))
+
+
+@dataclass
+class Reweighted:
+    weights: list[float]
+    constant: float
+    converged: bool
+
+
+def reweighted(like, rows: DataFrame, weights: list[float], constant: float, most: int, tolerance: float) -> Reweighted:
+    """From the given weights of ``like`` on, steps of reweighted least squares over :func:`weighted_rows` until no weight
+    changes by more than the tolerance, or ``most`` steps. Not converged either where a step has to leave out a
+    row that is wrong by a whole class (its variance is zero in doubles)."""
+    complete = True
     for _ in range(most):
-        x = vector_to_array("features")
-        terms = F.zip_with(x, F.array(*[F.lit(w) for w in weights]), lambda a, b: a * b)
-        margin = F.aggregate(terms, F.lit(constant), lambda total, term: total + term)
-        at = rows.withColumn("_m", margin).withColumn("_p", 1 / (1 + F.exp(-F.col("_m")))).withColumn("_v", F.col("_p") * (1 - F.col("_p")))
-        work = at.select("features", (F.col("_m") + (F.col("label") - F.col("_p")) / F.col("_v")).alias("response"), (F.col("_c") * F.col("_v")).alias("mass")).where("mass > 0")
-        sums = work.agg(F.sum("mass").alias("n"), F.sum(F.col("mass") * F.col("response")).alias("s"), F.sum(F.col("mass") * F.col("response") ** 2).alias("q")).first()
-        if not sums["n"]:
+        scorer = with_weights(like, weights, constant).setProbabilityCol("").setPredictionCol("")
+        margin = vector_to_array(like.getRawPredictionCol())[1]
+        at = scorer.transform(rows).withColumn("_m", margin).withColumn("_p", 1 / (1 + F.exp(-F.col("_m")))).withColumn("_v", F.col("_p") * (1 - F.col("_p")))
+        mass = F.col("_c") * F.col("_v")
+        held = at.select("features", F.when(mass > 0, F.col("_m") + (F.col("label") - F.col("_p")) / F.col("_v")).alias("response"), mass.alias("mass"),
+                         ((F.col("_c") > 0) & ~(mass > 0) & (F.col("label") != F.col("_p"))).alias("_lost"))
+        work = held.where("mass > 0").select("features", "response", "mass")
+        used = F.when(F.col("mass") > 0, F.col("mass"))
+        sums = held.agg(F.sum(used).alias("n"), F.sum(used * F.col("response")).alias("s"), F.sum(used * F.col("response") ** 2).alias("q"), F.count_if("_lost").alias("lost")).first()
+        complete = not sums["lost"]
+        if not sums["n"] or not all(math.isfinite(sums[c]) for c in "nsq"):
             break
         spread = max(sums["q"] / sums["n"] - (sums["s"] / sums["n"]) ** 2, 0.0) ** 0.5
         # Spark divides the penalty by the total mass and by the spread of the response
@@ -47,8 +78,18 @@ def refined(model: PipelineModel, train: DataFrame, most: int = 5, tolerance: fl
         change = max([abs(a - b) for a, b in zip(weights, step.coefficients)] + [abs(constant - step.intercept)])
         weights, constant = [float(w) for w in step.coefficients], float(step.intercept)
         if change <= tolerance:
-            break
-    return weights, constant
+            return Reweighted(weights, constant, complete)
+    return Reweighted(weights, constant, False)
+
+
+def refined(model: PipelineModel, train: DataFrame, most: int = 5, tolerance: float = 1e-12) -> tuple[list[float], float]:
+    """The weights and the constant of a fitted logistic regression at the optimum of its objective
+    (summed weighted losses + half the squared weights), by reweighted least squares from the fitted
+    ones. Stops when no weight changes by more than the tolerance, or after ``most`` steps."""
+    fitted = model.stages[-1]
+    rows = weighted_rows(PipelineModel(model.stages[:-1]), train)
+    found = reweighted(fitted, rows, [float(w) for w in fitted.coefficients], float(fitted.intercept), most, tolerance)
+    return found.weights, found.constant
 
 
 def model_table(spark, spec: PreprocessSpec, weights: list[float], constant: float) -> DataFrame:

@@ -1,7 +1,7 @@
 """Churn model training, scoring, persistence and selection (ML4-ML8, IO6).
 
 Both candidates are Spark ML pipelines (preprocessing + classifier); fitting runs distributed
-(one job per optimiser iteration / boosting round); every metric is a DataFrame computation
+(a few jobs per step / boosting round); every metric is a DataFrame computation
 from :mod:`cohortlens.operators.evaluate`. Only small scalars (counts, metric values, the chosen
 threshold) reach the driver, to drive model selection.
 """
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens import config
+from cohortlens.models import linear_table
 from cohortlens.models.preprocess import PreprocessSpec, build_preprocessor, drop_slots, fit_spec, unscaled
 from cohortlens.operators import evaluate
 from cohortlens.session import ensure_checkpoint_dir
@@ -30,14 +31,20 @@ def feature_columns(df: DataFrame) -> list[str]:
 
 
 ROWS_A_TASK = 200_000  # rows of slots that one task of an iteration reads at most, where the cores are too few
+ROWS_WORTH_A_TASK = 25_000  # fewer rows are not spread further
 
 
 def packed(df: DataFrame) -> DataFrame:
     """``df`` in as many partitions as the cluster has cores, or more where a partition would get over
-    ``ROWS_A_TASK`` rows; never in more than it has. An iterative fit runs one task a partition and a level or
-    step, so a shuffle's many small partitions cost more than the rows in them."""
-    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_A_TASK))
-    return df.coalesce(parts)
+    ``ROWS_A_TASK`` rows. An iterative fit runs one task a partition and a level or step, so a shuffle's many
+    small partitions cost more than the rows in them, and fewer partitions than cores leave cores idle in every
+    round: these are spread, unless they hold few rows."""
+    rows, cores, has = df.count(), df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    parts = max(cores, -(-rows // ROWS_A_TASK))
+    if has >= parts:
+        return df.coalesce(parts)
+    worth = min(parts, rows // ROWS_WORTH_A_TASK)
+    return df.repartition(worth) if worth > has else df
 
 
 def _labelled(df: DataFrame) -> DataFrame:
@@ -77,10 +84,16 @@ def stopping_round(losses: list[float], patience: int, tolerance: float = 1e-7)
     return None
 
 
-def next_rounds(rounds: int, most: int) -> int:
-    """How many rounds to fit after a fit without a stop. Every fit begins anew, so all fits together have at
-    most a third more rounds than ``most`` and those of the first."""
-    return 4 * rounds if 16 * rounds <= most else most
+def steady(losses: list[float], patience: int, tolerance: float = 1e-7) -> bool:
+    """Whether every one of more than twice ``patience`` rounds was better than the one before it, by more than the
+    tolerance: no sign of a stop yet."""
+    return len(losses) > 2 * patience and all(b < a - tolerance for a, b in zip(losses, losses[1:]))
+
+
+def next_rounds(rounds: int, most: int, no_sign: bool = False) -> int:
+    """How many rounds to fit after a fit without a stop: all of them where there was ``no_sign`` of one. Every fit
+    begins anew, so all fits together have at most a third more rounds than ``most`` and those of the first."""
+    return 4 * rounds if 16 * rounds <= most and not no_sign else most
 
 
 def first_trees(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
@@ -102,7 +115,8 @@ def fit_gradient_boosting(train: DataFrame, spec: PreprocessSpec | None = None,
     """ML5: boosted trees with early stopping on a deterministic ~10% hash holdout of users.
 
     A fit of some rounds gives the holdout's loss after each; while ``patience`` rounds without progress
-    are not among them, four times as many are fitted, but all ``max_iter`` where those are not many more. The
+    are not among them, four times as many are fitted, but all ``max_iter`` where those are not many more or
+    where every round so far made progress. The
     ensemble that is kept ends at the best round before the stop and is cut out of that fit. Without a holdout
     (few users) all ``max_iter`` rounds stay.
     """
@@ -125,7 +139,7 @@ def fit_gradient_boosting(train: DataFrame, spec: PreprocessSpec | None = None,
             stop = stopping_round(losses, patience)
             if stop is not None or rounds >= max_iter:
                 break
-            rounds = next_rounds(rounds, max_iter)
+            rounds = next_rounds(rounds, max_iter, steady(losses, patience))
             model = boosted(rounds)
         kept = losses[:stop]
         best = kept.index(min(kept)) + 1
@@ -138,6 +152,26 @@ def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     return pipeline.fit(_labelled(packed(train)))
 
 
+def fit_logistic_regression(train: DataFrame, spec: PreprocessSpec | None = None, most: int = 30, tolerance: float = 1e-7) -> PipelineModel:
+    """ML4 at the optimum of its objective, by reweighted least squares from weights of zero: some ten steps that each add
+    up one matrix of slots by slots, where the optimiser of :func:`build_logistic_regression` runs a job for each
+    of many hundred steps (a slot for every level and a constant: badly conditioned). The step within the tolerance is
+    the last; what it leaves is of the tolerance's square. That optimiser is left the tables
+    of one class and those where the steps do not converge."""
+    spec = spec or fit_spec(train, scale=True)
+    pipeline = build_logistic_regression(train, spec)
+    *stages, lr = pipeline.getStages()
+    label = F.col(config.TARGET_COLUMN)
+    classes = train.agg(F.count_if(label == 1).alias("pos"), F.count_if(label == 0).alias("neg"), F.count(F.lit(1)).alias("n")).first()
+    if classes["pos"] and classes["neg"] and classes["pos"] + classes["neg"] == classes["n"]:
+        pre = Pipeline(stages=stages).fit(train)
+        rows = linear_table.weighted_rows(pre, packed(train))
+        found = linear_table.reweighted(lr, rows, [0.0] * len(spec.slot_columns()), 0.0, most, tolerance)
+        if found.converged:
+            return PipelineModel([*pre.stages, linear_table.with_weights(lr, found.weights, found.constant)])
+    return fit(pipeline, train)
+
+
 def score(model: PipelineModel, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """ML8: probability of class 1 as ``prob`` (plus the requested passthrough columns)."""
     keep = keep or ["user_id"]
@@ -202,8 +236,9 @@ def train_and_select_model(train: DataFrame, val: DataFrame, test: DataFrame, th
     keep = ["user_id", config.TARGET_COLUMN]
     linear = fit_spec(train, scale=True)
     specs = {LR: linear, GBT: unscaled(linear)}
-    fitted = {LR: fit(build_logistic_regression(train, specs[LR]), train), GBT: fit_gradient_boosting(train, specs[GBT], seed, gbt_max_iter)}
-    scores = {name: score(model, val, keep) for name, model in fitted.items()}
+    fitted = {LR: fit_logistic_regression(train, specs[LR]), GBT: fit_gradient_boosting(train, specs[GBT], seed, gbt_max_iter)}
+    ensure_checkpoint_dir(val.sparkSession)
+    scores = {name: score(model, val, keep).checkpoint() for name, model in fitted.items()}  # read by up to three reports
     candidates = {name: Candidate(model, specs[name], _metrics_dict(scores[name], 0.5)) for name, model in fitted.items()}
     winner = max(candidates, key=lambda name: candidates[name].average_precision)  # the first of equals
     labelled = scores[winner].withColumnRenamed(config.TARGET_COLUMN, "label")

@@ -120,3 +120,37 @@ def test_iterative_fits_read_few_partitions(users, monkeypatch):
     monkeypatch.setattr(T, "ROWS_A_TASK", 1000)
     _fit(many, "planted", max_iter=2)
     assert seen == [cores]
+
+
+def test_steady_progress_goes_to_all_rounds_at_once(users, monkeypatch):
+    falling = [1.0 - 0.01 * i for i in range(24)]
+    assert T.steady(falling, 10) and not T.steady(falling[:20], 10)
+    assert not T.steady([*falling[:12], falling[11], *falling[12:]], 10) and not T.steady([1.0 - 1e-9 * i for i in range(24)], 10)
+    assert T.next_rounds(24, 500, True) == 500 and T.next_rounds(24, 500) == 96
+    fits, fit = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, df: fits.append(self.getMaxIter()) or fit(self, df))
+    _fit(users.withColumn("plain", (F.col("x") > 0.5).cast("int")), "plain", max_iter=40, patience=1, first_rounds=4)
+    assert fits == [4, 40]  # a rule that the trees find: each round is better; 4, 40 without 16 between
+
+
+def test_idle_cores_get_rows(users, monkeypatch):
+    cores = users.sparkSession.sparkContext.defaultParallelism
+    one = users.coalesce(1).checkpoint()
+    monkeypatch.setattr(T, "ROWS_WORTH_A_TASK", 300)
+    assert T.packed(one).rdd.getNumPartitions() == min(2, cores)
+    monkeypatch.setattr(T, "ROWS_WORTH_A_TASK", 10)
+    assert T.packed(one).rdd.getNumPartitions() == cores
+    assert sorted(r.user_id for r in T.packed(one).collect()) == sorted(r.user_id for r in users.collect())
+    monkeypatch.setattr(T, "ROWS_A_TASK", 50)
+    assert T.packed(one).rdd.getNumPartitions() == max(cores, 14)
+
+
+def test_validation_scores_are_computed_once(users, monkeypatch):
+    """Metrics and threshold read kept scores: none of their plans scores a row."""
+    from cohortlens.operators import evaluate
+    monkeypatch.setattr(T, "fit_spec", lambda train, **o: fit_spec(train, ["channel"], ["x", "y"], **o))
+    data = users.withColumn(config.TARGET_COLUMN, F.col("planted")).drop("planted", "noise")
+    plans, metrics = [], evaluate.compute_metrics
+    monkeypatch.setattr(evaluate, "compute_metrics", lambda scored, t, *a: plans.append(scored._jdf.queryExecution().optimizedPlan().toString()) or metrics(scored, t, *a))
+    T.train_and_select_model(data, data.where("x < 0.7"), data, gbt_max_iter=2)
+    assert len(plans) == 4 and not any("UDF" in p for p in plans[:3])

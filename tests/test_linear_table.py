@@ -56,6 +56,38 @@ def test_refining_a_refined_model_stops_at_once(planted, fitted, monkeypatch):
     assert np.allclose(again, weights, atol=1e-13) and abs(c - constant) < 1e-13
 
 
+def test_fit_by_reweighting_is_the_optimum_without_the_optimiser(planted, fitted, monkeypatch, tmp_path):
+    spec, by_optimiser, (weights, constant) = fitted
+    monkeypatch.setattr(T, "fit", lambda *a: pytest.fail("the optimiser ran"))
+    steps, step = [], L.LinearRegression.fit
+    monkeypatch.setattr(L.LinearRegression, "fit", lambda self, df: steps.append(1) or step(self, df))
+    model = T.fit_logistic_regression(planted, spec)
+    own = model.stages[-1]
+    assert len(steps) < 15
+    assert np.allclose(own.coefficients.toArray(), weights, atol=1e-9) and abs(own.intercept - constant) < 1e-9
+    assert np.allclose(own.coefficients.toArray(), by_optimiser.stages[-1].coefficients.toArray(), atol=1e-3)
+    T.save_model(model, str(tmp_path / "m"))
+    a, b = ({r.user_id: r.prob for r in T.score(m, planted).collect()} for m in (model, T.load_model(str(tmp_path / "m"))))
+    assert a == b and len(a) == 600
+    assert own.getRegParam() == by_optimiser.stages[-1].getRegParam() and own.getWeightCol() == "_w"
+
+
+def test_optimiser_takes_what_reweighting_cannot(planted, fitted):
+    spec = fitted[0]
+    one = planted.withColumn(config.TARGET_COLUMN, F.lit(1))
+    assert T.fit_logistic_regression(one, spec).stages[-1].intercept == T.fit(T.build_logistic_regression(one, spec), one).stages[-1].intercept
+    early = T.fit_logistic_regression(planted, spec, most=1).stages[-1]  # not converged
+    assert list(early.coefficients) == list(fitted[1].stages[-1].coefficients)
+
+
+def test_a_lost_row_is_no_convergence(spark, planted, fitted):
+    """A row whose margin has no variance in doubles but the wrong class must not be dropped in silence."""
+    rows = L.weighted_rows(fitted[1], planted)
+    slots = len(fitted[2][0])
+    far = L.reweighted(fitted[1].stages[-1], rows.where("label = 0"), [0.0] * slots, 800.0, 1, 1e300)
+    assert not far.converged
+
+
 def test_table_scores_as_the_pipeline(planted, fitted):
     spec, model, (weights, constant) = fitted
     table = L.model_table(planted.sparkSession, spec, weights, constant)
