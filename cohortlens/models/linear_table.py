@@ -38,7 +38,7 @@ def weighted_rows(pre: PipelineModel, train: DataFrame) -> DataFrame:
 
 def with_weights(like, weights: list[float], constant: float) -> LogisticRegressionModel:
     """The model of ``like`` (a logistic regression or a model of one) with weights that are known already."""
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.active()  # also in a thread of its own
     values = spark.sparkContext._gateway.new_array(spark._jvm.double, len(weights))
     for i, w in enumerate(weights):
         values[i] = float(w)

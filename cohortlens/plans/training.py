@@ -163,8 +163,12 @@ def user_report(result: T.TrainingResult, users: DataFrame) -> DataFrame:
 
 
 def test_scores(result: T.TrainingResult, data: TrainingData, groups: list[str] | None = None) -> DataFrame:
-    """The selected model's scores of the test users as (user_id, label, prob, groups)."""
-    return T.score(result.model, data.test, ["user_id", config.TARGET_COLUMN, *(groups or [])]).withColumnRenamed(config.TARGET_COLUMN, "label")
+    """The selected model's scores of the test users as (user_id, label, prob, groups): those that the training kept, where it
+    kept the groups too."""
+    wanted = ["user_id", config.TARGET_COLUMN, *(groups or [])]
+    kept = result.tested is not None and set(wanted) <= set(result.tested.columns)
+    scored = result.tested.select(*wanted, "prob") if kept else T.score(result.model, data.test, wanted)
+    return scored.withColumnRenamed(config.TARGET_COLUMN, "label")
 
 
 def write_report_set(result: T.TrainingResult, t: LifecycleTables, data: TrainingData, path: str) -> None:

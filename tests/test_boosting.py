@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import threading
 
 import pytest
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -154,3 +155,50 @@ def test_validation_scores_are_computed_once(users, monkeypatch):
     monkeypatch.setattr(evaluate, "compute_metrics", lambda scored, t, *a: plans.append(scored._jdf.queryExecution().optimizedPlan().toString()) or metrics(scored, t, *a))
     T.train_and_select_model(data, data.where("x < 0.7"), data, gbt_max_iter=2)
     assert len(plans) == 4 and not any("UDF" in p for p in plans[:3])
+
+
+def _small_training(users, monkeypatch):
+    monkeypatch.setattr(T, "fit_spec", lambda train, **o: fit_spec(train, ["channel"], ["x", "y"], **o))
+    data = users.withColumn(config.TARGET_COLUMN, F.col("planted")).drop("planted", "noise")
+    return data.select("*", *[F.when(F.col("x") < 0.5, "a").alias(c) for c in ("acquisition_channel", "career_stage", "device_type")])
+
+
+def test_candidates_train_at_the_same_time(users, monkeypatch):
+    """Each waits for the start of the other: one after the other, the first would wait in vain."""
+    data, begun = _small_training(users, monkeypatch), {name: threading.Event() for name in (T.LR, T.GBT)}
+
+    def meeting(fit, name, other):
+        def run(*args):
+            begun[name].set()
+            assert begun[other].wait(60)
+            return fit(*args)
+        return run
+
+    monkeypatch.setattr(T, "fit_logistic_regression", meeting(T.fit_logistic_regression, T.LR, T.GBT))
+    monkeypatch.setattr(T, "fit_gradient_boosting", meeting(T.fit_gradient_boosting, T.GBT, T.LR))
+    result = T.train_and_select_model(data, data.where("x < 0.7"), data, gbt_max_iter=2)
+    assert list(result.candidates) == [T.LR, T.GBT] and all(0 < c.average_precision <= 1 for c in result.candidates.values())
+
+
+def test_a_failing_candidate_is_raised(users, monkeypatch):
+    data = _small_training(users, monkeypatch)
+    monkeypatch.setattr(T, "fit_logistic_regression", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        T.train_and_select_model(data, data.where("x < 0.7"), data, gbt_max_iter=2)
+
+
+def test_test_is_scored_once(users, monkeypatch):
+    """Metrics and reports read the kept scores of test: no plan of theirs scores a row, and the rows are those of a new score."""
+    from cohortlens.operators import evaluate, subgroup
+    from cohortlens.plans import training
+    data = _small_training(users, monkeypatch)
+    plans, metrics = [], evaluate.compute_metrics
+    monkeypatch.setattr(evaluate, "compute_metrics", lambda scored, t, *a: plans.append(scored._jdf.queryExecution().optimizedPlan().toString()) or metrics(scored, t, *a))
+    result = T.train_and_select_model(data, data.where("x < 0.7"), data, gbt_max_iter=2)
+    assert len(plans) == 4 and not any("UDF" in p for p in plans)
+    parts = training.TrainingData(data, data.select("user_id"), data, data, data)
+    for groups in (None, list(subgroup.DEFAULT_GROUPS), ["x"]):  # x is not kept: scored anew
+        found = training.test_scores(result, parts, groups)
+        assert ("UDF" in found._jdf.queryExecution().optimizedPlan().toString()) == (groups == ["x"])
+        new = T.score(result.model, data, ["user_id", config.TARGET_COLUMN, *(groups or [])])
+        assert found.columns == ["user_id", "label", *(groups or []), "prob"] and sorted(found.collect()) == sorted(new.collect())
