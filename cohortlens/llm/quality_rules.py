@@ -165,7 +165,8 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", trees: int
     scored = stats.mapInArrow(shape, f"`{id_col}` {kind}, " + ", ".join(f"{f} long" for f in Stats._fields)
                               + ", base_failed boolean, anomaly double, scores array<double>")
     marks = labels.where("quality is not null").groupBy(F.col(id_col).alias("_id")).agg(F.min("quality").alias("_quality"))
-    labelled = staged(scored.where("anomaly is not null").join(marks, F.col(id_col) == F.col("_id")).select("_quality", "scores"))
+    # labels grow with the documents, and their files are far smaller than their rows in memory: never a broadcast
+    labelled = staged(scored.where("anomaly is not null").join(marks.hint("merge"), F.col(id_col) == F.col("_id")).select("_quality", "scores"))
     limits = calibrate(labelled, len(forests), max_loss)
     below = reduce(lambda x, y: x & y, [F.col("scores")[i] < limit for i, limit in enumerate(limits)])
     return scored.withColumn("kept", ~F.col("base_failed") & below).drop("scores")

@@ -65,6 +65,19 @@ def test_rules_without_labels_or_documents(spark, docs_of):
     assert Q.judge(docs_of([]), labels).collect() == []
 
 
+def test_labels_are_not_sent_to_the_driver(spark, docs_of, tmp_path, monkeypatch):
+    """A label file of a few MB holds millions of rows: whatever its size, no plan collects and broadcasts them."""
+    rows, marks = labelled(random.Random(4), 60)
+    path = f"{tmp_path}/labels.parquet"
+    spark.createDataFrame(marks, "doc_id long, quality int").write.parquet(path)
+    plans, staged = [], Q.staged
+    monkeypatch.setattr(Q, "staged", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or staged(df))
+    out = Q.judge(docs_of(rows), spark.read.parquet(path), trees=10)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert sum("Join" in p for p in plans) == 1 and not any("Broadcast" in p for p in plans)
+    assert out.count() == len(rows)
+
+
 def test_isolated_points_score_higher():
     rng = np.random.default_rng(0)
     rows = rng.normal(size=(500, 3))
