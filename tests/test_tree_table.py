@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+import random
+import time
+
 import duckdb
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -119,3 +123,67 @@ def test_repeated_rows_empty_input_and_a_model_of_one_leaf(users, fitted, vector
     assert [r.slots for r in rows] == [[], []] and all(abs(r.prob - 0.6224593312018546) < 1e-15 for r in rows)
     odd = vectors.limit(1).withColumn("x", F.transform("x", lambda v: F.lit(float("nan"))))
     assert tree_table.explained(odd, table, "x").first().prob > 0  # NaN goes to the side of larger values, as in the model
+
+
+def grown(rng, trees, slots, depth, early):
+    """Rows of a node table, trees grown at random; a node is a leaf before the last level with the chance ``early``."""
+    rows = []
+    for tree in range(trees):
+        size, todo = 1, [(0, 0)]
+        while todo:
+            node, level = todo.pop()
+            if level == depth or level and rng.random() < early:
+                rows.append((tree, node, None, None, None, None, rng.uniform(-0.1, 0.1)))
+            else:
+                rows.append((tree, node, rng.randrange(slots), rng.choice([0.0, -0.0, rng.uniform(-1, 1)]), size, size + 1, None))
+                todo += [(size, level + 1), (size + 1, level + 1)]
+                size += 2
+    return rows
+
+
+def walked(nodes, x, zeroed=None):
+    """The share of one tree, node by node; a null goes to the side of larger values."""
+    at = 0
+    while nodes[at][2] is not None:
+        _, _, slot, threshold, low, high, _ = nodes[at]
+        v = 0.0 if slot == zeroed else x[slot] if slot < len(x) else None
+        at = low if v is not None and v <= threshold else high
+    return nodes[at][6]
+
+
+@pytest.mark.parametrize("depth, early", [(1, 0.0), (5, 0.0), (5, 0.3), (8, 0.05), (12, 0.4)])
+def test_explanations_are_those_of_walks(spark, depth, early):
+    """Trees of one to several words of leaves; rows with nulls, NaN, zeros of both signs and too few slots."""
+    rng = random.Random(depth)
+    table = grown(rng, 7, 6, depth, early)
+    xs = [[rng.choice([0.0, -0.0, None, float("nan"), rng.uniform(-1, 1), rng.uniform(-1, 1)]) for _ in range(rng.choice([6, 6, 6, 8, 3, 0]))] for _ in range(60)] + [None]
+    users = spark.createDataFrame([(f"u{i}", x) for i, x in enumerate(xs)], "user_id string, x array<double>")
+    got = {r.user_id: r for r in tree_table.explained(users, spark.createDataFrame(table, tree_table.SCHEMA), "x").collect()}
+    dense = [[rng.uniform(-1, 1) for _ in range(6)] for _ in range(30)]
+    whole = spark.createDataFrame([(f"d{i}", x) for i, x in enumerate(dense)], "user_id string, x array<double>")
+    got |= {r.user_id: r for r in tree_table.explained(whole, spark.createDataFrame(table, tree_table.SCHEMA), "x").collect()}
+    trees = [{r[1]: r for r in table if r[0] == tree} for tree in range(7)]
+    for user, x in [*((f"u{i}", x or []) for i, x in enumerate(xs)), *((f"d{i}", x) for i, x in enumerate(dense))]:
+        margin = sum(walked(t, x) for t in trees)
+        p = 1 / (1 + math.exp(-2 * margin))
+        assert abs(got[user].prob - p) < 1e-14
+        expected = {}
+        for pos in range(6):
+            if pos < len(x) and x[pos] is not None and x[pos] != 0:
+                without = sum(walked(t, x, pos) for t in trees)
+                if abs(without - margin) > 1e-12:
+                    expected[pos] = p - 1 / (1 + math.exp(-2 * without))
+        found = {s.pos: s.c for s in got[user].slots}
+        assert set(expected) <= set(found) and all(abs(c - expected.get(pos, 0.0)) < 1e-14 for pos, c in found.items())
+
+
+def test_many_trees_are_explained_in_seconds(spark):
+    """As many trees as training fits at most, for 4,000 rows: walking them again for every slot took a core 54 s."""
+    table = spark.createDataFrame(grown(random.Random(1), 500, 60, 5, 0.0), tree_table.SCHEMA)
+    value = F.transform(F.sequence(F.lit(0), F.lit(59)), lambda i: F.pmod(F.xxhash64("id", i), F.lit(2000)) / 1000.0 - 1)
+    users = spark.range(0, 4000, 1, 1).select(F.col("id").alias("user_id"), value.alias("x"))
+    began = time.perf_counter()
+    falls = F.transform("slots", lambda s: s["c"])
+    found = tree_table.explained(users, table, "x").agg(F.count(F.lit(1)).alias("n"), F.min(F.size("slots")).alias("least"), F.max(F.array_max(falls)).alias("most")).first()
+    assert found.n == 4000 and found.least > 40 and found.most > 0
+    assert time.perf_counter() - began < 20
